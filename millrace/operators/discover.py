@@ -6,9 +6,10 @@ summary row per column.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,34 +24,36 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _column_rows(df: DataFrame, table: str, per_column) -> DataFrame:
-    """One aggregate over the table, turned into one row per column."""
-    entries = [f"c{i}" for i in range(len(df.columns))]
-    summary = df.agg(
-        F.count("*").alias("row_count"),
-        *[F.struct(*per_column(i, f)).alias(e) for i, (f, e) in enumerate(zip(df.schema, entries, strict=True))],
-    )
-    return summary.select(F.lit(table).alias("table"), "row_count", F.inline(F.array(*entries)))
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
 
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-def _col(f: T.StructField) -> Column:
-    return F.col(f"`{f.name}`")
+
+def _column_rows(df: DataFrame, table: str, describe: Callable[[int, T.StructField], dict[str, str]]) -> DataFrame:
+    """One aggregate over the table, turned into one row per column. ``describe`` gives the SQL of each output field."""
+    structs = []
+    for i, f in enumerate(df.schema):
+        fields = ", ".join(f"{_text(name)}, {sql}" for name, sql in describe(i, f).items())
+        structs.append(f"named_struct({fields})")
+    summary = df.selectExpr("count(*) AS row_count", f"array({', '.join(structs)}) AS entries")
+    return summary.selectExpr(f"{_text(table)} AS `table`", "row_count", "inline(entries)")
 
 
 def column_inventory(tables: Tables, distinct: bool = False) -> DataFrame:
     """Q7. table, column, type, nullable and null count of every column; approximate distinct counts on request."""
 
-    def describe(i: int, f: T.StructField) -> list[Column]:
-        out = [
-            F.lit(i).alias("ordinal"),
-            F.lit(f.name).alias("column"),
-            F.lit(f.dataType.simpleString()).alias("type"),
-            F.lit("YES" if f.nullable else "NO").alias("nullable"),
-            F.count_if(_col(f).isNull()).alias("null_count"),
-        ]
-        if distinct:
-            out.append(F.approx_count_distinct(_col(f)).alias("approx_distinct"))
-        return out
+    def describe(i: int, f: T.StructField) -> dict[str, str]:
+        out = {
+            "ordinal": str(i),
+            "column": _text(f.name),
+            "type": _text(f.dataType.simpleString()),
+            "nullable": "'YES'" if f.nullable else "'NO'",
+            "null_count": f"count_if({_quoted(f.name)} IS NULL)",
+        }
+        return {**out, "approx_distinct": f"approx_count_distinct({_quoted(f.name)})"} if distinct else out
 
     return _union([_column_rows(df, name, describe) for name, df in tables.items()])
 
@@ -110,44 +113,58 @@ def schema_index(nested: DataFrame, catalogs: str = "catalogs", search: str | No
     return index.filter(F.col("path").contains(search)) if search else index
 
 
-def _may_be_key(f: T.StructField) -> bool:
-    return isinstance(f.dataType, _KEY_TYPES)
+def _describe(i: int, f: T.StructField) -> dict[str, str]:
+    c, timed = _quoted(f.name), isinstance(f.dataType, _TIMES)
+    shown = f"date_format({{}}({c}), 'yyyy-MM-dd HH:mm:ss')" if timed else f"CAST({{}}({c}) AS STRING)"
+    shown = shown if isinstance(f.dataType, _ORDERED) else "CAST(NULL AS STRING)"
+    return {
+        "ordinal": str(i),
+        "column": _text(f.name),
+        "type": _text(f.dataType.simpleString()),
+        "is_time": str(timed).lower(),
+        "null_count": f"count_if({c} IS NULL)",
+        "min_value": shown.format("min"),
+        "max_value": shown.format("max"),
+        "approx_distinct": f"approx_count_distinct({c})" if isinstance(f.dataType, _ORDERED) else "0L",
+    }
+
 
+PROFILE = (
+    "`table` string, row_count bigint, ordinal int, `column` string, type string, is_time boolean, null_count bigint, "
+    "min_value string, max_value string, approx_distinct bigint, is_unique boolean"
+)
 
-def profile_table(df: DataFrame, table: str) -> DataFrame:
+
+NEARLY_UNIQUE = 0.75  # five standard errors (5 % each) of the estimate below one
+
+
+def profile_tables(tables: Tables) -> DataFrame:
     """Q10. Per column: rows, nulls, least and greatest value, and whether it identifies the rows.
 
-    The first pass estimates distinct counts. Only columns whose estimate is near the row count get the exact test,
-    which groups by that column; a column estimated well below the row count cannot be unique.
+    One pass over each table estimates distinct counts. Only columns whose estimate is near the row count get the exact
+    test, which groups by that column; a column estimated well below the row count cannot be unique. The result is
+    metadata (one row per column), so it is gathered here and not computed again by every use.
     """
-
-    def describe(i: int, f: T.StructField) -> list[Column]:
-        c = _col(f)
-        text = c.cast("string")
-        if isinstance(f.dataType, _TIMES):
-            text = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
-        ordered = isinstance(f.dataType, _ORDERED)
-        none = F.lit(None).cast("string")
-        least, most = (F.min(c), F.max(c)) if ordered and not isinstance(f.dataType, _TIMES) else (F.min(text), F.max(text))
-        return [
-            F.lit(i).alias("ordinal"),
-            F.lit(f.name).alias("column"),
-            F.lit(f.dataType.simpleString()).alias("type"),
-            F.lit(isinstance(f.dataType, _TIMES)).alias("is_time"),
-            F.count_if(c.isNull()).alias("null_count"),
-            (least.cast("string") if ordered else none).alias("min_value"),
-            (most.cast("string") if ordered else none).alias("max_value"),
-            (F.approx_count_distinct(c, 0.02) if ordered else F.lit(0).cast("bigint")).alias("approx_distinct"),
-        ]
-
-    summary = _column_rows(df, table, describe)
-    likely = [
-        r["column"]
-        for r in summary.select("column", "row_count", "null_count", "approx_distinct").collect()
-        if _may_be_key(df.schema[r["column"]]) and r["row_count"] > 0 and r["null_count"] == 0 and r["approx_distinct"] >= 0.85 * r["row_count"]
-    ]
-    unique = [c for c in likely if df.groupBy(f"`{c}`").count().filter("count > 1").isEmpty()]
-    return summary.withColumn("is_unique", F.col("column").isin(unique) if unique else F.lit(False))
+    rows = _union([_column_rows(df, name, _describe) for name, df in tables.items()]).collect()
+
+    def may_be_key(r) -> bool:
+        kind = tables[r["table"]].schema[r["column"]].dataType
+        near = r["row_count"] > 0 and r["null_count"] == 0 and r["approx_distinct"] >= NEARLY_UNIQUE * r["row_count"]
+        return near and isinstance(kind, _KEY_TYPES)
+
+    likely = [(r["table"], r["column"]) for r in rows if may_be_key(r)]
+    tests = [_repeats(tables[t], c).selectExpr(f"{_text(t)} AS t", f"{_text(c)} AS c") for t, c in likely]
+    repeated = {(r["t"], r["c"]) for r in _union(tests).collect()} if tests else set()
+    unique = set(likely) - repeated
+    spark = next(iter(tables.values())).sparkSession
+    return spark.createDataFrame([(*r, (r["table"], r["column"]) in unique) for r in rows], PROFILE)
+
+
+def _repeats(df: DataFrame, column: str) -> DataFrame:
+    """A row if some value occurs twice. Texts are compared by 128-bit digest, so that long ones are not shuffled."""
+    c = _quoted(column)
+    value = f"md5({c})" if isinstance(df.schema[column].dataType, T.StringType) else c
+    return df.selectExpr(f"{value} AS v").groupBy("v").count().filter("count > 1").limit(1)
 
 
 # Names that usually hold the time of the last change, best first; a tie-break only.

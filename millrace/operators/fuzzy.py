@@ -7,7 +7,8 @@ candidate whose length can still reach the threshold. What can be saved is the s
 * candidates are packed by length into blocks of bounded size, and an input meets only the lengths that can reach its
   threshold (similarity is at most shorter / longer);
 * an input meets a *block*, not a candidate: the scan of the block is one expression that returns the block's best few,
-  so pairs are never rows. Meetings are an equi-join on (length, block), spread over as many keys as there are blocks.
+  so pairs are never rows. Meetings are an equi-join on (length, block): the blocks are broadcast while their measured
+  size is small, and beyond that shuffled, with copies under a salt where there are fewer blocks than tasks.
 """
 
 from __future__ import annotations
@@ -18,6 +19,12 @@ from pyspark.sql import functions as F
 from millrace.operators.sliced import top_per_group
 
 BLOCK_ROWS = 512
+BROADCAST_BYTES = 64 << 20
+
+
+def _check(threshold: float) -> None:
+    if not 0 < threshold <= 1:
+        raise ValueError("the threshold must be above 0 and at most 1")
 
 
 def _pack(candidates: DataFrame, value: str, position: str, keep: int) -> tuple[DataFrame, DataFrame]:
@@ -34,14 +41,6 @@ def _pack(candidates: DataFrame, value: str, position: str, keep: int) -> tuple[
     return blocks, lengths
 
 
-def _score(text: str, size: str, item: Column, length: Column, threshold: float) -> Column:
-    """Similarity, or -1 once the distance is past what the threshold allows."""
-    longer = F.greatest(F.col(size), length)
-    allowed = F.floor((1 - threshold) * longer + 1e-9).cast("int")
-    distance = F.call_function("levenshtein", F.col(text), item["low"], allowed)
-    return F.when(longer == 0, F.lit(1.0)).when(distance < 0, F.lit(-1.0)).otherwise(1 - distance / longer)
-
-
 def _meetings(texts: DataFrame, blocks: DataFrame, directory: DataFrame, threshold: float) -> DataFrame:
     """Every input text with every block whose length can reach the threshold."""
     spread = texts.withColumn("size", F.length("text"))
@@ -55,17 +54,33 @@ def _meetings(texts: DataFrame, blocks: DataFrame, directory: DataFrame, thresho
         F.transform(fits, lambda k: F.transform(F.sequence(F.lit(0), k["blocks"] - 1), lambda b: F.struct(k["len"].alias("len"), b.alias("block"))))
     )
     asking = spread.select("text", "size", F.inline(numbered))
-    # a few bytes of text cost a whole block of comparisons, so spread by cores, not by size as adaptive execution would
+    # A few bytes of text cost a whole block of comparisons, so the work is spread by cores and not, as adaptive
+    # execution would, by bytes. Small dictionaries go whole to every task; the sizes are measured, not assumed.
     spark = texts.sparkSession
     parts = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return asking.repartition(parts).join(blocks, ["len", "block"])
+    held, size = directory.agg(F.sum("blocks"), F.sum(F.col("blocks") * BLOCK_ROWS * (2 * F.col("len") + 64))).head()
+    if (size or 0) <= BROADCAST_BYTES:
+        return asking.repartition(parts).join(F.broadcast(blocks), ["len", "block"])
+    copies = -(-parts // held)
+    salted = asking.withColumn("_salt", F.pmod(F.xxhash64("text"), F.lit(copies)).cast("int"))
+    copied = blocks.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+    return salted.repartition(parts, "len", "block", "_salt").join(copied, ["len", "block", "_salt"]).drop("_salt")
 
 
 def _ranked_items(threshold: float, strict: bool) -> Column:
-    """The block's candidates that pass, as struct(score, back, value); ``back`` grows towards the first position."""
+    """The block's candidates that pass, as struct(score, back, value); ``back`` grows towards the first position.
+
+    Distances are worked out in a step of their own, once each, and given up when past what the threshold allows.
+    """
+    longer = F.greatest("size", "len")
+    allowed = F.floor((1 - threshold) * longer + 1e-9).cast("int")
+    measured = F.transform(
+        "items", lambda i: F.struct(F.call_function("levenshtein", F.col("text"), i["low"], allowed).alias("d"), i.alias("i"))
+    )
+    near = F.filter(measured, lambda m: m["d"] >= 0)
+    score = lambda m: F.when(longer == 0, F.lit(1.0)).otherwise(1 - m["d"] / longer)
     scored = F.transform(
-        "items",
-        lambda i: F.struct(_score("text", "size", i, F.col("len"), threshold).alias("score"), (-i["position"]).alias("back"), i["value"].alias("value")),
+        near, lambda m: F.struct(score(m).alias("score"), (-m["i"]["position"]).alias("back"), m["i"]["value"].alias("value"))
     )
     return F.filter(scored, lambda s: s["score"] > threshold if strict else s["score"] >= threshold)
 
@@ -77,13 +92,15 @@ def fuzzy_match_join(
 
     Ties go to the candidate with the lowest position.
     """
+    _check(threshold)
     asked = inputs.select(F.lower(text).alias("text")).filter(F.col("text").isNotNull()).distinct()
     exact = candidates.groupBy(F.lower(value).alias("text")).agg(F.min_by(value, position).alias("match"))
     settled = asked.join(exact, "text").select("text", "match", F.lit(1.0).alias("score"))
     blocks, directory = _pack(candidates, value, position, 1)
     met = _meetings(asked.join(exact, "text", "left_anti"), blocks, directory, threshold)
-    best = met.select("text", F.array_max(_ranked_items(threshold, strict=True)).alias("b")).filter(F.col("b").isNotNull())
-    best = best.groupBy("text").agg(F.max("b").alias("b"))
+    # the null test comes after the maximum: before it, it would be pushed down and scan every block twice
+    best = met.select("text", F.array_max(_ranked_items(threshold, strict=True)).alias("b"))
+    best = best.groupBy("text").agg(F.max("b").alias("b")).filter(F.col("b").isNotNull())
     found = settled.unionByName(best.select("text", F.col("b.value").alias("match"), F.col("b.score").alias("score")))
     return inputs.join(found, F.lower(inputs[text]) == found["text"], "left").drop(found["text"])
 
@@ -92,6 +109,7 @@ def top_similar(
     inputs: DataFrame, text: str, candidates: DataFrame, value: str, position: str, threshold: float = 0.4, limit: int = 3
 ) -> DataFrame:
     """L10. Up to ``limit`` candidates per input row at or above the threshold: ``match``, ``position``, ``score``, ``rank``."""
+    _check(threshold)
     asked = inputs.select(F.lower(text).alias("text")).filter(F.col("text").isNotNull()).distinct()
     blocks, directory = _pack(candidates, value, position, limit)
     met = _meetings(asked, blocks, directory, threshold)

@@ -153,13 +153,14 @@ def ingest_delta(
     The mark moves only after the merge is committed, and merging the same rows again changes nothing, so a failure
     in between is repaired by the next run.
     """
-    fresh = watermark_filter(source, watermark, marks.get(artifact), backload_days)
-    fresh = store.stage(fresh, "delta")
-    mark = watermark_advance(fresh, watermark)
+    last = marks.get(artifact)
+    fresh = watermark_filter(source, watermark, last, backload_days)
+    newest = store.stage(latest_per_key(fresh, store.keys, watermark, *([tie] if tie else [])), "delta")
+    mark = watermark_advance(newest, watermark)
     if mark is None:
         return store.current_version()
-    version = store.upsert(latest_per_key(fresh, store.keys, watermark, *([tie] if tie else [])), "delta")
-    marks.put(artifact, max(mark, marks.get(artifact) or mark))
+    version = store.upsert(newest, "delta", staged=True)
+    marks.put(artifact, max(mark, last or mark))
     return version
 
 

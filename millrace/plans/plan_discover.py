@@ -92,7 +92,7 @@ def _profile_sql(table: str, i: int, column: str, kind: str) -> str:
 
 @query("Q10_profile_table", " UNION ALL ".join(_profile_sql("orders", i, c, k) for i, (c, k) in enumerate(COLUMNS["orders"])))
 def q10(t):
-    return op.profile_table(t.orders, "orders").drop("type", "is_time", "approx_distinct")
+    return op.profile_tables({"orders": t.orders}).drop("type", "is_time", "approx_distinct")
 
 
 @query("Q11_schema_index", f"SELECT catalog || '.' || schema || '.' || \"table\" AS path, 'table' AS type FROM ({_COUNTED}) WHERE \"table\" LIKE '%o%'")
@@ -129,8 +129,7 @@ def _recommendation_sql(table: str) -> str:
           k AS merge_column, w AS watermark, false AS "cdcSupported" FROM r""",
 )
 def i16(t):
-    profiles = [op.profile_table(getattr(t, name), name) for name in _RECOMMENDED]
-    found = op.recommend_ingestion(op._union(profiles))
+    found = op.recommend_ingestion(op.profile_tables({name: getattr(t, name) for name in _RECOMMENDED}))
     return found.select(
         "table",
         "ingestionType",
@@ -157,6 +156,6 @@ def i17(t):
         F.lit(None).cast("string").alias("timestampColumn"),
         F.lit(None).cast("string").alias("incrementalColumn"),
     )
-    profiles = op._union([op.profile_table(getattr(t, name), name) for name in ("orders", "lineitem")])
+    profiles = op.profile_tables({name: getattr(t, name) for name in ("orders", "lineitem")})
     applied = op.apply_recommendation(artifacts, op.recommend_ingestion(profiles))
     return applied.withColumn("primaryKeys", F.array_join("primaryKeys", ","))

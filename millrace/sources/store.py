@@ -20,6 +20,14 @@ SLOT = "_slot"
 _MANIFEST = "version bigint, slot int, dir string, rows bigint, schema string, op string"
 
 
+def _append_rows(spark: SparkSession, rows: list[tuple], schema: str, path: str) -> None:
+    """Append a few driver-side rows as one file, without starting Python workers."""
+    names = T.StructType.fromDDL(schema).names
+    text = json.dumps([dict(zip(names, row, strict=True)) for row in rows])
+    one = spark.range(0, 1, 1, 1).select(F.inline(F.from_json(F.lit(text), f"array<struct<{schema.replace(' ', ':')}>>".replace(",:", ", "))))
+    one.write.mode("append").json(path)
+
+
 def key_slot(keys: Sequence[str], slots: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(slots)).cast("int")
 
@@ -90,7 +98,7 @@ class TableStore:
     def _commit(self, version: int, entries: list[tuple[int, str, int]], schema: T.StructType, op: str) -> int:
         entries = entries or [(-1, "", 0)]
         rows = [(version, slot, folder, n, schema.json(), op) for slot, folder, n in entries]
-        self.spark.createDataFrame(rows, _MANIFEST).coalesce(1).write.mode("append").json(f"{self.path}/manifest")
+        _append_rows(self.spark, rows, _MANIFEST, f"{self.path}/manifest")
         return version
 
     def replace(self, df: DataFrame, op: str = "overwrite") -> int:
@@ -115,23 +123,26 @@ class TableStore:
         df.write.mode("overwrite").parquet(folder)
         return self.spark.read.schema(df.schema).parquet(folder)
 
-    def rewrite(self, source: DataFrame, change: Callable[[DataFrame, DataFrame], DataFrame], op: str) -> int:
-        """Replace the slots that hold keys of ``source`` by ``change(old rows of those slots, source)``."""
+    def rewrite(self, source: DataFrame, change: Callable[[DataFrame, DataFrame], DataFrame], op: str, staged=False) -> int:
+        """Replace the slots that hold keys of ``source`` by ``change(old rows of those slots, source)``.
+
+        The source is written out first, as it is read several times, unless the caller has ``staged`` it.
+        """
         rows = self.manifest()
         version = (rows[0]["version"] if rows else 0) + 1
-        staged = self.stage(source, f"v={version}")
+        new = source if staged else self.stage(source, f"v={version}")
         if not rows:
             empty = self.spark.createDataFrame([], source.schema)
-            result = change(empty, staged)
+            result = change(empty, new)
             return self._commit(version, self._write(result, version), result.schema, op)
-        touched = [r[0] for r in staged.select(self.slot).distinct().collect()]
+        touched = [r[0] for r in new.select(self.slot).distinct().collect()]
         if not touched:
             return rows[0]["version"]
-        result = change(self._open(rows, touched), staged)
+        result = change(self._open(rows, touched), new)
         kept = [(r["slot"], r["dir"], r["rows"]) for r in rows if r["dir"] and r["slot"] not in touched]
         return self._commit(version, kept + self._write(result, version), result.schema, op)
 
-    def upsert(self, source: DataFrame, op: str = "upsert") -> int:
+    def upsert(self, source: DataFrame, op: str = "upsert", staged=False) -> int:
         """W3. Rows of the source replace the rows with their keys. The source must hold each key once.
 
         The old rows meet only the source's keys: while those are small enough to broadcast, the old rows of the
@@ -141,7 +152,7 @@ class TableStore:
         def change(old: DataFrame, new: DataFrame) -> DataFrame:
             return old.join(new.select(*self.keys), self.keys, "left_anti").unionByName(new, allowMissingColumns=True)
 
-        return self.rewrite(source, change, op)
+        return self.rewrite(source, change, op, staged)
 
     def delete(self, keys: DataFrame, op: str = "delete") -> int:
         """Remove the rows with the given keys."""
@@ -175,4 +186,4 @@ class MarkTable:
     def put(self, artifact: str, mark: str) -> None:
         rows = self._rows()
         last = rows.agg(F.max("version")).head()[0] if rows is not None else 0
-        self.spark.createDataFrame([(artifact, mark, (last or 0) + 1)], self.SCHEMA).coalesce(1).write.mode("append").json(self.path)
+        _append_rows(self.spark, [(artifact, mark, (last or 0) + 1)], self.SCHEMA, self.path)
