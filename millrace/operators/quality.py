@@ -117,12 +117,13 @@ def step_list_rules(name: str, steps: str) -> list[Rule]:
 def ok_failed_report(outcomes: DataFrame, id_col: str, ok: Column, message: Column) -> DataFrame:
     """D7. One row per item with its outcome and, beside it, how many items share that outcome.
 
-    The ids stay rows: gathering them into one list per outcome would put the whole table in two cells.
+    The ids stay rows: gathering them into one list per outcome would put the whole table in two cells. The two totals
+    come in as a one-row subquery, because a join on the outcome would shuffle the whole table to two tasks.
     """
-    marked = outcomes.select(
-        F.when(ok, "ok").otherwise("failed").alias("outcome"),
-        F.col(id_col).alias("id"),
-        F.when(~ok, message).alias("message"),
+    outcome = F.when(ok, "ok").otherwise("failed")
+    totals = outcomes.agg(F.count_if(outcome == "ok").alias("ok"), F.count_if(outcome == "failed").alias("failed"))
+    counted = outcomes.select(outcome.alias("outcome"), F.col(id_col).alias("id"), F.when(~ok, message).alias("message")).withColumn(
+        "_n", totals.select(F.struct("ok", "failed")).scalar()
     )
-    counts = marked.groupBy("outcome").agg(F.count("*").alias("items"))
-    return marked.join(counts, "outcome")
+    items = F.when(F.col("outcome") == "ok", F.col("_n.ok")).otherwise(F.col("_n.failed"))
+    return counted.withColumn("items", items).drop("_n")

@@ -1,14 +1,15 @@
-"""Per-key ordered calculations that survive a key holding a large share of all rows.
+"""Per-key ordered work that survives a key holding a large share of all rows.
 
-A window over a key puts all of the key's rows in one task. Here the order column is cut at its own quantiles into
-slices; as every slice holds about 1/n of all rows, no (key, slice) group can hold more, however hot the key.
-Neighbours inside a slice come from a window over (key, slice); across slices they come from a summary with one row
-per (key, slice), which is small and joins back on the same keys.
+A window over a key puts all of the key's rows in one task. :func:`with_slices` cuts the order column at its own
+quantiles; as every slice holds about 1/n of all rows, no (key, slice) group can hold more, however hot the key.
+Windows then run over (key, slice), and a summary with one row per (key, slice) carries values across the cuts.
+:func:`top_per_group` needs no cutting: Spark drops all but k rows per key and task before the shuffle.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,47 +18,17 @@ SLICE = "_slice"
 
 
 def with_slices(df: DataFrame, order: str, slices: int) -> DataFrame:
-    """Add the slice number of ``order``. The cut points are an uncorrelated one-row subquery over that column alone."""
-    cuts = [i / slices for i in range(1, slices)]
-    quantiles = df.agg(F.percentile_approx(order, cuts).alias("q")).scalar()
-    at = F.size(F.filter(F.coalesce(F.col("_q"), F.array()), lambda q: q < F.col(order)))
-    return df.withColumn("_q", quantiles).withColumn(SLICE, at).drop("_q")
+    """Add the slice number of ``order``.
 
-
-def with_neighbour(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, out: str, step: int, slices: int = 32
-) -> DataFrame:
-    """Add ``out``: ``value`` of the previous (step -1) or next (step 1) row of the same key, null at the ends.
-
-    ``order`` must order the rows of a key totally; its first column is the one that is sliced.
+    The cut points are found now, by one aggregate over that column alone, and built in as constants: every part of the
+    later plan must cut alike, also when a lost task is run again. They only steer balance, so a coarse estimate, which
+    keeps the partial results small, is enough.
     """
-    rows = df if SLICE in df.columns else with_slices(df, order[0], slices)
-    group = [*keys, SLICE]
-    inside = Window.partitionBy(*group).orderBy(*order)
-    shift = F.lag if step < 0 else F.lead
-    edge_of = F.max_by if step < 0 else F.min_by
-    boxed = F.struct(value.alias("v"))
-    edges = rows.groupBy(*group).agg(edge_of(boxed, F.struct(*order)).alias("_edge"))
-    across = Window.partitionBy(*keys).orderBy(SLICE)
-    edges = edges.withColumn("_edge", shift("_edge").over(across))
-    near = rows.withColumn("_near", shift(boxed).over(inside))
-    joined = near.join(edges, group, "left")
-    return joined.withColumn(out, F.coalesce("_near", "_edge")["v"]).drop("_near", "_edge")
-
-
-def with_running_sum(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, out: str, slices: int = 32
-) -> DataFrame:
-    """Add ``out``: the sum of ``value`` over the rows of the key up to and including this one."""
-    rows = with_slices(df, order[0], slices)
-    group = [*keys, SLICE]
-    inside = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    carry = rows.groupBy(*group).agg(F.sum(value).alias("_sum"))
-    carry = carry.withColumn("_carry", F.sum("_sum").over(before)).drop("_sum")
-    joined = rows.withColumn("_run", F.sum(value).over(inside)).join(carry, group, "left")
-    total = F.col("_run") + F.coalesce("_carry", F.lit(0))
-    return joined.withColumn(out, total).drop("_run", "_carry", SLICE)
+    data_type = df.schema[order].dataType
+    at = [i / slices for i in range(1, slices)]
+    cuts = df.agg(F.percentile_approx(order, at, 10 * slices).cast("array<string>")).head()[0] or []
+    passed = [(F.col(order) > F.lit(c).cast(data_type)).cast("int") for c in dict.fromkeys(cuts)]
+    return df.withColumn(SLICE, F.coalesce(reduce(lambda a, b: a + b, passed, F.lit(0)), F.lit(0)))
 
 
 def top_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, rank: str = "rank") -> DataFrame:

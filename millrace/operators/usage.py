@@ -75,10 +75,14 @@ def daily_revenue(orders: DataFrame, ts: str, amount: str, now: Column, days: in
 
 
 def project_stats(projects: DataFrame, key: str, facts: dict[str, DataFrame]) -> DataFrame:
-    """A18. How many rows of each fact table a project has. Each is counted per project first, then joined."""
+    """A18. How many rows of each fact table a project has; a fact may come counted already, in a column ``n``.
+
+    Each is reduced to one row per project before it is joined.
+    """
     out = projects.select(key)
     for name, fact in facts.items():
-        out = out.join(fact.groupBy(key).agg(F.count("*").alias(name)), key, "left")
+        counted = F.sum("n") if "n" in fact.columns else F.count("*")
+        out = out.join(fact.groupBy(key).agg(counted.alias(name)), key, "left")
     return out.na.fill(0, list(facts))
 
 

@@ -100,7 +100,8 @@ def a17(t):
 )
 def a18(t):
     key = lambda c: F.col(c).alias("project_id")
-    owned = t.orders.select(F.col("o_custkey").alias("user_id")).join(t.users.select("user_id", "project_id"), "user_id")
+    per_user = t.orders.groupBy(F.col("o_custkey").alias("user_id")).agg(F.count("*").alias("n"))
+    owned = per_user.join(t.users.select("user_id", "project_id"), "user_id").select("project_id", "n")
     facts = {"customers": t.customer.select(key("c_nationkey")), "suppliers": t.supplier.select(key("s_nationkey")), "orders": owned}
     return op.project_stats(t.nation.select(key("n_nationkey")), "project_id", facts)
 

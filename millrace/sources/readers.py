@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -42,17 +43,23 @@ def header_line(contains_header: bool | None = None, line: int | None = None) ->
 
 
 def _without_preamble(lines: int):
-    """Drop the first ``lines`` lines of every file; later blocks of a split file have no preamble."""
+    """Drop the first ``lines`` lines of every file; later blocks of a split file have no preamble.
+
+    A task reads its files one after the other, so a batch is a few runs of rows of one file each.
+    """
 
     def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[str, int] = {}
+        seen: dict[int, int] = {}
         for batch in batches:
-            keep = []
-            for path, start in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                at = seen.get(path, 0) if start == 0 else lines
-                seen[path] = at + 1
-                keep.append(at >= lines)
-            yield batch.select([0]).filter(pa.array(keep, pa.bool_()))
+            files, first = batch.column(1).to_numpy(), batch.column(2).to_numpy() == 0
+            cuts = np.flatnonzero(np.diff(files) | np.diff(first)) + 1
+            keep = np.ones(len(files), dtype=bool)
+            for run in np.split(np.arange(len(files)), cuts) if first.any() else []:
+                if len(run) and first[run[0]]:
+                    at = seen.get(files[run[0]], 0)
+                    keep[run[: max(0, lines - at)]] = False
+                    seen[files[run[0]]] = at + len(run)
+            yield batch.select([0]).filter(pa.array(keep))
 
     return drop
 
@@ -73,13 +80,14 @@ def scan_delimited(
         reader = spark.read.options(sep=delimiter, header=header, quote='"', escape='"', multiLine=False)
         return (reader.schema(schema) if schema is not None else reader).csv(path)
     raw = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
+    numbered = raw.select("value", F.xxhash64("file_path").alias("file"), "file_block_start")
     if schema is None:
         first = raw.agg(F.min("file_path")).scalar()
         head = raw.filter((F.col("file_path") == first) & (F.col("file_block_start") == 0)).take(line)[-1]["value"]
         schema = T.StructType([T.StructField(c.strip().strip('"'), T.StringType()) for c in head.split(delimiter)])
     elif isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
-    body = raw.mapInArrow(_without_preamble(line), "value string")
+    body = numbered.mapInArrow(_without_preamble(line), "value string")
     parsed = body.filter(F.trim("value") != "").select(
         F.from_csv("value", F.lit(schema.simpleString()[len("struct<") : -1].replace(":", " ")), {"sep": delimiter, "escape": '"'}).alias("r")
     )

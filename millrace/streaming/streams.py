@@ -3,8 +3,9 @@ default trigger it works off what is there and stops, so the same code serves sc
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -62,9 +63,21 @@ def _clock(instant: Column) -> Column:
 
 
 def stream_dedup(rows: DataFrame, keys: Sequence[str], ts: str, delay: str) -> DataFrame:
-    """T3. Drop repeated deliveries of a key that come within ``delay``; state older than that is forgotten."""
+    """T3. Drop repeated deliveries of a key that come within ``delay``; state older than that is forgotten.
+
+    Copies that arrive together are dropped in the task that reads them, so a key that floods the stream is not sent
+    whole to the one task that keeps its state.
+    """
+    names = list(keys)
+
+    def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            repeated = batch.select(names).to_pandas().duplicated().to_numpy()
+            yield batch.filter(pa.array(~repeated)) if repeated.any() else batch
+
+    rows = rows.mapInArrow(once, rows.schema)
     timed = rows.withColumn("_event_time", _instant(rows, ts)).withWatermark("_event_time", delay)
-    return timed.dropDuplicatesWithinWatermark(list(keys)).drop("_event_time")
+    return timed.dropDuplicatesWithinWatermark(names).drop("_event_time")
 
 
 def stream_log_tail(logs: DataFrame, path: str, checkpoint: str, continuous: str | None = None) -> StreamingQuery:
