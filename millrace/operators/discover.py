@@ -125,7 +125,7 @@ def _describe(i: int, f: T.StructField) -> dict[str, str]:
         "null_count": f"count_if({c} IS NULL)",
         "min_value": shown.format("min"),
         "max_value": shown.format("max"),
-        "approx_distinct": f"approx_count_distinct({c})" if isinstance(f.dataType, _ORDERED) else "0L",
+        "approx_distinct": f"approx_count_distinct({c})" if timed or isinstance(f.dataType, _KEY_TYPES) else "0L",
     }
 
 

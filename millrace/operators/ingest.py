@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from millrace.functions.vocabulary import INGESTION_TYPES, MODE_WORDS, TRUE_WORDS
 from millrace.operators.shape import flatten_struct
-from millrace.operators.sliced import SLICE, top_per_group, with_slices
+from millrace.operators.sliced import HOT_ROWS, SLICE, hot_keys, top_per_group, with_slices
 from millrace.sources.readers import column_list
 from millrace.sources.store import MarkTable, TableStore
 
@@ -173,16 +173,40 @@ def detect_deletes(target: DataFrame, source: DataFrame, keys: Sequence[str], ma
     return flagged.withColumn(mark, F.col("_here").isNull()).drop("_here")
 
 
-def scd2(changes: DataFrame, keys: Sequence[str], watermark: str, tracked: Sequence[str], slices: int = 32) -> DataFrame:
+def scd2(changes: DataFrame, keys: Sequence[str], watermark: str, tracked: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """I8. History of each key: one row per run of equal values with valid_from, valid_to and is_current.
 
     A version begins where the tracked columns differ (null-safe) from the key's row before, and ends where the next
-    one begins. Rows of one key are worked on in slices of the watermark, each at most about 1/``slices`` of the
-    table, so a key with a third of all rows is spread over many tasks; one summary row per (key, slice) carries the
-    values across the cuts.
+    one begins. Keys with more than ``hot_rows`` rows are worked on in slices, the others in one window per key.
     """
-    k, value = list(keys), F.struct(*tracked)
-    once = changes.groupBy(*k, watermark).agg(F.max(value).alias("_val"))
+    once = changes.groupBy(*keys, watermark).agg(F.max(F.struct(*tracked)).alias("_val"))
+    hot = hot_keys(changes, keys, hot_rows)
+    hot_total = hot.agg(F.sum("n")).head()[0]
+    if not hot_total:
+        found = _versions(once, keys, watermark)
+    else:
+        k = list(keys)
+        cut = once.join(hot.select(*k), k, "left_semi")
+        found = _sliced_versions(cut, keys, watermark, -(-hot_total // hot_rows)).unionByName(
+            _versions(once.join(hot.select(*k), k, "left_anti"), keys, watermark)
+        )
+    return found.select(
+        *keys, *[F.col("_val")[c].alias(c) for c in tracked], "valid_from", "valid_to", F.col("valid_to").isNull().alias("is_current")
+    )
+
+
+def _versions(once: DataFrame, keys: Sequence[str], watermark: str) -> DataFrame:
+    """Begin and end of each run of equal values, by windows over the key."""
+    order = Window.partitionBy(*keys).orderBy(watermark)
+    began = once.withColumn("_before", F.lag(F.struct("_val")).over(order))
+    began = began.filter(F.col("_before").isNull() | ~F.col("_before")["_val"].eqNullSafe(F.col("_val")))
+    return began.select(*keys, "_val", F.col(watermark).alias("valid_from"), F.lead(watermark).over(order).alias("valid_to"))
+
+
+def _sliced_versions(once: DataFrame, keys: Sequence[str], watermark: str, slices: int) -> DataFrame:
+    """As :func:`_versions`, by windows over (key, slice). Each slice's summary row says whether the slice opens with a
+    change, given the last value before it, and where the first change after it lies."""
+    k = list(keys)
     sliced = with_slices(once, watermark, slices)
     inside = Window.partitionBy(*k, SLICE)
     rows = sliced.withColumn("_before", F.lag(F.struct("_val")).over(inside.orderBy(watermark)))
@@ -208,11 +232,7 @@ def scd2(changes: DataFrame, keys: Sequence[str], watermark: str, tracked: Seque
     joined = rows.join(summary, [*k, SLICE])
     starts = F.col("_start").isNotNull() | (F.col("_before").isNull() & F.col("_opens"))
     return joined.filter(starts).select(
-        *k,
-        *[F.col("_val")[c].alias(c) for c in tracked],
-        F.col(watermark).alias("valid_from"),
-        F.coalesce("_next", "_following").alias("valid_to"),
-        F.coalesce("_next", "_following").isNull().alias("is_current"),
+        *k, "_val", F.col(watermark).alias("valid_from"), F.coalesce("_next", "_following").alias("valid_to")
     )
 
 

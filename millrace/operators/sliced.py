@@ -1,34 +1,67 @@
 """Per-key ordered work that survives a key holding a large share of all rows.
 
-A window over a key puts all of the key's rows in one task. :func:`with_slices` cuts the order column at its own
-quantiles; as every slice holds about 1/n of all rows, no (key, slice) group can hold more, however hot the key.
-Windows then run over (key, slice), and a summary with one row per (key, slice) carries values across the cuts.
+A window over a key puts all of the key's rows in one task. Keys with more rows than one task should hold are found by
+counting (:func:`hot_keys`); only their rows are cut along the order column (:func:`with_slices`), windows then run over
+(key, slice), and a summary with one row per (key, slice) carries values across the cuts.
 :func:`top_per_group` needs no cutting: Spark drops all but k rows per key and task before the shuffle.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SLICE = "_slice"
+HOT_ROWS = 2_000_000  # rows of one key that one task may have to sort
+_KNOTS = 64
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], rows: int = HOT_ROWS) -> DataFrame:
+    """Keys with more than ``rows`` rows, with their count ``n``; at most 1/``rows`` as many as the table has rows."""
+    return df.groupBy(*keys).agg(F.count("*").alias("n")).filter(F.col("n") > rows)
+
+
+def _as_number(c: Column, data_type: T.DataType) -> Column:
+    """A number that grows with the value, free of time zones and their gaps."""
+    if isinstance(data_type, T.TimestampNTZType):
+        days = F.datediff(F.to_date(c), F.lit("1970-01-01").cast("date"))
+        return (days * 24 + F.hour(c)) * 3600.0 + F.minute(c) * 60 + F.extract(F.lit("SECONDS"), c).cast("double")
+    if isinstance(data_type, T.TimestampType):
+        return F.unix_micros(c).cast("double")
+    if isinstance(data_type, T.DateType):
+        return F.datediff(c, F.lit("1970-01-01").cast("date")).cast("double")
+    return c.cast("double")
 
 
 def with_slices(df: DataFrame, order: str, slices: int) -> DataFrame:
-    """Add the slice number of ``order``.
+    """Add a slice number that never falls as ``order`` (a number or a time) grows, with about equally many rows each.
 
-    The cut points are found now, by one aggregate over that column alone, and built in as constants: every part of the
+    Up to 64 quantiles of the order column are cut points; a cell between two of them is cut further at equal widths.
+    The points are found now, by one aggregate over that column alone, and built in as constants: every part of the
     later plan must cut alike, also when a lost task is run again. They only steer balance, so a coarse estimate, which
     keeps the partial results small, is enough.
     """
-    data_type = df.schema[order].dataType
-    at = [i / slices for i in range(1, slices)]
-    cuts = df.agg(F.percentile_approx(order, at, 10 * slices).cast("array<string>")).head()[0] or []
-    passed = [(F.col(order) > F.lit(c).cast(data_type)).cast("int") for c in dict.fromkeys(cuts)]
-    return df.withColumn(SLICE, F.coalesce(reduce(lambda a, b: a + b, passed, F.lit(0)), F.lit(0)))
+    data_type, c = df.schema[order].dataType, F.col(order)
+    knots = min(slices, _KNOTS)
+    at = [i / knots for i in range(knots + 1)]
+    found = df.agg(F.percentile_approx(order, at, 10 * knots).cast("array<string>")).head()[0]
+    points = [F.lit(p).cast(data_type) for p in dict.fromkeys(found or [])]
+    if len(points) < 2:
+        return df.withColumn(SLICE, F.lit(0))
+    cell = reduce(lambda a, b: a + b, [F.coalesce(c > p, F.lit(False)).cast("int") for p in points[1:-1]], F.lit(0))
+    parts = math.ceil(slices / knots)
+    if parts == 1:
+        return df.withColumn(SLICE, cell)
+    edges = F.array(*[_as_number(p, data_type) for p in points])
+    low, high = F.get(edges, cell), F.get(edges, cell + 1)
+    within = F.floor((_as_number(c, data_type) - low) / (high - low) * parts)
+    bounded = F.least(F.greatest(F.coalesce(within, F.lit(0)), F.lit(0)), F.lit(parts - 1)).cast("int")
+    return df.withColumn(SLICE, cell * parts + bounded)
 
 
 def top_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, rank: str = "rank") -> DataFrame:

@@ -118,6 +118,12 @@ def i8(t):
     return shown_history(op.scd2(t.events, ["user_id"], "ts", ["event_type"]))
 
 
+@query("I8_scd2_hot_keys", f"WITH {_HISTORY}")
+def i8_hot(t):
+    """The same history with a bound so low that keys above the average count as hot."""
+    return shown_history(op.scd2(t.events, ["user_id"], "ts", ["event_type"], hot_rows=66))
+
+
 @query("I8_ingest_historical", f"WITH {_HISTORY}")
 def i8_stored(t):
     store = TableStore(t.spark, work_path(t.spark, "history"), ["user_id"], slots=4)

@@ -6,12 +6,16 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 TABLE_NAMES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ).split()
 
 
+_SCHEMAS: dict[str, StructType] = {}  # by path, so that only the first read of a file opens its footer to plan
+
+
 class Tables:
     """The given tables, and the views below as attributes."""
 
@@ -20,7 +24,10 @@ class Tables:
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLE_NAMES:
-            return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            path = f"{self.folder}/{name}.parquet"
+            if path not in _SCHEMAS:
+                _SCHEMAS[path] = self.spark.read.parquet(path).schema
+            return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
         if name in VIEWS:
             base, where, columns = VIEWS[name]
             df = getattr(self, base)

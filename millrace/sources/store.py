@@ -38,6 +38,7 @@ class TableStore:
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], slots: int = 16, slot: Column | None = None):
         self.spark, self.path, self.keys = spark, path, list(keys)
         self.slot = key_slot(keys, slots) if slot is None else slot
+        self._latest: list | None = None  # the manifest this writer committed last
 
     # ---- manifest -------------------------------------------------------------------------------------------------
 
@@ -57,12 +58,13 @@ class TableStore:
 
     def manifest(self, version: int | None = None) -> list:
         """Manifest rows of a version, by default the latest: at most one per slot and appended folder."""
+        if version is None and self._latest is not None:
+            return self._latest
         rows = self._manifests()
         if rows is None:
             return []
-        if version is None:
-            version = rows.agg(F.max("version")).head()[0]
-        return rows.filter(F.col("version") == version).collect()
+        wanted = rows.agg(F.max("version")).scalar() if version is None else F.lit(version)
+        return rows.filter(F.col("version") == wanted).collect()
 
     def current_version(self) -> int:
         return max((r["version"] for r in self.manifest()), default=0)
@@ -99,6 +101,8 @@ class TableStore:
         entries = entries or [(-1, "", 0)]
         rows = [(version, slot, folder, n, schema.json(), op) for slot, folder, n in entries]
         _append_rows(self.spark, rows, _MANIFEST, f"{self.path}/manifest")
+        names = T.StructType.fromDDL(_MANIFEST).names
+        self._latest = [dict(zip(names, row, strict=True)) for row in rows]
         return version
 
     def replace(self, df: DataFrame, op: str = "overwrite") -> int:
