@@ -7,18 +7,22 @@ candidate whose length can still reach the threshold. What can be saved is the s
 * candidates are packed by length into blocks of bounded size, and an input meets only the lengths that can reach its
   threshold (similarity is at most shorter / longer);
 * an input meets a *block*, not a candidate: the scan of the block is one expression that returns the block's best few,
-  so pairs are never rows. Meetings are an equi-join on (length, block): the blocks are broadcast while their measured
+  so pairs are never rows. Meetings are an equi-join on (length class, block): the blocks are broadcast while their measured
   size is small, and beyond that shuffled, with copies under a salt where there are fewer blocks than tasks.
 """
 
 from __future__ import annotations
 
+import json
+from dataclasses import dataclass, replace
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.sliced import top_per_group
 
 BLOCK_ROWS = 512
+LENGTH_CLASSES = 512
 BROADCAST_BYTES = 64 << 20
 
 
@@ -27,44 +31,62 @@ def _check(threshold: float) -> None:
         raise ValueError("the threshold must be above 0 and at most 1")
 
 
-def _pack(candidates: DataFrame, value: str, position: str, keep: int) -> tuple[DataFrame, DataFrame]:
-    """(blocks, directory): arrays of at most about BLOCK_ROWS candidates of one length, and blocks per length.
+@dataclass(frozen=True)
+class _Blocks:
+    """Candidates packed by class of length: class c holds lengths from c * width on, in ``counts[c]`` blocks."""
+
+    rows: DataFrame  # cls, block, items
+    width: int
+    counts: list[int]
+    total_bytes: int
+
+    def array(self) -> Column:
+        return F.from_json(F.lit(json.dumps(self.counts)), "array<int>")
+
+
+def _pack(candidates: DataFrame, value: str, position: str, keep: int) -> _Blocks:
+    """Blocks of about BLOCK_ROWS candidates of like length.
 
-    Of equal candidates only the first ``keep`` can ever be returned, so further copies are dropped first.
+    Of equal candidates only the first ``keep`` can ever be returned, so further copies are dropped first. The number of
+    blocks follows from the candidates per length, which is all that comes to the driver.
     """
-    named = candidates.select(F.col(value).alias("value"), F.col(position).alias("position"))
+    named = candidates.select(F.col(value).alias("value"), F.col(position).alias("position")).filter(F.col("value").isNotNull())
     first = top_per_group(named, ["value"], [F.col("position")], keep, "_copy").drop("_copy")
-    sized = first.withColumn("len", F.length("value")).withColumn("low", F.lower("value"))
-    lengths = sized.groupBy("len").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks"))
-    placed = sized.join(lengths, "len").withColumn("block", F.pmod(F.xxhash64("value", "position"), F.col("blocks")).cast("int"))
-    blocks = placed.groupBy("len", "block").agg(F.collect_list(F.struct("low", "position", "value")).alias("items"))
-    return blocks, lengths
-
-
-def _meetings(texts: DataFrame, blocks: DataFrame, directory: DataFrame, threshold: float) -> DataFrame:
-    """Every input text with every block whose length can reach the threshold."""
-    spread = texts.withColumn("size", F.length("text"))
-    least = F.ceil(F.col("size") * threshold - 1e-9).cast("int")
-    most = F.floor(F.col("size") / threshold + 1e-9).cast("int")
-    # compatible lengths come from the length directory (one row per distinct length) held in an array
-    known = directory.agg(F.collect_list(F.struct("len", "blocks")).alias("k")).scalar()
-    spread = spread.withColumn("_known", known)
-    fits = F.filter("_known", lambda k: (k["len"] >= least) & (k["len"] <= most))
-    numbered = F.flatten(
-        F.transform(fits, lambda k: F.transform(F.sequence(F.lit(0), k["blocks"] - 1), lambda b: F.struct(k["len"].alias("len"), b.alias("block"))))
+    sizes = [(r["len"], r["count"]) for r in first.groupBy(F.length("value").alias("len")).count().collect()]
+    width = max((length for length, _ in sizes), default=0) // LENGTH_CLASSES + 1
+    held = [0] * (max((length // width for length, _ in sizes), default=0) + 1)
+    for length, n in sizes:
+        held[length // width] += n
+    counts = [-(-n // BLOCK_ROWS) for n in held]
+    total = sum(n * (2 * length + 64) for length, n in sizes)
+    packed = _Blocks(first, width, counts, total)
+    cls = F.floor(F.length("value") / width).cast("int")
+    placed = first.withColumn("cls", cls).withColumn(
+        "block", F.pmod(F.xxhash64("value", "position"), F.greatest(F.get(packed.array(), F.col("cls")), F.lit(1))).cast("int")
     )
-    asking = spread.select("text", "size", F.inline(numbered))
+    item = F.struct(F.lower("value").alias("low"), F.length("value").alias("len"), "position", "value")
+    return replace(packed, rows=placed.groupBy("cls", "block").agg(F.collect_list(item).alias("items")))
+
+
+def _meetings(texts: DataFrame, blocks: _Blocks, threshold: float) -> DataFrame:
+    """Every input text with every block that holds lengths that can reach the threshold."""
+    sized = texts.withColumn("size", F.length("text"))
+    last = len(blocks.counts) - 1
+    least = F.floor(F.ceil(F.col("size") * threshold - 1e-9) / blocks.width).cast("int")
+    most = F.least(F.floor(F.floor(F.col("size") / threshold + 1e-9) / blocks.width), F.lit(last)).cast("int")
+    near = sized.filter(least <= last).withColumn("cls", F.explode(F.sequence(least, F.greatest(least, most))))
+    held = near.withColumn("_held", F.get(blocks.array(), F.col("cls"))).filter("_held > 0")
+    asking = held.select("text", "size", "cls", F.explode(F.sequence(F.lit(0), F.col("_held") - 1)).alias("block"))
     # A few bytes of text cost a whole block of comparisons, so the work is spread by cores and not, as adaptive
     # execution would, by bytes. Small dictionaries go whole to every task; the sizes are measured, not assumed.
     spark = texts.sparkSession
     parts = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    held, size = directory.agg(F.sum("blocks"), F.sum(F.col("blocks") * BLOCK_ROWS * (2 * F.col("len") + 64))).head()
-    if (size or 0) <= BROADCAST_BYTES:
-        return asking.repartition(parts).join(F.broadcast(blocks), ["len", "block"])
-    copies = -(-parts // held)
+    if blocks.total_bytes <= BROADCAST_BYTES:
+        return asking.repartition(parts).join(F.broadcast(blocks.rows), ["cls", "block"])
+    copies = -(-parts // max(1, sum(blocks.counts)))
     salted = asking.withColumn("_salt", F.pmod(F.xxhash64("text"), F.lit(copies)).cast("int"))
-    copied = blocks.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
-    return salted.repartition(parts, "len", "block", "_salt").join(copied, ["len", "block", "_salt"]).drop("_salt")
+    copied = blocks.rows.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+    return salted.repartition(parts, "cls", "block", "_salt").join(copied, ["cls", "block", "_salt"]).drop("_salt")
 
 
 def _ranked_items(threshold: float, strict: bool) -> Column:
@@ -72,16 +94,18 @@ def _ranked_items(threshold: float, strict: bool) -> Column:
 
     Distances are worked out in a step of their own, once each, and given up when past what the threshold allows.
     """
-    longer = F.greatest("size", "len")
-    allowed = F.floor((1 - threshold) * longer + 1e-9).cast("int")
-    measured = F.transform(
-        "items", lambda i: F.struct(F.call_function("levenshtein", F.col("text"), i["low"], allowed).alias("d"), i.alias("i"))
-    )
-    near = F.filter(measured, lambda m: m["d"] >= 0)
-    score = lambda m: F.when(longer == 0, F.lit(1.0)).otherwise(1 - m["d"] / longer)
-    scored = F.transform(
-        near, lambda m: F.struct(score(m).alias("score"), (-m["i"]["position"]).alias("back"), m["i"]["value"].alias("value"))
-    )
+    def longer(i: Column) -> Column:
+        return F.greatest(F.col("size"), i["len"])
+
+    def measure(i: Column) -> Column:
+        allowed = F.floor((1 - threshold) * longer(i) + 1e-9).cast("int")
+        return F.struct(F.call_function("levenshtein", F.col("text"), i["low"], allowed).alias("d"), i.alias("i"))
+
+    def rate(m: Column) -> Column:
+        score = F.when(longer(m["i"]) == 0, F.lit(1.0)).otherwise(1 - m["d"] / longer(m["i"]))
+        return F.struct(score.alias("score"), (-m["i"]["position"]).alias("back"), m["i"]["value"].alias("value"))
+
+    scored = F.transform(F.filter(F.transform("items", measure), lambda m: m["d"] >= 0), rate)
     return F.filter(scored, lambda s: s["score"] > threshold if strict else s["score"] >= threshold)
 
 
@@ -96,8 +120,8 @@ def fuzzy_match_join(
     asked = inputs.select(F.lower(text).alias("text")).filter(F.col("text").isNotNull()).distinct()
     exact = candidates.groupBy(F.lower(value).alias("text")).agg(F.min_by(value, position).alias("match"))
     settled = asked.join(exact, "text").select("text", "match", F.lit(1.0).alias("score"))
-    blocks, directory = _pack(candidates, value, position, 1)
-    met = _meetings(asked.join(exact, "text", "left_anti"), blocks, directory, threshold)
+    blocks = _pack(candidates, value, position, 1)
+    met = _meetings(asked.join(exact, "text", "left_anti"), blocks, threshold)
     # the null test comes after the maximum: before it, it would be pushed down and scan every block twice
     best = met.select("text", F.array_max(_ranked_items(threshold, strict=True)).alias("b"))
     best = best.groupBy("text").agg(F.max("b").alias("b")).filter(F.col("b").isNotNull())
@@ -111,8 +135,8 @@ def top_similar(
     """L10. Up to ``limit`` candidates per input row at or above the threshold: ``match``, ``position``, ``score``, ``rank``."""
     _check(threshold)
     asked = inputs.select(F.lower(text).alias("text")).filter(F.col("text").isNotNull()).distinct()
-    blocks, directory = _pack(candidates, value, position, limit)
-    met = _meetings(asked, blocks, directory, threshold)
+    blocks = _pack(candidates, value, position, limit)
+    met = _meetings(asked, blocks, threshold)
     few = F.slice(F.sort_array(_ranked_items(threshold, strict=False), asc=False), 1, limit)
     rows = met.select("text", F.inline(few))
     ranked = top_per_group(rows, ["text"], [F.col("score").desc(), F.col("back").desc()], limit)

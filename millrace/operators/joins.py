@@ -59,7 +59,7 @@ def connector_usage(pipelines: DataFrame, connectors: DataFrame, *, source: str,
         F.struct(F.col(source).alias(connector), F.lit("Source").alias("role")),
         F.when(~F.col(source).eqNullSafe(F.col(target)), F.struct(F.col(target).alias(connector), F.lit("Target").alias("role"))),
     )
-    uses = pipelines.select("*", F.inline(F.array_compact(roles)))
+    uses = pipelines.select("*", F.inline(roles)).filter(F.col("role").isNotNull())
     return uses.join(connectors.select(connector), connector, "left_semi")
 
 

@@ -38,24 +38,24 @@ def freshness(df: DataFrame, ts: str, now: Column) -> DataFrame:
     return df.agg(F.max(ts).alias("last_update")).withColumn("hours_since_update", hours_between(F.col("last_update"), now))
 
 
-def findings(rules: Sequence[Rule]) -> Column:
-    """Array of the rules a row breaks, as struct(field, message, severity)."""
+def _checks(rules: Sequence[Rule]) -> Column:
+    """Array with a struct(field, message, severity) per broken rule and a null per kept one."""
 
     def entry(r: Rule) -> Column:
         found = F.struct(F.lit(r.field).alias("field"), F.lit(r.message).alias("message"), F.lit(r.severity).alias("severity"))
         return F.when(F.coalesce(r.broken, F.lit(False)), found)
 
-    return F.array_compact(F.array(*[entry(r) for r in rules]))
+    return F.array(*[entry(r) for r in rules])
 
 
 def validate_rules(df: DataFrame, ids: Sequence[str], rules: Sequence[Rule]) -> DataFrame:
     """D4. One row (ids, field, message, severity) per broken rule."""
-    return df.select(*ids, F.inline(findings(rules)))
+    return df.select(*ids, F.inline(_checks(rules))).filter(F.col("severity").isNotNull())
 
 
 def mark_valid(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """D4. Add ``findings`` and ``valid``: true when no broken rule is an error."""
-    marked = df.withColumn("findings", findings(rules))
+    marked = df.withColumn("findings", F.array_compact(_checks(rules)))
     return marked.withColumn("valid", ~F.exists("findings", lambda f: f["severity"] == "error"))
 
 
