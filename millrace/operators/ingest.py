@@ -314,7 +314,7 @@ def flatten_documents(df: DataFrame, document: str, schema: T.StructType | str,
 
 
 def with_errors(df: DataFrame, casts: Mapping[str, str], required: Sequence[str] = ()) -> DataFrame:
-    """I15. Cast columns without failing; ``_errors`` lists what was wrong with a row, ``_raw`` keeps the bad texts."""
+    """I15. Cast columns without failing; ``_errors`` lists what was wrong with a row, with the texts that did not fit."""
     problems = [F.when(F.col(c).isNull(), F.lit(f"{c} is required")) for c in required]
     problems += [
         F.when(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull(), F.concat(F.lit(f"{c} is not {t}: "), F.col(c).cast("string")))
@@ -366,6 +366,10 @@ OUTCOME = "target string, success boolean, mode string, row_count bigint, messag
 
 def load_artifact(spark: SparkSession, a: Artifact, root: str, load_id: str) -> int:
     """One artifact end to end; returns the rows of the target afterwards. Sources are registered views or tables."""
+    if a.ingestion_type in ("delta", "historical", "cdc") and not a.watermark:
+        raise ValueError(f"{a.ingestion_type} needs a watermark column")
+    if a.ingestion_type in ("delta", "historical", "cdc", "upsert") and not a.merge_columns:
+        raise ValueError(f"{a.ingestion_type} needs merge columns")
     if a.pre_sql:
         spark.sql(a.pre_sql)
     source = spark.sql(a.query) if a.query else spark.table(a.source)

@@ -9,7 +9,9 @@ One writer at a time is assumed.
 from __future__ import annotations
 
 import json
+from collections import Counter
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,76 +19,100 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SLOT = "_slot"
-_MANIFEST = "version bigint, slot int, dir string, rows bigint, schema string, op string"
+_VERSION = "version bigint, op string, rows bigint, schema string"
+_PART = "slot int, dir string, rows bigint"
 
 
-def _append_rows(spark: SparkSession, rows: list[tuple], schema: str, path: str) -> None:
-    """Append a few driver-side rows as one file, without starting Python workers."""
-    names = T.StructType.fromDDL(schema).names
-    text = json.dumps([dict(zip(names, row, strict=True)) for row in rows])
-    one = spark.range(0, 1, 1, 1).select(F.inline(F.from_json(F.lit(text), f"array<struct<{schema.replace(' ', ':')}>>".replace(",:", ", "))))
-    one.write.mode("append").json(path)
+def _write_rows(spark: SparkSession, rows: list[tuple], schema: str, path: str, mode: str) -> None:
+    """Write a few driver-side rows as one file, without starting Python workers."""
+    fields = T.StructType.fromDDL(schema)
+    text = json.dumps([dict(zip(fields.names, row, strict=True)) for row in rows])
+    one = spark.range(0, 1, 1, 1).select(F.inline(F.from_json(F.lit(text), T.ArrayType(fields))))
+    one.write.mode(mode).json(path)
+
+
+def _read_rows(spark: SparkSession, schema: str, path: str) -> DataFrame | None:
+    """The rows below a path, or None where nothing was ever written."""
+    try:
+        return spark.read.schema(schema).json(path)
+    except PySparkException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def key_slot(keys: Sequence[str], slots: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(slots)).cast("int")
 
 
+@dataclass(frozen=True)
+class Part:
+    """A folder with rows of one slot."""
+
+    slot: int
+    dir: str
+    rows: int
+
+
+@dataclass(frozen=True)
+class Version:
+    number: int
+    schema: T.StructType
+    parts: list[Part]
+
+
 class TableStore:
-    """A table below ``path``. ``slot`` may be any integer expression over columns that never change for a key."""
+    """A table below ``path``. ``slot`` may be any integer expression over columns that never change for a key.
+
+    ``versions`` holds one row per version and is the commit point; ``manifest/version=n`` holds the parts of version n.
+    What a crash leaves of an unfinished version is overwritten by the next attempt at it.
+    """
 
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], slots: int = 16, slot: Column | None = None):
         self.spark, self.path, self.keys = spark, path, list(keys)
         self.slot = key_slot(keys, slots) if slot is None else slot
-        self._latest: list | None = None  # the manifest this writer committed last
-
-    # ---- manifest -------------------------------------------------------------------------------------------------
-
-    def _manifests(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(_MANIFEST).json(f"{self.path}/manifest")
-        except PySparkException as e:
-            if e.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
-
-    def versions(self) -> DataFrame:
-        """version, operation and rows of every version."""
-        rows = self._manifests()
-        rows = self.spark.createDataFrame([], _MANIFEST) if rows is None else rows
-        return rows.groupBy("version").agg(F.first("op").alias("op"), F.sum("rows").alias("rows"))
-
-    def manifest(self, version: int | None = None) -> list:
-        """Manifest rows of a version, by default the latest: at most one per slot and appended folder."""
-        if version is None and self._latest is not None:
+        self._latest: Version | None = None  # what this writer committed last
+
+    # ---- versions -------------------------------------------------------------------------------------------------
+
+    def versions(self) -> DataFrame | None:
+        """version, op, rows and schema of every version."""
+        return _read_rows(self.spark, _VERSION, f"{self.path}/versions")
+
+    def version(self, number: int | None = None) -> Version | None:
+        """A version, by default the latest; its parts are at most one per slot and appended folder."""
+        if self._latest is not None and number in (None, self._latest.number):
             return self._latest
-        rows = self._manifests()
+        rows = self.versions()
         if rows is None:
-            return []
-        wanted = rows.agg(F.max("version")).scalar() if version is None else F.lit(version)
-        return rows.filter(F.col("version") == wanted).collect()
+            return None
+        rows = rows if number is None else rows.filter(F.col("version") == number)
+        found = rows.agg(F.max_by(F.struct("version", "schema"), "version").alias("v")).head()["v"]
+        if found is None:
+            raise ValueError(f"there is no version {number}")
+        parts = _read_rows(self.spark, _PART, f"{self.path}/manifest/version={found['version']}")
+        return Version(found["version"], T.StructType.fromJson(json.loads(found["schema"])), [Part(*r) for r in parts.collect()])
 
     def current_version(self) -> int:
-        return max((r["version"] for r in self.manifest()), default=0)
+        latest = self.version()
+        return latest.number if latest else 0
 
     # ---- read -----------------------------------------------------------------------------------------------------
 
-    def read(self, version: int | None = None, slots: Sequence[int] | None = None) -> DataFrame | None:
-        """The table as of a version, or only some of its slots. None before the first write."""
-        rows = self.manifest(version)
-        return self._open(rows, slots) if rows else None
+    def read(self, version: int | None = None) -> DataFrame | None:
+        """The table as of a version. None before the first write."""
+        found = self.version(version)
+        return self._open(found.schema, found.parts) if found else None
 
-    def _open(self, rows: list, slots: Sequence[int] | None = None) -> DataFrame:
-        schema = T.StructType.fromJson(json.loads(rows[0]["schema"]))
-        dirs = [r["dir"] for r in rows if r["dir"] and (slots is None or r["slot"] in slots)]
-        if not dirs:
+    def _open(self, schema: T.StructType, parts: Sequence[Part]) -> DataFrame:
+        if not parts:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*dirs)
+        return self.spark.read.schema(schema).parquet(*[p.dir for p in parts])
 
     # ---- write ----------------------------------------------------------------------------------------------------
 
-    def _write(self, df: DataFrame, version: int) -> list[tuple[int, str, int]]:
-        """Write the rows below a new folder; (slot, folder, rows) of what was written.
+    def _write(self, df: DataFrame, version: int) -> list[Part]:
+        """Write the rows below a new folder; the parts that were written.
 
         The rebalance hint sizes files at run time: it splits a slot that holds too much and joins small ones.
         """
@@ -95,14 +121,13 @@ class TableStore:
         slotted.hint("rebalance", SLOT).write.mode("overwrite").partitionBy(SLOT).parquet(folder)
         counted = self.spark.read.schema(T.StructType([*df.schema, T.StructField(SLOT, T.IntegerType())])).parquet(folder)
         sizes = counted.groupBy(SLOT).agg(F.count("*").alias("rows")).collect()
-        return [(r[SLOT], f"{folder}/{SLOT}={r[SLOT]}", r["rows"]) for r in sizes]
-
-    def _commit(self, version: int, entries: list[tuple[int, str, int]], schema: T.StructType, op: str) -> int:
-        entries = entries or [(-1, "", 0)]
-        rows = [(version, slot, folder, n, schema.json(), op) for slot, folder, n in entries]
-        _append_rows(self.spark, rows, _MANIFEST, f"{self.path}/manifest")
-        names = T.StructType.fromDDL(_MANIFEST).names
-        self._latest = [dict(zip(names, row, strict=True)) for row in rows]
+        return [Part(r[SLOT], f"{folder}/{SLOT}={r[SLOT]}", r["rows"]) for r in sizes]
+
+    def _commit(self, version: int, parts: list[Part], schema: T.StructType, op: str) -> int:
+        _write_rows(self.spark, [(p.slot, p.dir, p.rows) for p in parts], _PART, f"{self.path}/manifest/version={version}", "overwrite")
+        row = (version, op, sum(p.rows for p in parts), schema.json())
+        _write_rows(self.spark, [row], _VERSION, f"{self.path}/versions", "append")
+        self._latest = Version(version, schema, parts)
         return version
 
     def replace(self, df: DataFrame, op: str = "overwrite") -> int:
@@ -111,15 +136,31 @@ class TableStore:
         return self._commit(version, self._write(df, version), df.schema, op)
 
     def append(self, df: DataFrame, op: str = "append") -> int:
-        """W1. Add rows. Columns the table lacks are added to it; older rows read null there."""
-        rows = self.manifest()
-        if not rows:
+        """W1. Add rows. Columns the table lacks are added to it; older rows read null there.
+
+        Each append adds a folder per slot it touches; :meth:`compact` now and then keeps their number small.
+        """
+        latest = self.version()
+        if latest is None:
             return self.replace(df, op)
-        version = rows[0]["version"] + 1
-        old = T.StructType.fromJson(json.loads(rows[0]["schema"]))
-        schema = T.StructType([*old, *[f for f in df.schema if f.name not in old.names]])
-        kept = [(r["slot"], r["dir"], r["rows"]) for r in rows if r["dir"]]
-        return self._commit(version, kept + self._write(df, version), schema, op)
+        version = latest.number + 1
+        schema = T.StructType([*latest.schema, *[f for f in df.schema if f.name not in latest.schema.names]])
+        return self._commit(version, latest.parts + self._write(df, version), schema, op)
+
+    def compact(self, most: int = 32) -> int:
+        """Rewrite the slots that consist of more than ``most`` folders, each into one."""
+        latest = self.version()
+        folders = Counter(p.slot for p in latest.parts) if latest else Counter()
+        many = {slot for slot, n in folders.items() if n > most}
+        if not many:
+            return latest.number if latest else 0
+        return self._swap(latest, many, self._open(latest.schema, [p for p in latest.parts if p.slot in many]), "compact")
+
+    def _swap(self, latest: Version, slots: set[int], rows: DataFrame, op: str) -> int:
+        """A version whose given slots hold ``rows`` and whose other slots stay as they are."""
+        version = latest.number + 1
+        kept = [p for p in latest.parts if p.slot not in slots]
+        return self._commit(version, kept + self._write(rows, version), rows.schema, op)
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:
         """Write an intermediate result once, so that it is neither recomputed nor different on a retry."""
@@ -132,19 +173,17 @@ class TableStore:
 
         The source is written out first, as it is read several times, unless the caller has ``staged`` it.
         """
-        rows = self.manifest()
-        version = (rows[0]["version"] if rows else 0) + 1
+        latest = self.version()
+        version = latest.number + 1 if latest else 1
         new = source if staged else self.stage(source, f"v={version}")
-        if not rows:
-            empty = self.spark.createDataFrame([], source.schema)
-            result = change(empty, new)
+        if latest is None:
+            result = change(self.spark.createDataFrame([], source.schema), new)
             return self._commit(version, self._write(result, version), result.schema, op)
-        touched = [r[0] for r in new.select(self.slot).distinct().collect()]
+        touched = {r[0] for r in new.select(self.slot).distinct().collect()}
         if not touched:
-            return rows[0]["version"]
-        result = change(self._open(rows, touched), new)
-        kept = [(r["slot"], r["dir"], r["rows"]) for r in rows if r["dir"] and r["slot"] not in touched]
-        return self._commit(version, kept + self._write(result, version), result.schema, op)
+            return latest.number
+        old = self._open(latest.schema, [p for p in latest.parts if p.slot in touched])
+        return self._swap(latest, touched, change(old, new), op)
 
     def upsert(self, source: DataFrame, op: str = "upsert", staged=False) -> int:
         """W3. Rows of the source replace the rows with their keys. The source must hold each key once.
@@ -160,7 +199,7 @@ class TableStore:
 
     def delete(self, keys: DataFrame, op: str = "delete") -> int:
         """Remove the rows with the given keys."""
-        if not self.manifest():
+        if self.version() is None:
             return 0
         return self.rewrite(keys.select(*self.keys).distinct(), lambda old, k: old.join(k, self.keys, "left_anti"), op)
 
@@ -174,12 +213,7 @@ class MarkTable:
         self.spark, self.path = spark, path
 
     def _rows(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(self.SCHEMA).json(self.path)
-        except PySparkException as e:
-            if e.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
+        return _read_rows(self.spark, self.SCHEMA, self.path)
 
     def get(self, artifact: str) -> str | None:
         rows = self._rows()
@@ -190,4 +224,4 @@ class MarkTable:
     def put(self, artifact: str, mark: str) -> None:
         rows = self._rows()
         last = rows.agg(F.max("version")).head()[0] if rows is not None else 0
-        _append_rows(self.spark, [(artifact, mark, (last or 0) + 1)], self.SCHEMA, self.path)
+        _write_rows(self.spark, [(artifact, mark, (last or 0) + 1)], self.SCHEMA, self.path, "append")

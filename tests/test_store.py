@@ -43,12 +43,34 @@ def test_upsert_twice_is_once(spark, folder):
 def test_merge_rewrites_only_touched_slots(spark, folder):
     store = TableStore(spark, folder, ["k"], slots=8)
     store.replace(spark.range(200).select(F.col("id").cast("int").alias("k"), F.lit("old").alias("v")))
-    before = {r["slot"]: r["dir"] for r in store.manifest()}
+    before = {p.slot: p.dir for p in store.version().parts}
     store.upsert(spark.createDataFrame([(3, "new")], "k int, v string"))
-    after = {r["slot"]: r["dir"] for r in store.manifest()}
+    after = {p.slot: p.dir for p in store.version().parts}
     assert sum(before[s] != after[s] for s in before) == 1 and before.keys() == after.keys()
 
 
+def test_compact_only_slots_of_many_folders(spark, folder):
+    store = TableStore(spark, folder, ["k"], slots=2)
+    for _ in range(3):
+        store.append(spark.range(10).select(F.col("id").cast("int").alias("k")))
+    before = table(store)
+    assert store.compact(3) == 3 and len(store.version().parts) == 6
+    assert store.compact(2) == 4 and len(store.version().parts) == 2 and table(store) == before
+
+
+def test_an_unfinished_version_is_overwritten(spark, folder):
+    rows = spark.createDataFrame([(1, "a")], "k int, v string")
+    store = TableStore(spark, folder, ["k"], slots=2)
+    store.replace(rows)
+    store._write(rows.union(rows), 2)  # a writer that died before its commit
+    again = TableStore(spark, folder, ["k"], slots=2)
+    assert table(again) == [(1, "a")]
+    again.upsert(spark.createDataFrame([(2, "b")], "k int, v string"))
+    assert table(again) == [(1, "a"), (2, "b")]
+    with pytest.raises(ValueError):
+        again.version(7)
+
+
 def test_delete_can_empty_the_table(spark, folder):
     store = TableStore(spark, folder, ["k"], slots=2)
     rows = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
