@@ -169,10 +169,14 @@ def filter_flags(df: DataFrame, **flags: Any) -> DataFrame:
 
 
 def filter_run_logs(logs: DataFrame, entity: str, run: str, order: str, run_id=None) -> DataFrame:
-    """F13. Log rows of one run; 0 or None means each entity's latest run, found by a map-side combined maximum."""
+    """F13. Log rows of one run; 0 or None means each entity's latest run, the one with the newest log row.
+
+    The many log rows of a run are first combined to one in each task; only those are compared across runs.
+    """
     if run_id not in (None, 0, "0"):
         return logs.filter(F.col(run) == F.lit(run_id))
-    latest = logs.groupBy(entity).agg(F.max_by(run, F.struct(order, run)).alias(run))
+    newest = logs.groupBy(entity, run).agg(F.max(order).alias("_newest"))
+    latest = newest.groupBy(entity).agg(F.max_by(run, F.struct("_newest", run)).alias(run))
     return logs.join(latest, [entity, run], "left_semi")
 
 

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 
 def last_per_key(df: DataFrame, key: str, value: str, order: str) -> DataFrame:
-    """One row per key: the value that comes last in ``order``."""
-    return df.groupBy(key).agg(F.max_by(value, order).alias(value))
+    """One row per key: the value that comes last in ``order``, the greatest of those that tie."""
+    return df.groupBy(key).agg(F.max_by(value, F.struct(order, value)).alias(value))
 
 
 def enrich_usage(usage: DataFrame, projects: DataFrame, *, order: str = "id") -> DataFrame:
@@ -24,10 +24,11 @@ def numeric_id(c: Column) -> Column:
     return F.when(c.rlike("^[0-9]+$"), c.try_cast("bigint"))
 
 
-def resolve_ids(ids: DataFrame, projects: DataFrame, *, column: str = "id", out: str = "resolved") -> DataFrame:
-    """J2. All-digit ids become the internal id found for them; every other id, known or not, stays as it is."""
+def resolve_ids(ids: DataFrame, projects: DataFrame, *, column: str = "id", out: str = "resolved", order: str = "id") -> DataFrame:
+    """J2. All-digit ids become the internal id found for them; every other id, known or not, stays as it is.
+    Of projects with the same number the last in ``order`` wins."""
     usable = projects.filter((F.col("id") != 0) & (F.col("internalId") != ""))
-    lookup = last_per_key(usable, "id", "internalId", "id")
+    lookup = last_per_key(usable, "id", "internalId", order)
     lookup = lookup.select(F.col("id").alias("_num"), F.col("internalId").alias("_internal"))
     probed = ids.withColumn("_num", numeric_id(F.col(column)))
     return probed.join(lookup, "_num", "left").withColumn(out, F.coalesce("_internal", column)).drop("_num", "_internal")

@@ -82,14 +82,14 @@ def l2_after(t):
     return op.page_after(t.orders, "o_orderkey", 500, 20).select("o_orderkey", "o_custkey")
 
 
-@query("L4_sort_two_keys", "SELECT p_type, p_name, p_partkey FROM part ORDER BY p_type, p_name, p_partkey LIMIT 100")
+@query("L4_sort_two_keys", "SELECT p_type, p_name, p_partkey FROM part ORDER BY p_type, p_name, p_partkey")
 def l4(t):
-    return op.sort_two_keys(t.part.select("p_type", "p_name", "p_partkey"), "p_type", "p_name", "p_partkey").limit(100)
+    return op.sort_two_keys(t.part.select("p_type", "p_name", "p_partkey"), "p_type", "p_name", "p_partkey")
 
 
-@query("L5_sort_option", "SELECT c_custkey, c_acctbal FROM customer ORDER BY c_acctbal DESC, c_custkey LIMIT 50")
+@query("L5_sort_option", "SELECT c_custkey, c_acctbal FROM customer ORDER BY c_acctbal DESC, c_custkey")
 def l5(t):
-    return op.sort_option(t.customer.select("c_custkey", "c_acctbal"), "c_acctbal", "desc", "c_custkey").limit(50)
+    return op.sort_option(t.customer.select("c_custkey", "c_acctbal"), "c_acctbal", "desc", "c_custkey")
 
 
 @query(

@@ -113,11 +113,6 @@ VIEWS: dict[str, tuple[str, str | None, list[str]]] = {
             "CASE WHEN o_orderkey % 7 = 0 THEN o_orderdate + INTERVAL 3650 DAY ELSE o_orderdate END AS updated_at",
         ],
     ),
-    "text_sizes": (
-        "documents",
-        None,
-        ["doc_id", "lang", "source", "text"],
-    ),
 }
 
 

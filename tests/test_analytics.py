@@ -18,6 +18,13 @@ def test_resolve_and_validate_ids(spark):
     assert valid == {"1": True, "01": True, "2": True, "abc": True, "99": False, "7": True, "0": True, "": True}
 
 
+def test_the_last_of_equal_projects_wins(spark):
+    projects = spark.createDataFrame([(1, "new", 9), (1, "old", 3)], "id bigint, internalId string, at int")
+    usage = spark.createDataFrame([(1,), (0,), (None,), (5,)], "projectId bigint")
+    found = {r.projectId: r.projectInternalId for r in joins.enrich_usage(usage, projects, order="at").collect()}
+    assert found == {1: "new", 0: None, None: None, 5: None}
+
+
 def test_connector_that_is_both_ends_counts_once_as_source(spark):
     pipelines = spark.createDataFrame([(1, "a", "b"), (2, "a", "a"), (3, None, "a")], "id int, s string, t string")
     uses = joins.connector_usage(pipelines, spark.createDataFrame([("a",)], "c string"), source="s", target="t", connector="c")

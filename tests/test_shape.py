@@ -58,3 +58,10 @@ def test_top_per_group_prunes_before_the_shuffle(spark):
     df = spark.range(1000).withColumn("g", F.col("id") % 3)
     plan = op.top_per_group_with_rest(df, ["g"], [F.col("id")], 3)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
+
+
+def test_sorting(spark):
+    df = spark.createDataFrame([(1, "b", "z"), (2, "B", "a"), (3, "a", "é"), (4, "a", "f"), (5, None, "x")], "id int, c string, n string")
+    assert [r.id for r in op.sort_two_keys(df, "c", "n", "id").collect()] == [5, 3, 4, 1, 2]
+    assert [r.id for r in op.sort_option(df, "id", "DESC").collect()] == [5, 4, 3, 2, 1]
+    assert [r.id for r in op.sort_option(df, "n", "asc").collect()] == [2, 4, 5, 1, 3]
