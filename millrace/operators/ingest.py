@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from millrace.functions.vocabulary import INGESTION_TYPES, MODE_WORDS, TRUE_WORDS
 from millrace.operators.shape import flatten_struct
 from millrace.operators.sliced import HOT_ROWS, SLICE, hot_keys, top_per_group, with_slices
+from millrace.session import work_path
 from millrace.sources.readers import column_list
 from millrace.sources.store import MarkTable, TableStore
 
@@ -177,39 +178,48 @@ def scd2(changes: DataFrame, keys: Sequence[str], watermark: str, tracked: Seque
     """I8. History of each key: one row per run of equal values with valid_from, valid_to and is_current.
 
     A version begins where the tracked columns differ (null-safe) from the key's row before, and ends where the next
-    one begins. Keys with more than ``hot_rows`` rows are worked on in slices, the others in one window per key.
+    one begins; of several rows of a key at one time the greatest counts. Keys with more than ``hot_rows`` rows are
+    worked on in slices, the others in one window per key.
     """
-    once = changes.groupBy(*keys, watermark).agg(F.max(F.struct(*tracked)).alias("_val"))
-    hot = hot_keys(changes, keys, hot_rows)
-    hot_total = hot.agg(F.sum("n")).head()[0]
-    if not hot_total:
-        found = _versions(once, keys, watermark)
+    k = list(keys)
+    rows = changes.select(*k, watermark, F.struct(*tracked).alias("_val"))
+    hot = hot_keys(rows, k, hot_rows)
+    total = hot.agg(F.sum("n")).head()[0]
+    if not total:
+        found = _versions(rows, k, watermark)
     else:
-        k = list(keys)
-        cut = once.join(hot.select(*k), k, "left_semi")
-        found = _sliced_versions(cut, keys, watermark, -(-hot_total // hot_rows)).unionByName(
-            _versions(once.join(hot.select(*k), k, "left_anti"), keys, watermark)
-        )
+        # the few hot keys are written down, so that their size is known when the joins are planned
+        path = work_path(changes.sparkSession, "hot_keys")
+        hot.write.parquet(path)
+        known = changes.sparkSession.read.schema(hot.schema).parquet(path).select(*k)
+        spread = _sliced_versions(rows.join(known, k, "left_semi"), k, watermark, -(-total // hot_rows))
+        found = spread.unionByName(_versions(rows.join(known, k, "left_anti"), k, watermark))
     return found.select(
-        *keys, *[F.col("_val")[c].alias(c) for c in tracked], "valid_from", "valid_to", F.col("valid_to").isNull().alias("is_current")
+        *k, *[F.col("_val")[c].alias(c) for c in tracked], "valid_from", "valid_to", F.col("valid_to").isNull().alias("is_current")
     )
 
 
-def _versions(once: DataFrame, keys: Sequence[str], watermark: str) -> DataFrame:
-    """Begin and end of each run of equal values, by windows over the key."""
-    order = Window.partitionBy(*keys).orderBy(watermark)
-    began = once.withColumn("_before", F.lag(F.struct("_val")).over(order))
+def _versions(rows: DataFrame, keys: Sequence[str], watermark: str) -> DataFrame:
+    """Begin and end of each run of equal values, by windows over the key that share one shuffle and one sort."""
+    order = Window.partitionBy(*keys).orderBy(watermark, "_val")
+    last = rows.withColumn("_again", F.lead(watermark).over(order))
+    last = last.filter(F.col("_again").isNull() | (F.col("_again") != F.col(watermark))).drop("_again")
+    began = last.withColumn("_before", F.lag(F.struct("_val")).over(order))
     began = began.filter(F.col("_before").isNull() | ~F.col("_before")["_val"].eqNullSafe(F.col("_val")))
     return began.select(*keys, "_val", F.col(watermark).alias("valid_from"), F.lead(watermark).over(order).alias("valid_to"))
 
 
-def _sliced_versions(once: DataFrame, keys: Sequence[str], watermark: str, slices: int) -> DataFrame:
+def _sliced_versions(hot: DataFrame, keys: Sequence[str], watermark: str, slices: int) -> DataFrame:
     """As :func:`_versions`, by windows over (key, slice). Each slice's summary row says whether the slice opens with a
-    change, given the last value before it, and where the first change after it lies."""
+    change, given the last value before it, and where the first change after it lies. Copies of a row are combined
+    first, in the tasks that read them, because no slice can split them."""
     k = list(keys)
-    sliced = with_slices(once, watermark, slices)
+    sliced = with_slices(hot, watermark, slices).distinct()
     inside = Window.partitionBy(*k, SLICE)
-    rows = sliced.withColumn("_before", F.lag(F.struct("_val")).over(inside.orderBy(watermark)))
+    forward = inside.orderBy(watermark, "_val")
+    rows = sliced.withColumn("_again", F.lead(watermark).over(forward))
+    rows = rows.filter(F.col("_again").isNull() | (F.col("_again") != F.col(watermark))).drop("_again")
+    rows = rows.withColumn("_before", F.lag(F.struct("_val")).over(forward))
     differs = F.col("_before").isNotNull() & ~F.col("_before")["_val"].eqNullSafe(F.col("_val"))
     rows = rows.withColumn("_start", F.when(differs, F.col(watermark)))
     later = inside.orderBy(F.col(watermark).desc()).rowsBetween(Window.unboundedPreceding, -1)
