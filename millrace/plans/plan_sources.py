@@ -1,5 +1,6 @@
 """Sources and sinks: S1-S12, W1-W12. Each writes the given tables to the shared work folder and reads them back."""
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from millrace.operators.shape import union_sources
@@ -46,22 +47,24 @@ def s3(t):
     return src.scan_delimited(t.spark, path, delimiter="|", schema=_DDL)
 
 
-def _with_preamble(batches):
-    """Lines of one file: two comment lines, the header, then the rows."""
-    import pyarrow as pa
+def _with_preamble():
+    """Lines of one file: two comment lines, the header, then the rows. A nested function travels to the workers by
+    value, so they need not have this package."""
 
-    first = True
-    for batch in batches:
-        head = ["# export of orders", "", "o_orderkey,o_custkey,o_orderstatus,o_totalprice"] if first else []
-        first = False
-        yield pa.RecordBatch.from_arrays([pa.array(head + batch.column(0).to_pylist(), pa.string())], ["value"])
+    def write(batches):
+        head = ["# export of orders", "", "o_orderkey,o_custkey,o_orderstatus,o_totalprice"]
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(head + batch.column(0).to_pylist(), pa.string())], ["value"])
+            head = []
+
+    return write
 
 
 @query("S3_scan_header_line", _ORDERS)
 def s3_line(t):
     path = work_path(t.spark, "preamble")
     lines = plain_orders(t).select(F.to_csv(F.struct("*")).alias("value"))
-    lines.repartition(3).mapInArrow(_with_preamble, "value string").write.text(path)
+    lines.repartition(3).mapInArrow(_with_preamble(), "value string").write.text(path)
     read = src.scan_delimited(t.spark, path, header_at=3)
     return read.select(*[F.col(c).cast(k) for c, k in (x.split(" ") for x in _DDL.split(", "))])
 

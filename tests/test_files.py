@@ -1,8 +1,11 @@
 """Readers and writers against the published file rules."""
 
 import os
+import subprocess
+import sys
 
 import pytest
+from pyspark import cloudpickle
 
 from millrace.sinks import writers as out
 from millrace.sources import readers as src
@@ -122,3 +125,10 @@ def test_layout_splits_a_hot_key(spark, folder):
             spark.conf.set(k, v)
     back = spark.read.parquet(folder).select("k", F.input_file_name().alias("f"))
     assert back.count() == 60_000 and back.filter("k = 0").select("f").distinct().count() > 1
+
+
+def test_workers_need_not_have_the_package(tmp_path):
+    """What runs in Python workers must unpickle where this package cannot be imported."""
+    (tmp_path / "f").write_bytes(cloudpickle.dumps(src._without_preamble(2)))
+    code = f"from pyspark import cloudpickle; cloudpickle.load(open({str(tmp_path / 'f')!r}, 'rb'))"
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, timeout=60)
