@@ -101,7 +101,7 @@ def main() -> None:
         "unit": "sec",
         "queries": times,
         "rows_per_sec": speed,
-        "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),
+        "sf": float(os.path.basename(folder.rstrip("/")).removeprefix("sf")),
         "cpus": int(cpus),
     }
     if os.environ.get("BENCH_YARDSTICK"):
