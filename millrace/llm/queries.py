@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.llm.exact_dup import exact_dup_groups
 from millrace.llm.near_dup import near_dup_groups
 
 
@@ -11,10 +12,22 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_dup_groups(_table(spark, folder, "documents"))
+
+
 def op9_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dup_groups(_table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op9_simhash_near_dedup,)}
+QUERIES = {f.__name__: f for f in (op4_exact_dedup, op9_simhash_near_dedup)}
+
+_FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_exact_dedup": f"""
+        WITH d AS (SELECT doc_id, {_FOLDED} AS t FROM documents)
+        SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
+               doc_id = max(doc_id) OVER g AS kept, sha256(t) AS text_sha256
+        FROM d WINDOW g AS (PARTITION BY t)""",
+}
