@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm.exact_dup import exact_dup_groups
+from millrace.llm.mixing import mix
 from millrace.llm.near_dup import near_dup_groups
 
 
@@ -16,11 +17,15 @@ def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dup_groups(_table(spark, folder, "documents"))
 
 
+def op8_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
+    return mix(_table(spark, folder, "documents"))
+
+
 def op9_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dup_groups(_table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_exact_dedup, op9_simhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op4_exact_dedup, op8_mix_sources, op9_simhash_near_dedup)}
 
 _FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
