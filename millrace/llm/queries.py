@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm.exact_dup import exact_dup_groups
 from millrace.llm.mixing import mix
 from millrace.llm.near_dup import near_dup_groups
+from millrace.llm.token_count import token_counts
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -17,6 +19,10 @@ def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dup_groups(_table(spark, folder, "documents"))
 
 
+def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts(_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op8_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mix(_table(spark, folder, "documents"))
 
@@ -25,7 +31,7 @@ def op9_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dup_groups(_table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_exact_dedup, op8_mix_sources, op9_simhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op4_exact_dedup, op6_token_counts, op8_mix_sources, op9_simhash_near_dedup)}
 
 _FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
