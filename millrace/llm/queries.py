@@ -9,12 +9,17 @@ from millrace.llm.exact_dup import exact_dup_groups
 from millrace.llm.mixing import mix
 from millrace.llm.near_dup import near_dup_groups
 from millrace.llm.token_count import token_counts
+from millrace.llm.warc import archive_round_trip
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return archive_round_trip(spark, _table(spark, folder, "pages"))
+
+
 def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dup_groups(_table(spark, folder, "documents"))
 
@@ -31,11 +36,21 @@ def op9_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dup_groups(_table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_exact_dedup, op6_token_counts, op8_mix_sources, op9_simhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op1_warc, op4_exact_dedup, op6_token_counts, op8_mix_sources, op9_simhash_near_dedup)}
 
 _FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_warc": """
+        WITH p AS (SELECT page_id, url, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS x FROM pages),
+        g AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS first FROM p)
+        SELECT page_id, url, CAST(octet_length(encode(h)) AS BIGINT) AS payload_bytes,
+               array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                   1 + CAST((CAST('0x' || substr(x, CAST(5 * (i // 4) + 1 AS INT), 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31 AS INT), 1)
+                   FOR i IN range(32)], '') AS payload_digest,
+               CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> first THEN first END AS refers_to
+        FROM g""",
     "op4_exact_dedup": f"""
         WITH d AS (SELECT doc_id, {_FOLDED} AS t FROM documents)
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
