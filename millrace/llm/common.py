@@ -35,12 +35,15 @@ def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
             spark.conf.set(key, before)
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: lineage ends there, and what follows knows its size."""
+def stage(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: lineage ends there, and what follows knows its size.
+
+    With ``by``, the last column, there is a folder for each of its values, so a filter on it reads no other.
+    """
     spark = df.sparkSession
     path = work_path(spark, name)
     with setting(spark, SHUFFLE_CLEANUP, "true"), setting(spark, ARROW_ROWS, "1000"):
-        df.write.parquet(path)
+        (df.write.partitionBy(by) if by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

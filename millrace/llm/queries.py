@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.llm.decontaminate import contamination
 from millrace.llm.exact_dup import exact_dup_groups
+from millrace.llm.line_dedup import line_dedup_report
 from millrace.llm.mixing import mix
 from millrace.llm.near_dup import near_dup_groups
 from millrace.llm.token_count import token_counts
@@ -20,6 +22,10 @@ def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
     return archive_round_trip(spark, _table(spark, folder, "pages"))
 
 
+def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dup_groups(_table(spark, folder, "documents"))
 
@@ -36,10 +42,16 @@ def op9_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dup_groups(_table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op4_exact_dedup, op6_token_counts, op8_mix_sources, op9_simhash_near_dedup)}
+def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup_report(_table(spark, folder, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_warc, op3_decontaminate, op4_exact_dedup, op6_token_counts, op8_mix_sources, op9_simhash_near_dedup, op10_line_dedup)}
 
 _FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+_WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
 ORACLE_SQL: dict[str, str] = {
     "op1_warc": """
         WITH p AS (SELECT page_id, url, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS x FROM pages),
@@ -56,4 +68,29 @@ ORACLE_SQL: dict[str, str] = {
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id = max(doc_id) OVER g AS kept, sha256(t) AS text_sha256
         FROM d WINDOW g AS (PARTITION BY t)""",
+    "op3_decontaminate": rf"""
+        WITH d AS (SELECT doc_id, regexp_extract_all({_FOLDED}, '{_WORDS}') AS w FROM documents),
+        i AS (SELECT item_id, regexp_extract_all({_FOLDED}, '{_WORDS}') AS w FROM benchmark),
+        g AS (SELECT item_id, w, least(len(w), 13) AS n FROM i WHERE len(w) > 0),
+        t AS (SELECT DISTINCT item_id, n, array_to_string(w[s + 1:s + n], ' ') AS win
+              FROM (SELECT *, unnest(range(len(w) - n + 1)) AS s FROM g)),
+        x AS (SELECT doc_id, s, n, array_to_string(w[s + 1:s + n], ' ') AS win
+              FROM (SELECT doc_id, w, n, unnest(range(len(w) - n + 1)) AS s FROM d, (SELECT DISTINCT n FROM g) WHERE len(w) >= n)),
+        h AS (SELECT doc_id, s, n, item_id FROM x JOIN t USING (n, win)),
+        a AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM h) GROUP BY doc_id),
+        b AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+              FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM h) GROUP BY doc_id)
+        SELECT doc_id, CAST(coalesce(len(w), 0) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit > 0 AND 20 * n_hit >= len(w), false) AS contaminated
+        FROM d LEFT JOIN a USING (doc_id) LEFT JOIN b USING (doc_id)""",
+    "op10_line_dedup": """
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+        l AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) AS pos FROM d),
+        k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                                  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+        r AS (SELECT key, max(doc_id) AS last FROM k WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+        f AS (SELECT k.*, r.key IS NOT NULL AND k.doc_id <> r.last AS gone FROM k LEFT JOIN r USING (key))
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+        FROM f GROUP BY doc_id""",
 }
