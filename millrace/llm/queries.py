@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from millrace.llm.decontaminate import contamination
 from millrace.llm.exact_dup import exact_dup_groups
 from millrace.llm.line_dedup import line_dedup_report
+from millrace.llm.lm_score import score_corpus
 from millrace.llm.mixing import mix
 from millrace.llm.near_dup import near_dup_groups
 from millrace.llm.token_count import token_counts
@@ -22,6 +23,10 @@ def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
     return archive_round_trip(spark, _table(spark, folder, "pages"))
 
 
+def op2_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return score_corpus(spark, _table(spark, folder, "documents"))
+
+
 def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
@@ -46,7 +51,7 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup_report(_table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op3_decontaminate, op4_exact_dedup, op6_token_counts, op8_mix_sources, op9_simhash_near_dedup, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_warc, op2_lm_scores, op3_decontaminate, op4_exact_dedup, op6_token_counts, op8_mix_sources, op9_simhash_near_dedup, op10_line_dedup)}
 
 _FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
