@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm.decontaminate import contamination
 from millrace.llm.exact_dup import exact_dup_groups
+from millrace.llm.html_text import extract_text
 from millrace.llm.line_dedup import line_dedup_report
 from millrace.llm.lm_score import score_corpus
 from millrace.llm.mixing import mix
@@ -35,6 +36,10 @@ def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dup_groups(_table(spark, folder, "documents"))
 
 
+def op5_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return extract_text(_table(spark, folder, "pages"))
+
+
 def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -51,7 +56,7 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup_report(_table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_lm_scores, op3_decontaminate, op4_exact_dedup, op6_token_counts, op8_mix_sources, op9_simhash_near_dedup, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_warc, op2_lm_scores, op3_decontaminate, op4_exact_dedup, op5_html_text, op6_token_counts, op8_mix_sources, op9_simhash_near_dedup, op10_line_dedup)}
 
 _FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
