@@ -12,6 +12,7 @@ from millrace.llm.line_dedup import line_dedup_report
 from millrace.llm.lm_score import score_corpus
 from millrace.llm.mixing import mix
 from millrace.llm.near_dup import near_dup_groups
+from millrace.llm.quality import classify
 from millrace.llm.token_count import token_counts
 from millrace.llm.warc import archive_round_trip
 
@@ -44,6 +45,10 @@ def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return classify(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 def op8_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mix(_table(spark, folder, "documents"))
 
@@ -56,7 +61,7 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup_report(_table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_lm_scores, op3_decontaminate, op4_exact_dedup, op5_html_text, op6_token_counts, op8_mix_sources, op9_simhash_near_dedup, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_warc, op2_lm_scores, op3_decontaminate, op4_exact_dedup, op5_html_text, op6_token_counts, op7_quality, op8_mix_sources, op9_simhash_near_dedup, op10_line_dedup)}
 
 _FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
