@@ -33,6 +33,9 @@ BITS, THRESHOLD = 18, 0.5
 # Fixed words: common English insults.
 INSULTS = frozenset("asshole bastard bitch clown creep disgusting dumb fool freak idiot imbecile jerk loser moron pathetic pig retard scum shit slut stupid trash vermin whore worthless".split())
 
+#: As two labellers, since how often two go together is what tells how often each is right.
+HALVES = [frozenset(w for w in INSULTS if crc32(w.encode()) % 2 == i) for i in range(2)]
+
 #: Style labellers: measure, at least this much votes for junk, at most this much against it.
 STYLE = (
     ("symbols", 0.10, 0.02),  # of the characters, neither letters, digits, white space nor the usual marks
@@ -99,10 +102,10 @@ def twice(words: set[str]) -> list[str]:
 
 
 def toxic_votes(words: set[str], lists: Sequence[frozenset[str]]) -> list[int]:
-    """The fixed list, then the learned lists of words, of beginnings and of shared beginnings."""
-    given, whole, four, five, more = lists
+    """The halves of the fixed list, then the learned lists of words, of beginnings and of shared beginnings."""
+    one, two, whole, four, five, more = lists
     starts = [{f"{n}:{w[:n]}" for w in words if len(w) > n} if part else set() for n, part in ((4, four), (5, five))]
-    found = ((words, given), (words, whole), (starts[0], four), (starts[1], five), (twice(words) if more else (), more))
+    found = ((words, one), (words, two), (words, whole), (starts[0], four), (starts[1], five), (twice(words) if more else (), more))
     return [int(not listed.isdisjoint(have)) for have, listed in found]
 
 
@@ -117,7 +120,7 @@ def near(words: set[str]) -> int:
 def learn_lists(docs: DataFrame, labels: DataFrame | None, doc_id: str, text: str, labelled: int = LABELLED, support: int = 8) -> list[frozenset[str]]:
     """The fixed list and the learned ones: words, and beginnings of words, of toxic texts that others hardly have."""
     if labels is None:
-        return [INSULTS, *[frozenset()] * 4]
+        return [*HALVES, *[frozenset()] * 4]
     some = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     some = stage(some.orderBy(F.xxhash64("doc_id"), "doc_id").limit(labelled), "labelled")
     rows = texts(docs, doc_id, text).join(F.broadcast(some), "doc_id").select("text", F.col("toxic").cast("long"))
@@ -138,7 +141,7 @@ def learn_lists(docs: DataFrame, labels: DataFrame | None, doc_id: str, text: st
     kind = F.when(F.col("part").rlike("^4:"), 1).when(F.col("part").rlike("^5:"), 2).when(F.col("part").startswith("+:"), 3).otherwise(0)
     found = stage(found.select("part", "toxic", kind.alias("kind")), "lists")
     lists = [found.where(F.col("kind") == k).orderBy(F.col("toxic").desc(), "part").limit(LISTED).toArrow() for k in range(4)]
-    return [INSULTS, *(frozenset(x.column("part").to_pylist()) for x in lists)]
+    return [*HALVES, *(frozenset(x.column("part").to_pylist()) for x in lists)]
 
 
 # Expectation maximisation over vote patterns.
@@ -167,13 +170,18 @@ def posteriors(patterns: np.ndarray, counts: np.ndarray, rounds: int = 50) -> np
 
 
 def features(text: str, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed features of a text: words and beginnings, weighed by one over the root of the number of words, and style."""
+    """Hashed features of a text: words and beginnings, weighed by how many there are, and style."""
     words = words_of(text)
     mask = (1 << bits) - 1
     index = np.fromiter((crc32(x.encode()) & mask for w in words for x in beginnings(w)), np.int64)
     index, n = np.unique(index, return_counts=True)
     look = np.array(style_features(style(text), bits), np.int64)
-    return np.concatenate([index, look]), np.concatenate([n / (1 + len(words)) ** 0.5, np.ones(len(look))])
+    return np.concatenate([index, look]), np.concatenate([n * weight(words), np.ones(len(look))])
+
+
+def weight(words: set[str]) -> float:
+    """Of a word of a text: long texts have more words by chance."""
+    return 4 / (1 + len(words)) ** 0.5
 
 
 def style_features(measures: Sequence[float | None], bits: int) -> list[int]:
@@ -183,21 +191,26 @@ def style_features(measures: Sequence[float | None], bits: int) -> list[int]:
     return [crc32(f"style:{name}:{step}".encode()) & mask for name, step in steps]
 
 
-def train(index: np.ndarray, value: np.ndarray, row: np.ndarray, target: np.ndarray, bits: int, l1: float = 3e-4, rounds: int = 100) -> tuple[np.ndarray, float]:
-    """Weights and bias of a logistic scorer on soft targets, by accelerated proximal steps; ``l1`` empties useless weights."""
-    n, size = max(1, len(target)), 1 << bits
-    share = min(max(float(target.mean()) if len(target) else 0.5, 1e-3), 1 - 1e-3)
-    weigh = np.where(target > 0.5, 0.5 / share, 0.5 / (1 - share))  # both classes weigh the same
+def train(index: np.ndarray, value: np.ndarray, row: np.ndarray, target: np.ndarray, bits: int, l1: float = 1e-4, rounds: int = 120) -> tuple[np.ndarray, float]:
+    """Weights and bias of a logistic scorer on soft targets, by accelerated proximal steps; ``l1`` empties useless weights.
+
+    Features of fewer than three texts are left out.
+    """
+    n, size = len(target), 1 << bits
+    if not n:
+        return np.zeros(size), 0.0
+    often = np.bincount(index, minlength=size) >= min(3, n)
+    index, value, row = (a[often[index]] for a in (index, value, row))
+    reach = 1 + np.bincount(row, value, n)  # steps by feature: rare ones may go far
+    step = 4 * n / np.maximum(np.bincount(index, value * reach[row], size), 1e-9)
+    pace = 4 * n / reach.sum()
     w, b, z, c, t = np.zeros(size), 0.0, np.zeros(size), 0.0, 1.0
-    norm = np.bincount(row, value * value, n).max() + 1 if len(row) else 1.0
-    rate = 4 / (norm * weigh.max())
     for _ in range(rounds):
         score = np.bincount(row, z[index] * value, n) + c
-        error = weigh * (1 / (1 + np.exp(-np.clip(score, -50, 50))) - target) / n
-        step = rate * n / 4
+        error = (1 / (1 + np.exp(-np.clip(score, -50, 50))) - target) / n
         new = z - step * np.bincount(index, error[row] * value, size)
         new = np.sign(new) * np.maximum(np.abs(new) - step * l1, 0)
-        bias = c - step * error.sum()
+        bias = c - pace * error.sum()
         after = (1 + (1 + 4 * t * t) ** 0.5) / 2
         z, c = new + (t - 1) / after * (new - w), bias + (t - 1) / after * (bias - b)
         w, b, t = new, bias, after
@@ -222,7 +235,7 @@ class Scorer:
             known.clear()
         for w in words.difference(known):
             known[w] = self.word(w)
-        total = sum(map(known.__getitem__, sorted(words))) / (1 + len(words)) ** 0.5 if words else 0j
+        total = sum(map(known.__getitem__, sorted(words))) * weight(words) if words else 0j
         total += complex(self.weights[style_features(style(text), self.bits)].sum())
         return tuple(1 / (1 + np.exp(-np.clip(s, -50, 50))) for s in (total.real + self.junk, total.imag + self.toxic))
 
@@ -249,8 +262,8 @@ def _posterior(votes: DataFrame, trait: str) -> DataFrame:
     """``trait, p_trait`` per pattern of votes; the driver sees one count per pattern."""
     found = votes.groupBy(trait).count().orderBy(trait).toArrow()
     names = found.column(trait).to_pylist()
-    patterns = np.array([[int(v) for v in name] for name in names]).reshape(len(names), -1)
-    p = posteriors(patterns, found.column("count").to_numpy().astype(np.float64)) if names else np.empty(0)
+    patterns = np.array([[int(v) for v in name] for name in names])
+    p = posteriors(patterns, found.column("count").to_numpy().astype(np.float64)) if names else []
     rows = pa.table({trait: pa.array(names, pa.string()), f"p_{trait}": pa.array(p, pa.float64())})
     return votes.sparkSession.createDataFrame(rows)
 
@@ -261,7 +274,7 @@ def fit(docs: DataFrame, labels: DataFrame | None = None, doc_id: str = "doc_id"
     docs = texts(docs, doc_id, text)
     votes = stage(_votes(docs, lists), "votes")
     for trait in ("junk", "toxic"):
-        votes = votes.join(F.broadcast(_posterior(votes, trait)), trait)  # 3 ** 6 and 2 ** 5 patterns at most
+        votes = votes.join(F.broadcast(_posterior(votes, trait)), trait)  # 3 ** 6 and 2 ** 6 patterns at most
     picks = None
     for of, n in (("p_junk >= 0.5", faulty), ("p_toxic >= 0.5", faulty), ("p_junk < 0.5 AND p_toxic < 0.5", clean)):
         one = votes.where(of).groupBy("near").agg(F.min(F.struct("text_hash", "doc_id", "p_junk", "p_toxic")).alias("one"))
