@@ -19,6 +19,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession
@@ -37,8 +38,9 @@ UNK, BEGIN = 0, 1  # ids; words follow from 2
 
 _COUNTS = "part int, pairs binary, counts binary"
 #: Kinds: 0 a part of the count table, 1 pairs to score, 2 the documents they are of.
-_ASKED = "part int, kind int, pairs binary, places binary, counts binary, rows binary"
-_SUMS = "row long, n_words long, log_score double, n_backed_off long, doc_id long"
+_ASKED = "part int, kind int, pack long, pairs binary, places binary, counts binary, rows binary"
+_SUMS = "pack long, row binary, n_words binary, log_score binary, n_backed_off binary, ids binary, named binary"
+_SCORES = "doc_id long, n_words long, log_score double, n_backed_off long"
 
 
 def _pack(a: np.ndarray) -> bytes:
@@ -195,26 +197,24 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
         every = np.array([h[0] for h in held], np.int64)
         named = np.array([h[3] is not None for h in held], np.int32)
         own = np.array([h[3] or 0 for h in held], np.int64)
-        out = [(int(every[0] % parts), 2, _pack(own), _pack(named), None, _pack(every))]
+        pack = int(every[0])  # named by its first row; rows come in rising order
+        out = [(int(pack % parts), 2, pack, _pack(own), _pack(named), None, _pack(every))]
         for p, i, j in zip(present.tolist(), starts.tolist(), [*starts[1:].tolist(), len(pairs)]):
             at = order[i:j]
             used, short = np.unique(place[at], return_inverse=True)  # the rows with pairs in this part
-            out.append((p, 1, _pack(pairs[at]), _pack(short.astype(np.int32)), _pack(times[at]), _pack(every[used])))
-        columns = list(zip(*out)) or [()] * 6
-        kinds = [pa.int32(), pa.int32()] + [pa.binary()] * 4
+            out.append((p, 1, pack, _pack(pairs[at]), _pack(short.astype(np.int32)), _pack(times[at]), _pack(every[used])))
+        columns = list(zip(*out))
+        kinds = [pa.int32(), pa.int32(), pa.int64()] + [pa.binary()] * 4
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], [x.split()[0] for x in _ASKED.split(", ")])
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [x.split()[0] for x in _SUMS.split(", ")]
         unigram = np.maximum(known.value[1], 1).astype(np.float64)
         table, n = np.empty(0, np.int64), np.empty(0, np.int64)
         for b in batches:
-            for _, kind, pairs, places, counts, rows in zip(*(c.to_pylist() for c in b.columns)):
-                pairs = _unpack(pairs, np.int64)
+            for _, kind, pack, pairs, places, counts, rows in zip(*(c.to_pylist() for c in b.columns)):
+                pairs_, pairs = pairs, _unpack(pairs, np.int64)
                 if kind == 2:
-                    row, zero = pa.array(_unpack(rows, np.int64)), np.zeros(len(pairs), np.int64)
-                    doc_id = pa.array(pairs, mask=_unpack(places, np.int32) == 0)
-                    yield pa.RecordBatch.from_arrays([row, pa.array(zero), pa.array(zero.astype(np.float64)), pa.array(zero), doc_id], names)
+                    yield sums_of(pack, rows, None, None, None, pairs_, places)
                     continue
                 counts = _unpack(counts, np.int64 if kind == 0 else np.int32)
                 if kind == 0:  # the part of the count table comes first
@@ -222,25 +222,38 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
                     order = np.argsort(table)
                     table, n = table[order], n[order]
                     continue
-                place, row = _unpack(places, np.int32), _unpack(rows, np.int64)
+                place, size = _unpack(places, np.int32), len(_unpack(rows, np.int64))
                 seen = np.zeros(len(pairs), np.int64)
                 if len(table):
                     at = np.minimum(np.searchsorted(table, pairs), len(table) - 1)
                     seen = np.where(table[at] == pairs, n[at], 0)
                 v, w = pairs >> 32, pairs & 0xFFFFFFFF
                 value = np.where(seen >= least, np.log(np.maximum(seen, 1)) - np.log(unigram[v]), math.log(alpha) + np.log(unigram[w]) - math.log(max(total, 1)))
-                size = len(row)
-                sums = [np.bincount(place, x, size) for x in (counts, counts * value, counts * (seen < least))]
-                none = pa.nulls(size, pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(sums[0].astype(np.int64)), pa.array(sums[1]), pa.array(sums[2].astype(np.int64)), none], names)
+                found = [np.bincount(place, x, size) for x in (counts, counts * value, counts * (seen < least))]
+                yield sums_of(pack, rows, *map(_pack, found), None, None)
+
+    def sums_of(*row: object) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([x], pa.int64() if i == 0 else pa.binary()) for i, x in enumerate(row)], [x.split()[0] for x in _SUMS.split(", ")])
+
+    def total_up(pdf: pd.DataFrame) -> pd.DataFrame:
+        """The documents of a pack, from the sums of all parts."""
+        own = pdf[pdf["ids"].notna()].iloc[0]
+        row, ids, named = _unpack(own["row"], np.int64), _unpack(own["ids"], np.int64), _unpack(own["named"], np.int32)
+        sums = np.zeros((3, len(row)))
+        for r in pdf[pdf["ids"].isna()].itertuples(index=False):
+            at = np.searchsorted(row, _unpack(r.row, np.int64))
+            for i, x in enumerate((r.n_words, r.log_score, r.n_backed_off)):
+                sums[i, at] += _unpack(x, np.float64)
+        doc_id = pd.array(ids, dtype="Int64")
+        doc_id[named == 0] = pd.NA
+        return pd.DataFrame({"doc_id": doc_id, "n_words": sums[0].astype(np.int64), "log_score": sums[1].round(6), "n_backed_off": sums[2].astype(np.int64)})
 
     asked = rows.mapInArrow(ask, _ASKED)
     none = F.lit(None).cast("binary")
-    counts = model.pairs.select("part", F.lit(0).alias("kind"), "pairs", none.alias("places"), "counts", none.alias("rows"))
+    counts = model.pairs.select("part", F.lit(0).alias("kind"), F.lit(None).cast("long").alias("pack"), "pairs", none.alias("places"), "counts", none.alias("rows"))
     met = counts.union(asked).repartitionById(parts, F.col("part")).sortWithinPartitions("kind")
-    sums = met.mapInArrow(answer, _SUMS).groupBy("row")
-    out = sums.agg(F.max("doc_id").alias("doc_id"), F.sum("n_words").alias("n_words"), F.round(F.sum("log_score"), 6).alias("log_score"), F.sum("n_backed_off").alias("n_backed_off"))
-    out = stage(out, "scores")
+    # packed sums go back to where their documents meet, so no row is made per document and part
+    out = stage(met.mapInArrow(answer, _SUMS).groupBy("pack").applyInPandas(total_up, _SCORES), "scores")
     return out.select("doc_id", "n_words", "log_score", F.round(F.col("log_score") / F.nullif("n_words", F.lit(0)), 6).alias("mean_log_score"), "n_backed_off")
 
 
