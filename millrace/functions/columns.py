@@ -146,7 +146,9 @@ def display_value(df: DataFrame, name: str, missing: str = "-") -> Column:
     if isinstance(data_type, (T.ArrayType, T.StructType, T.MapType, T.VariantType)):
         text = F.to_json(c, {"ignoreNullFields": "false"})
     elif isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
-        text = F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+        # the Z says UTC, so an instant is turned from the session's zone into a UTC clock first
+        clock = F.to_utc_timestamp(c, F.current_timezone()) if isinstance(data_type, T.TimestampType) else c
+        text = F.date_format(clock, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
     elif isinstance(data_type, T.NumericType):
         text = number_text(c, data_type)
     else:

@@ -14,14 +14,29 @@ UNKNOWN_CATEGORY = -1
 
 # Connector subtypes of each category.
 _SUBTYPES = {
-    1: "postgres postgresql mysql mssql sqlserver oracle mariadb db2 sqlite sybase teradata",
-    2: "databricks snowflake lakehouse redshift bigquery athena synapse trino presto hive cassandra mongodb",
-    3: "csv json parquet avro orc xml excel sftp ftp ftps box s3 azureblob azuredatalakestorage "
-    "azuredatalakestoragegen2 googlecloudstorage googledrive onedrive sharepoint dropbox",
-    4: "salesforce dynamics dynamics365 sap netsuite oracle_erp workday servicenow zendesk jira",
-    5: "mailchimp hubspot googleanalytics googleads facebookads linkedinads marketo pardot klaviyo sendgrid",
+    1: [
+        "postgres", "postgresql", "mysql", "mssql", "sqlserver", "oracle", "mariadb", "db2", "sqlite", "sybase",
+        "teradata",
+    ],
+    2: [
+        "databricks", "snowflake", "lakehouse", "redshift", "bigquery", "athena", "synapse", "trino", "presto",
+        "hive", "cassandra", "mongodb",
+    ],
+    3: [
+        "csv", "json", "parquet", "avro", "orc", "xml", "excel", "sftp", "ftp", "ftps", "box", "s3", "azureblob",
+        "azuredatalakestorage", "azuredatalakestoragegen2", "googlecloudstorage", "googledrive", "onedrive",
+        "sharepoint", "dropbox",
+    ],
+    4: [
+        "salesforce", "dynamics", "dynamics365", "sap", "netsuite", "oracle_erp", "workday", "servicenow", "zendesk",
+        "jira",
+    ],
+    5: [
+        "mailchimp", "hubspot", "googleanalytics", "googleads", "facebookads", "linkedinads", "marketo", "pardot",
+        "klaviyo", "sendgrid",
+    ],
 }
-CONNECTOR_CATEGORIES = {word: number for number, words in _SUBTYPES.items() for word in words.split()}
+CONNECTOR_CATEGORIES = {word: number for number, words in _SUBTYPES.items() for word in words}
 
 # Run states of the two published vocabularies, mapped to one.
 STATUS_WORDS = {
@@ -38,8 +53,10 @@ NAME_FIELDS = ("name", "connectorName", "pipelineName", "automationName", "proje
 TYPE_FIELDS = ("type", "connectorType", "pipelineType", "automationType")
 PROJECT_FIELDS = ("projectId", "internalID", "project")
 
-# Step numbers that the configuration checks refer to.
-STEP_CATALOGS, STEP_ARTIFACTS, STEP_DATABASE, STEP_SCHEMA = 1, 2, 6, 7
+# Numbers of the screens of a configuration, what each builds on, and which exclude each other.
+SCREENS = {1: "catalogs", 2: "artifacts", 6: "database", 7: "schema"}
+SCREEN_NEEDS = {2: (1, 7), 6: (7,), 7: (1, 6)}
+SCREEN_CONFLICTS = ((1, 6),)
 
 # Ingestion types, and the mode words that mean one of them or a plain write.
 INGESTION_TYPES = ("cdc", "delta", "historical", "snapshot", "stored_procedure")

@@ -52,13 +52,15 @@ def _pack(candidates: DataFrame, value: str, position: str, keep: int) -> _Block
     """
     named = candidates.select(F.col(value).alias("value"), F.col(position).alias("position")).filter(F.col("value").isNotNull())
     first = top_per_group(named, ["value"], [F.col("position")], keep, "_copy").drop("_copy")
-    sizes = [(r["len"], r["count"]) for r in first.groupBy(F.length("value").alias("len")).count().collect()]
+    octets = F.sum(F.octet_length("value") + F.octet_length(F.lower("value"))).alias("octets")
+    found = first.groupBy(F.length("value").alias("len")).agg(F.count("*").alias("n"), octets).collect()
+    sizes = [(r["len"], r["n"]) for r in found]
     width = max((length for length, _ in sizes), default=0) // LENGTH_CLASSES + 1
     held = [0] * (max((length // width for length, _ in sizes), default=0) + 1)
     for length, n in sizes:
         held[length // width] += n
     counts = [-(-n // BLOCK_ROWS) for n in held]
-    total = sum(n * (2 * length + 64) for length, n in sizes)
+    total = sum(r["octets"] + 64 * r["n"] for r in found)
     packed = _Blocks(first, width, counts, total)
     cls = F.floor(F.length("value") / width).cast("int")
     placed = first.withColumn("cls", cls).withColumn(
@@ -149,7 +151,9 @@ def did_you_mean(
 ) -> DataFrame:
     """L11. Nearest rows of a dimension by name or alias, each match given as the row's own name."""
     named = dim.select(key, name, F.posexplode(F.concat(F.array(name), F.coalesce(aliases, F.array().cast("array<string>")))).alias("_at", "_alias"))
-    placed = named.withColumn("_position", F.col(key) * 1000 + F.col("_at"))
+    # a number that grows with the key, and within it from the name to the last alias
+    most = dim.agg(F.max(F.coalesce(F.size(aliases), F.lit(0))) + 1).head()[0] or 1
+    placed = named.withColumn("_position", F.col(key).cast("decimal(20,0)") * F.lit(most).cast("decimal(10,0)") + F.col("_at"))
     hits = top_similar(inputs, text, placed, "_alias", "_position", threshold, limit)
     back = placed.select(F.col("_position").alias("position"), F.col(name).alias("suggestion"))
     return hits.join(back, "position").drop("position")

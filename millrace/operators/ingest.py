@@ -3,25 +3,28 @@ is stated in the docstring."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.vocabulary import INGESTION_TYPES, MODE_WORDS, TRUE_WORDS
 from millrace.operators.shape import flatten_struct
-from millrace.operators.sliced import HOT_ROWS, SLICE, hot_keys, top_per_group, with_slices
+from millrace.operators.sliced import HOT_ROWS, SLICE, hot_keys, orderable, top_per_group, with_slices
 from millrace.session import work_path
+from millrace.sinks import writers
+from millrace.sources import readers
 from millrace.sources.readers import column_list
-from millrace.sources.store import MarkTable, TableStore
+from millrace.sources.store import MarkTable, TableStore, folders, join_keys, remove
 
 FIRST_RUN = "1970-01-01 00:00:00"
 SNAPSHOT = "_snapshot_id"
+Mark = str | Sequence[str]  # one column or several
 
 
 # ---- configuration -------------------------------------------------------------------------------------------------
@@ -36,7 +39,7 @@ class Artifact:
     columns: list[str] | None = None
     ingestion_type: str = "snapshot"
     merge_columns: list[str] = field(default_factory=list)
-    watermark: str | None = None
+    watermark: Mark | None = None
     auto_explode: bool = False
     detect_deletes: bool = False
     priority: bool = False
@@ -48,6 +51,48 @@ class Artifact:
     pre_sql: str | None = None
     post_sql: str | None = None
     steps: list[dict] = field(default_factory=list)
+    file: str | None = None
+    file_format: str = "csv"
+    delimiter: str = readers.DEFAULT_DELIMITER
+    contains_header: bool | None = None
+    header_at: int | None = None
+    json_path: str | None = None
+    json_column: str = "payload"
+    json_record: str | None = None
+    flatten: str | None = None
+    document: str = "document"
+    slots: int | None = None
+    compression: str | None = None
+    distribution_key: list[str] = field(default_factory=list)
+    sort_key: list[str] = field(default_factory=list)
+
+
+# The names under which a configuration may give each setting, the first one given counts.
+CONFIG_KEYS = {
+    "kind": ("ingestionType", "mode"),
+    "keys": ("mergeColumns", "primaryKeys", "primaryKey"),
+    "marks": ("watermarkColumnName", "timestampColumn", "incrementalColumn", "cdcColumn"),
+    "source": ("sourceTableName", "sourceObjectName", "sourceTable", "sourceCollection", "sourceObject"),
+    "target": ("targetTableName", "targetObjectName", "targetTable"),
+    "columns": ("sourceColumnNames", "columns"),
+    "file": ("sourceFile", "sourceFilePath"),
+    "file_format": ("sourceFileFormat", "fileFormat"),
+    "delimiter": ("sourceFileDelimiter",),
+    "header": ("containsHeader",),
+    "header_at": ("columnHeaderLineNumber",),
+    "json_path": ("jsonPath",),
+    "flatten": ("flatten",),
+    "compression": ("compression",),
+    "distribution_key": ("distributionKey",),
+    "sort_key": ("sortKey",),
+    "query": ("sourceQuery",),
+    "pre_sql": ("preScript",),
+    "post_sql": ("postScript",),
+}
+
+
+def _list(value: Any) -> list[str]:
+    return [value] if isinstance(value, str) else list(value or [])
 
 
 def _flag(value: Any) -> bool:
@@ -64,33 +109,47 @@ def _whole(value: Any, default: int) -> int:
 def artifact_from_config(item: Mapping[str, Any]) -> Artifact:
     """An artifact from its JSON configuration, under any of the published key names."""
 
-    def first(*names: str) -> Any:
-        return next((item[n] for n in names if item.get(n)), None)
+    def first(setting: str) -> Any:
+        return next((item[n] for n in CONFIG_KEYS[setting] if item.get(n)), None)
 
-    kind = first("ingestionType", "mode") or "snapshot"
-    keys = first("mergeColumns", "primaryKeys", "primaryKey")
-    marks = first("watermarkColumnName", "timestampColumn", "incrementalColumn", "cdcColumn")
-    source = first("sourceTableName", "sourceObjectName", "sourceTable", "sourceCollection", "sourceObject") or ""
+    kind = first("kind") or "snapshot"
+    marks = _list(first("marks"))
+    source = first("source") or ""
     kind = MODE_WORDS.get(kind, kind)
     if kind not in (*INGESTION_TYPES, *MODE_WORDS.values()):
         raise ValueError(f"unknown ingestion type {kind!r}")
+    header = item.get("containsHeader")
+    flatten = first("flatten")
     return Artifact(
         source=source,
-        target=first("targetTableName", "targetObjectName", "targetTable") or source,
-        columns=column_list(first("sourceColumnNames", "columns")),
+        target=first("target") or source,
+        columns=column_list(first("columns")),
         ingestion_type=kind,
-        merge_columns=[keys] if isinstance(keys, str) else list(keys or []),
-        watermark=marks[0] if isinstance(marks, list) else marks,
+        merge_columns=_list(first("keys")),
+        watermark=(marks[0] if len(marks) == 1 else tuple(marks)) if marks else None,
         auto_explode=_flag(item.get("autoExplode")),
         detect_deletes=_flag(item.get("detectDeletes")),
         priority=_flag(item.get("priority")),
         replace_table=_flag(item.get("replaceTable")),
         backload_days=_whole(item.get("backloadNumDays"), 0),
         snapshot_retention=_whole(item.get("snapshotRetentionPeriod"), 3),
-        query=first("sourceQuery"),
-        pre_sql=first("preScript"),
-        post_sql=first("postScript"),
+        query=first("query"),
+        pre_sql=first("pre_sql"),
+        post_sql=first("post_sql"),
         steps=list(item.get("operations") or []),
+        file=first("file"),
+        file_format=(first("file_format") or "csv").lower(),
+        delimiter=first("delimiter") or readers.DEFAULT_DELIMITER,
+        contains_header=None if header is None else _flag(header),
+        header_at=_whole(first("header_at"), 1) if first("header_at") else None,
+        json_path=first("json_path"),
+        json_column=item.get("jsonColumn") or "payload",
+        json_record=item.get("jsonRecord"),
+        flatten=flatten if isinstance(flatten, str) and flatten.lower() not in TRUE_WORDS else item.get("documentSchema") if flatten else None,
+        document=item.get("documentColumn") or "document",
+        compression=first("compression"),
+        distribution_key=_list(first("distribution_key")),
+        sort_key=_list(first("sort_key")),
     )
 
 
@@ -102,38 +161,77 @@ def ingest_snapshot(df: DataFrame, path: str, snapshot_id: str) -> None:
     df.write.mode("overwrite").parquet(f"{path}/{SNAPSHOT}={snapshot_id}")
 
 
+def _natural(c: Column) -> Column:
+    """Sorts ids as people do: runs of digits by value, so that s9 comes before s10."""
+    runs = F.regexp_extract_all(c.cast("string"), F.lit(r"(\d+|\D+)"))
+    return F.transform(runs, lambda x: F.when(x.rlike(r"^\d"), F.lpad(x, 40, "0")).otherwise(x))
+
+
+def _natural_id(name: str) -> list[str]:
+    return [x.zfill(40) if x.isdigit() else x for x in re.findall(r"\d+|\D+", name)]
+
+
 def snapshot_retention(snapshots: DataFrame, keep: int = 3) -> DataFrame:
-    """I2. Rows of the newest ``keep`` snapshots (the unit is taken as snapshots, not days). The kept ids are at most
-    ``keep`` rows, and joining on the partition column lets Spark skip the other folders."""
-    newest = snapshots.select(SNAPSHOT).distinct().orderBy(F.col(SNAPSHOT).desc()).limit(keep)
+    """I2. Rows of the newest ``keep`` snapshots (the unit is taken as snapshots, not days), ids in natural order. The kept
+    ids are at most ``keep`` rows, and joining on the partition column lets Spark skip the other folders."""
+    newest = snapshots.select(SNAPSHOT).distinct().orderBy(_natural(F.col(SNAPSHOT)).desc()).limit(keep)
     return snapshots.join(newest, SNAPSHOT, "left_semi")
 
 
+def retain_snapshots(spark: SparkSession, path: str, keep: int = 3) -> list[str]:
+    """I2. Remove all but the newest ``keep`` snapshots below ``path``; the ids that went. Reads the list of folders only."""
+    ids = sorted((f.partition("=")[2] for f in folders(spark, path) if f.startswith(f"{SNAPSHOT}=")), key=_natural_id)
+    gone = ids[: max(0, len(ids) - keep)]
+    for i in gone:
+        remove(spark, f"{path}/{SNAPSHOT}={i}")
+    return gone
+
+
 # ---- watermarks ----------------------------------------------------------------------------------------------------
 
 
+def mark_column(watermark: Mark) -> Column:
+    """The column by which rows are new; of several the greatest, nulls aside."""
+    names = [watermark] if isinstance(watermark, str) else list(watermark)
+    return F.col(names[0]) if len(names) == 1 else F.greatest(*names)
+
+
+def _is_time(df: DataFrame, watermark: Mark) -> bool:
+    kind = df.select(mark_column(watermark)).schema[0].dataType
+    return isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType))
+
+
 def lower_bound(last: str | None, backload_days: int = 0) -> Column:
-    """I4, I7. Where reading starts: the last mark, or the epoch on a first run, minus the days to read again."""
+    """I4, I7. Where reading by time starts: the last mark, or the epoch on a first run, minus the days to read again."""
     mark = F.lit(last or FIRST_RUN).cast("timestamp_ntz")
     return mark - F.make_interval(days=F.lit(backload_days)) if backload_days else mark
 
 
-def watermark_filter(df: DataFrame, watermark: str, last: str | None, backload_days: int = 0) -> DataFrame:
-    """I4, I7. Rows strictly newer than the bound; a plain comparison, so it reaches the scan."""
-    return df.filter(F.col(watermark) > lower_bound(last, backload_days))
+def watermark_filter(df: DataFrame, watermark: Mark, last: str | None, backload_days: int = 0) -> DataFrame:
+    """I4, I7. Rows strictly newer than the bound; a plain comparison, so it reaches the scan.
+
+    A mark that is no time (a number, a text) starts with all rows that have one, and knows no days to read again.
+    """
+    mark = mark_column(watermark)
+    if _is_time(df, watermark):
+        return df.filter(mark > lower_bound(last, backload_days))
+    if backload_days:
+        raise ValueError(f"{watermark} is no time, so there are no days to read again")
+    return df.filter(mark.isNotNull() if last is None else mark > F.lit(last).cast(df.select(mark).schema[0].dataType))
 
 
-def watermark_advance(batch: DataFrame, watermark: str) -> str | None:
+def watermark_advance(batch: DataFrame, watermark: Mark) -> str | None:
     """I5. The new mark: the greatest value that was loaded. (A wall clock would skip rows committed during the load.)"""
-    return batch.agg(F.date_format(F.max(watermark), "yyyy-MM-dd HH:mm:ss.SSSSSS")).head()[0]
+    top = F.max(mark_column(watermark))
+    return batch.agg(F.date_format(top, "yyyy-MM-dd HH:mm:ss.SSSSSS") if _is_time(batch, watermark) else top.cast("string")).head()[0]
 
 
-def has_changes(df: DataFrame, watermark: str, last: str | None) -> bool:
+def has_changes(df: DataFrame, watermark: Mark, last: str | None) -> bool:
     """I6. Whether there is anything to load; stops at the first row found."""
     return not watermark_filter(df, watermark, last).isEmpty()
 
 
-def change_count(df: DataFrame, watermark: str, last: str | None) -> DataFrame:
+def change_count(df: DataFrame, watermark: Mark, last: str | None) -> DataFrame:
     """I6. How many rows changed since the mark."""
     return watermark_filter(df, watermark, last).agg(F.count("*").alias("changed"))
 
@@ -147,7 +245,7 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], *order: str) -> DataFrame
 
 
 def ingest_delta(
-    store: TableStore, source: DataFrame, watermark: str, marks: MarkTable, artifact: str, backload_days: int = 0, tie: str | None = None
+    store: TableStore, source: DataFrame, watermark: Mark, marks: MarkTable, artifact: str, backload_days: int = 0, tie: str | None = None
 ) -> int:
     """I3. Rows newer than the mark, newest per key, merged; then the mark moves. Returns the table version.
 
@@ -155,22 +253,22 @@ def ingest_delta(
     in between is repaired by the next run.
     """
     last = marks.get(artifact)
-    fresh = watermark_filter(source, watermark, last, backload_days)
-    newest = store.stage(latest_per_key(fresh, store.keys, watermark, *([tie] if tie else [])), "delta")
-    mark = watermark_advance(newest, watermark)
-    if mark is None:
-        return store.current_version()
-    version = store.upsert(newest, "delta", staged=True)
-    marks.put(artifact, max(mark, last or mark))
+    new = watermark_filter(source, watermark, last, backload_days)
+    order = [mark_column(watermark).desc(), *([F.col(tie).desc()] if tie else [])]
+    version = store.upsert(top_per_group(new, store.keys, order, 1, "_rank").drop("_rank"), "delta")
+    mark = watermark_advance(store.written, watermark)
+    if mark is not None:
+        # reading days again can end below the mark; the texts of times sort like the times
+        marks.put(artifact, max(mark, last or mark) if backload_days else mark)
     return version
 
 
 def detect_deletes(target: DataFrame, source: DataFrame, keys: Sequence[str], mark: str | None = None) -> DataFrame:
-    """I10. The target without rows whose key left the source; with ``mark``, all rows and a flag instead."""
+    """I10. The target without rows whose key left the source; with ``mark``, all rows and a flag instead. Null is a key."""
     present = source.select(*keys).distinct()
     if mark is None:
-        return target.join(present, list(keys), "left_semi")
-    flagged = target.join(present.withColumn("_here", F.lit(True)), list(keys), "left")
+        return join_keys(target, present, keys, "left_semi")
+    flagged = join_keys(target, present.withColumn("_here", F.lit(True)), keys, "left")
     return flagged.withColumn(mark, F.col("_here").isNull()).drop("_here")
 
 
@@ -182,6 +280,8 @@ def scd2(changes: DataFrame, keys: Sequence[str], watermark: str, tracked: Seque
     worked on in slices, the others in one window per key.
     """
     k = list(keys)
+    if not orderable(changes.schema[watermark].dataType):
+        raise ValueError(f"{watermark} must be a number or a time")
     rows = changes.select(*k, watermark, F.struct(*tracked).alias("_val"))
     hot = hot_keys(rows, k, hot_rows)
     total = hot.agg(F.sum("n")).head()[0]
@@ -247,43 +347,42 @@ def _sliced_versions(hot: DataFrame, keys: Sequence[str], watermark: str, slices
 
 
 def ingest_historical(store: TableStore, changes: DataFrame, watermark: str, tracked: Sequence[str]) -> int:
-    """I8. Add changes to a stored history. Only the slots of the changed keys are read and rebuilt."""
+    """I8. Add changes to a stored history. Only the slots of the changed keys are read and rebuilt.
+
+    What was observed is kept in a table beside the history, so that the result does not depend on how the changes were
+    split into loads or in which order they came. Rows without a time cannot be placed; they go to a table of their own
+    (:func:`undated`).
+    """
     keys = store.keys
+    rows = changes.select(*keys, *tracked, watermark)
+    undated(store).append(rows.filter(F.col(watermark).isNull()).distinct(), "undated")
+    seen = store.beside("observations")
+    new = store.stage(rows.filter(F.col(watermark).isNotNull()).distinct(), "historical")
+    seen.append(new, "observed")
 
-    def change(old: DataFrame, new: DataFrame) -> DataFrame:
-        if "valid_from" in old.columns:
-            seen = old.select(*keys, *tracked, F.col("valid_from").alias(watermark))
-            new = seen.unionByName(new)
-        return scd2(new, keys, watermark, tracked)
+    def change(_: DataFrame, batch: DataFrame) -> DataFrame:
+        return scd2(seen.read_slots(batch).distinct(), keys, watermark, tracked)
 
-    return store.rewrite(changes.select(*keys, *tracked, watermark), change, "historical")
+    return store.rewrite(new, change, "historical", staged=True)
+
+
+def undated(store: TableStore) -> TableStore:
+    """The rows that :func:`ingest_historical` could not place for want of a time."""
+    return store.beside("undated")
 
 
 def apply_changes(target: DataFrame, changes: DataFrame, keys: Sequence[str], op: str, order: str, deleted: str = "D") -> DataFrame:
-    """I9. Target after a batch of inserts, updates and deletes: the last change of each key decides."""
+    """I9. Target after a batch of inserts, updates and deletes: the last change of each key decides. Null is a key."""
     last = latest_per_key(changes, keys, order)
-    kept = target.join(last.select(*keys), list(keys), "left_anti")
+    kept = join_keys(target, last.select(*keys), keys, "left_anti")
     live = last.filter(F.col(op) != deleted).select(*target.columns)
     return kept.unionByName(live)
 
 
-def merge_changes(old: DataFrame, new: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
-    """I9, T1. Stored rows (tombstones included) after newer changes; a change not newer than the stored row is ignored.
-
-    The old rows only meet the batch's keys, so a batch small enough to broadcast leaves them unshuffled.
-    """
-    k = list(keys)
-    marks = new.select(*k, F.col(order).alias("_new"))
-    met = old.join(marks, k, "left")
-    stale = old.select(*k, order).join(marks, k).filter(F.col("_new") <= F.col(order)).select(*k)
-    survivors = met.filter(F.col("_new").isNull() | (F.col("_new") <= F.col(order))).drop("_new")
-    return survivors.unionByName(new.join(stale, k, "left_anti").select(*old.columns))
-
-
 def ingest_cdc(store: TableStore, changes: DataFrame, op: str, order: str, name: str = "cdc") -> int:
-    """I9 on a stored table. Deleted keys stay as tombstones (op ``D``), so that a late change cannot revive them."""
-    last = latest_per_key(changes, store.keys, order)
-    return store.rewrite(last, lambda old, new: merge_changes(old, new, store.keys, order), name)
+    """I9 on a stored table. Deleted keys stay as tombstones (op ``D``), so that a late change cannot revive them; a change
+    that is not newer than the stored row is ignored."""
+    return store.merge(latest_per_key(changes, store.keys, order), name, order=order)
 
 
 def live_rows(stored: DataFrame, op: str, order: str, deleted: str = "D") -> DataFrame:
@@ -303,6 +402,10 @@ def auto_explode(df: DataFrame, keys: Sequence[str]) -> dict[str, DataFrame]:
     out = {}
     for name in array_columns(df):
         child = df.select(*keys, F.posexplode(F.col(f"`{name}`")).alias("pos", "element"))
+        element = child.schema["element"].dataType
+        if isinstance(element, T.StructType):
+            taken = {*keys, "pos"}
+            child = child.select(*keys, "pos", *[F.col("element")[f].alias(f"element_{f}" if f in taken else f) for f in element.names])
         out[name] = child
     return out
 
@@ -374,29 +477,77 @@ def apply_steps(df: DataFrame, steps: Sequence[Mapping[str, Any]]) -> DataFrame:
 OUTCOME = "target string, success boolean, mode string, row_count bigint, message string"
 
 
+def read_source(spark: SparkSession, a: Artifact) -> DataFrame:
+    """What an artifact reads: a query, a file, or a registered view or table; JSON payloads taken apart, documents flattened."""
+    if a.query:
+        source = spark.sql(a.query)
+    elif a.file is None:
+        source = spark.table(a.source)
+    elif a.file_format in ("csv", "txt", "delimited"):
+        source = readers.scan_delimited(spark, a.file, delimiter=a.delimiter, contains_header=a.contains_header, header_at=a.header_at)
+    elif a.file_format == "json":
+        source = readers.scan_json(spark, a.file)
+    elif a.file_format == "parquet":
+        source = readers.scan_parquet(spark, a.file)
+    else:
+        source = readers.scan_files(spark, a.file, a.file_format)
+    if a.json_path:
+        if not a.json_record:
+            raise ValueError("jsonPath needs the schema of a record (jsonRecord)")
+        source = readers.scan_json_path(source, a.json_column, a.json_path, a.json_record)
+    return source
+
+
+def _load_child(spark: SparkSession, a: Artifact, name: str, child: DataFrame, parents: DataFrame, root: str) -> None:
+    """I11. A child table in the mode of its parent: added to, or the rows of the loaded parents replaced.
+
+    It is keyed by the parent, so a parent whose array became shorter leaves nothing behind.
+    """
+    keys = a.merge_columns
+    store = TableStore(spark, f"{root}/{a.target}__{name}", keys or ["pos"], a.slots)
+    if a.ingestion_type == "append":
+        store.append(child)
+    elif a.ingestion_type in ("delta", "upsert", "cdc", "historical") and keys and store.version():
+        store.rewrite(parents.select(*keys).distinct(), lambda old, k: join_keys(old, k, keys, "left_anti").unionByName(join_keys(child, k, keys, "left_semi")), "children")
+    else:
+        store.replace(child)
+
+
 def load_artifact(spark: SparkSession, a: Artifact, root: str, load_id: str) -> int:
-    """One artifact end to end; returns the rows of the target afterwards. Sources are registered views or tables."""
+    """One artifact end to end; returns the rows of the target afterwards. Sources are files, registered views or tables."""
     if a.ingestion_type in ("delta", "historical", "cdc") and not a.watermark:
         raise ValueError(f"{a.ingestion_type} needs a watermark column")
     if a.ingestion_type in ("delta", "historical", "cdc", "upsert") and not a.merge_columns:
         raise ValueError(f"{a.ingestion_type} needs merge columns")
+    if a.ingestion_type in ("historical", "cdc") and not isinstance(a.watermark, str):
+        raise ValueError(f"{a.ingestion_type} takes one watermark column")
     if a.pre_sql:
         spark.sql(a.pre_sql)
-    source = spark.sql(a.query) if a.query else spark.table(a.source)
+    source = read_source(spark, a)
+    children: dict[str, DataFrame] = {}
+    if a.flatten:
+        source, children = flatten_documents(source, a.document, a.flatten, [c for c in source.columns if c != a.document])
     source = apply_steps(source.select(*a.columns) if a.columns else source, a.steps)
     path = f"{root}/{a.target}"
-    if a.ingestion_type == "snapshot" and not a.replace_table:
+    if a.ingestion_type == "snapshot" and (a.distribution_key or a.sort_key or a.compression):
+        folder = f"{path}/{SNAPSHOT}={load_id}"
+        writers.write_layout(source, folder, a.distribution_key, a.sort_key, a.compression)
+        retain_snapshots(spark, path, a.snapshot_retention)
+        rows = spark.read.parquet(path)
+    elif a.ingestion_type == "snapshot" and not a.replace_table:
         ingest_snapshot(source, path, load_id)
-        rows = snapshot_retention(spark.read.parquet(path), a.snapshot_retention)
+        retain_snapshots(spark, path, a.snapshot_retention)
+        rows = spark.read.parquet(path)
     else:
-        store = TableStore(spark, path, a.merge_columns or [source.columns[0]])
+        store = TableStore(spark, path, a.merge_columns or [source.columns[0]], a.slots)
         if a.replace_table or a.ingestion_type in ("snapshot", "overwrite", "stored_procedure"):
             store.replace(source)
         elif a.ingestion_type == "append":
             store.append(source)
         elif a.ingestion_type == "upsert":
-            order = [a.watermark] if a.watermark else [c for c in source.columns if c not in store.keys]
-            store.upsert(latest_per_key(source, store.keys, *order))
+            # without a mark any row of a key will do; the one with the greatest text is the same on every run
+            order = [mark_column(a.watermark)] if a.watermark else [F.to_json(F.struct(*source.columns))]
+            store.upsert(top_per_group(source, store.keys, [c.desc() for c in order], 1, "_rank").drop("_rank"))
         elif a.ingestion_type == "cdc":
             ingest_cdc(store, source, a.cdc_op, a.watermark)
         elif a.ingestion_type == "historical":
@@ -404,11 +555,12 @@ def load_artifact(spark: SparkSession, a: Artifact, root: str, load_id: str) ->
         else:
             ingest_delta(store, source, a.watermark, MarkTable(spark, f"{root}/_marks"), a.target, a.backload_days)
         if a.detect_deletes and a.ingestion_type in ("delta", "upsert"):
-            store.delete(store.read().join(source.select(*store.keys), store.keys, "left_anti"))
+            store.delete(join_keys(store.read(), source.select(*store.keys).distinct(), store.keys, "left_anti"))
         rows = store.read()
     if a.auto_explode:
-        for name, child in auto_explode(source, a.merge_columns).items():
-            child.write.mode("overwrite").parquet(f"{root}/{a.target}__{name}")
+        children |= auto_explode(source, a.merge_columns)
+    for name, child in children.items():
+        _load_child(spark, a, name, child, source, root)
     if a.post_sql:
         spark.sql(a.post_sql)
     return rows.count()
@@ -423,7 +575,7 @@ def multi_table_sync(
     def run(a: Artifact) -> tuple:
         try:
             return a.target, True, a.ingestion_type, load_artifact(spark, a, root, load_id), None
-        except (PySparkException, ValueError) as e:
+        except Exception as e:  # whatever it is, it is this artifact's outcome
             if fail_fast:
                 raise
             return a.target, False, a.ingestion_type, None, str(e).split("\n")[0]

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import operator
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import hours_between
-from millrace.functions.vocabulary import STEP_ARTIFACTS, STEP_CATALOGS, STEP_DATABASE, STEP_SCHEMA
+from millrace.functions.vocabulary import SCREEN_CONFLICTS, SCREEN_NEEDS, SCREENS
 
 
 @dataclass(frozen=True)
@@ -87,31 +89,36 @@ def must_exist(field: str, flag: str, label: str) -> Rule:
     return Rule(field, f"{label} not found or inaccessible", ~F.col(flag))
 
 
-def step_list_rules(name: str, steps: str) -> list[Rule]:
-    """D6. Checks of a configuration row: a name, and an array of step numbers that must fit together."""
-    s = F.col(steps)
-    has = lambda n: F.array_contains(s, n)
-    return [
-        Rule(name, "Missing name in configuration", F.col(name).isNull() | (F.col(name) == "")),
-        Rule(steps, "Missing steps array", s.isNull()),
-        Rule(steps, "steps is empty", F.size(s) == 0, "warning"),
-        Rule(steps, "catalogs and database steps conflict", has(STEP_CATALOGS) & has(STEP_DATABASE), "warning"),
-        Rule(steps, "database step without schema step", has(STEP_DATABASE) & ~has(STEP_SCHEMA), "warning"),
-        Rule(
-            steps,
-            "schema step has no parent step",
-            has(STEP_SCHEMA) & ~has(STEP_DATABASE) & ~has(STEP_CATALOGS),
-            "warning",
-        ),
-        Rule(
-            steps,
-            "artifacts step without schema selection",
-            has(STEP_ARTIFACTS) & ~has(STEP_CATALOGS) & ~has(STEP_SCHEMA),
-            "warning",
-        ),
-        Rule(steps, "step numbers must be positive integers", F.exists(s, lambda x: x.isNull() | (x < 1))),
-        Rule(steps, "duplicate step numbers are ignored", F.size(F.array_distinct(s)) < F.size(s), "warning"),
-    ]
+def filled(field: str) -> Rule:
+    return Rule(field, f"{field} is empty", F.size(field) == 0, "warning")
+
+
+def one_of(field: str, item: Column | int | str, others: Sequence, names: Mapping) -> Rule:
+    """A warning where a list has ``item`` but none of ``others``, which it builds on."""
+    found = [F.array_contains(field, o) for o in others]
+    message = f"{names[item]} needs {' or '.join(names[o] for o in others)}"
+    return Rule(field, message, F.array_contains(field, item) & ~reduce(operator.or_, found), "warning")
+
+
+def conflicts(field: str, a, b, names: Mapping) -> Rule:
+    """A warning where a list has two items that exclude each other."""
+    return Rule(field, f"{names[a]} excludes {names[b]}", F.array_contains(field, a) & F.array_contains(field, b), "warning")
+
+
+def positive(field: str) -> Rule:
+    return Rule(field, f"{field} must be positive numbers", F.exists(field, lambda x: F.coalesce(x < 1, F.lit(True))))
+
+
+def no_repeats(field: str) -> Rule:
+    return Rule(field, f"{field} has repeats", F.size(F.array_distinct(field)) < F.size(field), "warning")
+
+
+def list_rules(name: str, items: str) -> list[Rule]:
+    """D6. A configuration row: a name, and a list of screens that must fit together (see ``SCREEN_NEEDS``)."""
+    needs = [one_of(items, item, others, SCREENS) for item, others in SCREEN_NEEDS.items()]
+    apart = [conflicts(items, a, b, SCREENS) for a, b in SCREEN_CONFLICTS]
+    given = Rule(items, f"{items} is required", F.col(items).isNull())
+    return [required(name, name), given, filled(items), positive(items), no_repeats(items), *needs, *apart]
 
 
 def ok_failed_report(outcomes: DataFrame, id_col: str, ok: Column, message: Column) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.sliced import top_per_group
@@ -24,9 +24,11 @@ def count_only(df: DataFrame) -> DataFrame:
 
 
 def summary_sample(df: DataFrame, order: Sequence[Column | str], fields: Sequence[str], n: int = 3) -> DataFrame:
-    """A2. ``total`` and the first ``n`` rows of a total order as an array."""
-    first = df.select(*fields).orderBy(*order).limit(n)
-    sample = first.agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("sample"))
+    """A2. ``total`` and the first ``n`` rows of a total order as an array, in that order."""
+    place = F.row_number().over(Window.orderBy(*order)).alias("_place")  # of n rows
+    first = df.orderBy(*order).limit(n).select(place, F.struct(*fields).alias("_row"))
+    numbered = F.array_sort(F.collect_list(F.struct("_place", "_row")), lambda a, b: a["_place"] - b["_place"])
+    sample = first.agg(F.transform(numbered, lambda x: x["_row"]).alias("sample"))
     return df.agg(F.count("*").alias("total")).withColumn("sample", sample.scalar())
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators.sliced import top_per_group
+from millrace.sources.store import join_keys
 
 
 def _names(fields: str | Sequence[str]) -> list[str]:
@@ -110,7 +111,13 @@ def table_diff(old: DataFrame, new: DataFrame, keys: Sequence[str], fields: Sequ
     def boxed(df: DataFrame, side: str) -> DataFrame:
         return df.select(*keys, F.struct(*fields).alias(side))
 
-    joined = boxed(old, "o").join(boxed(new, "n"), list(keys), "full_outer")
+    right = boxed(new, "n").withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    left, same = boxed(old, "o"), F.lit(True)
+    for k in keys:  # null is a key
+        same = same & left[k].eqNullSafe(right[f"_right_{k}"])
+    # every row has its box, so a side without one has no row
+    joined = left.join(right, same, "full_outer")
+    joined = joined.select(*[F.when(F.col("o").isNull(), F.col(f"_right_{k}")).otherwise(F.col(k)).alias(k) for k in keys], "o", "n")
 
     def entry(f: str) -> Column:
         a, b = F.col("o").getField(f), F.col("n").getField(f)
@@ -144,10 +151,21 @@ def page_rows(df: DataFrame, order: Sequence[Column | str], offset: int = 0, lim
     return select_nested_fields(page, fields) if fields else page
 
 
-def page_after(df: DataFrame, key: str, last, n: int) -> DataFrame:
-    """L2 by key: the next ``n`` rows after a key. The bound is pushed to the scan, so page depth costs nothing."""
-    rest = df if last is None else df.filter(F.col(key) > F.lit(last))
-    return rest.orderBy(key).limit(n)
+def page_after(df: DataFrame, keys: str | Sequence[str], last, n: int) -> DataFrame:
+    """L2 by key: the next ``n`` rows after a key. The bound is pushed to the scan, so page depth costs nothing.
+
+    The keys together must tell rows apart, else rows that share the last ones would be missed: add a column that does.
+    ``last`` has a value per key, or is the value of the only one.
+    """
+    names = [keys] if isinstance(keys, str) else list(keys)
+    if last is None:
+        return df.orderBy(*names).limit(n)
+    values = [last] if isinstance(keys, str) else list(last)
+    after = F.lit(False)
+    for name, value in zip(reversed(names), reversed(values), strict=True):
+        after = (F.col(name) > F.lit(value)) | ((F.col(name) == F.lit(value)) & after)
+    # the first key alone bounds the scan
+    return df.filter((F.col(names[0]) >= F.lit(values[0])) & after).orderBy(*names).limit(n)
 
 
 def sort_two_keys(df: DataFrame, first: str, second: str, *ties: str, collation: str = "UNICODE") -> DataFrame:
@@ -194,8 +212,8 @@ def distinct_ids(df: DataFrame, value: str, position: str) -> DataFrame:
 
 
 def added_removed(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """U3. Keys in only one of the two, marked ``added`` or ``removed``."""
+    """U3. Keys in only one of the two, marked ``added`` or ``removed``. Null is a key."""
     k = list(keys)
-    added = new.join(old, k, "left_anti").select(*k, F.lit("added").alias("status"))
-    removed = old.join(new, k, "left_anti").select(*k, F.lit("removed").alias("status"))
+    added = join_keys(new, old.select(*k), k, "left_anti").select(*k, F.lit("added").alias("status"))
+    removed = join_keys(old, new.select(*k), k, "left_anti").select(*k, F.lit("removed").alias("status"))
     return added.unionByName(removed)

@@ -29,7 +29,7 @@ def _sum_counters() -> list[Column]:
         zero("total_runs").alias("total_runs"),
         zero("successful_runs").alias("successful_runs"),
         zero("failed_runs").alias("failed_runs"),
-        zero("total_cost").cast(MONEY).alias("total_cost"),
+        zero("total_cost").alias("total_cost"),
         F.max("last_activity").alias("last_activity"),
     ]
 

@@ -9,12 +9,12 @@ from millrace.plans.registry import query
 def misspelled(t):
     """Part names with one character lost, by position of the part number."""
     at = (F.col("p_partkey") % 5 + 2).cast("int")
-    name = F.concat(F.substring("p_name", F.lit(1), at - 1), F.substring("p_name", at + 1, F.lit(100)))
+    name = F.concat(F.substring("p_name", F.lit(1), at - 1), F.substr("p_name", at + 1))
     return t.part.select("p_partkey", F.when(F.col("p_partkey") % 4 == 0, F.upper("p_name")).otherwise(name).alias("typed"))
 
 
 _TYPED = """typed AS (SELECT p_partkey, CASE WHEN p_partkey % 4 = 0 THEN upper(p_name) ELSE
-  substring(p_name, 1, CAST(p_partkey % 5 + 1 AS INTEGER)) || substring(p_name, CAST(p_partkey % 5 + 3 AS INTEGER), 100) END AS typed FROM part)"""
+  substring(p_name, 1, CAST(p_partkey % 5 + 1 AS INTEGER)) || substring(p_name, CAST(p_partkey % 5 + 3 AS INTEGER)) END AS typed FROM part)"""
 _NAMES = "names AS (SELECT p_name AS value, min(p_partkey) AS position FROM part GROUP BY p_name)"
 _SCORED = """scored AS (SELECT i.typed, value, position, 1 - CAST(levenshtein(lower(i.typed), lower(value)) AS DOUBLE) /
   greatest(length(i.typed), length(value)) AS score FROM (SELECT DISTINCT typed FROM typed) i, names)"""
@@ -38,7 +38,7 @@ def j7(t):
        SELECT c_custkey, match, score FROM s WHERE score > 0.8 QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY score DESC, position) = 1""",
 )
 def j7_customers(t):
-    typed = t.customer.select("c_custkey", F.concat(F.lit("Custmer#"), F.substring("c_name", 11, 100)).alias("typed"))
+    typed = t.customer.select("c_custkey", F.concat(F.lit("Custmer#"), F.substr("c_name", F.lit(11))).alias("typed"))
     candidates = t.customer.select("c_name", F.col("c_custkey").alias("position"))
     return op.fuzzy_match_join(typed, "typed", candidates, "c_name", "position", 0.8).drop("typed")
 

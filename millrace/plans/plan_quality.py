@@ -89,18 +89,18 @@ _STEPS = "(SELECT p_partkey, CASE WHEN p_partkey % 9 <> 0 THEN p_name END AS nam
 
 @query(
     "D6_config_row_checks",
-    f"""SELECT p_partkey, 'Missing name in configuration' AS message FROM {_STEPS} WHERE name IS NULL
-        UNION ALL SELECT p_partkey, 'catalogs and database steps conflict' FROM {_STEPS} WHERE list_contains(s, 1) AND list_contains(s, 6)
-        UNION ALL SELECT p_partkey, 'database step without schema step' FROM {_STEPS} WHERE list_contains(s, 6) AND NOT list_contains(s, 7)
-        UNION ALL SELECT p_partkey, 'schema step has no parent step' FROM {_STEPS} WHERE list_contains(s, 7) AND NOT list_contains(s, 6) AND NOT list_contains(s, 1)
-        UNION ALL SELECT p_partkey, 'artifacts step without schema selection' FROM {_STEPS} WHERE list_contains(s, 2) AND NOT list_contains(s, 1) AND NOT list_contains(s, 7)
-        UNION ALL SELECT p_partkey, 'step numbers must be positive integers' FROM {_STEPS} WHERE list_contains(s, 0)
-        UNION ALL SELECT p_partkey, 'duplicate step numbers are ignored' FROM {_STEPS} WHERE len(list_distinct(s)) < 3""",
+    f"""SELECT p_partkey, 'name is required' AS message FROM {_STEPS} WHERE name IS NULL
+        UNION ALL SELECT p_partkey, 'catalogs excludes database' FROM {_STEPS} WHERE list_contains(s, 1) AND list_contains(s, 6)
+        UNION ALL SELECT p_partkey, 'database needs schema' FROM {_STEPS} WHERE list_contains(s, 6) AND NOT list_contains(s, 7)
+        UNION ALL SELECT p_partkey, 'schema needs catalogs or database' FROM {_STEPS} WHERE list_contains(s, 7) AND NOT list_contains(s, 6) AND NOT list_contains(s, 1)
+        UNION ALL SELECT p_partkey, 'artifacts needs catalogs or schema' FROM {_STEPS} WHERE list_contains(s, 2) AND NOT list_contains(s, 1) AND NOT list_contains(s, 7)
+        UNION ALL SELECT p_partkey, 'screens must be positive numbers' FROM {_STEPS} WHERE list_contains(s, 0)
+        UNION ALL SELECT p_partkey, 'screens has repeats' FROM {_STEPS} WHERE len(list_distinct(s)) < 3""",
 )
 def d6(t):
-    steps = F.array(F.col("p_size").cast("bigint") % 8, F.col("p_partkey") % 7, F.lit(3).cast("bigint"))
-    rows = t.part.select("p_partkey", F.when(F.col("p_partkey") % 9 != 0, F.col("p_name")).alias("name"), steps.alias("steps"))
-    return op.validate_rules(rows, ["p_partkey"], op.step_list_rules("name", "steps")).select("p_partkey", "message")
+    screens = F.array(F.col("p_size").cast("bigint") % 8, F.col("p_partkey") % 7, F.lit(3).cast("bigint"))
+    rows = t.part.select("p_partkey", F.when(F.col("p_partkey") % 9 != 0, F.col("p_name")).alias("name"), screens.alias("screens"))
+    return op.validate_rules(rows, ["p_partkey"], op.list_rules("name", "screens")).select("p_partkey", "message")
 
 
 @query(

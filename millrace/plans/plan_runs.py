@@ -20,8 +20,7 @@ def a1(t):
     "(SELECT * FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 3)) AS sample FROM orders",
 )
 def a2(t):
-    ordered = t.orders.select((-F.col("o_totalprice")).alias("low"), "o_orderkey")
-    summary = op.summary_sample(ordered, ["low", "o_orderkey"], ["low", "o_orderkey"])
+    summary = op.summary_sample(t.orders, [F.col("o_totalprice").desc(), "o_orderkey"], ["o_orderkey"])
     return summary.select("total", F.array_join(F.col("sample.o_orderkey").cast("array<string>"), ",").alias("sample"))
 
 

@@ -56,10 +56,14 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
-def write_layout(df: DataFrame, path: str, distribution_key: str, sort_key: str) -> None:
-    """W7. Rows of a key together and each file sorted. Rebalancing (not plain hashing) splits a key that holds too
+def write_layout(df: DataFrame, path: str, distribution_key: str | Sequence[str] = (), sort_key: str | Sequence[str] = (), compression: str | None = None) -> None:
+    """W4, W7. Rows of a key together and each file sorted. Rebalancing (not plain hashing) splits a key that holds too
     many rows over several files instead of one task."""
-    df.hint("rebalance", distribution_key).sortWithinPartitions(sort_key).write.mode("overwrite").parquet(path)
+    dealt, sort = ([k] if isinstance(k, str) else list(k) for k in (distribution_key, sort_key))
+    df = df.hint("rebalance", *dealt) if dealt else df
+    df = df.sortWithinPartitions(*sort) if sort else df
+    writer = df.write.mode("overwrite")
+    (writer.option("compression", compression) if compression else writer).parquet(path)
 
 
 def write_bucketed(df: DataFrame, table: str, buckets: int, key: str, sort_key: str) -> None:

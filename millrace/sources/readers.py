@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
@@ -84,13 +85,12 @@ def scan_delimited(
     if schema is None:
         first = raw.agg(F.min("file_path")).scalar()
         head = raw.filter((F.col("file_path") == first) & (F.col("file_block_start") == 0)).take(line)[-1]["value"]
-        schema = T.StructType([T.StructField(c.strip().strip('"'), T.StringType()) for c in head.split(delimiter)])
+        schema = T.StructType([T.StructField(c.strip(), T.StringType()) for c in next(csv.reader([head], delimiter=delimiter))])
     elif isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
     body = numbered.mapInArrow(_without_preamble(line), "value string")
-    parsed = body.filter(F.trim("value") != "").select(
-        F.from_csv("value", F.lit(schema.simpleString()[len("struct<") : -1].replace(":", " ")), {"sep": delimiter, "escape": '"'}).alias("r")
-    )
+    ddl = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema)
+    parsed = body.filter(F.trim("value") != "").select(F.from_csv("value", F.lit(ddl), {"sep": delimiter, "escape": '"'}).alias("r"))
     return parsed.select("r.*")
 
 
@@ -120,26 +120,26 @@ def scan_object_store(spark: SparkSession, uri: str, file_format: str, *, glob:
     return reader.load(uri).select("*", F.col("_metadata.file_path").alias("source_file"))
 
 
-def jdbc_options(url: str, table: str, *, key: str, low: int, high: int, rows_per_task: int = 1_000_000, fetch: int = 10_000) -> dict:
-    """Options that split a table scan into ranges of a numeric key."""
+def jdbc_options(url: str, table: str, *, key: str, low: int, high: int, rows: int, rows_per_task: int = 1_000_000, fetch: int = 10_000) -> dict:
+    """Options that split a table scan into ranges of a numeric key, as many as ``rows`` need; the range only sets bounds."""
     return {
         "url": url,
         "dbtable": table,
         "partitionColumn": key,
         "lowerBound": str(low),
         "upperBound": str(max(high, low + 1)),
-        "numPartitions": str(max(1, -(-(high - low + 1) // rows_per_task))),
+        "numPartitions": str(max(1, min(high - low + 1, -(-rows // rows_per_task)))),
         "fetchsize": str(fetch),
     }
 
 
 def scan_jdbc(spark: SparkSession, url: str, table: str, *, key: str, rows_per_task: int = 1_000_000, **options) -> DataFrame:
     """S8. A database table read in parallel key ranges; filters and column lists are pushed to the database."""
-    bounds = spark.read.format("jdbc").options(url=url, query=f"SELECT MIN({key}) AS lo, MAX({key}) AS hi FROM {table}", **options)
-    lo, hi = bounds.load().head()
+    bounds = spark.read.format("jdbc").options(url=url, query=f"SELECT MIN({key}) AS lo, MAX({key}) AS hi, COUNT(*) AS n FROM {table}", **options)
+    lo, hi, n = bounds.load().head()
     if lo is None:
         return spark.read.format("jdbc").options(url=url, dbtable=table, **options).load()
-    split = jdbc_options(url, table, key=key, low=int(lo), high=int(hi), rows_per_task=rows_per_task)
+    split = jdbc_options(url, table, key=key, low=int(lo), high=int(hi), rows=int(n), rows_per_task=rows_per_task)
     return spark.read.format("jdbc").options(**split, **options).load()
 
 

@@ -1,117 +1,241 @@
 """Versioned tables on plain Parquet, and the high-water-mark table.
 
 Spark cannot overwrite a path it is reading, and plain Parquet has no MERGE. So each write goes to a new folder, split
-by *slot* (by default a hash of the keys), and then one small manifest row set names the folders that make up the new
-version. Readers see the old version or the new one. A merge rewrites only the slots its source touches.
-One writer at a time is assumed.
+by *slot* (by default a hash of the keys), and then one small manifest names the folders that make up the new version.
+Readers see the old version or the new one. A merge only adds *change* folders for the slots its source touches; reading
+takes the newest row of each changed key, and :meth:`TableStore.compact` folds changes back into their slots when they
+have become many. Keys are compared null-safely. One writer at a time is assumed.
 """
 
 from __future__ import annotations
 
 import json
-from collections import Counter
-from collections.abc import Callable, Sequence
+import re
+import uuid
+from collections import Counter, defaultdict
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SLOT = "_slot"
-_VERSION = "version bigint, op string, rows bigint, schema string"
-_PART = "slot int, dir string, rows bigint"
+SLOTS = 16
+#: Change folders of a slot, and their rows as a share of its other rows, above which a merge folds them in.
+MANY_CHANGES, LARGE_CHANGES = 8, 0.5
 
+BASE, CHANGE, GONE = "base", "change", "gone"  # kinds of folders: rows, rows that replace others, keys that were deleted
 
-def _write_rows(spark: SparkSession, rows: list[tuple], schema: str, path: str, mode: str) -> None:
-    """Write a few driver-side rows as one file, without starting Python workers."""
-    fields = T.StructType.fromDDL(schema)
-    text = json.dumps([dict(zip(fields.names, row, strict=True)) for row in rows])
-    one = spark.range(0, 1, 1, 1).select(F.inline(F.from_json(F.lit(text), T.ArrayType(fields))))
-    one.write.mode(mode).json(path)
 
+# ---- small files of the driver -------------------------------------------------------------------------------------
+
+
+def _files(spark: SparkSession, path: str):
+    """Hadoop's view of a path: its file system and the path itself."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    at = hadoop.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def _write_rows(spark: SparkSession, rows: Iterable[dict], folder: str) -> None:
+    """Add a file of JSON lines to a folder: written aside and renamed, so that it is there whole or not at all."""
+    fs, _ = _files(spark, folder)
+    name = uuid.uuid4().hex
+    part = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder, f"_{name}.tmp")
+    out = fs.create(part)
+    out.write("".join(json.dumps(r) + "\n" for r in rows).encode())
+    out.close()
+    done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder, f"{name}.json")
+    if not fs.rename(part, done):
+        raise OSError(f"{done} could not be written")
+
+
+def _read_rows(spark: SparkSession, folder: str) -> list[dict]:
+    """The rows of all files of a folder; none if it does not exist."""
+    fs, at = _files(spark, folder)
+    if not fs.exists(at):
+        return []
+    out = []
+    utils = spark.sparkContext._jvm.org.apache.commons.io.IOUtils
+    for f in fs.listStatus(at):
+        if f.getPath().getName().endswith(".json"):
+            stream = fs.open(f.getPath())
+            try:
+                out += [json.loads(line) for line in utils.toString(stream, "UTF-8").splitlines()]
+            finally:
+                stream.close()
+    return out
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """The names of the folders in a folder."""
+    fs, at = _files(spark, path)
+    return [f.getPath().getName() for f in fs.listStatus(at) if f.isDirectory()] if fs.exists(at) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, at = _files(spark, path)
+    fs.delete(at, True)
 
-def _read_rows(spark: SparkSession, schema: str, path: str) -> DataFrame | None:
-    """The rows below a path, or None where nothing was ever written."""
-    try:
-        return spark.read.schema(schema).json(path)
-    except PySparkException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+
+# ---- keys ----------------------------------------------------------------------------------------------------------
 
 
 def key_slot(keys: Sequence[str], slots: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(slots)).cast("int")
 
 
+def join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join on keys, null equal to null; the keys appear once. ``right`` must hold no other column of ``left``."""
+    marked = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    same = F.lit(True)
+    for k in keys:
+        same = same & left[k].eqNullSafe(marked[f"_right_{k}"])
+    out = left.join(marked, same, how)
+    return out if how in ("left_semi", "left_anti") else out.drop(*[f"_right_{k}" for k in keys])
+
+
 @dataclass(frozen=True)
 class Part:
-    """A folder with rows of one slot."""
+    """A folder with rows of one slot; ``seq`` is the version that wrote it."""
 
     slot: int
     dir: str
     rows: int
+    kind: str = BASE
+    seq: int = 0
 
 
 @dataclass(frozen=True)
 class Version:
+    """``slots`` is None where the slots are an expression of the writer's own; ``order`` is the column by which the
+    changes of a key are ranked, None where the later write wins."""
+
     number: int
     schema: T.StructType
     parts: list[Part]
+    keys: list[str]
+    slots: int | None
+    order: str | None = None
 
 
 class TableStore:
     """A table below ``path``. ``slot`` may be any integer expression over columns that never change for a key.
 
     ``versions`` holds one row per version and is the commit point; ``manifest/version=n`` holds the parts of version n.
-    What a crash leaves of an unfinished version is overwritten by the next attempt at it.
+    Keys and number of slots are stored with the table: a store opened without ``slots`` takes the stored number, and
+    other keys or another number are refused. What a crash leaves of an unfinished version is overwritten by the next
+    attempt at it.
     """
 
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], slots: int = 16, slot: Column | None = None):
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], slots: int | None = None, slot: Column | None = None):
         self.spark, self.path, self.keys = spark, path, list(keys)
-        self.slot = key_slot(keys, slots) if slot is None else slot
+        self._own_slot, self._asked = slot, slots
         self._latest: Version | None = None  # what this writer committed last
+        self.written: DataFrame | None = None  # the rows of its last merge
 
     # ---- versions -------------------------------------------------------------------------------------------------
 
     def versions(self) -> DataFrame | None:
-        """version, op, rows and schema of every version."""
-        return _read_rows(self.spark, _VERSION, f"{self.path}/versions")
+        """version, op and rows of every version; rows counts those written, changed and deleted ones included."""
+        rows = _read_rows(self.spark, f"{self.path}/versions")
+        if not rows:
+            return None
+        return self.spark.createDataFrame([(r["version"], r["op"], r["rows"]) for r in rows], "version bigint, op string, rows bigint")
 
     def version(self, number: int | None = None) -> Version | None:
-        """A version, by default the latest; its parts are at most one per slot and appended folder."""
+        """A version, by default the latest."""
         if self._latest is not None and number in (None, self._latest.number):
             return self._latest
-        rows = self.versions()
-        if rows is None:
+        rows = _read_rows(self.spark, f"{self.path}/versions")
+        if not rows:
             return None
-        rows = rows if number is None else rows.filter(F.col("version") == number)
-        found = rows.agg(F.max_by(F.struct("version", "schema"), "version").alias("v")).head()["v"]
+        found = max((r for r in rows if number in (None, r["version"])), key=lambda r: r["version"], default=None)
         if found is None:
             raise ValueError(f"there is no version {number}")
-        parts = _read_rows(self.spark, _PART, f"{self.path}/manifest/version={found['version']}")
-        return Version(found["version"], T.StructType.fromJson(json.loads(found["schema"])), [Part(*r) for r in parts.collect()])
+        self._check(found["keys"], found["slots"])
+        last = max((r for r in _read_rows(self.spark, f"{self.path}/manifest/version={found['version']}")), key=lambda r: r["at"])
+        parts = [Part(**p) for p in last["parts"]]
+        return Version(found["version"], T.StructType.fromJson(json.loads(found["schema"])), parts, found["keys"], found["slots"], found["order"])
+
+    def _check(self, keys: list[str], slots: int | None) -> None:
+        if keys != self.keys:
+            raise ValueError(f"the table {self.path} has the keys {keys}, not {self.keys}")
+        if self._own_slot is None and self._asked is not None and slots != self._asked:
+            raise ValueError(f"the table {self.path} has {slots} slots, not {self._asked}")
+        if self._own_slot is None and slots is None:
+            raise ValueError(f"the table {self.path} was written with slots of its own; give the same expression")
 
     def current_version(self) -> int:
         latest = self.version()
         return latest.number if latest else 0
 
+    def _slots(self) -> int | None:
+        if self._own_slot is not None:
+            return None
+        latest = self.version()
+        return latest.slots if latest else self._asked or SLOTS
+
+    @property
+    def slot(self) -> Column:
+        return key_slot(self.keys, self._slots()) if self._own_slot is None else self._own_slot
+
     # ---- read -----------------------------------------------------------------------------------------------------
 
     def read(self, version: int | None = None) -> DataFrame | None:
         """The table as of a version. None before the first write."""
         found = self.version(version)
-        return self._open(found.schema, found.parts) if found else None
+        return self._resolved(found, found.parts) if found else None
 
     def _open(self, schema: T.StructType, parts: Sequence[Part]) -> DataFrame:
         if not parts:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*[p.dir for p in parts])
 
+    def _resolved(self, found: Version, parts: Sequence[Part]) -> DataFrame:
+        """The rows that parts stand for: untouched ones as they are, and the newest of each changed key.
+
+        Only changed keys and the rows they meet are shuffled; slots without changes are read alone.
+        """
+        changed = {p.slot for p in parts if p.kind != BASE}
+        still = self._open(found.schema, [p for p in parts if p.slot not in changed])
+        if not changed:
+            return still
+        row = F.struct(*[F.col(f"`{c}`") for c in found.schema.names])
+        by: dict[tuple[str, int], list[Part]] = defaultdict(list)
+        for p in parts:
+            if p.kind != BASE:
+                by[p.kind, p.seq].append(p)
+        news = None
+        for (kind, seq), some in sorted(by.items(), key=lambda x: x[0][1]):  # as many as merges since the last compaction
+            df = self._open(found.schema, some)
+            one = df.select(*self.keys, (row if kind == CHANGE else F.lit(None).cast(found.schema)).alias("_row"), F.lit(seq).cast("long").alias("_seq"))
+            news = one if news is None else news.union(one)
+        base = self._open(found.schema, [p for p in parts if p.slot in changed and p.kind == BASE])
+        keys = news.select(*self.keys).distinct()
+        rank = F.col("_seq")
+        if found.order:
+            # a stored row that is not older stays: it counts as the first of equals
+            met = join_keys(base, keys, self.keys, "left_semi")
+            news = news.union(met.select(*self.keys, row, F.lit(0).cast("long")))
+            rank = F.struct(F.col("_row")[found.order], -F.col("_seq"))
+        newest = news.groupBy(*self.keys).agg(F.max_by(F.struct("_row"), rank).alias("_last")).select("_last._row").where("_row IS NOT NULL").select("_row.*")
+        return still.union(join_keys(base, keys, self.keys, "left_anti")).union(newest)
+
+    def read_slots(self, rows: DataFrame) -> DataFrame:
+        """The table's rows in the slots of the keys of ``rows``."""
+        slots = {r[0] for r in rows.select(self.slot).distinct().collect()}
+        latest = self.version()
+        return self._resolved(latest, [p for p in latest.parts if p.slot in slots])
+
+    def beside(self, name: str) -> TableStore:
+        """A table with the same keys and slots that belongs to this one."""
+        return TableStore(self.spark, f"{self.path}/beside/{name}", self.keys, self._slots(), self._own_slot)
+
     # ---- write ----------------------------------------------------------------------------------------------------
 
-    def _write(self, df: DataFrame, version: int) -> list[Part]:
+    def _write(self, df: DataFrame, version: int, kind: str = BASE) -> list[Part]:
         """Write the rows below a new folder; the parts that were written.
 
         The rebalance hint sizes files at run time: it splits a slot that holds too much and joins small ones.
@@ -121,13 +245,16 @@ class TableStore:
         slotted.hint("rebalance", SLOT).write.mode("overwrite").partitionBy(SLOT).parquet(folder)
         counted = self.spark.read.schema(T.StructType([*df.schema, T.StructField(SLOT, T.IntegerType())])).parquet(folder)
         sizes = counted.groupBy(SLOT).agg(F.count("*").alias("rows")).collect()
-        return [Part(r[SLOT], f"{folder}/{SLOT}={r[SLOT]}", r["rows"]) for r in sizes]
-
-    def _commit(self, version: int, parts: list[Part], schema: T.StructType, op: str) -> int:
-        _write_rows(self.spark, [(p.slot, p.dir, p.rows) for p in parts], _PART, f"{self.path}/manifest/version={version}", "overwrite")
-        row = (version, op, sum(p.rows for p in parts), schema.json())
-        _write_rows(self.spark, [row], _VERSION, f"{self.path}/versions", "append")
-        self._latest = Version(version, schema, parts)
+        return [Part(r[SLOT], f"{folder}/{SLOT}={r[SLOT]}", r["rows"], kind, version) for r in sizes]
+
+    def _commit(self, version: int, parts: list[Part], schema: T.StructType, op: str, order: str | None = None) -> int:
+        manifest = f"{self.path}/manifest/version={version}"
+        tries = [r["at"] for r in _read_rows(self.spark, manifest)]  # of a writer that died before its commit
+        _write_rows(self.spark, [{"at": max(tries, default=0) + 1, "parts": [p.__dict__ for p in parts]}], manifest)
+        slots = self._slots()
+        row = {"version": version, "op": op, "rows": sum(p.rows for p in parts), "schema": schema.json(), "keys": self.keys, "slots": slots, "order": order}
+        _write_rows(self.spark, [row], f"{self.path}/versions")
+        self._latest = Version(version, schema, parts, self.keys, slots, order)
         return version
 
     def replace(self, df: DataFrame, op: str = "overwrite") -> int:
@@ -143,24 +270,43 @@ class TableStore:
         latest = self.version()
         if latest is None:
             return self.replace(df, op)
+        if any(p.kind != BASE for p in latest.parts):
+            self.compact(changes=0)  # else a change would replace rows that came after it
+            latest = self.version()
         version = latest.number + 1
-        schema = T.StructType([*latest.schema, *[f for f in df.schema if f.name not in latest.schema.names]])
-        return self._commit(version, latest.parts + self._write(df, version), schema, op)
+        return self._commit(version, latest.parts + self._write(df, version), _wider(latest.schema, df.schema), op, latest.order)
 
-    def compact(self, most: int = 32) -> int:
-        """Rewrite the slots that consist of more than ``most`` folders, each into one."""
+    def compact(self, most: int = 32, changes: int | None = None) -> int:
+        """Rewrite the slots of more than ``most`` folders, or with more than ``changes`` change folders, each into one."""
         latest = self.version()
-        folders = Counter(p.slot for p in latest.parts) if latest else Counter()
-        many = {slot for slot, n in folders.items() if n > most}
+        if latest is None:
+            return 0
+        all_, new = Counter(p.slot for p in latest.parts), Counter(p.slot for p in latest.parts if p.kind != BASE)
+        many = {s for s, n in all_.items() if n > most or (changes is not None and new[s] > changes)}
         if not many:
-            return latest.number if latest else 0
-        return self._swap(latest, many, self._open(latest.schema, [p for p in latest.parts if p.slot in many]), "compact")
+            return latest.number
+        return self._swap(latest, many, self._resolved(latest, [p for p in latest.parts if p.slot in many]), "compact")
+
+    def vacuum(self, keep: int = 10) -> list[str]:
+        """Remove what only versions before the newest ``keep`` need, and rows staged for them; the removed folders."""
+        latest = self.version()
+        if latest is None:
+            return []
+        least = max(1, latest.number - keep + 1)
+        rows = [r["version"] for r in _read_rows(self.spark, f"{self.path}/versions")]
+        used = {re.sub(rf"/{SLOT}=[^/]*$", "", p.dir) for n in rows if n >= least for p in self.version(n).parts}
+        gone = [f"data/{d}" for d in folders(self.spark, f"{self.path}/data") if f"{self.path}/data/{d}" not in used]
+        gone += [f"staged/{d}" for d in folders(self.spark, f"{self.path}/staged")]
+        gone += [f"manifest/{d}" for d in folders(self.spark, f"{self.path}/manifest") if int(d.split("=")[1]) < least]
+        for d in gone:
+            remove(self.spark, f"{self.path}/{d}")
+        return gone
 
     def _swap(self, latest: Version, slots: set[int], rows: DataFrame, op: str) -> int:
         """A version whose given slots hold ``rows`` and whose other slots stay as they are."""
         version = latest.number + 1
         kept = [p for p in latest.parts if p.slot not in slots]
-        return self._commit(version, kept + self._write(rows, version), rows.schema, op)
+        return self._commit(version, kept + self._write(rows, version), rows.schema, op, latest.order)
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:
         """Write an intermediate result once, so that it is neither recomputed nor different on a retry."""
@@ -182,46 +328,74 @@ class TableStore:
         touched = {r[0] for r in new.select(self.slot).distinct().collect()}
         if not touched:
             return latest.number
-        old = self._open(latest.schema, [p for p in latest.parts if p.slot in touched])
+        old = self._resolved(latest, [p for p in latest.parts if p.slot in touched])
         return self._swap(latest, touched, change(old, new), op)
 
-    def upsert(self, source: DataFrame, op: str = "upsert", staged=False) -> int:
-        """W3. Rows of the source replace the rows with their keys. The source must hold each key once.
+    def merge(self, source: DataFrame, op: str = "upsert", kind: str = CHANGE, order: str | None = None) -> int:
+        """Add changes: rows that replace those of their keys, or with ``GONE`` the keys of rows to delete.
 
-        The old rows meet only the source's keys: while those are small enough to broadcast, the old rows of the
-        touched slots are not shuffled for the join.
+        Only the source is written. With ``order`` the row with the greatest value there stays, of equals the stored one;
+        a table is merged with one order all its life. The source must hold each key once.
         """
+        latest = self.version()
+        if latest is None:
+            first = self._write(source, 1)
+            self.written = self._open(source.schema, first)
+            return self._commit(1, first, source.schema, op, order)
+        if latest.order != order and any(p.kind != BASE for p in latest.parts):
+            self.compact(changes=0)
+            latest = self.version()
+        version = latest.number + 1
+        new = self._write(source, version, kind)
+        self.written = self._open(source.schema, new)
+        if not new:
+            return latest.number
+        schema = latest.schema if kind == GONE else _wider(latest.schema, source.schema)
+        self._commit(version, latest.parts + new, schema, op, order)
+        rows: dict[tuple[int, bool], int] = defaultdict(int)
+        folders_ = Counter(p.slot for p in self._latest.parts if p.kind != BASE)
+        for p in self._latest.parts:
+            rows[p.slot, p.kind == BASE] += p.rows
+        full = {s for s, n in folders_.items() if n > MANY_CHANGES or (n > 1 and rows[s, False] > LARGE_CHANGES * rows[s, True])}
+        if full:
+            found = self._latest
+            return self._swap(found, full, self._resolved(found, [p for p in found.parts if p.slot in full]), op)
+        return version
 
-        def change(old: DataFrame, new: DataFrame) -> DataFrame:
-            return old.join(new.select(*self.keys), self.keys, "left_anti").unionByName(new, allowMissingColumns=True)
-
-        return self.rewrite(source, change, op, staged)
+    def upsert(self, source: DataFrame, op: str = "upsert") -> int:
+        """W3. Rows of the source replace the rows with their keys. The source must hold each key once."""
+        return self.merge(source, op)
 
     def delete(self, keys: DataFrame, op: str = "delete") -> int:
         """Remove the rows with the given keys."""
         if self.version() is None:
             return 0
-        return self.rewrite(keys.select(*self.keys).distinct(), lambda old, k: old.join(k, self.keys, "left_anti"), op)
+        keys = keys.select(*self.keys).distinct()
+        if self.version().order is None:
+            return self.merge(keys, op, GONE)
+        # keys alone have no place in the order of changes, so their slots are rewritten
+        return self.rewrite(keys, lambda old, k: join_keys(old, k, self.keys, "left_anti"), op)
+
+
+def _wider(old: T.StructType, new: T.StructType) -> T.StructType:
+    return T.StructType([*old, *[f for f in new if f.name not in old.names]])
 
 
 class MarkTable:
-    """High-water marks per artifact: appended rows, the newest version of each artifact counts."""
+    """High-water marks per artifact: a file per mark, the newest of each artifact counts. Loads may run side by side."""
 
     SCHEMA = "artifact string, mark string, version bigint"
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
 
-    def _rows(self) -> DataFrame | None:
-        return _read_rows(self.spark, self.SCHEMA, self.path)
+    def _of(self, artifact: str) -> list[dict]:
+        return [r for r in _read_rows(self.spark, self.path) if r["artifact"] == artifact]
 
     def get(self, artifact: str) -> str | None:
-        rows = self._rows()
-        if rows is None:
-            return None
-        return rows.filter(F.col("artifact") == artifact).agg(F.max_by("mark", "version")).head()[0]
+        last = max(self._of(artifact), key=lambda r: r["version"], default=None)
+        return last["mark"] if last else None
 
     def put(self, artifact: str, mark: str) -> None:
-        rows = self._rows()
-        last = rows.agg(F.max("version")).head()[0] if rows is not None else 0
-        _write_rows(self.spark, [(artifact, mark, (last or 0) + 1)], self.SCHEMA, self.path, "append")
+        version = max((r["version"] for r in self._of(artifact)), default=0) + 1
+        _write_rows(self.spark, [{"artifact": artifact, "mark": mark, "version": version}], self.path)

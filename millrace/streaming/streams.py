@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from millrace.operators.ingest import ingest_cdc, with_errors
 from millrace.operators.runs import newest
 from millrace.operators.sliced import top_per_group
-from millrace.sources.store import TableStore
+from millrace.sources.store import TableStore, join_keys
 
 
 def read_files(spark: SparkSession, path: str, schema, files_per_batch: int = 1000, file_format: str = "parquet") -> DataFrame:
@@ -124,7 +124,7 @@ def stream_alerts(
         few = top_per_group(batch, [entity], newest(ts, tie), n).drop("rank")
 
         def change(old: DataFrame, new: DataFrame) -> DataFrame:
-            both = old.join(new.select(entity, tie), [entity, tie], "left_anti").unionByName(new)
+            both = join_keys(old, new.select(entity, tie), [entity, tie], "left_anti").unionByName(new)
             return top_per_group(both, [entity], newest(ts, tie), n).drop("rank")
 
         store.rewrite(few, change, f"alert batch {batch_id}")

@@ -63,17 +63,18 @@ def test_rules(spark):
     "steps, messages",
     [
         ([1, 2], set()),
-        ([], {"steps is empty"}),
-        (None, {"Missing steps array"}),
-        ([1, 6, 7], {"catalogs and database steps conflict"}),
-        ([6, 2], {"database step without schema step", "artifacts step without schema selection"}),
-        ([7], {"schema step has no parent step"}),
-        ([1, 0, 1], {"step numbers must be positive integers", "duplicate step numbers are ignored"}),
+        ([], {"screens is empty"}),
+        (None, {"screens is required"}),
+        ([1, 6, 7], {"catalogs excludes database"}),
+        ([6, 2], {"database needs schema", "artifacts needs catalogs or schema"}),
+        ([7], {"schema needs catalogs or database"}),
+        ([1, 0, 1], {"screens must be positive numbers", "screens has repeats"}),
+        ([1, None], {"screens must be positive numbers"}),
     ],
 )
-def test_step_lists(spark, steps, messages):
-    df = spark.createDataFrame([(1, "n", steps)], "id int, name string, steps array<int>")
-    found = quality.validate_rules(df, ["id"], quality.step_list_rules("name", "steps")).collect()
+def test_screen_lists(spark, steps, messages):
+    df = spark.createDataFrame([(1, "n", steps)], "id int, name string, screens array<int>")
+    found = quality.validate_rules(df, ["id"], quality.list_rules("name", "screens")).collect()
     assert {r.message for r in found} == messages
 
 

@@ -101,9 +101,9 @@ def test_json_path(spark):
 
 
 def test_jdbc_ranges():
-    made = src.jdbc_options("jdbc:x", "t", key="id", low=1, high=2_500_000)
-    assert (made["numPartitions"], made["lowerBound"], made["upperBound"], made["partitionColumn"]) == ("3", "1", "2500000", "id")
-    assert src.jdbc_options("jdbc:x", "t", key="id", low=5, high=5)["numPartitions"] == "1"
+    made = src.jdbc_options("jdbc:x", "t", key="id", low=1, high=10**18, rows=2_500_000)
+    assert (made["numPartitions"], made["lowerBound"], made["upperBound"], made["partitionColumn"]) == ("3", "1", str(10**18), "id")
+    assert src.jdbc_options("jdbc:x", "t", key="id", low=5, high=5, rows=9_000_000)["numPartitions"] == "1"
 
 
 def test_column_list():

@@ -171,7 +171,7 @@ def test_multi_table_sync_options(spark, folder):
     spark.createDataFrame([(1, [1, 2]), (2, [])], "id int, tags array<int>").createOrReplaceTempView("sync_src")
     load = lambda **o: op.multi_table_sync(spark, [op.Artifact("sync_src", "out", merge_columns=["id"], **o)], folder, "1").head()
     assert load(ingestion_type="upsert", auto_explode=True).row_count == 2
-    assert spark.read.parquet(f"{folder}/out__tags").count() == 2
+    assert TableStore(spark, f"{folder}/out__tags", ["id"]).read().count() == 2
     spark.createDataFrame([(2, [3])], "id int, tags array<int>").createOrReplaceTempView("sync_src")
     assert load(ingestion_type="upsert", detect_deletes=True).row_count == 1
     bad = load(ingestion_type="upsert", steps=[{"explode": "tags"}])
