@@ -1,5 +1,7 @@
 """Ingestion modes I1-I15, V1, and the flagship load."""
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from millrace.operators import ingest as op
@@ -67,9 +69,40 @@ def i1(t):
     return _spread(_snapshots(t, 2))
 
 
-@query("I2_snapshot_retention", f"SELECT 's' || i AS {_SNAP}, (SELECT unnest([3, 4, 5]) AS i) GROUP BY i")
+@query("I2_snapshot_retention", f"SELECT 's' || i AS {_SNAP}, (SELECT unnest([10, 11, 12]) AS i) GROUP BY i")
 def i2(t):
-    return _spread(op.snapshot_retention(_snapshots(t, 5)))
+    """Twelve snapshots, of which the last three by number stay."""
+    return _spread(op.snapshot_retention(_snapshots(t, 12)))
+
+
+@query("I2_retain_snapshots", f"SELECT 's' || i AS {_SNAP}, (SELECT unnest([9, 10, 11, 12]) AS i) GROUP BY i")
+def i2_removed(t):
+    path = work_path(t.spark, "retained")
+    for i in range(1, 13):
+        op.ingest_snapshot(t.customer.withColumn("c_acctbal", F.col("c_acctbal") + i), path, f"s{i}")
+        op.retain_snapshots(t.spark, path, 4)
+    return _spread(t.spark.read.parquet(path))
+
+
+@query("I3_delta_by_number", "SELECT user_id, max(event_id) AS event_id FROM events GROUP BY user_id")
+def i3_number(t):
+    """Deltas past a number: the newest event of each user after three loads."""
+    store = TableStore(t.spark, work_path(t.spark, "by_number"), ["user_id"], slots=4)
+    marks = MarkTable(t.spark, f"{store.path}/marks")
+    events = t.events.select("event_id", "user_id")
+    for third in (900, 9_000, 10**12):
+        op.ingest_delta(store, events.filter(F.col("event_id") <= third), "event_id", marks, "events")
+    return store.read().select("user_id", "event_id")
+
+
+@query(
+    "I3_delta_two_marks",
+    """SELECT o_orderkey FROM orders WHERE greatest(coalesce(o_orderdate, TIMESTAMP '1970-01-01'), CASE WHEN o_orderkey % 5 = 0 THEN TIMESTAMP '2002-01-01' ELSE o_orderdate END) > TIMESTAMP '2001-01-01'""",
+)
+def i3_two(t):
+    """A row is new if any of its marks is."""
+    orders = t.orders.withColumn("changed", F.when(F.col("o_orderkey") % 5 == 0, F.lit("2002-01-01 00:00:00").cast("timestamp_ntz")))
+    return op.watermark_filter(orders, ["o_orderdate", "changed"], "2001-01-01 00:00:00").select("o_orderkey")
 
 
 @query("I4_watermark_filter", "SELECT event_id, user_id FROM events WHERE ts > TIMESTAMP '2024-01-20 12:00:00'")
@@ -133,6 +166,17 @@ def i8_stored(t):
     return shown_history(store.read())
 
 
+@query("I8_ingest_historical_late", f"WITH {_HISTORY}")
+def i8_late(t):
+    """Loads in another order than time, with repeats and with rows that have no time, give the same history."""
+    store = TableStore(t.spark, work_path(t.spark, "late"), ["user_id"], slots=4)
+    lost = t.events.withColumn("ts", F.lit(None).cast("timestamp_ntz")).filter("event_id % 100 = 0")
+    for i in (2, 0, 1, 0):
+        part = t.events.filter(F.pmod(F.col("event_id") * 7, F.lit(3)) == i)
+        op.ingest_historical(store, part.unionByName(lost), "ts", ["event_type"])
+    return shown_history(store.read())
+
+
 def order_changes(t):
     """v1 to v2 as inserts, updates and deletes, each key also with an older, overtaken change."""
     key, old = F.col("o_orderkey"), F.col("o_orderdate") < F.lit("1999-01-01").cast("timestamp_ntz")
@@ -239,6 +283,64 @@ def i14(t):
     return outcome.drop("message")
 
 
+_TEN = " UNION ALL ".join(
+    f"SELECT 't{i}' AS target, o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 10 = {i}" for i in range(10)
+)
+
+
+@query("I14_ten_deltas", _TEN)
+def i14_ten(t):
+    """Ten delta loads side by side, in two rounds, with all rows of their targets."""
+    root = work_path(t.spark, "ten")
+    for last in ("1998-01-01 00:00:00", "2100-01-01 00:00:00"):
+        items = []
+        for i in range(10):
+            some = t.orders.filter((F.col("o_orderkey") % 10 == i) & (F.col("o_orderdate") < F.lit(last).cast("timestamp_ntz")))
+            some.createOrReplaceTempView(f"millrace_ten_{i}")
+            items.append({"sourceTable": f"millrace_ten_{i}", "targetTable": f"t{i}", "mode": "incremental", "primaryKey": "o_orderkey", "timestampColumn": "o_orderdate"})
+        outcome = op.multi_table_sync(t.spark, [op.artifact_from_config(i) for i in items], root, "1")
+        bad = outcome.filter("NOT success").collect()
+        if bad:
+            raise ValueError(bad[0].message)
+    read = [TableStore(t.spark, f"{root}/t{i}", ["o_orderkey"]).read().select(F.lit(f"t{i}").alias("target"), "o_orderkey", "o_orderstatus", "o_totalprice") for i in range(10)]
+    return reduce(lambda a, b: a.union(b), read)
+
+
+@query(
+    "I14_files_and_documents",
+    """SELECT 'file' AS kind, c_custkey AS id, CAST(NULL AS INTEGER) AS pos, c_name AS text, CAST(NULL AS DOUBLE) AS number FROM customer, range(2)
+       UNION ALL SELECT 'payload', c_custkey, NULL, c_mktsegment, c_acctbal FROM customer, range(2)
+       UNION ALL SELECT 'document', event_id, NULL, event_type, CAST(user_id AS DOUBLE) FROM events, range(2)
+       UNION ALL SELECT 'child', event_id, CAST(pos AS INTEGER), NULL, value + pos FROM events, (SELECT unnest([0, 1]) AS pos), range(2) WHERE event_id % 4 <> 0""",
+)
+def i14_files(t):
+    """By configuration alone, twice in append mode: a file with its header on line 3, API payloads, nested documents."""
+    root = work_path(t.spark, "configured")
+    files, lines = f"{root}/in", t.customer.select(F.concat_ws("|", "c_custkey", F.concat(F.lit('"'), "c_name", F.lit('"'))).alias("value"))
+    head = t.spark.createDataFrame([(0, "made today"), (1, "by hand"), (2, 'Cust Key|"Full | Name"')], "i int, value string")
+    lines.withColumn("i", F.lit(3)).unionByName(head).coalesce(1).sortWithinPartitions("i").select("value").write.text(files)
+    record = F.struct(F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("segment"), F.col("c_acctbal").alias("balance"))
+    t.customer.groupBy((F.col("c_custkey") % 50).alias("page")).agg(
+        F.to_json(F.struct(F.struct(F.collect_list(record).alias("items")).alias("data"))).alias("payload")
+    ).createOrReplaceTempView("millrace_payloads")
+    event_documents(t).createOrReplaceTempView("millrace_documents")
+    items = [
+        {"sourceFile": files, "sourceFileFormat": "txt", "sourceFileDelimiter": "|", "containsHeader": "true", "columnHeaderLineNumber": "3", "targetTable": "file", "mode": "append"},
+        {"sourceTable": "millrace_payloads", "jsonPath": "$.data.items", "jsonRecord": "struct<id: bigint, segment: string, balance: double>", "targetTable": "payload", "mode": "append"},
+        {"sourceCollection": "millrace_documents", "flatten": _DOC, "documentColumn": "doc", "targetTable": "document", "mode": "append", "primaryKey": "event_id"},
+    ]
+    for _ in range(2):
+        bad = op.multi_table_sync(t.spark, [op.artifact_from_config(i) for i in items], root, "1").filter("NOT success").collect()
+        if bad:
+            raise ValueError(bad[0].message)
+    none, read = F.lit(None), lambda name, key: TableStore(t.spark, f"{root}/{name}", [key]).read()
+    file = read("file", "Cust Key").select(F.lit("file").alias("kind"), F.col("Cust Key").cast("bigint").alias("id"), none.cast("int").alias("pos"), F.col("Full | Name").alias("text"), none.cast("double").alias("number"))
+    payload = read("payload", "page").select(F.lit("payload"), "id", none.cast("int"), "segment", "balance")
+    document = read("document", "event_id").select(F.lit("document"), "event_id", none.cast("int"), F.col("`user.last.kind`"), F.col("`user.id`").cast("double"))
+    child = read("document__seen", "event_id").select(F.lit("child"), "event_id", "pos", none.cast("string"), "element")
+    return file.union(payload).union(document).union(child)
+
+
 _ROWS = "SELECT c_custkey, number, regexp_matches(trim(number), '^[+-]?[0-9]+$') OR number IS NULL AS ok FROM dirty"
 
 

@@ -162,6 +162,38 @@ def w3(t):
     return store.read().select("o_orderkey", "o_totalprice")
 
 
+@query(
+    "W3_upsert_other_slots",
+    """SELECT o_orderkey, o_totalprice FROM orders_v2 WHERE o_orderkey % 7 = 0 UNION ALL
+       SELECT o_orderkey, o_totalprice FROM orders_v1 WHERE o_orderkey NOT IN (SELECT o_orderkey FROM orders_v2 WHERE o_orderkey % 7 = 0)""",
+    "orders_v1 orders_v2",
+)
+def w3_slots(t):
+    """A store that is opened without the number of slots takes the stored one."""
+    path = work_path(t.spark, "slots")
+    TableStore(t.spark, path, ["o_orderkey"], slots=4).replace(t.orders_v1)
+    store = TableStore(t.spark, path, ["o_orderkey"])
+    store.upsert(t.orders_v2.filter("o_orderkey % 7 = 0"))
+    return store.read().select("o_orderkey", "o_totalprice")
+
+
+@query(
+    "W3_upsert_null_keys",
+    """WITH k AS (SELECT CASE WHEN o_custkey % 3 <> 0 THEN o_custkey END AS k, o_orderkey, o_totalprice FROM orders)
+       SELECT k, max_by(o_totalprice, o_orderkey) AS price FROM k GROUP BY k""",
+)
+def w3_null_keys(t):
+    """Null is a key: orders in four loads, a third of them without a customer, leave one row per customer and one without."""
+    keyed = t.orders.select(F.when(F.col("o_custkey") % 3 != 0, F.col("o_custkey")).alias("k"), "o_orderkey", "o_totalprice")
+    store = TableStore(t.spark, work_path(t.spark, "null_keys"), ["k"], slots=4)
+    for i in range(4):
+        some = keyed.filter(F.col("o_orderkey") % 4 == i)
+        old = store.read()
+        newest = (some if old is None else some.union(old)).groupBy("k").agg(F.max_by(F.struct("o_orderkey", "o_totalprice"), "o_orderkey").alias("o"))
+        store.upsert(newest.select("k", "o.*"))
+    return store.read().select("k", F.col("o_totalprice").alias("price"))
+
+
 @query("W4_write_lake_parquet", _ORDERS)
 def w4(t):
     path = work_path(t.spark, "lake")
