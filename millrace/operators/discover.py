@@ -58,6 +58,14 @@ def column_inventory(tables: Tables, distinct: bool = False) -> DataFrame:
     return _union([_column_rows(df, name, describe) for name, df in tables.items()])
 
 
+def table_columns(spark: SparkSession, name: str) -> DataFrame:
+    """Q7. The columns of a registered table or view by its name; none for a name that is not known."""
+    known = spark.catalog.tableExists(name)
+    fields = spark.table(name).schema if known else []
+    rows = [(name, i, f.name, f.dataType.simpleString(), "YES" if f.nullable else "NO") for i, f in enumerate(fields)]
+    return spark.createDataFrame(rows, "table string, ordinal int, column string, type string, nullable string")
+
+
 def schema_drift(old: T.StructType, new: T.StructType) -> list[tuple[str, str]]:
     """Columns that were added, removed or changed type between two schemas."""
     before = {f.name: f.dataType.simpleString() for f in old}
@@ -131,33 +139,60 @@ def _describe(i: int, f: T.StructField) -> dict[str, str]:
 
 PROFILE = (
     "`table` string, row_count bigint, ordinal int, `column` string, type string, is_time boolean, null_count bigint, "
-    "min_value string, max_value string, approx_distinct bigint, is_unique boolean"
+    "min_value string, max_value string, approx_distinct bigint, is_unique boolean, tested boolean"
 )
 
 
 NEARLY_UNIQUE = 0.75  # five standard errors (5 % each) of the estimate below one
 
 
-def profile_tables(tables: Tables) -> DataFrame:
+def profile_tables(tables: Tables, near: float = NEARLY_UNIQUE) -> DataFrame:
     """Q10. Per column: rows, nulls, least and greatest value, and whether it identifies the rows.
 
-    One pass over each table estimates distinct counts. Only columns whose estimate is near the row count get the exact
-    test, which groups by that column; a column estimated well below the row count cannot be unique. The result is
-    metadata (one row per column), so it is gathered here and not computed again by every use.
+    One pass over each table estimates distinct counts. Columns whose estimate is at least ``near`` of the row count get
+    the exact test, which groups by that column; ``tested`` says which did, and 0 tests all. The result is metadata (one row
+    per column), so it is gathered here and not computed again by every use.
     """
     rows = _union([_column_rows(df, name, _describe) for name, df in tables.items()]).collect()
 
     def may_be_key(r) -> bool:
         kind = tables[r["table"]].schema[r["column"]].dataType
-        near = r["row_count"] > 0 and r["null_count"] == 0 and r["approx_distinct"] >= NEARLY_UNIQUE * r["row_count"]
-        return near and isinstance(kind, _KEY_TYPES)
+        enough = r["row_count"] > 0 and r["null_count"] == 0 and r["approx_distinct"] >= near * r["row_count"]
+        return enough and isinstance(kind, _KEY_TYPES)
 
     likely = [(r["table"], r["column"]) for r in rows if may_be_key(r)]
     tests = [_repeats(tables[t], c).selectExpr(f"{_text(t)} AS t", f"{_text(c)} AS c") for t, c in likely]
     repeated = {(r["t"], r["c"]) for r in _union(tests).collect()} if tests else set()
     unique = set(likely) - repeated
     spark = next(iter(tables.values())).sparkSession
-    return spark.createDataFrame([(*r, (r["table"], r["column"]) in unique) for r in rows], PROFILE)
+    at = [(r["table"], r["column"]) for r in rows]
+    return spark.createDataFrame([(*r, c in unique, c in likely) for r, c in zip(rows, at)], PROFILE)
+
+
+def key_pairs(tables: Tables, profiles: DataFrame, near: float = NEARLY_UNIQUE) -> DataFrame:
+    """I16. ``table, pair``: the first two columns, in table order, that identify the rows of a table without a key column.
+
+    Pairs that cannot have enough values are left out by the profile, one pass over the table estimates the others, and
+    those near the row count are tested exactly until one holds.
+    """
+    rows = profiles.orderBy("ordinal").collect()
+    found = []
+    for name, df in tables.items():
+        mine = [r for r in rows if r["table"] == name]
+        if any(r["is_unique"] for r in mine) or not mine or not mine[0]["row_count"]:
+            continue
+        n = mine[0]["row_count"]
+        parts = [r for r in mine if not r["null_count"] and isinstance(df.schema[r["column"]].dataType, _KEY_TYPES)]
+        pairs = [(a["column"], b["column"]) for i, a in enumerate(parts) for b in parts[i + 1 :] if a["approx_distinct"] * b["approx_distinct"] >= near * n]
+        if not pairs:
+            continue
+        sizes = df.agg(*[F.approx_count_distinct(F.struct(*map(_quoted, p))) for p in pairs]).head()
+        for pair, size in zip(pairs, sizes):
+            if size >= near * n and df.groupBy(*map(_quoted, pair)).count().filter("count > 1").isEmpty():
+                found.append((name, list(pair)))
+                break
+    spark = next(iter(tables.values())).sparkSession
+    return spark.createDataFrame(found, "table string, pair array<string>")
 
 
 def _repeats(df: DataFrame, column: str) -> DataFrame:
@@ -172,11 +207,11 @@ _WATERMARK_NAMES = ("updated_at", "modified_at", "last_modified", "update_time",
 _OPERATION_NAMES = ("op", "_op", "operation", "__op", "change_type", "_change_type", "cdc_operation")
 
 
-def recommend_ingestion(profiles: DataFrame) -> DataFrame:
+def recommend_ingestion(profiles: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
     """I16. One row per table: how to load it, how sure that is (0-100) and why. The published contract names the
     fields; the rules are this library's own:
 
-    * merge column: the first column that is never null and unique;
+    * merge columns: the first column that is never null and unique, else the pair of ``pairs`` (see :func:`key_pairs`);
     * watermark: the time column without nulls with the most distinct values, usual names first among equals;
     * an operation column with a key gives ``cdc``; key and watermark give ``delta``; a watermark alone gives
       ``historical``; anything else ``snapshot``;
@@ -194,7 +229,12 @@ def recommend_ingestion(profiles: DataFrame) -> DataFrame:
         watermark.alias("_watermark"),
         F.bool_or(F.lower("column").isin(*_OPERATION_NAMES)).alias("_has_op"),
     )
-    has_key, has_time = F.col("_key").isNotNull(), F.col("_watermark").isNotNull()
+    if pairs is None:
+        found = found.withColumn("pair", F.lit(None).cast("array<string>"))
+    else:
+        found = found.join(pairs, "table", "left")
+    found = found.withColumn("_keys", F.coalesce(F.when(F.col("_key").isNotNull(), F.array("_key")), "pair"))
+    has_key, has_time = F.col("_keys").isNotNull(), F.col("_watermark").isNotNull()
     kind = (
         F.when(has_key & F.col("_has_op"), "cdc").when(has_key & has_time, "delta").when(has_time, "historical").otherwise("snapshot")
     )
@@ -207,7 +247,7 @@ def recommend_ingestion(profiles: DataFrame) -> DataFrame:
         .otherwise(60)
     )
     reason = F.concat(
-        F.coalesce(F.concat(F.lit("unique key "), "_key"), F.lit("no unique key")),
+        F.coalesce(F.concat(F.lit("unique key "), F.array_join("_keys", ", ")), F.lit("no unique key")),
         F.lit(", "),
         F.coalesce(F.concat(F.lit("time column "), "_watermark"), F.lit("no time column")),
     )
@@ -215,7 +255,7 @@ def recommend_ingestion(profiles: DataFrame) -> DataFrame:
         "table",
         kind.alias("ingestionType"),
         sure.alias("confidence"),
-        F.when(has_key, F.array("_key")).alias("mergeColumns"),
+        F.col("_keys").alias("mergeColumns"),
         F.when(has_time, F.array("_watermark")).alias("watermarkColumnName"),
         (kind == "cdc").alias("cdcSupported"),
         reason.alias("reason"),

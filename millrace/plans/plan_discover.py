@@ -86,13 +86,13 @@ def _profile_sql(table: str, i: int, column: str, kind: str) -> str:
     least, most = (_text(column, kind, w) for w in ("min", "max"))
     return (
         f"SELECT '{table}' AS \"table\", count(*) AS row_count, {i} AS ordinal, '{column}' AS \"column\", count(*) - count({column}) AS null_count, "
-        f"{least} AS min_value, {most} AS max_value, {unique} AS is_unique FROM {table}"
+        f"{least} AS min_value, {most} AS max_value, {unique} AS is_unique, '{kind}' AS type, {str(kind.startswith('timestamp')).lower()} AS is_time FROM {table}"
     )
 
 
 @query("Q10_profile_table", " UNION ALL ".join(_profile_sql("orders", i, c, k) for i, (c, k) in enumerate(COLUMNS["orders"])))
 def q10(t):
-    return op.profile_tables({"orders": t.orders}).drop("type", "is_time", "approx_distinct")
+    return op.profile_tables({"orders": t.orders}).drop("approx_distinct", "tested")
 
 
 @query("Q11_schema_index", f"SELECT catalog || '.' || schema || '.' || \"table\" AS path, 'table' AS type FROM ({_COUNTED}) WHERE \"table\" LIKE '%o%'")
@@ -109,13 +109,19 @@ def q12(t):
     return op.table_row_counts(t.every())
 
 
-_RECOMMENDED = ["nation", "customer", "part", "orders", "lineitem", "events"]
+_RECOMMENDED = list(TABLE_NAMES)
 
 
 def _recommendation_sql(table: str) -> str:
     keys = " ".join(
         f"WHEN count(*) > 0 AND count(DISTINCT {c}) = count(*) THEN '{c}'" for c, k in COLUMNS[table] if k in ("string", "int", "bigint")
     )
+    may = [c for c, k in COLUMNS[table] if k in ("string", "int", "bigint")]
+    keys += " ".join(
+        f" WHEN count(*) > 0 AND count({a}) = count(*) AND count({b}) = count(*) AND count(DISTINCT ({a}, {b})) = count(*) THEN '{a},{b}'"
+        for i, a in enumerate(may)
+        for b in may[i + 1 :]
+    )
     times = [c for c, k in COLUMNS[table] if k == "timestamp_ntz"]
     mark = f"CASE WHEN count(*) > 0 AND count({times[0]}) = count(*) THEN '{times[0]}' END" if times else "NULL"
     return f"SELECT '{table}' AS \"table\", CASE {keys} END AS k, {mark} AS w FROM {table}"
@@ -129,7 +135,8 @@ def _recommendation_sql(table: str) -> str:
           k AS merge_column, w AS watermark, false AS "cdcSupported" FROM r""",
 )
 def i16(t):
-    found = op.recommend_ingestion(op.profile_tables({name: getattr(t, name) for name in _RECOMMENDED}))
+    profiles = op.profile_tables(t.every())
+    found = op.recommend_ingestion(profiles, op.key_pairs(t.every(), profiles))
     return found.select(
         "table",
         "ingestionType",
@@ -142,9 +149,9 @@ def i16(t):
 
 @query(
     "I17_apply_recommendation",
-    f"""WITH r AS ({" UNION ALL ".join(_recommendation_sql(t) for t in ("orders", "lineitem"))}),
+    f"""WITH r AS ({" UNION ALL ".join(_recommendation_sql(t) for t in _RECOMMENDED)}),
         a AS ({_COUNTED}) SELECT a."table" AS "sourceObjectName", a.row_count,
-          CASE WHEN r."table" IS NULL THEN 'snapshot' WHEN k IS NULL THEN 'historical' ELSE 'delta' END AS "ingestionType",
+          CASE WHEN k IS NOT NULL AND w IS NOT NULL THEN 'delta' WHEN w IS NOT NULL THEN 'historical' ELSE 'snapshot' END AS "ingestionType",
           coalesce(k, 'old_key') AS "primaryKeys", w AS "timestampColumn", w AS "incrementalColumn" FROM a LEFT JOIN r ON r."table" = a."table" """,
 )
 def i17(t):
@@ -156,6 +163,6 @@ def i17(t):
         F.lit(None).cast("string").alias("timestampColumn"),
         F.lit(None).cast("string").alias("incrementalColumn"),
     )
-    profiles = op.profile_tables({name: getattr(t, name) for name in ("orders", "lineitem")})
-    applied = op.apply_recommendation(artifacts, op.recommend_ingestion(profiles))
+    profiles = op.profile_tables(t.every())
+    applied = op.apply_recommendation(artifacts, op.recommend_ingestion(profiles, op.key_pairs(t.every(), profiles)))
     return applied.withColumn("primaryKeys", F.array_join("primaryKeys", ","))

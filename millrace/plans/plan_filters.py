@@ -23,9 +23,11 @@ def f2(t):
     return op.filter_name(t.connectors, "^(RED|small) .*t$", use_regex=True).select(*_SHOWN)
 
 
-@query("F2_filter_name_bad_regex", _SELECT + "contains(lower(trim(connectorName)), '(red')", "connectors")
+@query("F2_filter_name_bad_regex", _SELECT.replace("connectorName", "'(' || connectorName AS connectorName", 1) + "contains(lower(trim('(' || connectorName)), '(red')", "connectors")
 def f2_bad(t):
-    return op.filter_name(t.connectors, "(red", use_regex=True).select(*_SHOWN)
+    """A pattern that is no regular expression is looked for as it stands."""
+    named = t.connectors.withColumn("connectorName", F.concat(F.lit("("), "connectorName"))
+    return op.filter_name(named, "(red", use_regex=True).select(*_SHOWN)
 
 
 @query("F3_filter_field", _SELECT + "size = 42", "connectors")
@@ -70,26 +72,26 @@ def f7_null(t):
 
 @query(
     "F8_filter_all",
-    _SELECT + "contains(lower(connectorType), 'promo') AND contains(lower(trim(connectorName)), 'red') AND size = 7",
+    _SELECT + "contains(lower(connectorType), 'promo') AND contains(lower(trim(connectorName)), 'red') AND isActive = 1",
     "connectors",
 )
 def f8(t):
     steps = [
         lambda d: op.filter_type(d, "PROMO"),
         lambda d: op.filter_name(d, "red"),
-        lambda d: op.filter_field(d, "size", 7),
+        lambda d: op.filter_field(d, "isActive", 1),
     ]
     return op.filter_all(t.connectors, steps).select(*_SHOWN)
 
 
 @query(
     "F9_filter_build",
-    _SELECT + "regexp_matches(trim(connectorName), '^b', 'i') AND contains(lower(connectorType), 'large') "
+    _SELECT + "regexp_matches(trim(connectorName), '^[a-r]', 'i') AND contains(lower(connectorType), 'o') "
     "AND contains(lower(trim(status)), 'inactive') AND internalID = 'proj-3'",
     "connectors",
 )
 def f9(t):
-    wanted = op.build_filter(name_pattern="^B", type="large", status="inactive", project="proj-3", name="")
+    wanted = op.build_filter(name_pattern="^[A-R]", type="o", status="inactive", project="proj-3", name="")
     return wanted(t.connectors).select(*_SHOWN)
 
 

@@ -72,6 +72,22 @@ def t5(t):
     return store.read().withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd"))
 
 
+@query(
+    "T5_stream_health_null_entity",
+    """, r AS (SELECT ts, status, CASE WHEN entity % 3 <> 0 THEN entity END AS entity FROM runs)
+       SELECT strftime(time_bucket(INTERVAL 1 DAY, ts), '%Y-%m-%d') AS window_start, entity, count(*) AS runs,
+       count(*) FILTER (status = 'success') AS success FROM r GROUP BY 1, 2""",
+    "runs",
+)
+def t5_null(t):
+    """A third of the runs have no entity; their windows are one row each, however many batches touch them."""
+    store = TableStore(t.spark, work_path(t.spark, "health_null"), ["window_start", "entity"], slots=4)
+    runs = t.runs.withColumn("entity", F.when(F.col("entity") % 3 != 0, F.col("entity")))
+    stream = landed(t, runs, "runs_null", order="ts")
+    op.stream_health(stream, store, "entity", "ts", "1 day", "40 days", checkpoint(t)).awaitTermination()
+    return store.read().withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd"))
+
+
 @query(
     "T6_stream_alerts",
     f""", {_RANKED} SELECT entity, count(*) AS failures, string_agg(strftime(ts, '%Y-%m-%d %H:%M:%S') || ': ' ||
