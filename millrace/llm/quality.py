@@ -8,8 +8,6 @@ word beginnings and style, which then judges every document.
 The toxic word lists are learned on a bounded sample of labelled rows, if there is a label table, beside a short fixed one.
 """
 
-from __future__ import annotations
-
 import re
 from collections import Counter
 from collections.abc import Iterator, Sequence
@@ -17,16 +15,17 @@ from itertools import chain
 from zlib import crc32
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import named, semi, stage, texts, with_row_key
+from millrace.llm.common import named, stage, texts
 
 #: Labelled rows, at most, that word lists are learned on, and words of each list.
 LABELLED, LISTED = 6_000, 5_000
 #: Documents, at most, of each class that the scorer is trained on: with a fault, and without.
-FAULTY, CLEAN = 2_000, 4_000
+FAULTY, CLEAN = 1_500, 3_000
 #: Bits of the feature hash; score from which a document is rejected.
 BITS, THRESHOLD = 18, 0.5
 
@@ -200,7 +199,8 @@ def train(index: np.ndarray, value: np.ndarray, row: np.ndarray, target: np.ndar
     if not n:
         return np.zeros(size), 0.0
     often = np.bincount(index, minlength=size) >= min(3, n)
-    index, value, row = (a[often[index]] for a in (index, value, row))
+    keep = often[index]
+    index, value, row = index[keep].astype(np.int64), value[keep].astype(np.float64), row[keep].astype(np.int64)
     reach = 1 + np.bincount(row, value, n)  # steps by feature: rare ones may go far
     step = 4 * n / np.maximum(np.bincount(index, value * reach[row], size), 1e-9)
     pace = 4 * n / reach.sum()
@@ -293,10 +293,11 @@ def fit(docs: DataFrame, labels: DataFrame | None = None, doc_id: str = "doc_id"
 
     made = stage(sample.mapInArrow(run, "hash_ long, p_junk double, p_toxic double, index array<int>, value array<float>"), "features")
     rows = made.dropDuplicates(["hash_"]).toArrow().sort_by("hash_")
-    lengths = rows.column("index").combine_chunks().value_lengths().to_numpy() if rows.num_rows else np.empty(0, np.int64)
-    flat = {k: rows.column(k).combine_chunks().flatten().to_numpy() for k in ("index", "value")}
-    row = np.repeat(np.arange(rows.num_rows), lengths)
-    return [train(flat["index"], flat["value"].astype(np.float64), row, rows.column(f"p_{trait}").to_numpy(), bits) for trait in ("junk", "toxic")]
+    index, value = (rows.column(k).combine_chunks() for k in ("index", "value"))
+    row = np.repeat(np.arange(rows.num_rows, dtype=np.int32), index.value_lengths().to_numpy() if rows.num_rows else [])
+    index, value = index.flatten().to_numpy(), value.flatten().to_numpy()
+    targets = [rows.column(f"p_{trait}").to_numpy() for trait in ("junk", "toxic")]
+    return [train(index, value, row, target, bits) for target in targets]
 
 
 def judge(docs: DataFrame, weights: Sequence[tuple[np.ndarray, float]], doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, bits: int = BITS) -> DataFrame:
@@ -326,6 +327,12 @@ def classify(docs: DataFrame, labels: DataFrame | None = None, doc_id: str = "do
 
 def drop_rejected(docs: DataFrame, labels: DataFrame | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, that are not rejected."""
-    rows, key = with_row_key(docs)
-    keep = judge(rows, fit(rows, labels, doc_id, text), key, text).where("NOT rejected").select("doc_id")
-    return semi(rows, keep, key).select(*map(named, docs.columns))
+    known = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, doc_id, text))
+
+    @F.pandas_udf("boolean")
+    def good(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        scorer = Scorer(known.value, BITS)
+        for part in parts:
+            yield pd.Series([max(scorer(t)) < THRESHOLD for t in part], dtype="bool")
+
+    return docs.where(good(F.coalesce(named(text).cast("string"), F.lit(""))))  # texts stay where they are read
