@@ -6,7 +6,7 @@ import string
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.session import work_path
@@ -65,10 +65,31 @@ def texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     return docs.select(named(doc_id).cast("long").alias("doc_id"), F.coalesce(named(text).cast("string"), F.lit("")).alias("text"))
 
 
-def with_row_key(docs: DataFrame) -> tuple[DataFrame, str]:
-    """The rows in the shared folder with a column that numbers them, and its name: ids may be null or repeated."""
-    key = fresh(docs, "row_key")
-    return stage(docs.withColumn(key, F.monotonically_increasing_id()), "rows"), key
+def times(docs: DataFrame, keys: DataFrame, key: Column) -> DataFrame:
+    """The rows of ``docs``, all columns, whose ``key`` is in ``keys`` (``key, n, keep``; ``n`` rows of ``docs`` have the key,
+    and ``keep`` copies of these are wanted in all), as often as that, with a column ``copy`` that counts from 1 per row.
+
+    Texts move once, in the join. Only rows that share their key are numbered.
+    """
+    names = [fresh(docs, c) for c in ("at_", "key_", "n_", "keep_", "place_")]
+    at, k, n, keep, place = map(named, names)
+    wanted = keys.where("keep > 0").toDF(*names[1:4])
+    rows = docs.withColumn(names[0], key)
+    rows = rows.join(wanted, at.eqNullSafe(k))
+    if keys.where("n > 1 AND keep > 0").isEmpty():
+        rows = rows.withColumn(names[4], F.lit(1))
+    else:
+        order = Window.partitionBy(names[0]).orderBy(F.lit(1))
+        several = rows.where(n > 1).withColumn(names[4], F.row_number().over(order))
+        rows = rows.where(n == 1).withColumn(names[4], F.lit(1)).union(several)
+    each = (F.floor(keep / n) + (place <= keep % n).cast("int")).cast("int")
+    copy = fresh(docs, "copy")
+    return rows.where(each > 0).select(*map(named, docs.columns), F.explode(F.sequence(F.lit(1), each)).alias(copy))
+
+
+def row_key(doc_id: Column, text: Column) -> Column:
+    """What tells rows apart by content: rows with the same id and text are interchangeable."""
+    return F.struct(doc_id.cast("long").alias("doc_id"), F.xxhash64(F.coalesce(text.cast("string"), F.lit(""))).alias("text_hash"))
 
 
 def semi(docs: DataFrame, keys: DataFrame, key: str, how: str = "left_semi") -> DataFrame:

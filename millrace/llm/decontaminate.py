@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import fresh, named, semi, stage, texts
+from millrace.llm.common import fresh, named, row_key, semi, stage, texts
 
 #: Words of a window, and the share of a document's words, as one in so many, that must be hit to call it contaminated.
 WINDOW, ONE_IN = 13, 20
@@ -158,7 +158,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, one_in: int = ONE_IN) -> DataFrame:
     """The rows of ``docs``, all columns, that are not contaminated."""
     found = find_hits(texts(docs, doc_id, text), benchmark, window).where(_contaminated(one_in))
-    key = F.struct(named(doc_id).cast("long").alias("doc_id"), F.xxhash64(F.coalesce(named(text), F.lit(""))).alias("text_hash"))
+    key = row_key(named(doc_id), named(text))
     bad = stage(found.select("doc_id", "text_hash"), "contaminated").select(F.struct("doc_id", "text_hash"))
     at = fresh(docs, "at")
     return semi(docs.withColumn(at, key), bad, at, "left_anti").drop(at)

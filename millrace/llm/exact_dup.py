@@ -16,10 +16,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import named, semi, stage, texts, with_row_key
+from millrace.llm.common import fold, named, stage, texts, times
 
 #: Distinct keys, at most, of a bucket.
 CAPACITY = 16_384
+#: Of the hash; the one that Spark's own function has, so that its columns can be joined.
+SEED = 42
 
 _ROW = "row long, doc_id long, h long, sha binary"
 _ENTRY = "bucket int, h long, sha binary, text binary, doc_id long, n long"
@@ -50,7 +52,7 @@ def _hashed(docs: DataFrame) -> DataFrame:
 
         for b in batches:
             normal = [_normal(t) for t in b.column(2).to_pylist()]
-            keys = np.fromiter(map(xxh64_intdigest, normal), np.uint64, len(normal)).view(np.int64)
+            keys = np.fromiter((xxh64_intdigest(t, SEED) for t in normal), np.uint64, len(normal)).view(np.int64)
             digests = [hashlib.sha256(t).digest() for t in normal]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(keys), pa.array(digests, pa.binary())], ["row", "doc_id", "h", "sha"])
 
@@ -104,7 +106,7 @@ def _entries(docs: DataFrame, table: np.ndarray) -> DataFrame:
                 normal = _normal(text)
                 sha = hashlib.sha256(normal).digest()
                 if (copies := seen.get(sha)) is None:
-                    h = xxh64_intdigest(normal)
+                    h = xxh64_intdigest(normal, SEED)
                     seen[sha] = [h, None, 0]
                     new.append((bucket(h), h - (h >> 63 << 64), sha, normal, doc_id, 1))
                 else:
@@ -155,7 +157,7 @@ def _decided(docs: DataFrame, capacity: int) -> DataFrame:
     same = (F.col("h") == F.col("h2")) & (F.col("sha") == F.col("sha2")) & F.col("doc_id").eqNullSafe(F.col("id2"))
     out = out.join(stage(again, "again"), same, "left")
     kept = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("row") == F.coalesce("first", "row"))
-    return out.select("row", "doc_id", "keep_id", "group_size", kept.alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"))
+    return out.select("row", "h", "doc_id", "keep_id", "group_size", kept.alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"))
 
 
 def exact_dup_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", capacity: int = CAPACITY) -> DataFrame:
@@ -166,12 +168,14 @@ def exact_dup_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     repeat that id exactly one stays. No rows: no rows.
     """
     docs = texts(docs, doc_id, text).withColumn("row", F.monotonically_increasing_id())
-    return _decided(docs, capacity).drop("row")
+    return _decided(docs, capacity).drop("row", "h")
 
 
 def drop_exact_dups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", capacity: int = CAPACITY) -> DataFrame:
     """The rows of ``docs``, all columns, that stay."""
-    rows, key = with_row_key(docs)
-    only = rows.select(named(key).alias("row"), named(doc_id).cast("long").alias("doc_id"), F.coalesce(named(text), F.lit("")).alias("text"))
-    keep = _decided(only, capacity).where("kept").select("row")
-    return semi(rows, keep, key).select(*map(named, docs.columns))
+    rows = texts(docs, doc_id, text).withColumn("row", F.monotonically_increasing_id())
+    groups = stage(_decided(rows, capacity).where(F.col("doc_id").eqNullSafe(F.col("keep_id"))), "kept")
+    keys = groups.groupBy("keep_id", "h").agg(F.count("*").alias("n"), F.lit(1).alias("keep"))
+    keys = stage(keys.select(F.struct(F.col("keep_id").alias("doc_id"), "h"), "n", "keep"), "keep")
+    key = F.struct(named(doc_id).cast("long").alias("doc_id"), F.xxhash64(fold(F.coalesce(named(text).cast("string"), F.lit("")))).alias("h"))
+    return times(docs, keys, key).select(*map(named, docs.columns))

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import fresh, named, stage, with_row_key
+from millrace.llm.common import named, row_key, stage, times
 
 #: Weights of the sources in order of their names, repeating; share of all words that the mix has; most copies of a document.
 WEIGHTS, SHARE, MOST = (3.0, 1.0, 2.0), 1.5, 2
@@ -126,7 +126,8 @@ def _rounded(rows: DataFrame, seed: int, fan_in: int) -> DataFrame:
 
 def _decided(rows: DataFrame, weights: Sequence[float], share: float, most: int, seed: int, block: int, fan_in: int) -> DataFrame:
     place = F.xxhash64("doc_id", "text").alias("place")  # where a document stands among the others of its source
-    sizes = stage(rows.select("row", "doc_id", "source", place, F.regexp_count(F.coalesce("text", F.lit("")), F.lit(_WORD)).cast("long").alias("size")), "sizes")
+    size = F.regexp_count("text", F.lit(_WORD)).cast("long").alias("size")
+    sizes = stage(rows.select("row", "doc_id", F.xxhash64("text").alias("text_hash"), "source", place, size), "sizes")
     found = stage(targets(sizes, weights, share, most), "targets")
     n_blocks = F.ceil(F.col("n") / block).alias("blocks")
     t = found.select(F.col("source").alias("of"), "source_size", "target", n_blocks)
@@ -137,7 +138,13 @@ def _decided(rows: DataFrame, weights: Sequence[float], share: float, most: int,
     all_ = stage(all_, "shares")
     copies = _rounded(all_.where("mass > 0"), seed, fan_in).toDF("at", "rounded")
     out = all_.join(copies, all_["row"] == copies["at"], "left").withColumn("copies", F.coalesce("rounded", "copies"))
-    return out.select("row", "doc_id", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+    return out.select("row", "doc_id", "text_hash", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def _rows(docs: DataFrame, doc_id: str, text: str, source: str) -> DataFrame:
+    body = F.coalesce(named(text).cast("string"), F.lit(""))
+    rows = docs.select(named(doc_id).cast("long").alias("doc_id"), body.alias("text"), named(source).cast("string").alias("source"))
+    return rows.withColumn("row", F.monotonically_increasing_id())
 
 
 def mix(
@@ -159,17 +166,13 @@ def mix(
     part of their source's rate says, which adds no words. A null source is a source. Draws depend on ids, texts and
     ``seed`` only, so reruns agree; rows that repeat an id and text are interchangeable. No rows: no rows.
     """
-    rows = docs.select(named(doc_id).cast("long").alias("doc_id"), named(text).cast("string").alias("text"), named(source).cast("string").alias("source"))
-    rows = rows.withColumn("row", F.monotonically_increasing_id())
-    return _decided(rows, weights, share, most, seed, block, fan_in).drop("row")
+    found = _decided(_rows(docs, doc_id, text, source), weights, share, most, seed, block, fan_in)
+    return found.drop("row", "text_hash")
 
 
 def take_mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **how: object) -> DataFrame:
     """The rows of ``docs``, all columns, each as often as the mix takes it, with a column ``copy`` that counts from 1."""
     how = {"weights": WEIGHTS, "share": SHARE, "most": MOST, "seed": 0, "block": BLOCK, "fan_in": FAN_IN, **how}
-    rows, key = with_row_key(docs)
-    only = rows.select(named(key).alias("row"), named(doc_id).cast("long").alias("doc_id"), named(text).alias("text"), named(source).cast("string").alias("source"))
-    at, times, copy = fresh(rows, "at"), fresh(rows, "times"), fresh(docs, "copy")
-    taken = _decided(only, **how).where("copies > 0").select(F.col("row").alias(at), F.col("copies").alias(times))
-    out = rows.join(taken, named(key) == named(at))
-    return out.select(*map(named, docs.columns), F.explode(F.sequence(F.lit(1), named(times).cast("int"))).alias(copy))
+    found = _decided(_rows(docs, doc_id, text, source), **how)
+    keys = found.groupBy(F.struct("doc_id", "text_hash").alias("key")).agg(F.count("*").alias("n"), F.sum("copies").alias("keep"))
+    return times(docs, stage(keys, "keep"), row_key(named(doc_id), named(text)))

@@ -13,10 +13,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import fresh, named, semi, stage, texts, with_row_key
+from millrace.llm.common import named, row_key, stage, texts, times
 
 #: Distinct fingerprints, at most, that the driver reads to fit the top of the tree.
 SAMPLE = 65_536
@@ -49,14 +49,15 @@ def fingerprint(text: str, words: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 3) -> DataFrame:
-    """``doc_id, fp`` of every row; ``fp`` is the fingerprint as a signed long."""
+    """``doc_id, text_hash, fp`` of every row; ``fp`` is the fingerprint as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = np.fromiter((fingerprint(t.as_py(), words) for t in b.column(1)), np.uint64, b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])
+            found = np.fromiter((fingerprint(t.as_py(), words) for t in b.column(2)), np.uint64, b.num_rows)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(found.view(np.int64))], ["doc_id", "text_hash", "fp"])
 
-    return texts(docs, doc_id, text).mapInArrow(run, "doc_id long, fp long")
+    rows = texts(docs, doc_id, text).select("doc_id", F.xxhash64("text"), "text")
+    return rows.mapInArrow(run, "doc_id long, text_hash long, fp long")
 
 
 # The tree. A node is (vantage point, radius, inside, outside), a leaf is its number; children are nodes or leaves.
@@ -213,24 +214,28 @@ def near_dup_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     Null ids are ignored in the minimum; a component of null ids only has a null ``component_id``. Repeated rows come back
     as often as they were given. No rows: no rows.
     """
+    found = _grouped(docs, doc_id, text, words, bits)
+    return found.select("doc_id", F.format_string("%016x", "fp").alias("fingerprint"), "component_id")
+
+
+def _grouped(docs: DataFrame, doc_id: str, text: str, words: int, bits: int) -> DataFrame:
+    """``doc_id, text_hash, fp, component, component_id`` of every row; ``component`` is a fingerprint that names the group."""
     prints = stage(fingerprints(docs, doc_id, text, words), "fingerprints")
     nodes = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
     labels = components(links(nodes, bits))
     of_label = labels.join(nodes, labels.node == nodes.fp).groupBy("label").agg(F.min("least").alias("component_id"))
-    other = stage(labels.join(of_label, "label").select(F.col("node").alias("fp"), "component_id"), "components")
-    group = nodes.join(other, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
-    out = prints.join(stage(group, "groups"), "fp", "left")
-    return out.select("doc_id", F.format_string("%016x", "fp").alias("fingerprint"), "component_id")
-
-
-def drop_near_dups(docs: DataFrame, text: str = "text", order: str | Column = "doc_id", words: int = 3, bits: int = 2) -> DataFrame:
-    """The rows of ``docs``, all columns, one of each near-duplicate group: the smallest by ``order`` (null: last), then any."""
-    rows, key = with_row_key(docs)
-    order = named(order) if isinstance(order, str) else order
-    rank = fresh(rows, "rank")
-    ranked = rows.select(key, text, order.alias(rank))
-    groups = near_dup_groups(ranked, key, text, words, bits)
-    # a component is named by its smallest row key; what stays is its first row by `order`
-    found = groups.join(ranked.select(key, rank), groups.doc_id == ranked[key]).groupBy("component_id")
-    keep = found.agg(F.min(F.struct(F.col(rank).isNull(), rank, "doc_id")).alias("first")).select("first.doc_id")
-    return semi(rows, keep, key).select(*map(named, docs.columns))
+    other = stage(labels.join(of_label, "label").select(F.col("node").alias("fp"), "label", F.lit(True).alias("linked"), "component_id"), "components")
+    least = F.when(F.col("linked"), F.col("component_id")).otherwise(F.col("least"))
+    group = nodes.join(other, "fp", "left").select("fp", F.coalesce("label", "fp").alias("component"), least.alias("component_id"))
+    return prints.join(stage(group, "groups"), "fp", "left")
+
+
+def drop_near_dups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 3, bits: int = 2) -> DataFrame:
+    """The rows of ``docs``, all columns, one of each near-duplicate group: that with the smallest id (null: last), then any."""
+    found = stage(_grouped(docs, doc_id, text, words, bits), "grouped")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("first")
+    keep = found.groupBy("component").agg(first).select("first.doc_id", "first.text_hash")
+    copies = found.groupBy("doc_id", "text_hash").agg(F.count("*").alias("n")).withColumnsRenamed({"doc_id": "id_", "text_hash": "hash_"})
+    keep = keep.join(copies, keep.doc_id.eqNullSafe(F.col("id_")) & (keep.text_hash == F.col("hash_")))
+    keys = stage(keep.select(F.struct("doc_id", "text_hash"), "n", F.lit(1).alias("keep")), "keep")
+    return times(docs, keys, row_key(named(doc_id), named(text))).select(*map(named, docs.columns))
