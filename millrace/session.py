@@ -45,5 +45,10 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def work_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared folder that no other run uses."""
-    return f"{shared_dir(spark)}/millrace/{uuid.uuid4().hex}/{name}"
+    """A path under the shared folder that no other run uses. It is scratch: it goes when the session's driver ends."""
+    root = f"{shared_dir(spark)}/millrace/{uuid.uuid4().hex}"
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    files = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(at)
+    files.deleteOnExit(at)
+    return f"{root}/{name}"

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import csv
+import warnings
 from collections.abc import Iterable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pyarrow as pa
@@ -43,8 +45,9 @@ def header_line(contains_header: bool | None = None, line: int | None = None) ->
     return header, (1 if header else 0) if line is None else line
 
 
-def _without_preamble(lines: int):
-    """Drop the first ``lines`` lines of every file; later blocks of a split file have no preamble.
+def _without_preamble(lines: int, head: str | None = None):
+    """Drop the first ``lines`` lines of every file; later blocks of a split file have no preamble. With ``head``, a file
+    whose last dropped line is another one fails the read: its columns would come out under wrong names.
 
     A task reads its files one after the other, so a batch is a few runs of rows of one file each.
     """
@@ -59,6 +62,10 @@ def _without_preamble(lines: int):
                 if len(run) and first[run[0]]:
                     at = seen.get(files[run[0]], 0)
                     keep[run[: max(0, lines - at)]] = False
+                    if head is not None and at < lines <= at + len(run):
+                        found = batch.column(0)[int(run[lines - 1 - at])].as_py()
+                        if found.strip() != head.strip():
+                            raise ValueError(f"a file has the header {found!r}, another one {head!r}")
                     seen[files[run[0]]] = at + len(run)
             yield batch.select([0]).filter(pa.array(keep))
 
@@ -75,20 +82,21 @@ def scan_delimited(
     schema: T.StructType | str | None = None,
 ) -> DataFrame:
     """S3. Delimited text. A header on line N > 1 makes the lines before it preamble, dropped per file in one pass;
-    such files must not hold line breaks inside quotes."""
+    such files must not hold line breaks inside quotes, and without a ``schema`` all have the same header."""
     header, line = header_line(contains_header, header_at)
     if line <= 1:
         reader = spark.read.options(sep=delimiter, header=header, quote='"', escape='"', multiLine=False)
         return (reader.schema(schema) if schema is not None else reader).csv(path)
     raw = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
     numbered = raw.select("value", F.xxhash64("file_path").alias("file"), "file_block_start")
+    head = None
     if schema is None:
         first = raw.agg(F.min("file_path")).scalar()
         head = raw.filter((F.col("file_path") == first) & (F.col("file_block_start") == 0)).take(line)[-1]["value"]
         schema = T.StructType([T.StructField(c.strip(), T.StringType()) for c in next(csv.reader([head], delimiter=delimiter))])
     elif isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
-    body = numbered.mapInArrow(_without_preamble(line), "value string")
+    body = numbered.mapInArrow(_without_preamble(line, head), "value string")
     ddl = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema)
     parsed = body.filter(F.trim("value") != "").select(F.from_csv("value", F.lit(ddl), {"sep": delimiter, "escape": '"'}).alias("r"))
     return parsed.select("r.*")
@@ -155,22 +163,36 @@ def scan_json_path(landed: DataFrame, payload: str, path: str, record: T.StructT
 
 
 def scan_all_partitions(spark: SparkSession, paths: Sequence[str], file_format: str = "parquet") -> DataFrame:
-    """S11. The same entity from many places as one read of all paths; places that cannot be listed are skipped.
+    """S11. The same entity from many places as one read of all paths; places that cannot be read are skipped, and named
+    in a warning (:func:`scan_places` returns them).
 
     Only when schemas differ are the places read one by one and united by name.
     """
+    found, skipped = scan_places(spark, paths, file_format)
+    for path, why in skipped.items():
+        warnings.warn(f"{path} was skipped: {why}", stacklevel=2)
+    return found
+
+
+def scan_places(spark: SparkSession, paths: Sequence[str], file_format: str = "parquet") -> tuple[DataFrame, dict[str, str]]:
+    """S11. The rows of all places that can be read, and why each of the others cannot. Schemas are read side by side."""
     reader = spark.read.option("ignoreMissingFiles", True).format(file_format)
-    readable = []
-    for path in paths:
+
+    def schema(path: str) -> T.StructType | str:
         try:
-            readable.append((path, reader.load(path).schema))
-        except PySparkException:
-            continue
+            return reader.load(path).schema
+        except PySparkException as e:
+            return str(e).split("\n")[0]
+
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        schemas = dict(zip(paths, pool.map(schema, paths)))
+    readable = [(p, s) for p, s in schemas.items() if isinstance(s, T.StructType)]
     if not readable:
         raise ValueError("none of the paths can be read")
+    skipped = {p: s for p, s in schemas.items() if isinstance(s, str)}
     if len({s.json() for _, s in readable}) == 1:
-        return reader.schema(readable[0][1]).load([p for p, _ in readable])
-    return union_sources(*[reader.schema(s).load(p) for p, s in readable])
+        return reader.schema(readable[0][1]).load([p for p, _ in readable]), skipped
+    return union_sources(*[reader.schema(s).load(p) for p, s in readable]), skipped
 
 
 CONNECTOR_FILE = "connectorType string, availableConnectors array<struct<connectorName:string,active:boolean>>"
