@@ -19,7 +19,8 @@ from millrace.session import build_session  # noqa: E402
 def connect(folder: str):
     con = duckdb.connect()
     for name in TABLE_NAMES:
-        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet'")
+        path = f"{folder}/{name}.parquet"
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{path}{'/*.parquet' if os.path.isdir(path) else ''}'")
     return con
 
 
