@@ -12,6 +12,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from itertools import chain
+from operator import eq
 from zlib import crc32
 
 import numpy as np
@@ -75,7 +76,7 @@ def style(text: str) -> list[float | None]:
     return [
         n[_SYMBOL] / max(1, n.sum() - n[_SPACE]),
         n[_HIGH] / letters if letters >= LETTERS else None,
-        sum(a == b for a, b in zip(words, words[1:])) / len(words),
+        sum(map(eq, words, words[1:])) / len(words),
         float((upto[ends] - upto[starts] == ends - starts).sum()) / len(words),
         int((text_sign[1:] & text_sign[:-1]).sum()) / len(words),
         1 - len(set(words)) / len(words) if len(words) >= LONG else None,
@@ -222,8 +223,10 @@ class Scorer:
 
     def __init__(self, weights: Sequence[tuple[np.ndarray, float]], bits: int, remembered: int = 1_000_000):
         (junk, self.junk), (toxic, self.toxic) = weights
-        # both scores of a feature as one complex number, so that one sum adds both
-        self.weights, self.bits, self.known, self.remembered = junk + 1j * toxic, bits, {}, remembered
+        # both scores of a feature as one complex number, so that one sum adds both; whole parts of 2 ** 20, so that sums
+        # are exact in whatever order a set gives its words
+        self.weights = np.round((junk + 1j * toxic) * 2**20) / 2**20
+        self.bits, self.known, self.remembered = bits, {}, remembered
 
     def word(self, w: str) -> complex:
         mask = (1 << self.bits) - 1
@@ -235,7 +238,7 @@ class Scorer:
             known.clear()
         for w in words.difference(known):
             known[w] = self.word(w)
-        total = sum(map(known.__getitem__, sorted(words))) * weight(words) if words else 0j
+        total = sum(map(known.__getitem__, words)) * weight(words) if words else 0j
         total += complex(self.weights[style_features(style(text), self.bits)].sum())
         return tuple(1 / (1 + np.exp(-np.clip(s, -50, 50))) for s in (total.real + self.junk, total.imag + self.toxic))
 
