@@ -27,8 +27,9 @@ from millrace.llm.common import named, stage, texts
 LABELLED, LISTED = 6_000, 5_000
 #: Documents, at most, of each class that the scorer is trained on: with a fault, and without.
 FAULTY, CLEAN = 1_500, 3_000
-#: Bits of the feature hash; score from which a document is rejected.
-BITS, THRESHOLD = 18, 0.5
+#: Bits of the feature hash; score from which a document is rejected: below a half, since faults are rarer in the sample
+#: than other texts and shrunk weights keep scores apart but low.
+BITS, THRESHOLD = 18, 0.3
 
 # Fixed words: common English insults.
 INSULTS = frozenset("asshole bastard bitch clown creep disgusting dumb fool freak idiot imbecile jerk loser moron pathetic pig retard scum shit slut stupid trash vermin whore worthless".split())
@@ -320,7 +321,7 @@ def judge(docs: DataFrame, weights: Sequence[tuple[np.ndarray, float]], doc_id:
 def classify(docs: DataFrame, labels: DataFrame | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, junk_score, toxic_score, rejected`` of every row, by scorers trained on the same rows.
 
-    A score is the probability of the fault; a document with one of at least a half is rejected. Null and empty texts have no
+    A score rises with the probability of the fault; a document with one of at least ``THRESHOLD`` is rejected. Null and empty texts have no
     words and no style, and are judged by what the scorer learned of such texts, which is nothing if there are none. Repeated
     rows get equal scores and come back as often as they were given. Without ``labels`` only the fixed list speaks of
     toxicity. No rows: no rows.
