@@ -25,6 +25,8 @@ RAW = frozenset("script style title textarea noscript iframe template".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
 )
+#: What does not end a head that is left open.
+IN_HEAD = frozenset("base basefont bgsound link meta title style script noscript template noframes html".split())
 HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements, and the words of their class, id or role, that surround an article, and those that hold one.
 AROUND = frozenset("nav footer aside form dialog menu header address".split())
@@ -111,10 +113,17 @@ def blocks(page: str) -> list[Block]:
         silent -= sum(t in SILENT for t, _ in stack[i:])
         del stack[i:]
 
+    def end_head() -> None:
+        """HTML lets the end tag of a head be left out: what cannot stand in a head begins the body."""
+        if silent and (i := next((i for i, (t, _) in enumerate(stack) if t == "head"), None)) is not None:
+            pop_to(i)
+
     at, size = 0, len(page)
     while at < size:
         m = _TAG.search(page, at)
         piece = page[at : m.start() if m else size]
+        if silent and stack[-1][0] == "head" and piece.strip():
+            end_head()
         if piece and not silent:
             parts.append(piece)
             if in_link:
@@ -137,6 +146,8 @@ def blocks(page: str) -> list[Block]:
             if i is not None:
                 pop_to(i)
             continue
+        if tag not in IN_HEAD:
+            end_head()
         if tag in VOID or (m[3].endswith("/") and tag not in RAW and tag not in INLINE and tag in ("svg", "path")):
             continue
         if tag not in INLINE and stack:

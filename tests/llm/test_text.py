@@ -223,6 +223,15 @@ def test_broken_pages_do_not_fail(page):
     assert isinstance(html_text.main_text(page, html_text.train()), str)
 
 
+@pytest.mark.parametrize("start", ["<body>", "", "<body><div>", "<p>A line to begin with.</p>"])
+def test_head_may_be_left_open(start):
+    text = "Enough words for a paragraph of an article, which goes on for a while and has no links in it at all."
+    head = "<html><head><meta charset=utf-8><title>not this</title><style>p { color: red }</style>"
+    found = html_text.main_text(f"{head}{start}<h1>A heading of it</h1><p>{text}</p><p>{text}</p>", html_text.train())
+    assert found.endswith(f"{text} {text}") and "not this" not in found and "color" not in found
+    assert html_text.blocks("<html><head><title>x</title>Only text")[0].text == "Only text"
+
+
 def test_tree_learns_its_table():
     tree = html_text.train()
     right = total = 0
