@@ -30,13 +30,17 @@ IN_HEAD = frozenset("base basefont bgsound link meta title style script noscript
 HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements, and the words of their class, id or role, that surround an article, and those that hold one.
 AROUND = frozenset("nav footer aside form dialog menu header address".split())
-AROUND_NAMES = (
-    "ad ads adv advert banner breadcrumb comment consent contact cookie copyright disclaimer disqus foot footer gdpr header hidden legal login masthead "
-    "menu modal nav navbar navigation newsletter notice pager pagination popup promo related reply respond search share sidebar signup social sponsor "
-    "subscribe tags toolbar widget alert complementary contentinfo"
-).split()
+AROUND_NAMES = frozenset(
+    "ad ads adv advert advertisement banner breadcrumb comment commentform commentlist consent contact cookie copyright disclaimer disqus foot footer gdpr "
+    "header hidden legal login masthead menu modal nav navbar navigation newsletter notice pager pagination popup promo related reply respond search "
+    "searchbox searchform share sharing sidebar signup social sponsor sponsored subscribe subscription tags toolbar alert complementary contentinfo".split()
+)
+#: Those that a content name on the same element, or an article element, does not outweigh; and beginnings of class names that
+#: speak of the layout, not of what the element is.
+OTHERS_WORDS = frozenset("comment disqus reply respond".split())
+LAYOUT = frozenset("has with without no overflow".split())
 WITHIN = frozenset("article main".split())
-WITHIN_NAMES = "article content entry main post story".split()
+WITHIN_NAMES = frozenset("article content entry main post story".split())
 
 # The labelled table: pages as lists of blocks (where it stands, words, words in links, 1 for the article's).
 # "+" is an element that holds an article, "-" one that surrounds it, "." neither, "h" a heading besides.
@@ -71,22 +75,44 @@ class Block:
         self.text, self.words, self.linked, self.side, self.heading = text, words, linked, side, heading
 
 
-def _names(word: str, of: Sequence[str]) -> bool:
-    return any(word == n or (len(n) > 4 and word.startswith(n)) for n in of)
+def _names(word: str) -> str:
+    """The entry of AROUND_NAMES that a whole word is, or its plural or numbered form; else empty."""
+    word = word.rstrip("0123456789")
+    return next((w for w in (word, word.removesuffix("s")) if w in AROUND_NAMES), "")
 
 
 def _side(tag: str, attributes: str, within: bool) -> int:
-    """1: the element holds an article, -1: it surrounds one, 0: neither. A header inside an article is the article's."""
-    around, holds = tag in AROUND and not (within and tag == "header"), tag in WITHIN
+    """1: the element holds an article, -1: it surrounds one, 0: neither. A header inside an article is the article's.
+
+    A class or id that is a content name and has no word of AROUND_NAMES outweighs other classes, but not the element's own
+    kind or role, nor that it is a comment.
+    """
+    around, holds, content, others = tag in AROUND and not (within and tag == "header"), tag in WITHIN, False, False
+    kind = around
     for name, *values in _NAMED.findall(attributes) if attributes else ():
         name, value = name.lower(), "".join(values).lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)):
             return -1
-        if name in ("class", "id", "role"):
-            for word in re.split(r"[^a-z0-9]+", value):
-                around |= _names(word, AROUND_NAMES) and not (within and word == "header")
-                holds |= word in WITHIN_NAMES
-    return -1 if around and tag not in ("body", "html", *WITHIN) else 1 if holds else 0
+        if name not in ("class", "id", "role"):
+            continue
+        for part in value.split():
+            words = re.split(r"[^a-z0-9]+", part)
+            if words[0] in LAYOUT or ":" in part:  # as in has-sidebar, overflow-hidden, md:hidden
+                continue
+            found = {n for w in words if (n := _names(w)) and not (within and n == "header")}
+            around |= bool(found)
+            kind |= bool(found) and name == "role"
+            others |= words[0].removesuffix("s") in OTHERS_WORDS
+            named = not WITHIN_NAMES.isdisjoint(words)
+            holds |= named
+            content |= named and not found
+    if tag in ("body", "html"):
+        return 1 if holds else 0
+    if others and not (tag in WITHIN and content):
+        return -1
+    if around and tag not in WITHIN and (kind or not content):
+        return -1
+    return 1 if holds else 0
 
 
 #: An open element of these ends where another of the same kind, or for "p" any block, begins.

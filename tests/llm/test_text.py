@@ -232,6 +232,27 @@ def test_head_may_be_left_open(start):
     assert html_text.blocks("<html><head><title>x</title>Only text")[0].text == "Only text"
 
 
+TEXT = "Enough words for a paragraph of an article, which goes on for a while and has no links in it at all."
+
+
+@pytest.mark.parametrize(
+    "wrapper",
+    ["content has-sidebar", "overflow-hidden", "elementor-widget-container", "commentary", "promotion", "shared-content", "md:hidden", "post widget", "with-banner", "content alert"],
+)
+def test_wrappers_of_an_article_do_not_hide_it(wrapper):
+    page = f'<body><nav><a href=x>One</a></nav><div class="{wrapper}"><h1>A heading of it</h1><p>{TEXT}</p><p>{TEXT}</p></div><footer>us</footer>'
+    assert html_text.main_text(page, html_text.train()).endswith(f"{TEXT} {TEXT}")
+
+
+@pytest.mark.parametrize(
+    "other",
+    ['article class="comment"', 'div class="comments"', 'div class="comment-content"', 'div class="sidebar2"', 'div class="related-posts"', 'div class="hidden"', 'aside class="content"', 'div id="cookie-notice"'],
+)
+def test_what_surrounds_an_article_stays_out(other):
+    page = f'<body><div class="content"><h1>A heading of it</h1><p>{TEXT}</p></div><{other}><p>{"Other words of this. " * 8}</p></{other.split()[0]}>'
+    assert html_text.main_text(page, html_text.train()) == f"A heading of it {TEXT}"
+
+
 def test_tree_learns_its_table():
     tree = html_text.train()
     right = total = 0
