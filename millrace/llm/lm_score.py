@@ -1,61 +1,35 @@
 """Stupid-backoff scores from n-gram counts.
 
-The model has a closed vocabulary, the most frequent words of the corpus, and counts of all pairs of neighbouring words in a
-table dealt to parts by hash. The pairs of the documents to score are dealt the same way, so each part joins its pairs to its
-counts by itself and returns a sum per document; sums of all parts are added up.
+The model has the counts of all words and of all pairs of neighbouring words of the corpus, both in tables. Tasks count before
+the shuffle; words and pairs are known by 64-bit hashes, and counts, models and documents meet in joins on those.
 
     S(w | v) = c(v w) / c(v)        if the pair was seen at least ``least`` times
              = alpha * c(w) / N     otherwise
 
-Words outside the vocabulary are one word, ``<unk>``; a text's first word has a begin mark before it. Pairs travel as packed
-arrays, a few bytes each.
+A text's first word has a begin mark before it. Only if a vocabulary size is asked for, all words but the most frequent ones
+are one word, ``<unk>``.
 """
 
 from __future__ import annotations
 
 import math
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.broadcast import Broadcast
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.common import stage, texts
 
-#: Words of the vocabulary at most: the model's size, and the bound of what is broadcast (under 50 MB).
-VOCABULARY = 500_000
 #: Occurrences below which a pair does not count as seen, and the factor of backing off.
 LEAST, ALPHA = 2, 0.4
-#: Words that a reading task packs at once, and pairs a part is meant to hold.
-PACK, PART = 1 << 20, 4_000_000
+#: Words that a reading task counts before it passes them on.
+PACK = 1 << 20
 
-UNK, BEGIN = 0, 1  # ids; words follow from 2
-
-_COUNTS = "part int, pairs binary, counts binary"
-#: Kinds: 0 a part of the count table, 1 pairs to score, 2 the documents they are of.
-_ASKED = "part int, kind int, pack long, pairs binary, places binary, counts binary, rows binary"
-_SUMS = "pack long, row binary, n_words binary, log_score binary, n_backed_off binary, ids binary, named binary"
-_SCORES = "doc_id long, n_words long, log_score double, n_backed_off long"
-
-
-def _pack(a: np.ndarray) -> bytes:
-    """An array with its bytes sorted by place, so that equal high bytes lie together, and compressed."""
-    return zlib.compress(np.ascontiguousarray(a.view(np.uint8).reshape(len(a), -1).T).tobytes(), 1)
-
-
-def _unpack(data: bytes, dtype: type) -> np.ndarray:
-    wide = np.dtype(dtype).itemsize
-    return np.ascontiguousarray(np.frombuffer(zlib.decompress(data), np.uint8).reshape(wide, -1).T).reshape(-1).view(dtype)
-
-
-def _part(pairs: np.ndarray, parts: int) -> np.ndarray:
-    mixed = pairs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)  # a multiplicative hash
-    return ((mixed >> np.uint64(40)) % np.uint64(parts)).astype(np.int32)
+UNK, BEGIN = 0, 1  # ids in a vocabulary; words follow from 2, and also the keys of the two marks
 
 
 def words_of(text: str) -> list[str]:
@@ -63,10 +37,10 @@ def words_of(text: str) -> list[str]:
 
 
 class Model:
-    """Vocabulary with counts (broadcast), pair counts (a table), the number of parts and of words in all."""
+    """Counts of words (``w, n``) and pairs (``v, w, n``) as tables, the number of words in all, and a vocabulary if one was asked for."""
 
-    def __init__(self, vocabulary: Broadcast, pairs: DataFrame, parts: int, total: int, least: int, alpha: float):
-        self.vocabulary, self.pairs, self.parts, self.total, self.least, self.alpha = vocabulary, pairs, parts, total, least, alpha
+    def __init__(self, vocabulary: Broadcast | None, words: DataFrame, pairs: DataFrame, total: int, least: int, alpha: float):
+        self.vocabulary, self.words, self.pairs, self.total, self.least, self.alpha = vocabulary, words, pairs, total, least, alpha
 
 
 def _vocabulary(docs: DataFrame, size: int) -> tuple[dict[str, int], np.ndarray]:
@@ -103,160 +77,125 @@ def _counted(seen: Counter[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["word", "n"])
 
 
-def _ids(text: str, ids: dict[str, int]) -> np.ndarray:
-    words = words_of(text)
-    return np.fromiter((ids.get(w, UNK) for w in words), np.int64, len(words))
+def _key(word: str) -> int:
+    """64 bits of a word, as a signed long that is neither mark."""
+    from xxhash import xxh64_intdigest
 
+    h = xxh64_intdigest(word.encode("utf-8", "replace"), 42)
+    return (h if h > BEGIN else h + 2) - (1 << 64 if h >> 63 else 0)
 
-def _pairs(found: np.ndarray) -> np.ndarray:
-    """The pairs of a text's ids, each one number."""
-    return (np.concatenate([[BEGIN], found[:-1]]) << 32) | found if len(found) else found
+
+def _pairs(text: str, ids: dict[str, int] | None, keys: dict[str, int]) -> np.ndarray:
+    """The pairs of a text, as rows of two keys; ``keys`` remembers those of words."""
+    found = words_of(text)
+    out = np.empty(len(found), np.int64)
+    for i, w in enumerate(found):
+        if ids is not None:
+            out[i] = ids.get(w, UNK)
+            continue
+        k = keys.get(w)
+        if k is None:
+            if len(keys) >= PACK:
+                keys.clear()
+            k = keys[w] = _key(w)
+        out[i] = k
+    return np.column_stack([np.concatenate([[BEGIN], out[:-1]]), out]) if len(out) else np.empty((0, 2), np.int64)
 
 
 def _grouped(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    out, n = np.unique(pairs, return_counts=True)
-    return out, n.astype(np.int64)
+    """Different pairs and how often each comes."""
+    if not len(pairs):
+        return pairs, np.empty(0, np.int64)
+    order = np.lexsort((pairs[:, 1], pairs[:, 0]))
+    pairs = pairs[order]
+    starts = np.flatnonzero(np.concatenate([[True], (pairs[1:] != pairs[:-1]).any(1)]))
+    return pairs[starts], np.diff(np.append(starts, len(pairs)))
+
 
+def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary: int | None = None, least: int = LEAST, alpha: float = ALPHA) -> Model:
+    """Count the words and pairs of all of ``docs``. Null texts have no words; an empty table gives an empty model.
 
-def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary: int = VOCABULARY, least: int = LEAST, alpha: float = ALPHA) -> Model:
-    """Count the words and pairs of all of ``docs``. Null texts have no words; an empty table gives an empty model."""
+    With ``vocabulary`` only so many words are told apart, and these are broadcast.
+    """
     docs = texts(docs, doc_id, text)
-    ids, counts = _vocabulary(docs, vocabulary)
-    total = int(counts[0] + counts[2:].sum())
-    parts = max(8, math.ceil(total / PART))
-    known = docs.sparkSession.sparkContext.broadcast((ids, counts))
+    known = None if vocabulary is None else docs.sparkSession.sparkContext.broadcast(_vocabulary(docs, vocabulary))
 
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = known.value[0]
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, keys = known.value[0] if known else None, {}
         held, n = [], 0
         for b in batches:
             for t in b.column(0).to_pylist():
-                held.append(_pairs(_ids(t, ids)))
+                held.append(_pairs(t, ids, keys))
                 n += len(held[-1])
                 if n >= PACK:
-                    yield packed(held)
+                    yield counted(held)
                     held, n = [], 0
         if held:
-            yield packed(held)
+            yield counted(held)
 
-    def packed(held: list[np.ndarray]) -> pa.RecordBatch:
-        pairs, n = _grouped(np.concatenate(held))  # combined before they are dealt
-        return _by_part(pairs, n, parts)
+    def counted(held: list[np.ndarray]) -> pa.RecordBatch:
+        pairs, n = _grouped(np.concatenate(held))
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (pairs[:, 0], pairs[:, 1], n)], ["v", "w", "n"])
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [(_unpack(p, np.int64), _unpack(c, np.int64), part) for b in batches for part, p, c in zip(*(x.to_pylist() for x in b.columns))]
-        if rows:
-            pairs, at = np.unique(np.concatenate([r[0] for r in rows]), return_inverse=True)
-            n = np.bincount(at, np.concatenate([r[1] for r in rows])).astype(np.int64)
-            yield _by_part(pairs[n >= least], n[n >= least], parts)
+    pairs = docs.select("text").mapInArrow(count, "v long, w long, n long").groupBy("v", "w").agg(F.sum("n").alias("n"))
+    pairs = stage(pairs, "pairs")
+    words = pairs.groupBy("w").agg(F.sum("n").alias("n"))
+    begun = docs.agg(F.lit(BEGIN).cast("long").alias("w"), F.count("*").alias("n"))
+    words = stage(words.union(begun), "words")
+    total = words.where(F.col("w") != BEGIN).agg(F.sum("n")).first()[0] or 0
+    return Model(known, words, pairs, total, least, alpha)
 
-    dealt = docs.select("text").mapInArrow(deal, _COUNTS).repartitionById(parts, F.col("part"))
-    return Model(known, stage(dealt.mapInArrow(add, _COUNTS), "pairs"), parts, total, least, alpha)
 
+def _values(model: Model, pairs: DataFrame) -> DataFrame:
+    """``v, w, value, backed`` of ``pairs`` (``v, w, n``; ``n`` null: not in the corpus)."""
 
-def _by_part(pairs: np.ndarray, n: np.ndarray, parts: int) -> pa.RecordBatch:
-    part = _part(pairs, parts)
-    order = np.argsort(part, kind="stable")
-    present, starts = np.unique(part[order], return_index=True)
-    cut = list(zip(starts.tolist(), [*starts[1:].tolist(), len(pairs)]))
-    columns = [[_pack(a[order[i:j]]) for i, j in cut] for a in (pairs, n)]
-    return pa.RecordBatch.from_arrays([pa.array(present, pa.int32()), *(pa.array(c, pa.binary()) for c in columns)], ["part", "pairs", "counts"])
+    def log(n: Column) -> Column:
+        return F.log(F.greatest(F.coalesce(n, F.lit(1)), F.lit(1)).cast("double"))
 
+    before, own = (model.words.select(F.col("w").alias(f"{c}_"), F.col("n").alias(f"{c}_n")) for c in "vw")
+    seen = F.coalesce("n", F.lit(0)) >= model.least
+    # only pairs that were seen need the word before, only the others the word itself
+    one = pairs.where(seen).join(before, F.col("v") == F.col("v_"), "left").select("v", "w", (log(F.col("n")) - log(F.col("v_n"))).alias("value"), F.lit(0).alias("backed"))
+    back = F.lit(math.log(model.alpha)) + log(F.col("w_n")) - F.lit(math.log(max(model.total, 1)))
+    two = pairs.where(~seen).join(own, F.col("w") == F.col("w_"), "left").select("v", "w", back.alias("value"), F.lit(1).alias("backed"))
+    return one.union(two)
 
-def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+
+def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", own: bool = False) -> DataFrame:
     """``doc_id, n_words, log_score, mean_log_score, n_backed_off`` of every row.
 
     ``log_score`` is the sum of the natural logarithms of the words' scores, to six decimals; ``n_backed_off`` the words whose
-    pair was not seen. Texts without words (null, empty, blank) score 0 and have a null mean, as do texts scored by an empty
-    model. Words are lower-cased and split at white space. Repeated rows come back as often as they were given.
+    pair was not seen. A word that the model does not know counts as seen once. Texts without words (null, empty, blank) score
+    0 and have a null mean. Words are lower-cased and split at white space. Repeated rows come back as often as they were
+    given. ``own`` says that the model was made of all of ``docs``, so it has every pair.
     """
-    spark, parts, total, least, alpha, known = docs.sparkSession, model.parts, model.total, model.least, model.alpha, model.vocabulary
+    known = model.vocabulary
     rows = texts(docs, doc_id, text).select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = known.value[0]
-        held, n = [], 0
-        for b in batches:
-            for row, doc_id, t in zip(*(c.to_pylist() for c in b.columns)):
-                pairs, times = _grouped(_pairs(_ids(t, ids)))
-                held.append((row, pairs, times, doc_id))
-                n += len(pairs) + 1
-                if n >= PACK:
-                    yield packed(held)
-                    held, n = [], 0
-        if held:
-            yield packed(held)
-
-    def packed(held: list[tuple]) -> pa.RecordBatch:
-        pairs = np.concatenate([h[1] for h in held])
-        times = np.concatenate([h[2] for h in held]).astype(np.int32)
-        place = np.repeat(np.arange(len(held), dtype=np.int32), [len(h[1]) for h in held])
-        part = _part(pairs, parts)
-        order = np.argsort(part, kind="stable")
-        present, starts = np.unique(part[order], return_index=True)
-        every = np.array([h[0] for h in held], np.int64)
-        named = np.array([h[3] is not None for h in held], np.int32)
-        own = np.array([h[3] or 0 for h in held], np.int64)
-        pack = int(every[0])  # named by its first row; rows come in rising order
-        out = [(int(pack % parts), 2, pack, _pack(own), _pack(named), None, _pack(every))]
-        for p, i, j in zip(present.tolist(), starts.tolist(), [*starts[1:].tolist(), len(pairs)]):
-            at = order[i:j]
-            used, short = np.unique(place[at], return_inverse=True)  # the rows with pairs in this part
-            out.append((p, 1, pack, _pack(pairs[at]), _pack(short.astype(np.int32)), _pack(times[at]), _pack(every[used])))
-        columns = list(zip(*out))
-        kinds = [pa.int32(), pa.int32(), pa.int64()] + [pa.binary()] * 4
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], [x.split()[0] for x in _ASKED.split(", ")])
-
-    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unigram = np.maximum(known.value[1], 1).astype(np.float64)
-        table, n = np.empty(0, np.int64), np.empty(0, np.int64)
+        ids, keys = known.value[0] if known else None, {}
         for b in batches:
-            for _, kind, pack, pairs, places, counts, rows in zip(*(c.to_pylist() for c in b.columns)):
-                pairs_, pairs = pairs, _unpack(pairs, np.int64)
-                if kind == 2:
-                    yield sums_of(pack, rows, None, None, None, pairs_, places)
-                    continue
-                counts = _unpack(counts, np.int64 if kind == 0 else np.int32)
-                if kind == 0:  # the part of the count table comes first
-                    table, n = np.concatenate([table, pairs]), np.concatenate([n, counts])
-                    order = np.argsort(table)
-                    table, n = table[order], n[order]
-                    continue
-                place, size = _unpack(places, np.int32), len(_unpack(rows, np.int64))
-                seen = np.zeros(len(pairs), np.int64)
-                if len(table):
-                    at = np.minimum(np.searchsorted(table, pairs), len(table) - 1)
-                    seen = np.where(table[at] == pairs, n[at], 0)
-                v, w = pairs >> 32, pairs & 0xFFFFFFFF
-                value = np.where(seen >= least, np.log(np.maximum(seen, 1)) - np.log(unigram[v]), math.log(alpha) + np.log(unigram[w]) - math.log(max(total, 1)))
-                found = [np.bincount(place, x, size) for x in (counts, counts * value, counts * (seen < least))]
-                yield sums_of(pack, rows, *map(_pack, found), None, None)
-
-    def sums_of(*row: object) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([x], pa.int64() if i == 0 else pa.binary()) for i, x in enumerate(row)], [x.split()[0] for x in _SUMS.split(", ")])
-
-    def total_up(pdf: pd.DataFrame) -> pd.DataFrame:
-        """The documents of a pack, from the sums of all parts."""
-        own = pdf[pdf["ids"].notna()].iloc[0]
-        row, ids, named = _unpack(own["row"], np.int64), _unpack(own["ids"], np.int64), _unpack(own["named"], np.int32)
-        sums = np.zeros((3, len(row)))
-        for r in pdf[pdf["ids"].isna()].itertuples(index=False):
-            at = np.searchsorted(row, _unpack(r.row, np.int64))
-            for i, x in enumerate((r.n_words, r.log_score, r.n_backed_off)):
-                sums[i, at] += _unpack(x, np.float64)
-        doc_id = pd.array(ids, dtype="Int64")
-        doc_id[named == 0] = pd.NA
-        return pd.DataFrame({"doc_id": doc_id, "n_words": sums[0].astype(np.int64), "log_score": sums[1].round(6), "n_backed_off": sums[2].astype(np.int64)})
-
-    asked = rows.mapInArrow(ask, _ASKED)
-    none = F.lit(None).cast("binary")
-    counts = model.pairs.select("part", F.lit(0).alias("kind"), F.lit(None).cast("long").alias("pack"), "pairs", none.alias("places"), "counts", none.alias("rows"))
-    met = counts.union(asked).repartitionById(parts, F.col("part")).sortWithinPartitions("kind")
-    # packed sums go back to where their documents meet, so no row is made per document and part
-    out = stage(met.mapInArrow(answer, _SUMS).groupBy("pack").applyInPandas(total_up, _SCORES), "scores")
+            for row, doc, t in zip(*(c.to_pylist() for c in b.columns)):
+                pairs, n = _grouped(_pairs(t, ids, keys))
+                # a first row without a pair stands for the document itself
+                columns = [pa.array(np.full(len(n) + 1, row)), pa.array([doc] * (len(n) + 1), pa.int64())]
+                columns += [pa.array([None, *pairs[:, i].tolist()], pa.int64()) for i in (0, 1)]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array([0, *n.tolist()], pa.int64())], ["row", "doc_id", "v", "w", "times"])
+
+    asked = rows.mapInArrow(ask, "row long, doc_id long, v long, w long, times long")
+    pairs = model.pairs
+    if not own:
+        pairs = asked.where("v IS NOT NULL").select("v", "w").distinct().join(pairs, ["v", "w"], "left")
+    values = stage(_values(model, pairs), "values")
+    met = asked.where("v IS NOT NULL").join(values, ["v", "w"], "left").select("row", "doc_id", "times", "value", "backed")
+    none = asked.where("v IS NULL").select("row", "doc_id", "times", F.lit(0.0).alias("value"), F.lit(0).alias("backed"))
+    sums = met.union(none).groupBy("row", "doc_id").agg(
+        F.sum("times").alias("n_words"), F.round(F.sum(F.col("times") * F.col("value")), 6).alias("log_score"), F.sum(F.col("times") * F.col("backed")).alias("n_backed_off")
+    )
+    out = stage(sums.drop("row"), "scores")
     return out.select("doc_id", "n_words", "log_score", F.round(F.col("log_score") / F.nullif("n_words", F.lit(0)), 6).alias("mean_log_score"), "n_backed_off")
 
 
 def score_corpus(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Scores of all of ``docs`` by a model of all of them."""
-    return score(docs, fit(docs, doc_id, text), doc_id, text)
+    return score(docs, fit(docs, doc_id, text), doc_id, text, own=True)

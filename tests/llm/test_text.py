@@ -118,6 +118,18 @@ def test_small_vocabulary_and_empty_model(spark):
     assert sorted((r.n_words, r.n_backed_off) for r in none) == [(4, 4), (7, 7)]
 
 
+def test_every_word_keeps_its_count(spark):
+    """No size of the corpus makes rare words one word, and a model scores documents it was not made of."""
+    given = [(i, f"r{i} r{i} common r{i + 1} r{i} r{i}") for i in range(300)]
+    docs = documents(spark, given)
+    model = lm_score.fit(docs)
+    assert model.vocabulary is None
+    assert (model.words.count(), model.pairs.count(), model.total) == (303, 1500, 1800)  # the begin mark is one more word
+    assert scores(lm_score.score(docs, model)) == scores(lm_score.score_corpus(spark, docs)) == [(i, n, s + 0.0, b) for i, n, s, b in brute_force_scores(given)]
+    (r,) = lm_score.score(documents(spark, [(1, "never seen")]), model).collect()
+    assert (r.n_words, r.n_backed_off) == (2, 2) and abs(r.log_score - 2 * math.log(0.4 / 1800)) < 1e-5
+
+
 # Decontamination
 
 ITEMS = [
