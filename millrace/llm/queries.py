@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from millrace.llm.align import alignment_report
 from millrace.llm.decontaminate import contamination
 from millrace.llm.exact_dup import exact_dup_groups
+from millrace.llm.host_rules import rule_report
 from millrace.llm.html_text import extract_text
 from millrace.llm.line_dedup import line_dedup_report
 from millrace.llm.lm_score import score_corpus
+from millrace.llm.merkle import manifest, verify
 from millrace.llm.mixing import mix
 from millrace.llm.near_dup import near_dup_groups
 from millrace.llm.quality import classify
@@ -21,6 +24,12 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _tokenizer(name: str) -> str:
+    import public_tokenizers  # only the queries that encode need it
+
+    return public_tokenizers.path(name)
+
+
 def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
     return archive_round_trip(spark, _table(spark, folder, "pages"))
 
@@ -42,7 +51,7 @@ def op5_html_text(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return token_counts(_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return token_counts(_table(spark, folder, "documents"), _tokenizer("word_bpe_49k.json"))
 
 
 def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
@@ -61,7 +70,32 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup_report(_table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_lm_scores, op3_decontaminate, op4_exact_dedup, op5_html_text, op6_token_counts, op7_quality, op8_mix_sources, op9_simhash_near_dedup, op10_line_dedup)}
+def op11_host_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return rule_report(_table(spark, folder, "documents"))
+
+
+def op12_align(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment_report(_table(spark, folder, "documents"), _tokenizer("byte_bpe_50k.json"), _tokenizer("piece_bpe_32k.model"))
+
+
+def op13_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    one_more = F.when(tampered, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    return verify(manifest(_table(spark, folder, "documents"), claims={"n_chars": one_more}))
+
+
+QUERIES = {f.__name__: f for f in (op1_warc, op2_lm_scores, op3_decontaminate, op4_exact_dedup, op5_html_text, op6_token_counts, op7_quality, op8_mix_sources, op9_simhash_near_dedup, op10_line_dedup, op11_host_rules, op12_align, op13_merkle)}
+
+_BLANK_OUT = r"[^\x20\x09-\x0D]"
+
+
+def _field(name: str) -> str:
+    return f"coalesce(CAST(strlen(CAST({name} AS VARCHAR)) AS VARCHAR) || ':' || CAST({name} AS VARCHAR), '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    return f"sha256({' || '.join(map(_field, ('doc_id', 'source', 'lang', n_chars, 'text')))})"
+
 
 _FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -108,4 +142,49 @@ ORACLE_SQL: dict[str, str] = {
         SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
                sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
         FROM f GROUP BY doc_id""",
+    "op11_host_rules": rf"""
+        WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS t FROM documents),
+        w AS (SELECT rid, doc_id, source, regexp_extract_all(t, '{_BLANK_OUT}+') AS w, len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols,
+                     list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{_BLANK_OUT}')) AS l FROM d),
+        g AS (SELECT rid, s, array_to_string(w[s + 1:s + 5], ' ') AS win FROM (SELECT rid, w, unnest(range(len(w) - 4)) AS s FROM w WHERE len(w) >= 5)),
+        r AS (SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest(range(s, s + 5)) AS p FROM
+                     (SELECT rid, s, count(*) OVER (PARTITION BY rid, win) AS times FROM g) WHERE times > 1) GROUP BY rid),
+        m AS (SELECT w.rid, doc_id, source, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+                     CAST(n_symbols AS BIGINT) AS n_symbols, CAST(len(l) AS BIGINT) AS n_lines, CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
+                     coalesce(r.n, 0) AS n_repeat_words FROM w LEFT JOIN r USING (rid)),
+        f AS (SELECT *, n_words < 10 AS few_words, 100 * n_repeat_words > 20 * n_words AS repeats,
+                     10 * n_symbols > n_words AS symbols, 10 * n_dup_lines > 3 * n_lines AS dup_lines FROM m),
+        h AS (UNPIVOT (SELECT source, count(*) AS n, count(*) FILTER (few_words) AS few_words, count(*) FILTER (repeats) AS repeats,
+                     count(*) FILTER (symbols) AS symbols, count(*) FILTER (dup_lines) AS dup_lines FROM f WHERE source IS NOT NULL GROUP BY source)
+              ON few_words, repeats, symbols, dup_lines INTO NAME rule VALUE failed),
+        q AS (SELECT *, CAST(round(failed / n, 9) AS DECIMAL(18, 9)) AS rate FROM h),
+        p AS (SELECT rule, count(*) AS hosts, CAST(sum(rate) AS DOUBLE) / count(*) AS mean, CAST(sum(rate * rate) AS DOUBLE) AS squares,
+                     CAST(sum(CAST(round(1 / n, 9) AS DECIMAL(18, 9))) AS DOUBLE) AS parts FROM q GROUP BY rule),
+        v AS (SELECT *, CASE WHEN hosts > 1 THEN (squares - hosts * mean * mean) / (hosts - 1) - mean * (1 - mean) * parts / hosts ELSE 0 END AS spread FROM p),
+        k AS (SELECT rule, mean, least(greatest(CASE WHEN spread > 0 THEN mean * (1 - mean) / spread - 1 ELSE 1000 END, 2), 1000) AS weight FROM v),
+        bad AS (SELECT DISTINCT source FROM q JOIN k USING (rule) WHERE (failed + mean * weight) / (n + weight) > 0.5)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, few_words OR repeats AS base_failed,
+               NOT (few_words OR repeats) AND bad.source IS NULL AS kept FROM f LEFT JOIN bad ON f.source = bad.source""",
+    "op13_merkle": f"""
+        WITH RECURSIVE c AS (SELECT *, list_transform(range(1, length(CAST(doc_id AS VARCHAR)) + 1), lambda i: CAST(ascii(substr(CAST(doc_id AS VARCHAR), i, 1)) AS BIGINT)) AS codes
+                   FROM documents),
+        t AS (SELECT *, xor(list_reduce(list_prepend(4294967295, codes), lambda x, b: list_reduce(list_concat([xor(x, b)], [0, 0, 0, 0, 0, 0, 0, 0]),
+                   lambda y, z: xor(y >> 1, (y & 1) * 3988292384))), 4294967295) AS crc FROM c),
+        l AS (SELECT doc_id, lang, {_leaf('n_chars')} AS leaf, {_leaf('(CASE WHEN crc % 7 = 0 THEN n_chars + 1 ELSE n_chars END)')} AS claim FROM t),
+        p AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, claim) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n FROM l),
+        inner_ AS (SELECT lang, 0 AS lvl, pos, n, leaf AS h FROM p UNION ALL
+                   SELECT lang, lvl + 1, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY pos)) FROM inner_ WHERE n > 1 GROUP BY lang, lvl, pos // 2, n),
+        s AS (SELECT lang, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM inner_ WHERE n = 1),
+        outer_ AS (SELECT 0 AS lvl, pos, n, h FROM s UNION ALL
+                   SELECT lvl + 1, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY pos)) FROM outer_ WHERE n > 1 GROUP BY lvl, pos // 2, n),
+        fold1 AS (SELECT doc_id, lang, leaf, 0 AS lvl, pos, n, claim AS cur, '' AS proof FROM p UNION ALL
+                  SELECT f.doc_id, f.lang, f.leaf, f.lvl + 1, f.pos // 2, (f.n + 1) // 2,
+                         sha256(CASE WHEN f.pos % 2 = 1 THEN i.h || f.cur ELSE f.cur || coalesce(i.h, '') END), f.proof || coalesce(i.h, '')
+                  FROM fold1 f LEFT JOIN inner_ i ON i.lang IS NOT DISTINCT FROM f.lang AND i.lvl = f.lvl AND i.pos = xor(f.pos, 1) WHERE f.n > 1),
+        fold2 AS (SELECT f.doc_id, f.leaf, s.h AS subroot, 0 AS lvl, s.pos, s.n, f.cur, f.proof FROM fold1 f JOIN s ON s.lang IS NOT DISTINCT FROM f.lang WHERE f.n = 1 UNION ALL
+                  SELECT f.doc_id, f.leaf, f.subroot, f.lvl + 1, f.pos // 2, (f.n + 1) // 2,
+                         sha256(CASE WHEN f.pos % 2 = 1 THEN o.h || f.cur ELSE f.cur || coalesce(o.h, '') END), f.proof || coalesce(o.h, '')
+                  FROM fold2 f LEFT JOIN outer_ o ON o.lvl = f.lvl AND o.pos = xor(f.pos, 1) WHERE f.n > 1)
+        SELECT doc_id, leaf, subroot, h AS root, sha256(proof) AS proof_sha256, cur AS folded_root, cur = h AS verified
+        FROM fold2 f, (SELECT h FROM outer_ WHERE n = 1) WHERE f.n = 1""",
 }
