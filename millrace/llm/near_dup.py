@@ -5,9 +5,6 @@ to a vantage point: those within the radius go inside, the others outside. By th
 that a boundary separates has its inside member within the outermost ``bits`` distances of the radius, so only those members
 are queried on the other side too, and every linked pair meets in some shard. The top of the tree is fitted on a bounded
 sample and deals all fingerprints to shards; each shard is one task, which goes on splitting and compares the rest exactly.
-
-Texts with a Jaccard similarity of 0.8 differ in more bits (3 to 11 of 64 were seen) than such trees can tell from chance, so
-the pipeline's stage takes its candidates from MinHash bands instead and compares their shingle sets exactly.
 """
 
 from __future__ import annotations
@@ -29,11 +26,6 @@ SHARD, LEAF = 20_000, 256
 TRIES = 8
 #: Shingles whose hashes are unpacked at once.
 _CHUNK = 1 << 16
-#: Near copies of the pipeline's stage: the least Jaccard similarity of shingle sets, and the MinHash bands in which candidates
-#: meet. At a similarity of exactly 0.8 a pair shares a band in all but 1 - 0.8**ROWS to the power of BANDS (3e-6) of cases.
-SIMILAR, BANDS, ROWS = 0.8, 24, 4
-#: Comparisons a member, at most, that are made all at once.
-MANY = 20
 
 
 def fingerprint(text: str, words: int = 3) -> int:
@@ -238,112 +230,9 @@ def _grouped(docs: DataFrame, doc_id: str, text: str, words: int, bits: int) ->
     return prints.join(stage(group, "groups"), "fp", "left")
 
 
-def _shingles(text: str, words: int) -> np.ndarray:
-    """The different hashes of a text's shingles, in order; the same words as those of ``fingerprint``."""
-    from xxhash import xxh64_intdigest
-
-    parts = text.encode("utf-8", "replace").lower().split()
-    if not parts:
-        return np.empty(0, np.uint64)
-    joined = b" ".join(parts)
-    ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1) - 1
-    starts = np.concatenate([[0], ends[:-1] + 1])
-    n = max(1, len(parts) - words + 1)
-    spans = zip(starts[:n].tolist(), ends[len(parts) - n :].tolist())
-    return np.unique(np.fromiter((xxh64_intdigest(joined[a:b], 42) for a, b in spans), np.uint64, n))
-
-
-def _band_keys(grams: np.ndarray) -> np.ndarray:
-    """A key for each band of the MinHash signature; sets with a band in common have its key in common."""
-    rng = np.random.default_rng(7)
-    factors, offsets = (rng.integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1) for _ in range(2))
-    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
-    for i in range(0, len(grams), 512):
-        mixed = grams[i : i + 512, None] * factors
-        mixed += offsets
-        np.minimum(least, mixed.min(0), out=least)
-    key = np.arange(1, BANDS + 1, dtype=np.uint64)
-    for row in least.reshape(BANDS, ROWS).T:
-        key = (key ^ row ^ (row >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
-        key ^= key >> np.uint64(32)
-    return key
-
-
-def shingle_sets(docs: DataFrame, doc_id: str, text: str, words: int) -> DataFrame:
-    """``doc_id, text_hash, node, bands, grams`` of every row; ``node`` is a hash of the whole set, so equal sets are one node.
-
-    Sets of fewer than ROWS shingles have no bands: no other set is as similar as 0.8 to them.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from xxhash import xxh64_intdigest
-
-        for b in batches:
-            grams = [_shingles(t.as_py(), words) for t in b.column(2)]
-            node = np.fromiter((xxh64_intdigest(g.tobytes(), 42) for g in grams), np.uint64, len(grams)).view(np.int64)
-            bands = [_band_keys(g) if len(g) >= ROWS else g[:0] for g in grams]
-            columns = [pa.array([x.view(np.int64) for x in c], pa.list_(pa.int64())) for c in (bands, grams)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(node), *columns], ["doc_id", "text_hash", "node", "bands", "grams"])
-
-    rows = texts(docs, doc_id, text).select("doc_id", F.xxhash64("text"), "text")
-    return rows.mapInArrow(run, "doc_id long, text_hash long, node long, bands array<long>, grams array<long>")
-
-
-def similar(sets: DataFrame, least: float = SIMILAR, many: int = MANY) -> DataFrame:
-    """``node, label``: the components of all nodes of ``sets`` that meet in a band and have Jaccard similarity ``least``.
-
-    Each band's members are first compared with one of them, which links a large group in as many comparisons as it has
-    members. Members that are still in different components are then compared with each other: all at once if that is at most
-    ``many`` comparisons a member, else one of each component with the members of the others, until no band has two left.
-    """
-    keys = sets.select(F.explode("bands").alias("key"), "node")
-    met = stage(keys.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first < last").select("key", "first"), "bands")
-    members = stage(keys.join(met, "key").distinct(), "members")
-    wanted = stage(members.select("node").distinct(), "wanted")
-    grams = stage(sets.select("node", "grams").join(wanted, "node", "left_semi").dropDuplicates(["node"]), "grams")
-
-    def linked(pairs: DataFrame) -> DataFrame:
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        one, two = (grams.select(F.col("node").alias(c), F.col("grams").alias(f"{c}_grams")) for c in "ab")
-        both = F.size(F.array_intersect("a_grams", "b_grams"))
-        found = pairs.join(one, "a").join(two, "b").where(both >= least * (F.size("a_grams") + F.size("b_grams") - both))
-        return stage(found.select("a", "b"), "links")
-
-    edges = linked(members.where("node != first").select(F.col("first").alias("a"), F.col("node").alias("b")))
-    rest = members.where("node != first").select("key", "node")
-    while True:
-        labels = components(edges)
-        rest = rest.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
-        sizes = rest.groupBy("key", "label").agg(F.count("*").alias("n"), F.min("node").alias("first"))
-        sizes = sizes.groupBy("key").agg(F.sum("n").alias("all"), F.sum(F.col("n") * F.col("n")).alias("own"), F.max_by("label", "n").alias("main"), F.min("label").alias("low"), F.max("label").alias("high"))
-        mixed = stage(sizes.where("low < high").select("key", "main", ((F.col("all") * F.col("all") - F.col("own")) / 2).alias("pairs"), "all"), "mixed")
-        pairs, size = mixed.agg(F.sum("pairs"), F.sum("all")).first()
-        if pairs is None:
-            return labels
-        rest = stage(rest.join(mixed.select("key", "main"), "key"), "rest")
-        other = rest.select("key", F.col("node").alias("b"), F.col("label").alias("b_label"))
-        if pairs <= many * size:
-            asking = rest.where("label != main")  # one side of a pair is outside the band's largest component
-        else:
-            asking = rest.groupBy("key", "label").agg(F.min("node").alias("node"))
-        asked = asking.select("key", F.col("node").alias("a"), "label").join(other, "key").where("label != b_label")
-        edges = stage(edges.union(linked(asked.select("a", "b"))), "edges")
-        if pairs <= many * size:
-            return components(edges)
-        rest = stage(rest.join(asking.select("key", "node"), ["key", "node"], "left_anti").select("key", "node"), "rest")
-
-
-def drop_near_dups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, least: float = SIMILAR) -> DataFrame:
-    """The rows of ``docs``, all columns, one of each near-duplicate group: that with the smallest id (null: last), then any.
-
-    Two rows are linked if the sets of their shingles of ``words`` words have a Jaccard similarity of at least ``least``, and a
-    group is what links join. Texts are split as in ``near_dup_groups``; fewer words make one shingle, and texts without words
-    are one group.
-    """
-    sets = stage(shingle_sets(docs, doc_id, text, words), "sets")
-    labels = stage(similar(sets, least), "similar")
-    found = sets.select("doc_id", "text_hash", "node").join(labels, "node", "left")
-    found = stage(found.select("doc_id", "text_hash", F.coalesce("label", "node").alias("component")), "grouped")
+def drop_near_dups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 3, bits: int = 2) -> DataFrame:
+    """The rows of ``docs``, all columns, one of each group of ``near_dup_groups``: that with the smallest id (null: last), then any."""
+    found = stage(_grouped(docs, doc_id, text, words, bits).select("doc_id", "text_hash", "component"), "grouped")
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("first")
     keep = found.groupBy("component").agg(first).select("first.doc_id", "first.text_hash")
     copies = found.groupBy("doc_id", "text_hash").agg(F.count("*").alias("n")).withColumnsRenamed({"doc_id": "id_", "text_hash": "hash_"})
