@@ -7,6 +7,7 @@ group that end with it. How often two ids are linked is counted over all documen
 
 from __future__ import annotations
 
+import json
 import os
 from collections import Counter
 from collections.abc import Iterator
@@ -21,6 +22,8 @@ from millrace.llm.common import named, stage
 
 #: Characters, about, that are encoded at once; one text is never divided.
 AT_ONCE = 1 << 18
+#: Fixed value: where byte-level tokenizers cut a text before they merge.
+SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
 def byte_of_character() -> dict[str, int]:
@@ -37,19 +40,43 @@ class ByteLevel:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
         from tokenizers import Tokenizer
 
-        self.inner = Tokenizer.from_str(source)
-        self.inner.encode_special_tokens = True
+        written = json.loads(source)
         byte = byte_of_character()
-        vocabulary = self.inner.get_vocab()
+        vocabulary = written["model"]["vocab"] | {t["content"]: t["id"] for t in written.get("added_tokens") or []}
         self.pieces = [b""] * (max(vocabulary.values(), default=-1) + 1)
         for entry, i in vocabulary.items():
             known = all(c in byte for c in entry)
             self.pieces[i] = bytes(byte[c] for c in entry) if known else entry.encode("utf-8")
+        self.ranked = self._ranked(written)
+        if self.ranked is None:
+            self.inner = Tokenizer.from_str(source)
+            self.inner.encode_special_tokens = True
+
+    def _ranked(self, written: dict):
+        """A faster encoder of the same ids, where ids are in the order of the merges that make them: then the pair of the
+        lowest id is that of the first merge, and neither special strings nor merges need to be known."""
+        from tiktoken import Encoding
+
+        model, splits = written["model"], written.get("pre_tokenizer") or {}
+        special = {t["id"] for t in written.get("added_tokens") or []}
+        made = ["".join(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+        in_order = [model["vocab"][m] for m in made] == [i for i in range(256, 256 + len(made))]
+        plain = splits.get("type") == "ByteLevel" and splits.get("use_regex", True) and not splits.get("add_prefix_space")
+        if written.get("normalizer") is not None or not (in_order and plain):
+            return None
+        ranks = {p: i for i, p in enumerate(self.pieces) if i not in special}
+        return Encoding("bytes", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, texts: list[str]) -> list[list[int]]:
+        if self.ranked is not None:
+            return [self.ranked.encode_ordinary(" " + t) for t in texts]
         return [e.ids for e in self.inner.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
 
 
+    def spelled(self, ids: list[int]) -> bytes:
+        return self.ranked.decode_bytes(ids) if self.ranked is not None else b"".join(map(self.pieces.__getitem__, ids))
+
+
 class Piecewise:
     """A sentence-piece tokenizer from the bytes of its model; it puts the space before the text itself."""
 
@@ -64,16 +91,19 @@ class Piecewise:
     def encode(self, texts: list[str]) -> list[list[int]]:
         return self.inner.encode(texts, num_threads=1)
 
+    def spelled(self, ids: list[int]) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, ids))
+
 
 def common_ends(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
     """Where the groups end: for each byte offset at which tokens of both sides end, the number of tokens up to it.
 
     ``a`` and ``b`` are the tokens' lengths in bytes, all above zero.
     """
-    index_a = {end: i for i, end in enumerate(accumulate(a), 1)}
-    index_b = {end: i for i, end in enumerate(accumulate(b), 1)}
-    common = sorted(index_a.keys() & index_b.keys())
-    return [index_a[e] for e in common], [index_b[e] for e in common]
+    index_a = dict(zip(accumulate(a), range(1, len(a) + 1)))
+    index_b = dict(zip(accumulate(b), range(1, len(b) + 1)))
+    common = sorted(filter(index_b.__contains__, index_a))
+    return list(map(index_a.__getitem__, common)), list(map(index_b.__getitem__, common))
 
 
 class Aligner:
@@ -88,7 +118,7 @@ class Aligner:
             return
         for text, *ids in zip(texts, *(s.encode(texts) for s in self.sides)):
             whole = b" " + text.encode("utf-8")
-            if not text or any(b"".join(map(s.pieces.__getitem__, i)) != whole for s, i in zip(self.sides, ids)):
+            if not text or any(s.spelled(i) != whole for s, i in zip(self.sides, ids)):
                 yield [], [], [], []
             else:
                 yield (*ids, *common_ends(*(list(map(n.__getitem__, i)) for n, i in zip(self.lengths, ids))))
@@ -162,7 +192,7 @@ def _linked(docs: DataFrame, a_path: str, b_path: str, doc_id: str, text: str) -
         for batch in _some(batches):
             out: list[list] = [[] for _ in names[1:]]
             for a, b, ends_a, ends_b in aligner.align(batch.column(1).to_pylist()):
-                last_a, last_b = (np.asarray(ids, np.int64)[np.asarray(ends, np.int64) - 1] for ids, ends in ((a, ends_a), (b, ends_b)))
+                last_a, last_b = (np.array([ids[e - 1] for e in ends], np.int64) for ids, ends in ((a, ends_a), (b, ends_b)))
                 sha = sha256(aligner.groups(a, b, ends_a, ends_b).encode()).hexdigest() if a else ""
                 for c, value in zip(out, (len(a), len(b), len(ends_a), sha, (last_a << 32) + last_b)):
                     c.append(value)

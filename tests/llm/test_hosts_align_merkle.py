@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -205,6 +206,21 @@ def test_groups_are_spans_of_the_same_bytes(spark):
         assert not r.a_ids or b"".join(first.pieces[x] for x in r.a_ids).decode() == " " + texts[r.doc_id]
 
 
+def test_ids_are_those_of_the_library():
+    """Random texts of all planes, and of white space, letters and quotes in every order."""
+    from tokenizers import Tokenizer
+
+    first = align.ByteLevel(open(A, encoding="utf-8").read())
+    assert first.ranked is not None
+    library = Tokenizer.from_file(A)
+    library.encode_special_tokens = True
+    rng = random.Random(3)
+    some = [" ", "  ", "\n", "\t", "\u00a0", "\u3000", "\x1c", "\x85", "\r\n", "a", "I'll", "é", "\u0301", "日本", "😀", "12", "...", "'S", "<|endoftext|>", "ﬁ"]
+    texts = ["".join(rng.choices(some, k=12)) for _ in range(3000)]
+    texts += ["".join(chr(c) for c in rng.choices([*range(0xD800), *range(0xE000, 0x110000, 9)], k=15)) for _ in range(3000)]
+    assert first.encode(texts) == [e.ids for e in library.encode_batch([" " + t for t in texts], add_special_tokens=False)]
+
+
 def test_common_ends():
     assert align.common_ends([2, 3, 1], [1, 1, 4]) == ([1, 3], [2, 3])
     assert align.common_ends([], []) == ([], [])
