@@ -9,7 +9,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,7 +20,7 @@ from millrace.session import work_path
 from millrace.sinks import writers
 from millrace.sources import readers
 from millrace.sources.readers import column_list
-from millrace.sources.store import MarkTable, TableStore, folders, join_keys, remove
+from millrace.sources.store import KeyedTable, LoadTable, MarkTable, folders, join_keys, remove
 
 FIRST_RUN = "1970-01-01 00:00:00"
 SNAPSHOT = "_snapshot_id"
@@ -61,7 +61,7 @@ class Artifact:
     json_record: str | None = None
     flatten: str | None = None
     document: str = "document"
-    slots: int | None = None
+    slots: int | None = None  # buckets of a keyed target
     compression: str | None = None
     distribution_key: list[str] = field(default_factory=list)
     sort_key: list[str] = field(default_factory=list)
@@ -222,8 +222,12 @@ def watermark_filter(df: DataFrame, watermark: Mark, last: str | None, backload_
 
 def watermark_advance(batch: DataFrame, watermark: Mark) -> str | None:
     """I5. The new mark: the greatest value that was loaded. (A wall clock would skip rows committed during the load.)"""
+    return batch.agg(_greatest_mark(batch, watermark)).head()[0]
+
+
+def _greatest_mark(batch: DataFrame, watermark: Mark) -> Column:
     top = F.max(mark_column(watermark))
-    return batch.agg(F.date_format(top, "yyyy-MM-dd HH:mm:ss.SSSSSS") if _is_time(batch, watermark) else top.cast("string")).head()[0]
+    return F.date_format(top, "yyyy-MM-dd HH:mm:ss.SSSSSS") if _is_time(batch, watermark) else top.cast("string")
 
 
 def has_changes(df: DataFrame, watermark: Mark, last: str | None) -> bool:
@@ -245,22 +249,25 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], *order: str) -> DataFrame
 
 
 def ingest_delta(
-    store: TableStore, source: DataFrame, watermark: Mark, marks: MarkTable, artifact: str, backload_days: int = 0, tie: str | None = None
-) -> int:
-    """I3. Rows newer than the mark, newest per key, merged; then the mark moves. Returns the table version.
+    store: KeyedTable, source: DataFrame, watermark: Mark, marks: MarkTable, artifact: str, backload_days: int = 0, tie: str | None = None
+) -> int | None:
+    """I3. Rows newer than the mark, newest per key, merged; then the mark moves. The number of the load, None if nothing is new.
 
-    The mark moves only after the merge is committed, and merging the same rows again changes nothing, so a failure
-    in between is repaired by the next run.
+    The mark is observed while the rows are written. It moves only after the load is whole, and merging the same rows again
+    changes nothing, so a failure in between is repaired by the next run.
     """
     last = marks.get(artifact)
     new = watermark_filter(source, watermark, last, backload_days)
     order = [mark_column(watermark).desc(), *([F.col(tie).desc()] if tie else [])]
-    version = store.upsert(top_per_group(new, store.keys, order, 1, "_rank").drop("_rank"), "delta")
-    mark = watermark_advance(store.written, watermark)
+    if store.loads() and new.isEmpty():
+        return None
+    loaded = Observation()
+    load = store.merge(top_per_group(new, store.keys, order, 1, "_rank").drop("_rank").observe(loaded, _greatest_mark(new, watermark).alias("mark")))
+    mark = loaded.get["mark"]
     if mark is not None:
         # reading days again can end below the mark; the texts of times sort like the times
         marks.put(artifact, max(mark, last or mark) if backload_days else mark)
-    return version
+    return load
 
 
 def detect_deletes(target: DataFrame, source: DataFrame, keys: Sequence[str], mark: str | None = None) -> DataFrame:
@@ -346,27 +353,34 @@ def _sliced_versions(hot: DataFrame, keys: Sequence[str], watermark: str, slices
     )
 
 
-def ingest_historical(store: TableStore, changes: DataFrame, watermark: str, tracked: Sequence[str]) -> int:
-    """I8. Add changes to a stored history. Only the slots of the changed keys are read and rebuilt.
+def ingest_historical(store: KeyedTable, changes: DataFrame, watermark: str, tracked: Sequence[str]) -> int:
+    """I8. Add changes to a stored history; the versions of the keys that changed are made anew.
 
-    What was observed is kept in a table beside the history, so that the result does not depend on how the changes were
-    split into loads or in which order they came. Rows without a time cannot be placed; they go to a table of their own
-    (:func:`undated`).
+    What was observed is kept in a table beside the history, each observation once, so that the result does not depend on how
+    the changes were split into loads, in which order they came, or whether one came twice. Rows without a time cannot be
+    placed; they go to a table of their own (:func:`undated`).
     """
-    keys = store.keys
-    rows = changes.select(*keys, *tracked, watermark)
-    undated(store).append(rows.filter(F.col(watermark).isNull()).distinct(), "undated")
-    seen = store.beside("observations")
-    new = store.stage(rows.filter(F.col(watermark).isNotNull()).distinct(), "historical")
-    seen.append(new, "observed")
+    rows = changes.select(*store.keys, *tracked, watermark)
+    _add_distinct(undated(store), rows.filter(F.col(watermark).isNull()))
+    dated = rows.filter(F.col(watermark).isNotNull())
+    seen, touched = observations(store), dated.select(*store.keys).distinct()
+    _add_distinct(seen, dated)
+    return store.replace_rows(touched, scd2(seen.rows_of(touched), store.keys, watermark, tracked))
+
+
+def _add_distinct(table: KeyedTable, rows: DataFrame) -> None:
+    """Add the rows that the table does not have yet."""
+    keys = rows.select(*table.keys).distinct()
+    old = table.rows_of(keys)
+    table.replace_rows(keys, (rows if old is None else old.unionByName(rows)).distinct())
 
-    def change(_: DataFrame, batch: DataFrame) -> DataFrame:
-        return scd2(seen.read_slots(batch).distinct(), keys, watermark, tracked)
 
-    return store.rewrite(new, change, "historical", staged=True)
+def observations(store: KeyedTable) -> KeyedTable:
+    """All that :func:`ingest_historical` has seen of each key."""
+    return store.beside("observations")
 
 
-def undated(store: TableStore) -> TableStore:
+def undated(store: KeyedTable) -> KeyedTable:
     """The rows that :func:`ingest_historical` could not place for want of a time."""
     return store.beside("undated")
 
@@ -379,10 +393,10 @@ def apply_changes(target: DataFrame, changes: DataFrame, keys: Sequence[str], op
     return kept.unionByName(live)
 
 
-def ingest_cdc(store: TableStore, changes: DataFrame, op: str, order: str, name: str = "cdc") -> int:
+def ingest_cdc(store: KeyedTable, changes: DataFrame, op: str, order: str) -> int:
     """I9 on a stored table. Deleted keys stay as tombstones (op ``D``), so that a late change cannot revive them; a change
     that is not newer than the stored row is ignored."""
-    return store.merge(latest_per_key(changes, store.keys, order), name, order=order)
+    return store.merge(latest_per_key(changes, store.keys, order), order)
 
 
 def live_rows(stored: DataFrame, op: str, order: str, deleted: str = "D") -> DataFrame:
@@ -498,19 +512,32 @@ def read_source(spark: SparkSession, a: Artifact) -> DataFrame:
     return source
 
 
-def _load_child(spark: SparkSession, a: Artifact, name: str, child: DataFrame, parents: DataFrame, root: str) -> None:
+def _load_child(spark: SparkSession, a: Artifact, name: str, child: DataFrame, parents: DataFrame, root: str, load_id: str) -> None:
     """I11. A child table in the mode of its parent: added to, or the rows of the loaded parents replaced.
 
     It is keyed by the parent, so a parent whose array became shorter leaves nothing behind.
     """
-    keys = a.merge_columns
-    store = TableStore(spark, f"{root}/{a.target}__{name}", keys or ["pos"], a.slots)
+    keys, path = a.merge_columns, f"{root}/{a.target}__{name}"
     if a.ingestion_type == "append":
-        store.append(child)
-    elif a.ingestion_type in ("delta", "upsert", "cdc", "historical") and keys and store.version():
-        store.rewrite(parents.select(*keys).distinct(), lambda old, k: join_keys(old, k, keys, "left_anti").unionByName(join_keys(child, k, keys, "left_semi")), "children")
+        LoadTable(spark, path).add(child, load_id)
+        return
+    table = KeyedTable(spark, path, keys or ["pos"], a.slots)
+    if a.ingestion_type in ("delta", "upsert", "cdc", "historical") and keys:
+        known = parents.select(*keys).distinct()
+        table.replace_rows(known, join_keys(child, known, keys, "left_semi"))
     else:
-        store.replace(child)
+        table.replace(child)
+
+
+def stored(spark: SparkSession, a: Artifact, root: str) -> DataFrame | None:
+    """What an artifact's target holds; None before the first load."""
+    path = f"{root}/{a.target}"
+    if a.ingestion_type == "append":
+        return LoadTable(spark, path).read()
+    if a.ingestion_type == "snapshot" and not a.replace_table:
+        return spark.read.parquet(path)
+    table = KeyedTable(spark, path, a.merge_columns, a.slots)
+    return table.read()
 
 
 def load_artifact(spark: SparkSession, a: Artifact, root: str, load_id: str) -> int:
@@ -538,16 +565,18 @@ def load_artifact(spark: SparkSession, a: Artifact, root: str, load_id: str) ->
         ingest_snapshot(source, path, load_id)
         retain_snapshots(spark, path, a.snapshot_retention)
         rows = spark.read.parquet(path)
+    elif a.ingestion_type == "append":
+        table = LoadTable(spark, path)
+        table.add(source, load_id)
+        rows = table.read()
     else:
-        store = TableStore(spark, path, a.merge_columns or [source.columns[0]], a.slots)
+        store = KeyedTable(spark, path, a.merge_columns or [source.columns[0]], a.slots)
         if a.replace_table or a.ingestion_type in ("snapshot", "overwrite", "stored_procedure"):
             store.replace(source)
-        elif a.ingestion_type == "append":
-            store.append(source)
         elif a.ingestion_type == "upsert":
             # without a mark any row of a key will do; the one with the greatest text is the same on every run
             order = [mark_column(a.watermark)] if a.watermark else [F.to_json(F.struct(*source.columns))]
-            store.upsert(top_per_group(source, store.keys, [c.desc() for c in order], 1, "_rank").drop("_rank"))
+            store.merge(top_per_group(source, store.keys, [c.desc() for c in order], 1, "_rank").drop("_rank"))
         elif a.ingestion_type == "cdc":
             ingest_cdc(store, source, a.cdc_op, a.watermark)
         elif a.ingestion_type == "historical":
@@ -555,12 +584,12 @@ def load_artifact(spark: SparkSession, a: Artifact, root: str, load_id: str) ->
         else:
             ingest_delta(store, source, a.watermark, MarkTable(spark, f"{root}/_marks"), a.target, a.backload_days)
         if a.detect_deletes and a.ingestion_type in ("delta", "upsert"):
-            store.delete(join_keys(store.read(), source.select(*store.keys).distinct(), store.keys, "left_anti"))
+            store.replace_rows(join_keys(store.read(), source.select(*store.keys).distinct(), store.keys, "left_anti"))
         rows = store.read()
     if a.auto_explode:
         children |= auto_explode(source, a.merge_columns)
     for name, child in children.items():
-        _load_child(spark, a, name, child, source, root)
+        _load_child(spark, a, name, child, source, root, load_id)
     if a.post_sql:
         spark.sql(a.post_sql)
     return rows.count()

@@ -9,7 +9,7 @@ from millrace.operators import usage
 from millrace.plans.plan_columns import _DIRTY, dirty
 from millrace.plans.registry import query
 from millrace.session import work_path
-from millrace.sources.store import MarkTable, TableStore
+from millrace.sources.store import KeyedTable, LoadTable, MarkTable
 
 _V1_MAX = "(SELECT max(updated_at) FROM orders_v1)"
 _MERGED = f"""SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, updated_at FROM orders_v2 WHERE updated_at > {_V1_MAX}
@@ -25,7 +25,7 @@ def shown(df):
 def delta_store(t):
     """Orders loaded in two deltas: everything in v1, then what is newer in v2."""
     root = work_path(t.spark, "delta")
-    store = TableStore(t.spark, f"{root}/orders", ["o_orderkey"], slots=8)
+    store = KeyedTable(t.spark, f"{root}/orders", ["o_orderkey"], buckets=8)
     marks = MarkTable(t.spark, f"{root}/marks")
     op.ingest_delta(store, t.orders_v1, "updated_at", marks, "orders")
     op.ingest_delta(store, t.orders_v2, "updated_at", marks, "orders")
@@ -87,7 +87,7 @@ def i2_removed(t):
 @query("I3_delta_by_number", "SELECT user_id, max(event_id) AS event_id FROM events GROUP BY user_id")
 def i3_number(t):
     """Deltas past a number: the newest event of each user after three loads."""
-    store = TableStore(t.spark, work_path(t.spark, "by_number"), ["user_id"], slots=4)
+    store = KeyedTable(t.spark, work_path(t.spark, "by_number"), ["user_id"], buckets=4)
     marks = MarkTable(t.spark, f"{store.path}/marks")
     events = t.events.select("event_id", "user_id")
     for third in (900, 9_000, 10**12):
@@ -121,8 +121,7 @@ def i4_first(t):
     "orders_v1 orders_v2",
 )
 def i5(t):
-    marks = delta_store(t)[1]
-    return t.spark.read.schema(MarkTable.SCHEMA).json(marks.path).groupBy("artifact").agg(F.max_by("mark", "version").alias("mark"))
+    return delta_store(t)[1].read()
 
 
 @query("I6_change_count_gate", f"SELECT count(*) AS changed FROM orders_v2 WHERE updated_at > {_V1_MAX}", "orders_v1 orders_v2")
@@ -159,7 +158,7 @@ def i8_hot(t):
 
 @query("I8_ingest_historical", f"WITH {_HISTORY}")
 def i8_stored(t):
-    store = TableStore(t.spark, work_path(t.spark, "history"), ["user_id"], slots=4)
+    store = KeyedTable(t.spark, work_path(t.spark, "history"), ["user_id"], buckets=4)
     half = F.col("ts") < F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
     op.ingest_historical(store, t.events.filter(half), "ts", ["event_type"])
     op.ingest_historical(store, t.events.filter(~half), "ts", ["event_type"])
@@ -169,7 +168,7 @@ def i8_stored(t):
 @query("I8_ingest_historical_late", f"WITH {_HISTORY}")
 def i8_late(t):
     """Loads in another order than time, with repeats and with rows that have no time, give the same history."""
-    store = TableStore(t.spark, work_path(t.spark, "late"), ["user_id"], slots=4)
+    store = KeyedTable(t.spark, work_path(t.spark, "late"), ["user_id"], buckets=4)
     lost = t.events.withColumn("ts", F.lit(None).cast("timestamp_ntz")).filter("event_id % 100 = 0")
     for i in (2, 0, 1, 0):
         part = t.events.filter(F.pmod(F.col("event_id") * 7, F.lit(3)) == i)
@@ -205,7 +204,7 @@ def i9(t):
 @query("I9_ingest_cdc_store", _V2, "orders_v2")
 def i9_store(t):
     """The same changes in two loads, newest first, so that the second brings only overtaken changes."""
-    store = TableStore(t.spark, work_path(t.spark, "cdc"), ["o_orderkey"], slots=4)
+    store = KeyedTable(t.spark, work_path(t.spark, "cdc"), ["o_orderkey"], buckets=4)
     base = t.orders_v1.select(*_TARGET, F.lit("I").alias("op"), F.lit(0).cast("bigint").alias("seq"))
     op.ingest_cdc(store, base, "op", "seq")
     changes = order_changes(t)
@@ -258,7 +257,7 @@ def i13(t):
     root = work_path(t.spark, "query_defined")
     text = "SELECT o_custkey, count(*) AS orders, max(o_orderkey) AS newest FROM millrace_orders GROUP BY o_custkey"
     op.load_artifact(t.spark, op.Artifact("", "summary", ingestion_type="stored_procedure", merge_columns=["o_custkey"], query=text), root, "1")
-    return TableStore(t.spark, f"{root}/summary", ["o_custkey"]).read()
+    return KeyedTable(t.spark, f"{root}/summary", ["o_custkey"]).read()
 
 
 @query(
@@ -302,7 +301,7 @@ def i14_ten(t):
         bad = outcome.filter("NOT success").collect()
         if bad:
             raise ValueError(bad[0].message)
-    read = [TableStore(t.spark, f"{root}/t{i}", ["o_orderkey"]).read().select(F.lit(f"t{i}").alias("target"), "o_orderkey", "o_orderstatus", "o_totalprice") for i in range(10)]
+    read = [KeyedTable(t.spark, f"{root}/t{i}", ["o_orderkey"]).read().select(F.lit(f"t{i}").alias("target"), "o_orderkey", "o_orderstatus", "o_totalprice") for i in range(10)]
     return reduce(lambda a, b: a.union(b), read)
 
 
@@ -316,11 +315,14 @@ def i14_ten(t):
 def i14_files(t):
     """By configuration alone, twice in append mode: a file with its header on line 3, API payloads, nested documents."""
     root = work_path(t.spark, "configured")
-    files, lines = f"{root}/in", t.customer.select(F.concat_ws("|", "c_custkey", F.concat(F.lit('"'), "c_name", F.lit('"'))).alias("value"))
-    head = t.spark.createDataFrame([(0, "made today"), (1, "by hand"), (2, 'Cust Key|"Full | Name"')], "i int, value string")
-    lines.withColumn("i", F.lit(3)).unionByName(head).coalesce(1).sortWithinPartitions("i").select("value").write.text(files)
+    files, line = f"{root}/in", F.concat_ws("|", "c_custkey", F.concat(F.lit('"'), "c_name", F.lit('"')))
+    # one row per file: its head, then its lines
+    head = F.array(F.lit("made today"), F.lit("by hand"), F.lit('Cust Key|"Full | Name"'))
+    pages = t.customer.groupBy(F.floor(F.col("c_custkey") / 500).alias("page")).agg(F.sort_array(F.collect_list(line)).alias("lines"))
+    pages.select("page", F.array_join(F.concat(head, "lines"), "\n").alias("value")).repartition("page").write.partitionBy("page").text(files)
+    files = f"{files}/*"
     record = F.struct(F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("segment"), F.col("c_acctbal").alias("balance"))
-    t.customer.groupBy((F.col("c_custkey") % 50).alias("page")).agg(
+    t.customer.groupBy(F.floor(F.col("c_custkey") / 50).alias("page")).agg(
         F.to_json(F.struct(F.struct(F.collect_list(record).alias("items")).alias("data"))).alias("payload")
     ).createOrReplaceTempView("millrace_payloads")
     event_documents(t).createOrReplaceTempView("millrace_documents")
@@ -329,15 +331,15 @@ def i14_files(t):
         {"sourceTable": "millrace_payloads", "jsonPath": "$.data.items", "jsonRecord": "struct<id: bigint, segment: string, balance: double>", "targetTable": "payload", "mode": "append"},
         {"sourceCollection": "millrace_documents", "flatten": _DOC, "documentColumn": "doc", "targetTable": "document", "mode": "append", "primaryKey": "event_id"},
     ]
-    for _ in range(2):
-        bad = op.multi_table_sync(t.spark, [op.artifact_from_config(i) for i in items], root, "1").filter("NOT success").collect()
+    for load in range(2):
+        bad = op.multi_table_sync(t.spark, [op.artifact_from_config(i) for i in items], root, str(load)).filter("NOT success").collect()
         if bad:
             raise ValueError(bad[0].message)
-    none, read = F.lit(None), lambda name, key: TableStore(t.spark, f"{root}/{name}", [key]).read()
-    file = read("file", "Cust Key").select(F.lit("file").alias("kind"), F.col("Cust Key").cast("bigint").alias("id"), none.cast("int").alias("pos"), F.col("Full | Name").alias("text"), none.cast("double").alias("number"))
-    payload = read("payload", "page").select(F.lit("payload"), "id", none.cast("int"), "segment", "balance")
-    document = read("document", "event_id").select(F.lit("document"), "event_id", none.cast("int"), F.col("`user.last.kind`"), F.col("`user.id`").cast("double"))
-    child = read("document__seen", "event_id").select(F.lit("child"), "event_id", "pos", none.cast("string"), "element")
+    none, read = F.lit(None), lambda name: LoadTable(t.spark, f"{root}/{name}").read()
+    file = read("file").select(F.lit("file").alias("kind"), F.col("Cust Key").cast("bigint").alias("id"), none.cast("int").alias("pos"), F.col("Full | Name").alias("text"), none.cast("double").alias("number"))
+    payload = read("payload").select(F.lit("payload"), "id", none.cast("int"), "segment", "balance")
+    document = read("document").select(F.lit("document"), "event_id", none.cast("int"), F.col("`user.last.kind`"), F.col("`user.id`").cast("double"))
+    child = read("document__seen").select(F.lit("child"), "event_id", "pos", none.cast("string"), "element")
     return file.union(payload).union(document).union(child)
 
 

@@ -8,7 +8,7 @@ from millrace.plans.registry import query
 from millrace.session import work_path
 from millrace.sinks import writers as out
 from millrace.sources import readers as src
-from millrace.sources.store import TableStore
+from millrace.sources.store import KeyedTable
 
 _ORDERS = "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders"
 _DDL = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double"
@@ -151,9 +151,9 @@ def w2(t):
     "orders_v1 orders_v2",
 )
 def w3(t):
-    store = TableStore(t.spark, work_path(t.spark, "upsert"), ["o_orderkey"], slots=4)
+    store = KeyedTable(t.spark, work_path(t.spark, "upsert"), ["o_orderkey"], buckets=4)
     store.replace(t.orders_v1)
-    store.upsert(t.orders_v2.filter("o_orderkey % 7 = 0"))
+    store.merge(t.orders_v2.filter("o_orderkey % 7 = 0"))
     return store.read().select("o_orderkey", "o_totalprice")
 
 
@@ -164,11 +164,11 @@ def w3(t):
     "orders_v1 orders_v2",
 )
 def w3_slots(t):
-    """A store that is opened without the number of slots takes the stored one."""
+    """A store that is opened without the number of buckets takes the stored one."""
     path = work_path(t.spark, "slots")
-    TableStore(t.spark, path, ["o_orderkey"], slots=4).replace(t.orders_v1)
-    store = TableStore(t.spark, path, ["o_orderkey"])
-    store.upsert(t.orders_v2.filter("o_orderkey % 7 = 0"))
+    KeyedTable(t.spark, path, ["o_orderkey"], buckets=4).replace(t.orders_v1)
+    store = KeyedTable(t.spark, path, ["o_orderkey"])
+    store.merge(t.orders_v2.filter("o_orderkey % 7 = 0"))
     return store.read().select("o_orderkey", "o_totalprice")
 
 
@@ -180,12 +180,12 @@ def w3_slots(t):
 def w3_null_keys(t):
     """Null is a key: orders in four loads, a third of them without a customer, leave one row per customer and one without."""
     keyed = t.orders.select(F.when(F.col("o_custkey") % 3 != 0, F.col("o_custkey")).alias("k"), "o_orderkey", "o_totalprice")
-    store = TableStore(t.spark, work_path(t.spark, "null_keys"), ["k"], slots=4)
+    store = KeyedTable(t.spark, work_path(t.spark, "null_keys"), ["k"], buckets=4)
     for i in range(4):
         some = keyed.filter(F.col("o_orderkey") % 4 == i)
         old = store.read()
         newest = (some if old is None else some.union(old)).groupBy("k").agg(F.max_by(F.struct("o_orderkey", "o_totalprice"), "o_orderkey").alias("o"))
-        store.upsert(newest.select("k", "o.*"))
+        store.merge(newest.select("k", "o.*"))
     return store.read().select("k", F.col("o_totalprice").alias("price"))
 
 
@@ -231,7 +231,7 @@ def w7(t):
 
 @query("W8_replace_table", "SELECT o_orderkey, o_orderpriority FROM orders")
 def w8(t):
-    store = TableStore(t.spark, work_path(t.spark, "replace"), ["o_orderkey"], slots=4)
+    store = KeyedTable(t.spark, work_path(t.spark, "replace"), ["o_orderkey"], buckets=4)
     store.replace(plain_orders(t))
     store.replace(t.orders.select("o_orderkey", "o_orderpriority"))
     return store.read()

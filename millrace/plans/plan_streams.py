@@ -9,7 +9,7 @@ from millrace.plans.plan_ingest import _TARGET, _V2, order_changes
 from millrace.plans.plan_runs import _RANKED
 from millrace.plans.registry import query
 from millrace.session import work_path
-from millrace.sources.store import TableStore
+from millrace.sources.store import KeyedTable
 from millrace.streaming import streams as op
 
 
@@ -26,7 +26,7 @@ def checkpoint(t):
 
 @query("T1_stream_cdc_apply", _V2, "orders_v2")
 def t1(t):
-    store = TableStore(t.spark, work_path(t.spark, "cdc"), ["o_orderkey"], slots=4)
+    store = KeyedTable(t.spark, work_path(t.spark, "cdc"), ["o_orderkey"], buckets=4)
     ingest_cdc(store, t.orders_v1.select(*_TARGET, F.lit("I").alias("op"), F.lit(0).cast("bigint").alias("seq")), "op", "seq")
     stream = landed(t, order_changes(t), "changes")
     op.stream_cdc_apply(stream, store, "op", "seq", checkpoint(t)).awaitTermination()
@@ -66,7 +66,7 @@ def t4(t):
     "runs",
 )
 def t5(t):
-    store = TableStore(t.spark, work_path(t.spark, "health"), ["window_start", "entity"], slots=4)
+    store = KeyedTable(t.spark, work_path(t.spark, "health"), ["window_start", "entity"], buckets=4)
     stream = landed(t, t.runs, "runs", order="ts")
     op.stream_health(stream, store, "entity", "ts", "1 day", "40 days", checkpoint(t)).awaitTermination()
     return store.read().withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd"))
@@ -81,7 +81,7 @@ def t5(t):
 )
 def t5_null(t):
     """A third of the runs have no entity; their windows are one row each, however many batches touch them."""
-    store = TableStore(t.spark, work_path(t.spark, "health_null"), ["window_start", "entity"], slots=4)
+    store = KeyedTable(t.spark, work_path(t.spark, "health_null"), ["window_start", "entity"], buckets=4)
     runs = t.runs.withColumn("entity", F.when(F.col("entity") % 3 != 0, F.col("entity")))
     stream = landed(t, runs, "runs_null", order="ts")
     op.stream_health(stream, store, "entity", "ts", "1 day", "40 days", checkpoint(t)).awaitTermination()
@@ -96,10 +96,10 @@ def t5_null(t):
     "runs",
 )
 def t6(t):
-    store = TableStore(t.spark, work_path(t.spark, "recent"), ["entity"], slots=4)
+    path = work_path(t.spark, "recent")
     stream = landed(t, t.runs, "runs")
-    op.stream_alerts(stream, store, "entity", "ts", "id", checkpoint(t)).awaitTermination()
-    alerts = failure_alerts(store.read(), "entity", "ts", "id", "error_message")
+    op.stream_alerts(stream, path, "entity", "ts", "id", checkpoint(t)).awaitTermination()
+    alerts = failure_alerts(op.last_runs(t.spark, path, "entity"), "entity", "ts", "id", "error_message")
     return alerts.withColumn("lines", F.array_join("lines", " | "))
 
 

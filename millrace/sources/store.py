@@ -1,34 +1,27 @@
-"""Versioned tables on plain Parquet, and the high-water-mark table.
+"""Tables with keys on plain Parquet, and high-water marks.
 
-Spark cannot overwrite a path it is reading, and plain Parquet has no MERGE. So each write goes to a new folder, split
-by *slot* (by default a hash of the keys), and then one small manifest names the folders that make up the new version.
-Readers see the old version or the new one. A merge only adds *change* folders for the slots its source touches; reading
-takes the newest row of each changed key, and :meth:`TableStore.compact` folds changes back into their slots when they
-have become many. Keys are compared null-safely. One writer at a time is assumed.
+Each load of a table is a folder of its own, bucketed by the key, so Spark joins the next load's rows to it without moving the
+table; within a bucket rows are sorted by the key, which each task's own sort then meets nearly done. Spark's own ``_SUCCESS`` file says that a folder is whole; the newest whole folder is the
+table. Nothing else is kept about a table, and a load that died leaves a folder that nobody reads.
+
+Keys are compared null-safely. One writer of a table at a time is assumed.
 """
 
 from __future__ import annotations
 
 import json
-import re
 import uuid
-from collections import Counter, defaultdict
-from collections.abc import Callable, Iterable, Sequence
-from dataclasses import dataclass
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SLOT = "_slot"
-SLOTS = 16
-#: Change folders of a slot, and their rows as a share of its other rows, above which a merge folds them in.
-MANY_CHANGES, LARGE_CHANGES = 8, 0.5
-
-BASE, CHANGE, GONE = "base", "change", "gone"  # kinds of folders: rows, rows that replace others, keys that were deleted
+BUCKETS = 16
+KEY = "_key"
 
 
-# ---- small files of the driver -------------------------------------------------------------------------------------
+# ---- folders -------------------------------------------------------------------------------------------------------
 
 
 def _files(spark: SparkSession, path: str):
@@ -38,34 +31,9 @@ def _files(spark: SparkSession, path: str):
     return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
 
 
-def _write_rows(spark: SparkSession, rows: Iterable[dict], folder: str) -> None:
-    """Add a file of JSON lines to a folder: written aside and renamed, so that it is there whole or not at all."""
-    fs, _ = _files(spark, folder)
-    name = uuid.uuid4().hex
-    part = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder, f"_{name}.tmp")
-    out = fs.create(part)
-    out.write("".join(json.dumps(r) + "\n" for r in rows).encode())
-    out.close()
-    done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder, f"{name}.json")
-    if not fs.rename(part, done):
-        raise OSError(f"{done} could not be written")
-
-
-def _read_rows(spark: SparkSession, folder: str) -> list[dict]:
-    """The rows of all files of a folder; none if it does not exist."""
-    fs, at = _files(spark, folder)
-    if not fs.exists(at):
-        return []
-    out = []
-    utils = spark.sparkContext._jvm.org.apache.commons.io.IOUtils
-    for f in fs.listStatus(at):
-        if f.getPath().getName().endswith(".json"):
-            stream = fs.open(f.getPath())
-            try:
-                out += [json.loads(line) for line in utils.toString(stream, "UTF-8").splitlines()]
-            finally:
-                stream.close()
-    return out
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, at = _files(spark, path)
+    return fs.exists(at)
 
 
 def folders(spark: SparkSession, path: str) -> list[str]:
@@ -79,11 +47,23 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(at, True)
 
 
+def whole_folders(spark: SparkSession, path: str) -> list[str]:
+    """The folders ``number-...`` below a path that were written to the end, oldest first."""
+    found = sorted((f for f in folders(spark, path) if f.split("-")[0].isdigit()), key=lambda f: int(f.split("-")[0]))
+    return [f for f in found if exists(spark, f"{path}/{f}/_SUCCESS")]
+
+
+def _number(folder: str | None) -> int:
+    return int(folder.split("-")[0]) if folder else 0
+
+
 # ---- keys ----------------------------------------------------------------------------------------------------------
 
 
-def key_slot(keys: Sequence[str], slots: int) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(slots)).cast("int")
+def key_text(keys: Sequence[str]) -> Column:
+    """One text that is never null and tells any two keys apart, null and empty values too."""
+    each = [F.coalesce(F.concat(F.length(F.col(k).cast("string")).cast("string"), F.lit(":"), F.col(k).cast("string")), F.lit("-")) for k in keys]
+    return F.concat(*each)
 
 
 def join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
@@ -96,306 +76,200 @@ def join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str)
     return out if how in ("left_semi", "left_anti") else out.drop(*[f"_right_{k}" for k in keys])
 
 
-@dataclass(frozen=True)
-class Part:
-    """A folder with rows of one slot; ``seq`` is the version that wrote it."""
-
-    slot: int
-    dir: str
-    rows: int
-    kind: str = BASE
-    seq: int = 0
-
+def wider(old: T.StructType, new: T.StructType) -> T.StructType:
+    """The columns of both. A column that changed its type is an error before anything is written: a table takes another
+    type only by being replaced."""
+    for f in new:
+        if f.name in old.names and old[f.name].dataType != f.dataType:
+            raise TypeError(f"column {f.name} is {old[f.name].dataType.simpleString()} in the table and {f.dataType.simpleString()} in the load; replace the table to change it")
+    return T.StructType([*old, *[f for f in new if f.name not in old.names]])
 
-@dataclass(frozen=True)
-class Version:
-    """``slots`` is None where the slots are an expression of the writer's own; ``order`` is the column by which the
-    changes of a key are ranked, None where the later write wins."""
 
-    number: int
-    schema: T.StructType
-    parts: list[Part]
-    keys: list[str]
-    slots: int | None
-    order: str | None = None
+def fitted(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """``df`` with the columns of ``schema``; those it lacks are null."""
+    return df.select(*[F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
 
 
-class TableStore:
-    """A table below ``path``. ``slot`` may be any integer expression over columns that never change for a key.
+class KeyedTable:
+    """The table below ``path``. Folder ``n-b`` is the whole table after load n, in b buckets of ``keys``.
 
-    ``versions`` holds one row per version and is the commit point; ``manifest/version=n`` holds the parts of version n.
-    Keys and number of slots are stored with the table: a store opened without ``slots`` takes the stored number, and
-    other keys or another number are refused. What a crash leaves of an unfinished version is overwritten by the next
-    attempt at it.
+    ``keep`` is how many folders stay; readers that began with an older one must end before it goes. An existing table keeps
+    its number of buckets.
     """
 
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], slots: int | None = None, slot: Column | None = None):
-        self.spark, self.path, self.keys = spark, path, list(keys)
-        self._own_slot, self._asked = slot, slots
-        self._latest: Version | None = None  # what this writer committed last
-        self.written: DataFrame | None = None  # the rows of its last merge
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], buckets: int | None = None, keep: int = 2):
+        self.spark, self.path, self.keys, self.keep = spark, path, list(keys), keep
+        self._asked = buckets
 
-    # ---- versions -------------------------------------------------------------------------------------------------
-
-    def versions(self) -> DataFrame | None:
-        """version, op and rows of every version; rows counts those written, changed and deleted ones included."""
-        rows = _read_rows(self.spark, f"{self.path}/versions")
-        if not rows:
-            return None
-        return self.spark.createDataFrame([(r["version"], r["op"], r["rows"]) for r in rows], "version bigint, op string, rows bigint")
-
-    def version(self, number: int | None = None) -> Version | None:
-        """A version, by default the latest."""
-        if self._latest is not None and number in (None, self._latest.number):
-            return self._latest
-        rows = _read_rows(self.spark, f"{self.path}/versions")
-        if not rows:
-            return None
-        found = max((r for r in rows if number in (None, r["version"])), key=lambda r: r["version"], default=None)
-        if found is None:
-            raise ValueError(f"there is no version {number}")
-        self._check(found["keys"], found["slots"])
-        last = max((r for r in _read_rows(self.spark, f"{self.path}/manifest/version={found['version']}")), key=lambda r: r["at"])
-        parts = [Part(**p) for p in last["parts"]]
-        return Version(found["version"], T.StructType.fromJson(json.loads(found["schema"])), parts, found["keys"], found["slots"], found["order"])
-
-    def _check(self, keys: list[str], slots: int | None) -> None:
-        if keys != self.keys:
-            raise ValueError(f"the table {self.path} has the keys {keys}, not {self.keys}")
-        if self._own_slot is None and self._asked is not None and slots != self._asked:
-            raise ValueError(f"the table {self.path} has {slots} slots, not {self._asked}")
-        if self._own_slot is None and slots is None:
-            raise ValueError(f"the table {self.path} was written with slots of its own; give the same expression")
-
-    def current_version(self) -> int:
-        latest = self.version()
-        return latest.number if latest else 0
-
-    def _slots(self) -> int | None:
-        if self._own_slot is not None:
-            return None
-        latest = self.version()
-        return latest.slots if latest else self._asked or SLOTS
+    def loads(self) -> list[int]:
+        """The numbers of the loads that can be read."""
+        return [_number(f) for f in whole_folders(self.spark, self.path)]
 
-    @property
-    def slot(self) -> Column:
-        return key_slot(self.keys, self._slots()) if self._own_slot is None else self._own_slot
+    def _folder(self, load: int | None = None) -> str | None:
+        found = whole_folders(self.spark, self.path)
+        if load is None:
+            return found[-1] if found else None
+        named = [f for f in found if _number(f) == load]
+        if not named:
+            raise ValueError(f"there is no load {load} in {self.path}")
+        return named[0]
 
     # ---- read -----------------------------------------------------------------------------------------------------
 
-    def read(self, version: int | None = None) -> DataFrame | None:
-        """The table as of a version. None before the first write."""
-        found = self.version(version)
-        return self._resolved(found, found.parts) if found else None
+    def read(self, load: int | None = None) -> DataFrame | None:
+        """The table after a load, by default the last; None before the first."""
+        folder = self._folder(load)
+        return self._open(folder).drop(KEY) if folder else None
 
-    def _open(self, schema: T.StructType, parts: Sequence[Part]) -> DataFrame:
-        if not parts:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*[p.dir for p in parts])
+    def rows_of(self, keys: DataFrame) -> DataFrame | None:
+        """The rows of the given keys; only the keys are shuffled."""
+        folder = self._folder()
+        if folder is None:
+            return None
+        wanted = self._keyed(keys.select(*self.keys).distinct()).select(KEY)
+        return self._open(folder).join(wanted, KEY, "left_semi").drop(KEY)
+
+    def beside(self, name: str) -> KeyedTable:
+        """A table of the same keys that belongs to this one."""
+        return KeyedTable(self.spark, f"{self.path}/_beside/{name}", self.keys, self._buckets(), self.keep)
+
+    def _open(self, folder: str) -> DataFrame:
+        """The rows of a folder with KEY, known to Spark as bucketed and sorted."""
+        path, buckets = f"{self.path}/{folder}", int(folder.split("-")[1])
+        schema = self._schema(folder)
+        name = f"millrace_{uuid.uuid4().hex}"
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        self.spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet OPTIONS (path '{path}') CLUSTERED BY ({KEY}) SORTED BY ({KEY}) INTO {buckets} BUCKETS")
+        found = self.spark.table(name)
+        self.spark.sql(f"DROP TABLE {name}")  # only the name: the files are not Spark's own
+        missing = [k for k in self.keys if k not in schema.names]
+        if missing:
+            raise ValueError(f"the table {self.path} has no columns {missing}")
+        return found
+
+    def _schema(self, folder: str) -> T.StructType:
+        fs, at = _files(self.spark, f"{self.path}/_schema/{folder}")
+        stream = fs.open(at)
+        try:
+            return T.StructType.fromJson(json.loads(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")))
+        finally:
+            stream.close()
+
+    def _put_schema(self, folder: str, schema: T.StructType) -> None:
+        """Columns and types of a load, in a small file beside it: an empty load has no Parquet file that could tell them."""
+        fs, at = _files(self.spark, f"{self.path}/_schema/{folder}")
+        out = fs.create(at, True)
+        out.write(schema.json().encode())
+        out.close()
 
-    def _resolved(self, found: Version, parts: Sequence[Part]) -> DataFrame:
-        """The rows that parts stand for: untouched ones as they are, and the newest of each changed key.
+    # ---- write ----------------------------------------------------------------------------------------------------
 
-        Only changed keys and the rows they meet are shuffled; slots without changes are read alone.
+    def _buckets(self) -> int:
+        folder = self._folder()
+        return int(folder.split("-")[1]) if folder else self._asked or BUCKETS
+
+    def _write(self, df: DataFrame) -> int:
+        """Write rows with KEY as the next load; the folder counts once it is whole. Returns the number of the load."""
+        buckets, number = self._buckets(), _number(self._folder()) + 1
+        folder, name = f"{number:09d}-{buckets}", f"millrace_{uuid.uuid4().hex}"
+        path = f"{self.path}/{folder}"
+        self._put_schema(folder, df.schema)
+        # overwrites what a load that died has left
+        df.write.format("parquet").mode("overwrite").bucketBy(buckets, KEY).sortBy(KEY).option("path", path).saveAsTable(name)
+        self.spark.sql(f"DROP TABLE {name}")
+        if not exists(self.spark, f"{path}/_SUCCESS"):
+            raise OSError(f"{path} is not whole; loads need the committer's _SUCCESS files")
+        for old in whole_folders(self.spark, self.path)[: -self.keep]:
+            remove(self.spark, f"{self.path}/{old}")
+            remove(self.spark, f"{self.path}/_schema/{old}")
+        return number
+
+    def _keyed(self, df: DataFrame) -> DataFrame:
+        """``df`` with KEY, dealt to one task per bucket."""
+        return df.withColumn(KEY, key_text(self.keys)).repartition(self._buckets(), KEY)
+
+    def replace(self, df: DataFrame) -> int:
+        """W2, W8. New contents, and new columns or types if they differ."""
+        return self._write(self._keyed(df))
+
+    def merge(self, source: DataFrame, order: str | None = None) -> int:
+        """W3. Rows of the source replace those of their keys; with ``order`` only if they are greater there.
+
+        The source must hold each key once. The old load is joined bucket by bucket: only the source is shuffled.
         """
-        changed = {p.slot for p in parts if p.kind != BASE}
-        still = self._open(found.schema, [p for p in parts if p.slot not in changed])
-        if not changed:
-            return still
-        row = F.struct(*[F.col(f"`{c}`") for c in found.schema.names])
-        by: dict[tuple[str, int], list[Part]] = defaultdict(list)
-        for p in parts:
-            if p.kind != BASE:
-                by[p.kind, p.seq].append(p)
-        news = None
-        for (kind, seq), some in sorted(by.items(), key=lambda x: x[0][1]):  # as many as merges since the last compaction
-            df = self._open(found.schema, some)
-            one = df.select(*self.keys, (row if kind == CHANGE else F.lit(None).cast(found.schema)).alias("_row"), F.lit(seq).cast("long").alias("_seq"))
-            news = one if news is None else news.union(one)
-        base = self._open(found.schema, [p for p in parts if p.slot in changed and p.kind == BASE])
-        keys = news.select(*self.keys).distinct()
-        rank = F.col("_seq")
-        if found.order:
-            # a stored row that is not older stays: it counts as the first of equals
-            met = join_keys(base, keys, self.keys, "left_semi")
-            news = news.union(met.select(*self.keys, row, F.lit(0).cast("long")))
-            rank = F.struct(F.col("_row")[found.order], -F.col("_seq"))
-        newest = news.groupBy(*self.keys).agg(F.max_by(F.struct("_row"), rank).alias("_last")).select("_last._row").where("_row IS NOT NULL").select("_row.*")
-        return still.union(join_keys(base, keys, self.keys, "left_anti")).union(newest)
-
-    def read_slots(self, rows: DataFrame) -> DataFrame:
-        """The table's rows in the slots of the keys of ``rows``."""
-        slots = {r[0] for r in rows.select(self.slot).distinct().collect()}
-        latest = self.version()
-        return self._resolved(latest, [p for p in latest.parts if p.slot in slots])
-
-    def beside(self, name: str) -> TableStore:
-        """A table with the same keys and slots that belongs to this one."""
-        return TableStore(self.spark, f"{self.path}/beside/{name}", self.keys, self._slots(), self._own_slot)
+        folder = self._folder()
+        if folder is None:
+            return self.replace(source)
+        old = self._open(folder)
+        schema = wider(T.StructType([f for f in old.schema if f.name != KEY]), source.schema)
+        row = lambda df, name: fitted(df, T.StructType([*schema, T.StructField(KEY, T.StringType())])).select(F.col(KEY), F.struct(*[F.col(f"`{c}`") for c in schema.names]).alias(name))
+        new = row(self._keyed(source), "_new").withColumnRenamed(KEY, "_new_key")
+        met = row(old, "_old").join(new, F.col(KEY) == F.col("_new_key"), "full")
+        wins = F.col("_new_key").isNotNull()
+        if order:
+            newer = F.col("_new")[order] > F.col("_old")[order]
+            wins = wins & (F.col(KEY).isNull() | F.coalesce(newer, F.col("_old")[order].isNull() & F.col("_new")[order].isNotNull()))
+        chosen = met.select(F.when(wins, F.col("_new")).otherwise(F.col("_old")).alias("_row"), F.coalesce(KEY, "_new_key").alias(KEY))
+        return self._write(chosen.select("_row.*", KEY))
+
+    def replace_rows(self, keys: DataFrame, rows: DataFrame | None = None) -> int:
+        """Remove the rows of the given keys and add ``rows``; a key may have any number of rows."""
+        folder = self._folder()
+        if folder is None:
+            return 0 if rows is None else self.replace(rows)
+        old = self._open(folder)
+        gone = self._keyed(keys.select(*self.keys).distinct()).select(KEY)
+        left = old.join(gone, KEY, "left_anti")
+        if rows is None:
+            return self._write(left.select(*old.columns))
+        schema = wider(T.StructType([f for f in old.schema if f.name != KEY]), rows.schema)
+        both = T.StructType([*schema, T.StructField(KEY, T.StringType())])
+        return self._write(fitted(left, both).union(fitted(self._keyed(rows), both)))
+
+
+class LoadTable:
+    """W1. A table that loads are added to: a folder for each load id, so a load that is run again replaces its own rows."""
+
+    LOAD = "_load"
 
-    # ---- write ----------------------------------------------------------------------------------------------------
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
 
-    def _write(self, df: DataFrame, version: int, kind: str = BASE) -> list[Part]:
-        """Write the rows below a new folder; the parts that were written.
+    def add(self, df: DataFrame, load_id: str) -> None:
+        """Columns the table lacks are added to it; a column of another type is refused."""
+        before = self.read()
+        if before is not None:
+            wider(before.schema, df.schema)
+        df.write.mode("overwrite").parquet(f"{self.path}/{self.LOAD}={load_id}")
 
-        The rebalance hint sizes files at run time: it splits a slot that holds too much and joins small ones.
-        """
-        folder = f"{self.path}/data/v={version}"
-        slotted = df.withColumn(SLOT, self.slot)
-        slotted.hint("rebalance", SLOT).write.mode("overwrite").partitionBy(SLOT).parquet(folder)
-        counted = self.spark.read.schema(T.StructType([*df.schema, T.StructField(SLOT, T.IntegerType())])).parquet(folder)
-        sizes = counted.groupBy(SLOT).agg(F.count("*").alias("rows")).collect()
-        return [Part(r[SLOT], f"{folder}/{SLOT}={r[SLOT]}", r["rows"], kind, version) for r in sizes]
-
-    def _commit(self, version: int, parts: list[Part], schema: T.StructType, op: str, order: str | None = None) -> int:
-        manifest = f"{self.path}/manifest/version={version}"
-        tries = [r["at"] for r in _read_rows(self.spark, manifest)]  # of a writer that died before its commit
-        _write_rows(self.spark, [{"at": max(tries, default=0) + 1, "parts": [p.__dict__ for p in parts]}], manifest)
-        slots = self._slots()
-        row = {"version": version, "op": op, "rows": sum(p.rows for p in parts), "schema": schema.json(), "keys": self.keys, "slots": slots, "order": order}
-        _write_rows(self.spark, [row], f"{self.path}/versions")
-        self._latest = Version(version, schema, parts, self.keys, slots, order)
-        return version
-
-    def replace(self, df: DataFrame, op: str = "overwrite") -> int:
-        """W2, W8. New contents, and a new schema if it differs; earlier versions stay readable."""
-        version = self.current_version() + 1
-        return self._commit(version, self._write(df, version), df.schema, op)
-
-    def append(self, df: DataFrame, op: str = "append") -> int:
-        """W1. Add rows. Columns the table lacks are added to it; older rows read null there.
-
-        Each append adds a folder per slot it touches; :meth:`compact` now and then keeps their number small.
-        """
-        latest = self.version()
-        if latest is None:
-            return self.replace(df, op)
-        if any(p.kind != BASE for p in latest.parts):
-            self.compact(changes=0)  # else a change would replace rows that came after it
-            latest = self.version()
-        version = latest.number + 1
-        return self._commit(version, latest.parts + self._write(df, version), _wider(latest.schema, df.schema), op, latest.order)
-
-    def compact(self, most: int = 32, changes: int | None = None) -> int:
-        """Rewrite the slots of more than ``most`` folders, or with more than ``changes`` change folders, each into one."""
-        latest = self.version()
-        if latest is None:
-            return 0
-        all_, new = Counter(p.slot for p in latest.parts), Counter(p.slot for p in latest.parts if p.kind != BASE)
-        many = {s for s, n in all_.items() if n > most or (changes is not None and new[s] > changes)}
-        if not many:
-            return latest.number
-        return self._swap(latest, many, self._resolved(latest, [p for p in latest.parts if p.slot in many]), "compact")
-
-    def vacuum(self, keep: int = 10) -> list[str]:
-        """Remove what only versions before the newest ``keep`` need, and rows staged for them; the removed folders."""
-        latest = self.version()
-        if latest is None:
-            return []
-        least = max(1, latest.number - keep + 1)
-        rows = [r["version"] for r in _read_rows(self.spark, f"{self.path}/versions")]
-        used = {re.sub(rf"/{SLOT}=[^/]*$", "", p.dir) for n in rows if n >= least for p in self.version(n).parts}
-        gone = [f"data/{d}" for d in folders(self.spark, f"{self.path}/data") if f"{self.path}/data/{d}" not in used]
-        gone += [f"staged/{d}" for d in folders(self.spark, f"{self.path}/staged")]
-        gone += [f"manifest/{d}" for d in folders(self.spark, f"{self.path}/manifest") if int(d.split("=")[1]) < least]
-        for d in gone:
-            remove(self.spark, f"{self.path}/{d}")
-        return gone
-
-    def _swap(self, latest: Version, slots: set[int], rows: DataFrame, op: str) -> int:
-        """A version whose given slots hold ``rows`` and whose other slots stay as they are."""
-        version = latest.number + 1
-        kept = [p for p in latest.parts if p.slot not in slots]
-        return self._commit(version, kept + self._write(rows, version), rows.schema, op, latest.order)
-
-    def stage(self, df: DataFrame, name: str) -> DataFrame:
-        """Write an intermediate result once, so that it is neither recomputed nor different on a retry."""
-        folder = f"{self.path}/staged/{name}"
-        df.write.mode("overwrite").parquet(folder)
-        return self.spark.read.schema(df.schema).parquet(folder)
-
-    def rewrite(self, source: DataFrame, change: Callable[[DataFrame, DataFrame], DataFrame], op: str, staged=False) -> int:
-        """Replace the slots that hold keys of ``source`` by ``change(old rows of those slots, source)``.
-
-        The source is written out first, as it is read several times, unless the caller has ``staged`` it.
-        """
-        latest = self.version()
-        version = latest.number + 1 if latest else 1
-        new = source if staged else self.stage(source, f"v={version}")
-        if latest is None:
-            result = change(self.spark.createDataFrame([], source.schema), new)
-            return self._commit(version, self._write(result, version), result.schema, op)
-        touched = {r[0] for r in new.select(self.slot).distinct().collect()}
-        if not touched:
-            return latest.number
-        old = self._resolved(latest, [p for p in latest.parts if p.slot in touched])
-        return self._swap(latest, touched, change(old, new), op)
-
-    def merge(self, source: DataFrame, op: str = "upsert", kind: str = CHANGE, order: str | None = None) -> int:
-        """Add changes: rows that replace those of their keys, or with ``GONE`` the keys of rows to delete.
-
-        Only the source is written. With ``order`` the row with the greatest value there stays, of equals the stored one;
-        a table is merged with one order all its life. The source must hold each key once.
-        """
-        latest = self.version()
-        if latest is None:
-            first = self._write(source, 1)
-            self.written = self._open(source.schema, first)
-            return self._commit(1, first, source.schema, op, order)
-        if latest.order != order and any(p.kind != BASE for p in latest.parts):
-            self.compact(changes=0)
-            latest = self.version()
-        version = latest.number + 1
-        new = self._write(source, version, kind)
-        self.written = self._open(source.schema, new)
-        if not new:
-            return latest.number
-        schema = latest.schema if kind == GONE else _wider(latest.schema, source.schema)
-        self._commit(version, latest.parts + new, schema, op, order)
-        rows: dict[tuple[int, bool], int] = defaultdict(int)
-        folders_ = Counter(p.slot for p in self._latest.parts if p.kind != BASE)
-        for p in self._latest.parts:
-            rows[p.slot, p.kind == BASE] += p.rows
-        full = {s for s, n in folders_.items() if n > MANY_CHANGES or (n > 1 and rows[s, False] > LARGE_CHANGES * rows[s, True])}
-        if full:
-            found = self._latest
-            return self._swap(found, full, self._resolved(found, [p for p in found.parts if p.slot in full]), op)
-        return version
-
-    def upsert(self, source: DataFrame, op: str = "upsert") -> int:
-        """W3. Rows of the source replace the rows with their keys. The source must hold each key once."""
-        return self.merge(source, op)
-
-    def delete(self, keys: DataFrame, op: str = "delete") -> int:
-        """Remove the rows with the given keys."""
-        if self.version() is None:
-            return 0
-        keys = keys.select(*self.keys).distinct()
-        if self.version().order is None:
-            return self.merge(keys, op, GONE)
-        # keys alone have no place in the order of changes, so their slots are rewritten
-        return self.rewrite(keys, lambda old, k: join_keys(old, k, self.keys, "left_anti"), op)
-
-
-def _wider(old: T.StructType, new: T.StructType) -> T.StructType:
-    return T.StructType([*old, *[f for f in new if f.name not in old.names]])
+    def read(self) -> DataFrame | None:
+        """All loads; columns that a load lacked are null."""
+        if not any(f.startswith(f"{self.LOAD}=") for f in folders(self.spark, self.path)):
+            return None
+        return self.spark.read.option("mergeSchema", "true").parquet(self.path).drop(self.LOAD)
 
 
 class MarkTable:
-    """High-water marks per artifact: a file per mark, the newest of each artifact counts. Loads may run side by side."""
+    """High-water marks: the newest whole folder of each artifact holds its mark. Loads of different artifacts may run side
+    by side."""
 
-    SCHEMA = "artifact string, mark string, version bigint"
+    SCHEMA = "artifact string, mark string"
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
 
-    def _of(self, artifact: str) -> list[dict]:
-        return [r for r in _read_rows(self.spark, self.path) if r["artifact"] == artifact]
-
     def get(self, artifact: str) -> str | None:
-        last = max(self._of(artifact), key=lambda r: r["version"], default=None)
-        return last["mark"] if last else None
+        found = whole_folders(self.spark, f"{self.path}/{artifact}")
+        return self.spark.read.schema(self.SCHEMA).json(f"{self.path}/{artifact}/{found[-1]}").head().mark if found else None
 
     def put(self, artifact: str, mark: str) -> None:
-        version = max((r["version"] for r in self._of(artifact)), default=0) + 1
-        _write_rows(self.spark, [{"artifact": artifact, "mark": mark, "version": version}], self.path)
+        found = whole_folders(self.spark, f"{self.path}/{artifact}")
+        row = self.spark.createDataFrame([(artifact, mark)], self.SCHEMA).coalesce(1)
+        row.write.mode("overwrite").json(f"{self.path}/{artifact}/{_number(found[-1] if found else None) + 1:09d}-mark")
+        for old in found:
+            remove(self.spark, f"{self.path}/{artifact}/{old}")
+
+    def read(self) -> DataFrame:
+        """``artifact, mark`` of every artifact."""
+        marks = [(a, self.get(a)) for a in folders(self.spark, self.path)]
+        return self.spark.createDataFrame([m for m in marks if m[1] is not None], self.SCHEMA)

@@ -4,17 +4,19 @@ default trigger it works off what is there and stops, so the same code serves sc
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from millrace.operators.ingest import ingest_cdc, with_errors
 from millrace.operators.runs import newest
-from millrace.operators.sliced import top_per_group
-from millrace.sources.store import TableStore, join_keys
+from millrace.sources.store import KeyedTable
 
 
 def read_files(spark: SparkSession, path: str, schema, files_per_batch: int = 1000, file_format: str = "parquet") -> DataFrame:
@@ -28,13 +30,13 @@ def _writer(stream: DataFrame, checkpoint: str, continuous: str | None):
 
 
 def stream_cdc_apply(
-    changes: DataFrame, store: TableStore, op: str, order: str, checkpoint: str, continuous: str | None = None
+    changes: DataFrame, store: KeyedTable, op: str, order: str, checkpoint: str, continuous: str | None = None
 ) -> StreamingQuery:
     """T1. Apply a change stream to a stored table. Within a batch the last change of a key counts; against the table,
     only a newer one. Replaying a batch therefore changes nothing."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        ingest_cdc(store, batch, op, order, f"cdc batch {batch_id}")
+        ingest_cdc(store, batch, op, order)
 
     return _writer(changes, checkpoint, continuous).foreachBatch(apply).start()
 
@@ -100,36 +102,92 @@ def health_counts(runs: DataFrame, entity: str, ts: str, every: str, delay: str)
 
 
 def stream_health(
-    runs: DataFrame, store: TableStore, entity: str, ts: str, every: str, delay: str, checkpoint: str, continuous: str | None = None
+    runs: DataFrame, store: KeyedTable, entity: str, ts: str, every: str, delay: str, checkpoint: str, continuous: str | None = None
 ) -> StreamingQuery:
     """T5. Keep a table of :func:`health_counts`; each batch replaces the windows it changed."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        store.upsert(batch, f"health batch {batch_id}")
+        store.merge(batch)
 
     counted = health_counts(runs, entity, ts, every, delay)
     return _writer(counted, checkpoint, continuous).outputMode("update").foreachBatch(apply).start()
 
 
+class _LastRuns(StatefulProcessor):
+    """Keeps the newest ``n`` runs of an entity, and gives them out whenever they change."""
+
+    def __init__(self, schema: T.StructType, ts: str, tie: str, n: int):
+        self.schema, self.order, self.n = schema, (ts, tie), n
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.runs = handle.getListState("runs", self.schema)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        names = self.schema.names
+        old = list(self.runs.get()) if self.runs.exists() else []
+        new = [r for batch in rows for r in batch[names].astype(object).where(batch[names].notna(), None).itertuples(index=False, name=None)]
+        at = [names.index(c) for c in self.order]
+        value = lambda x: x.to_pydatetime() if isinstance(x, pd.Timestamp) else x.item() if hasattr(x, "item") else x
+        # a run that is delivered again takes its own place
+        known = {r[at[1]]: r for r in (tuple(map(value, r)) for r in [*new, *old])}
+        kept = sorted(known.values(), key=lambda r: [(r[i] is not None, r[i]) for i in at], reverse=True)[: self.n]
+        if kept != old:
+            self.runs.put(kept)
+            yield pd.DataFrame(kept, columns=names)
+
+    def close(self) -> None:
+        pass
+
+
 def stream_alerts(
-    runs: DataFrame, store: TableStore, entity: str, ts: str, tie: str, checkpoint: str, n: int = 5, continuous: str | None = None
+    runs: DataFrame, path: str, entity: str, ts: str, tie: str, checkpoint: str, n: int = 5, continuous: str | None = None
 ) -> StreamingQuery:
-    """T6. Keep each entity's last n runs in a stored table; alerts are a query over that small table.
+    """T6. Each entity's last n runs, kept as its state; alerts are a query over :func:`last_runs`.
 
-    A batch is first cut to n rows per entity and task, so an entity with most of the traffic is no bottleneck. The
-    table is keyed by run, and a replayed batch finds its runs already there.
+    Of each Arrow batch a task passes on n runs per entity, so an entity with most of the traffic is no bottleneck. A
+    batch's changes go to a folder of its own: nothing that was written is written again, and a replayed batch overwrites its own
+    folder.
     """
 
+    def few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            places = batch.select([entity, ts, tie]).to_pandas().sort_values([ts, tie], ascending=False, na_position="last")
+            keep = places.groupby(entity, dropna=False, sort=False).head(n).index.to_numpy()
+            yield batch.take(pa.array(np.sort(keep)))
+
     def apply(batch: DataFrame, batch_id: int) -> None:
-        few = top_per_group(batch, [entity], newest(ts, tie), n).drop("rank")
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    schema = runs.schema
+    kept = runs.mapInArrow(few, schema).groupBy(entity).transformWithStateInPandas(
+        _LastRuns(schema, ts, tie, n), schema, "Update", "None"
+    )
+    spark = runs.sparkSession
+    with _setting(spark, "spark.sql.streaming.stateStore.providerClass", _ROCKS):  # the one that can hold lists
+        return _writer(kept, checkpoint, continuous).outputMode("update").foreachBatch(apply).start()
+
+
+_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
-        def change(old: DataFrame, new: DataFrame) -> DataFrame:
-            both = join_keys(old, new.select(entity, tie), [entity, tie], "left_anti").unionByName(new)
-            return top_per_group(both, [entity], newest(ts, tie), n).drop("rank")
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
 
-        store.rewrite(few, change, f"alert batch {batch_id}")
 
-    return _writer(runs, checkpoint, continuous).foreachBatch(apply).start()
+def last_runs(spark: SparkSession, path: str, entity: str) -> DataFrame:
+    """T6. What :func:`stream_alerts` gave out last for each entity."""
+    all_ = spark.read.parquet(path)
+    newest_batch = all_.groupBy(F.col(entity).alias("_of")).agg(F.max("batch").alias("_last"))
+    return all_.join(newest_batch, F.col(entity).eqNullSafe(F.col("_of")) & (F.col("batch") == F.col("_last"))).drop("_of", "_last", "batch")
 
 
 def stream_quarantine(

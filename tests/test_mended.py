@@ -12,7 +12,7 @@ from millrace.operators.sliced import with_slices
 from millrace.plans import REGISTRY
 from millrace.plans.registry import Tables
 from millrace.sources import readers
-from millrace.sources.store import MarkTable, TableStore
+from millrace.sources.store import KeyedTable, LoadTable, MarkTable
 
 
 def rows(df):
@@ -22,71 +22,29 @@ def rows(df):
 # The table store
 
 
-def test_slots_and_keys_are_stored(spark, folder):
+def test_the_number_of_buckets_is_stored(spark, folder):
     one = spark.range(100).select(F.col("id").alias("k"), F.lit("old").alias("v"))
-    TableStore(spark, folder, ["k"], slots=4).replace(one)
-    again = TableStore(spark, folder, ["k"])
-    again.upsert(one.filter("k < 3").withColumn("v", F.lit("new")))
+    KeyedTable(spark, folder, ["k"], buckets=4).replace(one)
+    again = KeyedTable(spark, folder, ["k"], buckets=64)
+    again.merge(one.filter("k < 3").withColumn("v", F.lit("new")))
     assert again.read().count() == 100 and again.read().filter("v = 'new'").count() == 3
-    with pytest.raises(ValueError, match="4 slots"):
-        TableStore(spark, folder, ["k"], slots=64).read()
-    with pytest.raises(ValueError, match="keys"):
-        TableStore(spark, folder, ["v"]).read()
+    assert {f.split("-")[1] for f in os.listdir(folder.removeprefix("file:")) if f[0] == "0"} == {"4"}
 
 
 def test_null_keys_are_keys(spark, folder):
-    store = TableStore(spark, folder, ["k"], slots=3)
+    store = KeyedTable(spark, folder, ["k"], buckets=3)
     some = spark.createDataFrame([(None, "a"), (1, "b")], "k int, v string")
     for _ in range(3):
-        store.upsert(some)
+        store.merge(some)
     assert rows(store.read()) == [(1, "b"), (None, "a")]
     assert rows(ingest.detect_deletes(some, some, ["k"])) == rows(some)
     assert shape.added_removed(some, some, ["k"]).count() == 0
     diff = shape.table_diff(some, some, ["k"], ["v"], only_changed=False)
     assert {r.status for r in diff.collect()} == {"unchanged"} and diff.count() == 2
-    store.delete(some.filter("k IS NULL"))
+    store.replace_rows(some.filter("k IS NULL"))
     assert rows(store.read()) == [(1, "b")]
 
 
-def test_a_small_merge_writes_little_and_compaction_folds_it_in(spark, folder):
-    store = TableStore(spark, folder, ["k"], slots=8)
-    store.replace(spark.range(50_000).select(F.col("id").alias("k"), F.repeat(F.lit("x"), F.lit(50)).alias("v")))
-
-    def size(version):
-        top = f"{folder.removeprefix('file:')}/data/v={version}"
-        return sum(os.path.getsize(f"{d}/{f}") for d, _, names in os.walk(top) for f in names if f.endswith(".parquet"))
-
-    for i in range(3):
-        version = store.upsert(spark.createDataFrame([(i, "new")], "k long, v string"))
-        assert size(version) < size(1) / 50
-    before = rows(store.read().filter("v = 'new' OR k < 10"))
-    assert [p for p in store.version().parts if p.kind != "base"]
-    store.compact(changes=0)
-    assert {p.kind for p in store.version().parts} == {"base"} and rows(store.read().filter("v = 'new' OR k < 10")) == before
-    for i in range(30):
-        store.upsert(spark.createDataFrame([(7, f"n{i}")], "k long, v string"))
-    assert len(store.version().parts) < 8 + 12 and store.read().filter("k = 7").head().v == "n29"
-
-
-def test_append_after_changes_and_wider_rows(spark, folder):
-    store = TableStore(spark, folder, ["k"], slots=2)
-    store.replace(spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"))
-    store.upsert(spark.createDataFrame([(1, "c", True)], "k int, v string, extra boolean"))
-    store.delete(spark.createDataFrame([(2,)], "k int"))
-    store.append(spark.createDataFrame([(2, "again", False)], "k int, v string, extra boolean"))
-    assert rows(store.read()) == [(1, "c", True), (2, "again", False)]
-    assert rows(store.read(1)) == [(1, "a"), (2, "b")]
-
-
-def test_vacuum_removes_what_old_versions_need(spark, folder):
-    store = TableStore(spark, folder, ["k"], slots=2)
-    for i in range(4):
-        store.replace(spark.createDataFrame([(i,)], "k int"))
-    gone = store.vacuum(keep=2)
-    assert {"data/v=1", "data/v=2"} <= set(gone) and rows(store.read()) == [(3,)] and rows(store.read(3)) == [(2,)]
-    assert not os.path.exists(f"{folder.removeprefix('file:')}/data/v=1")
-
-
 def test_jobs_of_the_flagship_load(spark):
     t, tracker = Tables(spark, "/root/testdata/sf0.001"), spark.sparkContext.statusTracker()
     spark.sparkContext.setJobGroup("flagship", "")
@@ -107,7 +65,7 @@ def test_marks_of_many_artifacts_side_by_side(spark, folder):
 
 
 def test_every_failure_is_an_outcome(spark, folder):
-    found = ingest.multi_table_sync(spark, [ingest.Artifact("none", "t", slots="x", query="SELECT 1 AS id", ingestion_type="append")], folder, "1").head()
+    found = ingest.multi_table_sync(spark, [ingest.Artifact("none", "t", slots="x", query="SELECT 1 AS id", ingestion_type="upsert", merge_columns=["id"])], folder, "1").head()
     assert not found.success and found.message
 
 
@@ -117,7 +75,7 @@ def test_history_does_not_depend_on_the_split(spark, folder):
     make = lambda part: spark.createDataFrame(part, "k string, t timestamp_ntz, v string")
     results = []
     for i, split in enumerate([[seen], [seen[:2], seen[2:]], [seen[2:], seen[:2]], [[x] for x in reversed(seen)]]):
-        store = TableStore(spark, f"{folder}/{i}", ["k"], slots=2)
+        store = KeyedTable(spark, f"{folder}/{i}", ["k"], buckets=2)
         for part in split:
             ingest.ingest_historical(store, make(part), "t", ["v"])
         results.append(rows(store.read()))
@@ -158,12 +116,12 @@ def test_number_marks(spark):
 
 
 def test_child_tables_grow_with_their_parents(spark, folder):
-    load = lambda kind: ingest.load_artifact(spark, ingest.Artifact("kids", "t", ingestion_type=kind, merge_columns=["id"], auto_explode=True), f"{folder}/{kind}", "1")
-    read = lambda kind: rows(TableStore(spark, f"{folder}/{kind}/t__tags", ["id"]).read())
-    for part in ([(1, [(5, "x"), (6, "y")])], [(2, [(7, "z")]), (1, [(8, "w")])]):
+    load = lambda kind, i: ingest.load_artifact(spark, ingest.Artifact("kids", "t", ingestion_type=kind, merge_columns=["id"], auto_explode=True), f"{folder}/{kind}", str(i))
+    read = lambda kind: rows((LoadTable(spark, f"{folder}/{kind}/t__tags") if kind == "append" else KeyedTable(spark, f"{folder}/{kind}/t__tags", ["id"])).read())
+    for i, part in enumerate([[(1, [(5, "x"), (6, "y")])], [(2, [(7, "z")]), (1, [(8, "w")])]]):
         spark.createDataFrame(part, "id int, tags array<struct<id: int, name: string>>").createOrReplaceTempView("kids")
-        load("append")
-        load("upsert")
+        load("append", i)
+        load("upsert", i)
     assert read("append") == [(1, 0, 5, "x"), (1, 0, 8, "w"), (1, 1, 6, "y"), (2, 0, 7, "z")]
     assert read("upsert") == [(1, 0, 8, "w"), (2, 0, 7, "z")]
 

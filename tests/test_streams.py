@@ -1,11 +1,12 @@
 """Streams drained to the end give the batch answer, also when split into many batches or run again."""
 
+import os
 from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
 from millrace.operators.runs import failure_alerts
-from millrace.sources.store import TableStore
+from millrace.sources.store import KeyedTable
 from millrace.streaming import streams as op
 
 RUNS = "id int, entity string, ts timestamp_ntz, status string, error_message string"
@@ -25,21 +26,26 @@ def land(df, path, files):
 
 
 def test_alerts_over_two_runs_of_the_stream(spark, folder):
-    store = TableStore(spark, f"{folder}/recent", ["entity"], slots=2)
-    for first in (0, 60):
+    """State goes on where the stream stopped, and what a batch wrote is never written again."""
+    path, wanted = f"{folder}/recent", failure_alerts(runs(spark, 120), "entity", "ts", "id", "error_message")
+    times = {}
+    for first in (0, 60, 0):  # the last runs come a second time
         land(runs(spark, 60, first), f"{folder}/in", 3)
         stream = op.read_files(spark, f"{folder}/in", RUNS, files_per_batch=1)
-        op.stream_alerts(stream, store, "entity", "ts", "id", f"{folder}/check").awaitTermination()
-    wanted = failure_alerts(runs(spark, 120), "entity", "ts", "id", "error_message")
-    found = failure_alerts(store.read(), "entity", "ts", "id", "error_message")
+        op.stream_alerts(stream, path, "entity", "ts", "id", f"{folder}/check").awaitTermination()
+        at = {f: os.path.getmtime(f"{path.removeprefix('file:')}/{f}") for f in os.listdir(path.removeprefix("file:"))}
+        assert all(at[f] == t for f, t in times.items())
+        times = at
+    kept = op.last_runs(spark, path, "entity")
+    found = failure_alerts(kept, "entity", "ts", "id", "error_message")
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, wanted.collect()))
-    assert store.read().groupBy("entity").count().agg(F.max("count")).head()[0] == 5
+    assert kept.groupBy("entity").count().agg(F.max("count")).head()[0] == 5
 
 
 def test_cdc_stream_replayed_from_scratch_changes_nothing(spark, folder):
     schema = "k int, v string, op string, seq int"
     land(spark.createDataFrame([(i % 7, f"v{i}", "D" if i % 6 == 0 else "U", i) for i in range(50)], schema), f"{folder}/in", 4)
-    store = TableStore(spark, f"{folder}/t", ["k"], slots=2)
+    store = KeyedTable(spark, f"{folder}/t", ["k"], buckets=2)
     tables = []
     for attempt in range(2):
         stream = op.read_files(spark, f"{folder}/in", schema, files_per_batch=1)
