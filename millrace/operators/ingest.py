@@ -24,6 +24,7 @@ from millrace.sources.store import KeyedTable, LoadTable, MarkTable, folders, jo
 
 FIRST_RUN = "1970-01-01 00:00:00"
 SNAPSHOT = "_snapshot_id"
+INFER = "*"  # in place of a schema: find it in the documents
 Mark = str | Sequence[str]  # one column or several
 
 
@@ -145,7 +146,7 @@ def artifact_from_config(item: Mapping[str, Any]) -> Artifact:
         json_path=first("json_path"),
         json_column=item.get("jsonColumn") or "payload",
         json_record=item.get("jsonRecord"),
-        flatten=flatten if isinstance(flatten, str) and flatten.lower() not in TRUE_WORDS else item.get("documentSchema") if flatten else None,
+        flatten=flatten if isinstance(flatten, str) and flatten.lower() not in TRUE_WORDS else item.get("documentSchema") or INFER if flatten else None,
         document=item.get("documentColumn") or "document",
         compression=first("compression"),
         distribution_key=_list(first("distribution_key")),
@@ -429,6 +430,17 @@ def explode_in_place(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, F.explode_outer(F.col(f"`{column}`")))
 
 
+def inferred_schema(documents: DataFrame, document: str) -> str:
+    """I12. The schema of JSON texts, as DDL, by one mergeable aggregate over all of them; texts that are no JSON are passed over.
+
+    Numbers with a fraction are doubles, and what was never seen with a value is a string.
+    """
+    found = documents.agg(F.schema_of_variant_agg(F.try_parse_json(F.col(f"`{document}`")))).head()[0]
+    for pattern, kind in ((r"(^|<|: )OBJECT<", r"\1STRUCT<"), (r"(^|<|: )DECIMAL\(\d+, ?\d+\)", r"\1DOUBLE"), (r"(^|<|: )VOID(?=$|>|,)", r"\1STRING")):
+        found = re.sub(pattern, kind, found)
+    return found
+
+
 def flatten_documents(df: DataFrame, document: str, schema: T.StructType | str, keys: Sequence[str]) -> tuple[DataFrame, dict[str, DataFrame]]:
     """I12. JSON documents as a flat table with ``a.b`` columns, and a child table per top-level array."""
     parsed = df.select(*keys, F.from_json(document, schema).alias("_doc")).select(*keys, "_doc.*")
@@ -506,9 +518,14 @@ def read_source(spark: SparkSession, a: Artifact) -> DataFrame:
     else:
         source = readers.scan_files(spark, a.file, a.file_format)
     if a.json_path:
-        if not a.json_record:
-            raise ValueError("jsonPath needs the schema of a record (jsonRecord)")
-        source = readers.scan_json_path(source, a.json_column, a.json_path, a.json_record)
+        record = a.json_record
+        if not record:
+            inside = source.select(F.get_json_object(a.json_column, a.json_path).alias("inside"))
+            found = re.fullmatch(r"ARRAY<(STRUCT<.*>)>", inferred_schema(inside, "inside"))
+            if not found:
+                raise ValueError(f"there is no array of records at {a.json_path}")
+            record = found[1]
+        source = readers.scan_json_path(source, a.json_column, a.json_path, record)
     return source
 
 
@@ -553,7 +570,8 @@ def load_artifact(spark: SparkSession, a: Artifact, root: str, load_id: str) ->
     source = read_source(spark, a)
     children: dict[str, DataFrame] = {}
     if a.flatten:
-        source, children = flatten_documents(source, a.document, a.flatten, [c for c in source.columns if c != a.document])
+        schema = inferred_schema(source, a.document) if a.flatten == INFER else a.flatten
+        source, children = flatten_documents(source, a.document, schema, [c for c in source.columns if c != a.document])
     source = apply_steps(source.select(*a.columns) if a.columns else source, a.steps)
     path = f"{root}/{a.target}"
     if a.ingestion_type == "snapshot" and (a.distribution_key or a.sort_key or a.compression):

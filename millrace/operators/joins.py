@@ -30,25 +30,26 @@ def resolve_ids(ids: DataFrame, projects: DataFrame, *, column: str = "id", out:
     usable = projects.filter((F.col("id") != 0) & (F.col("internalId") != ""))
     lookup = last_per_key(usable, "id", "internalId", order)
     lookup = lookup.select(F.col("id").alias("_num"), F.col("internalId").alias("_internal"))
-    probed = ids.withColumn("_num", numeric_id(F.col(column)))
-    return probed.join(lookup, "_num", "left").withColumn(out, F.coalesce("_internal", column)).drop("_num", "_internal")
+    number = numeric_id(F.col(column))
+    # ids without a number have nothing to find; as null keys they would all meet in one task
+    found = ids.where(number.isNotNull()).withColumn("_num", number).join(lookup, "_num", "left")
+    found = found.withColumn(out, F.coalesce("_internal", column)).drop("_num", "_internal")
+    return found.unionByName(ids.where(number.isNull()).withColumn(out, F.col(column)))
 
 
 def validate_ids(ids: DataFrame, projects: DataFrame, *, column: str = "id") -> DataFrame:
     """J3. Add ``valid``: the id is a known internal id, or is all digits and a known numeric id.
 
-    Both kinds of reference live in one key column, so one equi-join answers both questions.
+    Ids without a number take no part in the join by number, and null ids in neither, so no task gets all of them.
     """
-    refs = projects.select(
-        F.explode(F.array(F.concat(F.lit("n"), F.col("id").cast("string")), F.concat(F.lit("s"), F.col("internalId")))).alias("_ref")
-    ).distinct()
-    keyed = ids.withColumn("_n", F.concat(F.lit("n"), numeric_id(F.col(column)).cast("string"))).withColumn(
-        "_s", F.concat(F.lit("s"), F.col(column))
-    )
-    by_number = refs.select(F.col("_ref").alias("_n"), F.lit(True).alias("_byn"))
-    by_text = refs.select(F.col("_ref").alias("_s"), F.lit(True).alias("_bys"))
-    found = keyed.join(by_number, "_n", "left").join(by_text, "_s", "left")
-    return found.withColumn("valid", F.coalesce("_byn", "_bys", F.lit(False))).drop("_n", "_s", "_byn", "_bys")
+    number, text = numeric_id(F.col(column)), F.col(column)
+    numbers = projects.select(F.col("id").alias("_n")).where("_n IS NOT NULL").distinct().withColumn("_byn", F.lit(True))
+    texts = projects.select(F.col("internalId").alias("_s")).where("_s IS NOT NULL").distinct().withColumn("_bys", F.lit(True))
+    none = F.lit(None).cast("boolean")
+    with_number = ids.where(number.isNotNull()).withColumn("_n", number).join(numbers, "_n", "left").drop("_n")
+    known = with_number.unionByName(ids.where(number.isNull() & text.isNotNull()).withColumn("_byn", none))
+    found = known.join(texts, F.col(column) == F.col("_s"), "left").withColumn("valid", F.coalesce("_byn", "_bys", F.lit(False)))
+    return found.drop("_s", "_byn", "_bys").unionByName(ids.where(text.isNull()).withColumn("valid", F.lit(False)))
 
 
 def connector_usage(pipelines: DataFrame, connectors: DataFrame, *, source: str, target: str, connector: str) -> DataFrame:

@@ -211,3 +211,23 @@ def test_key_pairs_and_unknown_tables(spark):
 @pytest.mark.parametrize("name", ["F8_filter_all", "F9_filter_build", "F2_filter_name_bad_regex"])
 def test_queries_that_must_find_rows(spark, name):
     assert REGISTRY[name].run(Tables(spark, "/root/testdata/sf0.01")).count() > 0
+
+
+def test_documents_without_a_schema(spark, folder):
+    docs = [(1, '{"user": {"id": 7, "last": {"kind": "a"}}, "seen": [1.5, 2]}'), (2, '{"user": {"id": 8}, "new": null}'), (3, "not json"), (4, None)]
+    spark.createDataFrame(docs, "event_id int, document string").createOrReplaceTempView("documents_without")
+    item = {"sourceCollection": "documents_without", "flatten": True, "targetTable": "d", "mode": "append", "primaryKey": "event_id"}
+    assert ingest.load_artifact(spark, ingest.artifact_from_config(item), folder, "1") == 4
+    found = {r.event_id: (r["user.id"], r["user.last.kind"], r["new"]) for r in LoadTable(spark, f"{folder}/d").read().collect()}
+    assert found == {1: (7, "a", None), 2: (8, None, None), 3: (None, None, None), 4: (None, None, None)}
+    assert rows(LoadTable(spark, f"{folder}/d__seen").read()) == [(1, 0, 1.5), (1, 1, 2.0)]
+
+
+def test_json_path_without_a_schema(spark, folder):
+    pages = [(1, '{"data": {"items": [{"id": 1, "x": 0.5}, {"id": 2, "y": {"z": "q"}}]}}'), (2, '{"data": {"items": []}}')]
+    spark.createDataFrame(pages, "page int, payload string").createOrReplaceTempView("pages_without")
+    item = {"sourceTable": "pages_without", "jsonPath": "$.data.items", "targetTable": "p", "mode": "append"}
+    assert ingest.load_artifact(spark, ingest.artifact_from_config(item), folder, "1") == 3  # a payload without records keeps a row
+    assert {(r.id, r.x, r.y and r.y.z) for r in LoadTable(spark, f"{folder}/p").read().collect()} == {(1, 0.5, None), (2, None, "q"), (None, None, None)}
+    with pytest.raises(ValueError, match="no array of records"):
+        ingest.load_artifact(spark, ingest.artifact_from_config({**item, "jsonPath": "$.data"}), folder, "2")
