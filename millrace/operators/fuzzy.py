@@ -1,7 +1,17 @@
 """Nearest-text search at scale (J7, L10, L11).
 
-Thresholds as low as 0.3 leave no token or prefix that every match must share, so an exact answer has to look at every
-candidate whose length can still reach the threshold. What can be saved is the shuffling:
+Close matches come from an index of segments. If two texts are at most ``e`` edits apart and one is cut into ``e + 1``
+segments, one segment stands unchanged in the other, shifted by a few places at most. So candidates are stored under the
+hashes of their segments, an input looks up the hashes of its own substrings at those places, and only the candidates it
+meets are compared. A colliding hash costs a comparison and changes no result.
+
+An input that finds as many candidates as are asked for at a high similarity needs no others, as all left out score lower. So the
+search goes down :data:`LEVELS`, each with the inputs that the one before left open. Segments get too short to tell texts
+apart below ``LEAST_SIMILAR``, and their number grows with the square of the edits (``MOST_EDITS``); what is left
+then is compared with every candidate whose length can still reach the threshold. Both ways give the same rows:
+
+* a segment held by many candidates, such as a common beginning, is cut into blocks of bounded size, and a text whose
+  segments lead to most candidates is compared with each of them once instead;
 
 * equal inputs are searched once, and an input equal to a candidate is settled by an equi-join;
 * candidates are packed by length into blocks of bounded size, and an input meets only the lengths that can reach its
@@ -16,14 +26,19 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.operators.sliced import top_per_group
+from millrace.operators.sliced import hot_keys, top_per_group
+from millrace.session import work_path
 
 BLOCK_ROWS = 512
 LENGTH_CLASSES = 512
 BROADCAST_BYTES = 64 << 20
+LEVELS = (0.9, 0.75)
+LEAST_SIMILAR = 0.75
+MOST_EDITS = 8
+FEW = 1024  # so few candidates are scanned sooner than indexed
 
 
 def _check(threshold: float) -> None:
@@ -35,9 +50,11 @@ def _check(threshold: float) -> None:
 class _Blocks:
     """Candidates packed by class of length: class c holds lengths from c * width on, in ``counts[c]`` blocks."""
 
-    rows: DataFrame  # cls, block, items
+    texts: DataFrame  # value, position
+    rows: DataFrame | None  # cls, block, items
     width: int
     counts: list[int]
+    total: int
     total_bytes: int
 
     def array(self) -> Column:
@@ -61,7 +78,7 @@ def _pack(candidates: DataFrame, value: str, position: str, keep: int) -> _Block
         held[length // width] += n
     counts = [-(-n // BLOCK_ROWS) for n in held]
     total = sum(r["octets"] + 64 * r["n"] for r in found)
-    packed = _Blocks(first, width, counts, total)
+    packed = _Blocks(first, None, width, counts, sum(held), total)
     cls = F.floor(F.length("value") / width).cast("int")
     placed = first.withColumn("cls", cls).withColumn(
         "block", F.pmod(F.xxhash64("value", "position"), F.greatest(F.get(packed.array(), F.col("cls")), F.lit(1))).cast("int")
@@ -91,6 +108,113 @@ def _meetings(texts: DataFrame, blocks: _Blocks, threshold: float) -> DataFrame:
     return salted.repartition(parts, "cls", "block", "_salt").join(copied, ["cls", "block", "_salt"]).drop("_salt")
 
 
+def _edits(size: Column, threshold: float) -> Column:
+    """Edits that texts of which the longer has ``size`` characters may be apart."""
+    return F.floor((1 - threshold) * size + 1e-9).cast("int")
+
+
+def _shortest(size: Column, threshold: float) -> Column:
+    return F.ceil(size * threshold - 1e-9).cast("int")
+
+
+def _longest(size: Column, threshold: float) -> Column:
+    return F.floor(size / threshold + 1e-9).cast("int")
+
+
+def _cut(size: Column, edits: Column, part: Column) -> tuple[Column, Column]:
+    """Place (from 0) and size of one of ``edits + 1`` segments of a text; the last ones are longer by one."""
+    parts = edits + 1
+    short = F.floor(size / parts).cast("int")
+    longer = F.pmod(size, parts)
+    place = part * short + F.greatest(F.lit(0), part - (parts - longer))
+    return place, short + (part >= parts - longer).cast("int")
+
+
+def _few_edits(texts: DataFrame, threshold: float) -> Column:
+    return _edits(_longest(F.length("text"), threshold), threshold) <= MOST_EDITS
+
+
+def _index(candidates: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """The candidates under each of their segments (seg, block, items), and the segments of several blocks with their number.
+
+    The edits a pair may be apart follow from the longer of the two, so a candidate is cut once for each number that some
+    input can bring.
+    """
+    size, edits, part = F.col("size"), F.col("edits"), F.col("part")
+    low = candidates.select("value", "position", F.lower("value").alias("low")).withColumn("size", F.length("low"))
+    fewest, most = _edits(size, threshold), F.least(_edits(_longest(size, threshold), threshold), F.lit(MOST_EDITS))
+    cut = low.filter(fewest <= MOST_EDITS).withColumn("edits", F.explode(F.sequence(fewest, most)))
+    cut = cut.withColumn("part", F.explode(F.sequence(F.lit(0), edits)))
+    place, long = _cut(size, edits, part)
+    item = F.struct("low", F.length("value").alias("len"), "position", "value")
+    held = cut.select(F.xxhash64(size, edits, part, F.substring("low", place + 1, long)).alias("seg"), item.alias("item"))
+    many = hot_keys(held, ["seg"], BLOCK_ROWS).withColumn("blocks", F.ceil(F.col("n") / BLOCK_ROWS).cast("int"))
+    placed = held.join(many, "seg", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    block = F.pmod(F.xxhash64("item.value", "item.position"), F.col("blocks")).cast("int")
+    return placed.groupBy("seg", block.alias("block")).agg(F.collect_list("item").alias("items")), many
+
+
+def _lookups(texts: DataFrame, blocks: _Blocks, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """Every input text with the blocks of candidates that share a segment with it, at a place few edits can move it to.
+
+    Texts whose segments lead to over half as many candidates as there are cannot gain by it; they come second, with no block.
+    """
+    size, other, edits, part = F.col("size"), F.col("other"), F.col("edits"), F.col("part")
+    index, many = _index(blocks.texts, threshold)
+    asked = texts.withColumn("size", F.length("text"))
+    asked = asked.withColumn("other", F.explode(F.sequence(_shortest(size, threshold), _longest(size, threshold))))
+    asked = asked.withColumn("edits", _edits(F.greatest(size, other), threshold))
+    asked = asked.withColumn("part", F.explode(F.sequence(F.lit(0), edits)))
+    place, long = _cut(other, edits, part)
+    # moved by x, it takes |x| edits before the segment and |x - (size - other)| behind it
+    first = F.greatest(F.lit(0), place - F.floor((edits - size + other) / 2).cast("int"))
+    last = F.least(size - long, place + F.floor((edits + size - other) / 2).cast("int"))
+    asked = asked.withColumn("long", long).withColumn("first", first).withColumn("last", last).filter("first <= last")
+    asked = asked.withColumn("at", F.explode(F.sequence("first", "last")))
+    seg = F.xxhash64(other, edits, part, F.substring("text", F.col("at") + 1, F.col("long"))).alias("seg")
+    asked = asked.select("text", "size", seg).distinct().join(many, "seg", "left")
+    wide = asked.filter("n IS NOT NULL").groupBy("text").agg(F.sum("n").alias("n")).filter(F.col("n") > blocks.total / 2).select("text")
+    asked = asked.join(wide, "text", "left_anti")
+    asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1)))
+    return asked.select("text", "size", "seg", "block").join(index, ["seg", "block"]), wide
+
+
+def _best(met: DataFrame, threshold: float, strict: bool, limit: int) -> DataFrame:
+    """The ``limit`` best candidates of each text: text, score, back, value, rank."""
+    few = F.slice(F.sort_array(_ranked_items(threshold, strict), asc=False), 1, limit)
+    # a candidate met by several segments is found several times
+    rows = met.select("text", F.inline(few)).distinct()
+    return top_per_group(rows, ["text"], [F.col("score").desc(), F.col("back").desc()], limit)
+
+
+def _search(asked: DataFrame, blocks: _Blocks, threshold: float, strict: bool, limit: int) -> DataFrame:
+    """The ``limit`` best candidates of each text at or (``strict``) above the threshold, by falling similarity.
+
+    The answers of a level are written to the shared folder, as the next level and the result both start from them.
+    """
+    if blocks.total <= FEW:
+        return _best(_meetings(asked, blocks, threshold), threshold, strict, limit)
+    spark, left, settled = asked.sparkSession, asked, []
+    for level in (x for x in LEVELS if x > threshold):
+        met, _ = _lookups(left.filter(_few_edits(left, level)), blocks, level)
+        near = _best(met, level, False, limit)
+        path = work_path(spark, "near")
+        near.withColumn("found", F.max("rank").over(Window.partitionBy("text"))).filter(F.col("found") == limit).drop("found").write.parquet(path)
+        settled.append(spark.read.parquet(path))
+        left = left.join(settled[-1], "text", "left_anti")
+    if threshold >= LEAST_SIMILAR:
+        short = _few_edits(left, threshold)
+        met, wide = _lookups(left.filter(short), blocks, threshold)
+        scanned = _meetings(left.filter(~short).unionByName(wide), blocks, threshold)
+        met = met.select("text", "size", "items").unionByName(scanned.select("text", "size", "items"))
+    else:
+        met = _meetings(left, blocks, threshold)
+    rows = _best(met, threshold, strict, limit)
+    for part in settled:
+        rows = rows.unionByName(part)
+    return rows
+
+
 def _ranked_items(threshold: float, strict: bool) -> Column:
     """The block's candidates that pass, as struct(score, back, value); ``back`` grows towards the first position.
 
@@ -123,11 +247,8 @@ def fuzzy_match_join(
     exact = candidates.groupBy(F.lower(value).alias("text")).agg(F.min_by(value, position).alias("match"))
     settled = asked.join(exact, "text").select("text", "match", F.lit(1.0).alias("score"))
     blocks = _pack(candidates, value, position, 1)
-    met = _meetings(asked.join(exact, "text", "left_anti"), blocks, threshold)
-    # the null test comes after the maximum: before it, it would be pushed down and scan every block twice
-    best = met.select("text", F.array_max(_ranked_items(threshold, strict=True)).alias("b"))
-    best = best.groupBy("text").agg(F.max("b").alias("b")).filter(F.col("b").isNotNull())
-    found = settled.unionByName(best.select("text", F.col("b.value").alias("match"), F.col("b.score").alias("score")))
+    best = _search(asked.join(exact, "text", "left_anti"), blocks, threshold, True, 1)
+    found = settled.unionByName(best.select("text", F.col("value").alias("match"), "score"))
     return inputs.join(found, F.lower(inputs[text]) == found["text"], "left").drop(found["text"])
 
 
@@ -138,10 +259,7 @@ def top_similar(
     _check(threshold)
     asked = inputs.select(F.lower(text).alias("text")).filter(F.col("text").isNotNull()).distinct()
     blocks = _pack(candidates, value, position, limit)
-    met = _meetings(asked, blocks, threshold)
-    few = F.slice(F.sort_array(_ranked_items(threshold, strict=False), asc=False), 1, limit)
-    rows = met.select("text", F.inline(few))
-    ranked = top_per_group(rows, ["text"], [F.col("score").desc(), F.col("back").desc()], limit)
+    ranked = _search(asked, blocks, threshold, False, limit)
     found = ranked.select("text", F.col("value").alias("match"), (-F.col("back")).alias("position"), "score", "rank")
     return inputs.join(found, F.lower(inputs[text]) == found["text"]).drop(found["text"])
 
