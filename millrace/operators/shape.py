@@ -8,9 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.operators.sliced import top_per_group
+from millrace.operators.sliced import SLICE, orderable, top_per_group, with_slices
 from millrace.sources.store import join_keys
 
+PAGE_ROWS = 1_000_000  # rows one task may sort for a page
+PAGE_SLICES = 1024
+
 
 def _names(fields: str | Sequence[str]) -> list[str]:
     return [f.strip() for f in fields.split(",")] if isinstance(fields, str) else list(fields)
@@ -143,10 +146,49 @@ def limit_rows(df: DataFrame, n: int | None, order: Sequence[Column | str], fiel
     return select_fields(shaped, fields) if fields else shaped
 
 
-def page_rows(df: DataFrame, order: Sequence[Column | str], offset: int = 0, limit: int | None = None, fields=None) -> DataFrame:
-    """L2. Offset, then limit, then fields, over a total order. For deep pages use :func:`page_after`."""
+def _narrow(df: DataFrame, key: str, skip: int, last: int) -> tuple[DataFrame, int, int]:
+    """The slices of ``key`` that hold the rows from ``skip`` to ``last`` in its order, how many rows precede them, and how many they hold.
+
+    Nulls come first, in a slice of their own. Only the number of rows of each slice comes to the driver.
+    """
+    sliced = with_slices(df, key, PAGE_SLICES)
+    sliced = sliced.withColumn(SLICE, F.when(F.col(key).isNull(), -1).otherwise(F.col(SLICE)))
+    before, held, kept = 0, 0, []
+    for at, n in sorted((r[SLICE], r["n"]) for r in sliced.groupBy(SLICE).agg(F.count("*").alias("n")).collect()):
+        if before + held + n <= skip:
+            before += n
+        elif before + held < last:
+            held += n
+            kept.append(at)
+    # what is kept is an interval, as the slices never fall along the key
+    within = F.col(SLICE).between(kept[0], kept[-1]) if kept else F.lit(False)
+    return sliced.filter(within).drop(SLICE), before, held
+
+
+def page_rows(df: DataFrame, order: Sequence[Column | str], offset: int = 0, limit: int | None = None, fields=None, most: int | None = None) -> DataFrame:
+    """L2. Offset, then limit, then fields, over a total order.
+
+    A sorted offset makes one task hold all rows up to the page's end. So beyond ``most`` of them (``PAGE_ROWS``) a page ordered by plain
+    column names is found by counting: the rows are cut along the first column, and by the running total of the slices' rows
+    all but the slices of the page fall away before the sort, again and again until few enough are left. A value that many
+    rows share is cut along the next column. This reads the table twice for a column, once for its quantiles and once for the counts,
+    each time the order columns alone. It goes on with a plain sort where a column is neither number nor time, or without a limit.
+    """
+    skip, most = max(offset, 0), PAGE_ROWS if most is None else most
+    if limit and skip + limit > most and all(isinstance(c, str) for c in order):
+        for key in order:
+            held = None
+            while orderable(df.schema[key].dataType):
+                df, before, now = _narrow(df, key, skip, skip + limit)
+                skip -= before
+                same, held = now == held, now
+                if same or held <= max(most, limit):
+                    break
+            # the next column orders the rows that are left only if they agree in this one
+            if held is None or held <= max(most, limit) or df.agg(F.min(key).eqNullSafe(F.max(key)) & F.count(key).isin(F.lit(0), F.count("*"))).head()[0] is not True:
+                break
     page = df.orderBy(*order)
-    page = page.offset(offset) if offset > 0 else page
+    page = page.offset(skip) if skip > 0 else page
     page = page.limit(limit) if limit else page
     return select_nested_fields(page, fields) if fields else page
 

@@ -77,6 +77,12 @@ def l2(t):
     return op.page_rows(t.orders, ["o_orderdate", "o_orderkey"], 40, 20, "o_orderkey,o_custkey")
 
 
+@query("L2_deep_page", "SELECT l_orderkey, l_linenumber, l_shipdate FROM lineitem ORDER BY l_shipdate, l_orderkey, l_linenumber LIMIT 20 OFFSET (SELECT count(*) - 40 FROM lineitem)")
+def l2_deep(t):
+    near_the_end = t.lineitem.count() - 40
+    return op.page_rows(t.lineitem, ["l_shipdate", "l_orderkey", "l_linenumber"], near_the_end, 20, "l_orderkey,l_linenumber,l_shipdate", most=1000)
+
+
 @query("L2_page_after", "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey > 500 ORDER BY o_orderkey LIMIT 20")
 def l2_after(t):
     return op.page_after(t.orders, "o_orderkey", 500, 20).select("o_orderkey", "o_custkey")

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import shape as op
@@ -33,6 +34,30 @@ def test_fields_and_paging(spark):
     assert op.reorder_drop(df, "name", "id", ["id"]).columns == ["name", "id"]
 
 
+@pytest.mark.parametrize(("offset", "limit"), [(0, 40), (500, 30), (985, 30), (960, 25), (2000, 5), (260, 400)])
+def test_deep_pages(spark, monkeypatch, offset, limit):
+    """A third of the rows share one value of the first column, some have none."""
+    monkeypatch.setattr(op, "PAGE_ROWS", 20)
+    monkeypatch.setattr(op, "PAGE_SLICES", 8)
+    rows = [(None if i % 20 == 1 else 7 if i % 3 == 0 else i * 37 % 101, i * 7 % 500, i) for i in range(1000)]
+    df = spark.createDataFrame(rows, "a int, b int, id int")
+    wanted = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1], r[2]))[offset : offset + limit]
+    assert [tuple(r) for r in op.page_rows(df, ["a", "b", "id"], offset, limit).collect()] == wanted
+
+
+def test_a_deep_page_sorts_few_rows(spark, monkeypatch):
+    monkeypatch.setattr(op, "PAGE_ROWS", 100)
+    monkeypatch.setattr(op, "PAGE_SLICES", 16)
+    df = spark.range(10000).withColumn("hot", F.when(F.col("id") % 3 == 0, 5000).otherwise(F.col("id")))
+    kept, skip = df, 5000
+    for key in ("hot", "id"):
+        kept, before, held = op._narrow(kept, key, skip, skip + 10)
+        skip -= before
+    assert kept.count() == held < 1000
+    page = op.page_rows(df, ["hot", "id"], 5000, 10)
+    assert [r.id for r in page.collect()] == [r.id for r in df.orderBy("hot", "id").offset(5000).limit(10).collect()]
+
+
 def test_diff(spark):
     old = spark.createDataFrame([(1, "a", None), (2, "b", 1), (3, "c", 1)], "k int, s string, n int")
     new = spark.createDataFrame([(1, "a", None), (2, "x", None), (4, "d", 1)], "k int, s string, n int")
