@@ -59,6 +59,14 @@ def t4(t):
     return op.log_tail(t.spark.read.schema("conv_id bigint, turn bigint, role string").parquet(path), "turn", "conv_id", 20)
 
 
+@query("T4_log_by_day", "SELECT event_id, event_type, strftime(ts, '%Y-%m-%d %H:%M:%S') AS at FROM events ORDER BY ts DESC, event_id DESC LIMIT 20")
+def t4_by_day(t):
+    path, logs = work_path(t.spark, "log_by_day"), t.events.select("event_id", "event_type", "ts")
+    op.stream_log_by_day(landed(t, logs, "events"), path, checkpoint(t), "ts").awaitTermination()
+    last = op.newest_logged(t.spark, path, logs.schema, "ts", "event_id", 20)
+    return last.select("event_id", "event_type", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("at"))
+
+
 @query(
     "T5_stream_health",
     """SELECT strftime(time_bucket(INTERVAL 1 DAY, ts), '%Y-%m-%d') AS window_start, entity, count(*) AS runs,

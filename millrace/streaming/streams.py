@@ -18,6 +18,8 @@ from millrace.operators.ingest import ingest_cdc, with_errors
 from millrace.operators.runs import newest
 from millrace.sources.store import KeyedTable
 
+LOG_DAY = "log_day"
+
 
 def read_files(spark: SparkSession, path: str, schema, files_per_batch: int = 1000, file_format: str = "parquet") -> DataFrame:
     """A stream of the files that land in a folder."""
@@ -92,6 +94,34 @@ def log_tail(logs: DataFrame, ts: str, tie: str, n: int = 20) -> DataFrame:
     return logs.orderBy(*newest(ts, tie)).limit(n)
 
 
+def stream_log_by_day(logs: DataFrame, path: str, checkpoint: str, ts: str, continuous: str | None = None) -> StreamingQuery:
+    """T4. Follow log rows into a table split by the day of ``ts``, so that :func:`newest_logged` need not read old days."""
+    return stream_append(logs.withColumn(LOG_DAY, F.to_date(ts)), path, checkpoint, [LOG_DAY], continuous)
+
+
+def newest_logged(spark: SparkSession, path: str, schema: T.StructType, ts: str, tie: str, n: int = 20) -> DataFrame:
+    """T4. The last n rows of a table split by day, read from the newest day backwards: one day, then two, four and so on.
+
+    Only the days' folders are listed, and only the days read are opened. Rows without a time count as the oldest. A log
+    without rows, or not written yet, gives none.
+    """
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{LOG_DAY}=*")
+    listed = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(folder)
+    days = sorted((f.getPath().getName().split("=", 1)[1] for f in listed or []), reverse=True)
+    if not days:
+        return spark.createDataFrame([], schema)
+    rows = spark.read.schema(T.StructType([*schema, T.StructField(LOG_DAY, T.DateType())])).parquet(path)
+    dated = [d for d in days if d[0].isdigit()]  # the folder of rows without a time is named otherwise
+    take = 1
+    while take < len(dated):
+        recent = rows.filter(F.col(LOG_DAY) >= F.to_date(F.lit(dated[take - 1])))
+        if recent.limit(n).count() == n:
+            rows = recent
+            break
+        take *= 2
+    return log_tail(rows.drop(LOG_DAY), ts, tie, n)
+
+
 def health_counts(runs: DataFrame, entity: str, ts: str, every: str, delay: str) -> DataFrame:
     """T5. Runs and successes per entity and time window. Rows later than the watermark are dropped."""
     timed = runs.withColumn("_event_time", _instant(runs, ts)).withWatermark("_event_time", delay)

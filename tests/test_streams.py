@@ -73,3 +73,25 @@ def test_quarantine_and_tail(spark, folder):
     assert spark.read.parquet(f"{folder}/ok").count() == 15
     assert {r._errors[0] for r in spark.read.parquet(f"{folder}/bad").collect()} == {"n is not int: x"}
     assert [r.id for r in op.log_tail(rows, "id", "id", 3).collect()] == [19, 18, 17]
+
+
+def test_newest_lines_leave_old_days_closed(spark, folder):
+    start = datetime(2024, 1, 1)
+    rows = [(i, start + timedelta(hours=5 * i)) for i in range(40)] + [(90, None), (91, start)]
+    logs = spark.createDataFrame(rows, "id int, ts timestamp_ntz")
+    land(logs, f"{folder}/in", 3)
+    path = f"{folder}/log"
+
+    def tail(n):
+        return [r.id for r in op.newest_logged(spark, path, logs.schema, "ts", "id", n).collect()]
+
+    assert tail(3) == []
+    for _ in range(2):  # the second run finds nothing new
+        stream = op.read_files(spark, f"{folder}/in", logs.schema)
+        op.stream_log_by_day(stream, path, f"{folder}/check", "ts").awaitTermination()
+    assert tail(60) == [*range(39, 0, -1), 91, 0, 90]
+    for day in ("2024-01-01", "2024-01-02", "__HIVE_DEFAULT_PARTITION__"):  # files that cannot be read
+        for name in os.listdir(f"{path}/log_day={day}"):
+            with open(f"{path}/log_day={day}/{name}", "wb") as f:
+                f.write(b"broken")
+    assert tail(12) == list(range(39, 27, -1))
