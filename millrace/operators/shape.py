@@ -140,6 +140,39 @@ def table_diff(old: DataFrame, new: DataFrame, keys: Sequence[str], fields: Sequ
     return joined.select(*keys, F.inline(entries))
 
 
+def differing_slices(old: DataFrame, new: DataFrame, keys: Sequence[str], fields: Sequence[str], slices: int = 1024) -> tuple[DataFrame, DataFrame]:
+    """The rows of both tables in those slices of the key in which they differ, for a comparison that need not join the rest.
+
+    Each table is read once for one digest per slice: the sum of two 64-bit hashes of its rows, taken off for the other
+    table, so neither order nor place of the rows matters. It is combined in the tasks, and one row per slice that differs
+    comes to the driver. Slices follow the first key where that is a number or a time, so changes that lie together leave
+    most slices equal; else they follow a hash of the keys. A difference is lost only if both sums agree by chance
+    (about 2^-128 a slice). Columns of unlike types take a common one.
+    """
+    columns = list(dict.fromkeys([*keys, *fields]))
+    both = old.select(*columns, F.lit(1).alias("_side")).unionByName(new.select(*columns, F.lit(-1).alias("_side")))
+    if orderable(both.schema[keys[0]].dataType):
+        both = with_slices(both, keys[0], slices)
+    else:
+        both = both.withColumn(SLICE, F.pmod(F.xxhash64(*keys), F.lit(slices)).cast("int"))
+    # a null leaves a hash as it was, so (null, 1) and (1, null) need the marks to differ
+    row = [part for c in columns for part in (F.isnull(_quoted(c)), _quoted(c))]
+    exact = [F.sum(h.cast("decimal(20,0)") * F.col("_side")) for h in (F.xxhash64(*row), F.xxhash64(F.lit("second"), *row))]
+    digests = both.groupBy(SLICE).agg(F.sum("_side").alias("n"), exact[0].alias("a"), exact[1].alias("b"))
+    unlike = [r[SLICE] for r in digests.filter("n <> 0 OR a <> 0 OR b <> 0").select(SLICE).collect()]
+    left = both.filter(F.col(SLICE).isin(unlike))
+    return left.filter("_side = 1").select(*columns), left.filter("_side = -1").select(*columns)
+
+
+def table_diff_by_digest(
+    old: DataFrame, new: DataFrame, keys: Sequence[str], fields: Sequence[str], only_changed=True, slices: int = 1024
+) -> DataFrame:
+    """P7 for large tables that differ in few places: :func:`table_diff` of the slices that differ."""
+    if not only_changed:
+        return table_diff(old, new, keys, fields, False)
+    return table_diff(*differing_slices(old, new, keys, fields, slices), keys, fields)
+
+
 def limit_rows(df: DataFrame, n: int | None, order: Sequence[Column | str], fields=None) -> DataFrame:
     """L1. The first ``n`` rows of a total order, then the fields. 0 or None keeps all rows."""
     shaped = df.orderBy(*order).limit(n) if n else df
@@ -253,6 +286,11 @@ def distinct_ids(df: DataFrame, value: str, position: str) -> DataFrame:
     return df.groupBy(value).agg(F.min(position).alias(position))
 
 
+def added_removed_by_digest(old: DataFrame, new: DataFrame, keys: Sequence[str], slices: int = 1024) -> DataFrame:
+    """U3 for large tables that differ in few places: :func:`added_removed` of the slices whose keys differ."""
+    return added_removed(*differing_slices(old, new, keys, [], slices), keys)
+
+
 def added_removed(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """U3. Keys in only one of the two, marked ``added`` or ``removed``. Null is a key."""
     k = list(keys)

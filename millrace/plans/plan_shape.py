@@ -51,15 +51,18 @@ def p5(t):
     return op.record_to_rows(t.customer, ["c_custkey"], ["c_acctbal", "c_nationkey"])
 
 
-@query(
-    "P7_config_diff",
-    """, j AS (SELECT coalesce(a.o_orderkey, b.o_orderkey) AS o_orderkey, a.o_orderkey IS NULL AS added, b.o_orderkey IS NULL AS removed,
+_DIFF = """, j AS (SELECT coalesce(a.o_orderkey, b.o_orderkey) AS o_orderkey, a.o_orderkey IS NULL AS added, b.o_orderkey IS NULL AS removed,
            a.o_totalprice AS p1, b.o_totalprice AS p2, a.o_custkey AS c1, b.o_custkey AS c2
          FROM orders_v1 a FULL JOIN orders_v2 b ON a.o_orderkey = b.o_orderkey)
        SELECT o_orderkey, 'o_custkey' AS field, CAST(c1 AS VARCHAR) AS old, CAST(c2 AS VARCHAR) AS new,
          CASE WHEN added THEN 'added' WHEN removed THEN 'removed' ELSE 'changed' END AS status FROM j WHERE c1 IS DISTINCT FROM c2 OR added OR removed
        UNION ALL SELECT o_orderkey, 'o_totalprice', CAST(CAST(p1 AS DECIMAL(18,2)) AS VARCHAR), CAST(CAST(p2 AS DECIMAL(18,2)) AS VARCHAR),
-         CASE WHEN added THEN 'added' WHEN removed THEN 'removed' ELSE 'changed' END FROM j WHERE p1 IS DISTINCT FROM p2 OR added OR removed""",
+         CASE WHEN added THEN 'added' WHEN removed THEN 'removed' ELSE 'changed' END FROM j WHERE p1 IS DISTINCT FROM p2 OR added OR removed"""
+
+
+@query(
+    "P7_config_diff",
+    _DIFF,
     "orders_v1 orders_v2",
 )
 def p7(t):
@@ -67,6 +70,12 @@ def p7(t):
     return op.table_diff(exact(t.orders_v1), exact(t.orders_v2), ["o_orderkey"], ["o_custkey", "o_totalprice"])
 
 
+@query("P7_diff_by_digest", _DIFF, "orders_v1 orders_v2")
+def p7_digest(t):
+    exact = lambda d: d.withColumn("o_totalprice", F.col("o_totalprice").cast("decimal(18,2)"))
+    return op.table_diff_by_digest(exact(t.orders_v1), exact(t.orders_v2), ["o_orderkey"], ["o_custkey", "o_totalprice"])
+
+
 @query("L1_limit_rows", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 25")
 def l1(t):
     return op.limit_rows(t.orders, 25, [F.col("o_totalprice").desc(), "o_orderkey"], "o_orderkey,o_totalprice")
@@ -126,11 +135,19 @@ def u2(t):
     return op.distinct_ids(t.events, "user_id", "event_id")
 
 
+_ADDED = """SELECT o_orderkey, 'added' AS status FROM orders_v2 WHERE o_orderkey NOT IN (SELECT o_orderkey FROM orders_v1)
+       UNION ALL SELECT o_orderkey, 'removed' FROM orders_v1 WHERE o_orderkey NOT IN (SELECT o_orderkey FROM orders_v2)"""
+
+
 @query(
     "U3_added_removed",
-    """SELECT o_orderkey, 'added' AS status FROM orders_v2 WHERE o_orderkey NOT IN (SELECT o_orderkey FROM orders_v1)
-       UNION ALL SELECT o_orderkey, 'removed' FROM orders_v1 WHERE o_orderkey NOT IN (SELECT o_orderkey FROM orders_v2)""",
+    _ADDED,
     "orders_v1 orders_v2",
 )
 def u3(t):
     return op.added_removed(t.orders_v1, t.orders_v2, ["o_orderkey"])
+
+
+@query("U3_added_removed_by_digest", _ADDED, "orders_v1 orders_v2")
+def u3_digest(t):
+    return op.added_removed_by_digest(t.orders_v1, t.orders_v2, ["o_orderkey"])

@@ -73,6 +73,23 @@ def test_diff(spark):
     assert op.table_diff(old, new, ["k"], ["s", "n"], only_changed=False).count() == 8
 
 
+@pytest.mark.parametrize("key", ["id", "name"])
+def test_diff_by_digest(spark, key):
+    old = spark.range(2000).select("id", F.concat(F.lit("n"), "id").alias("name"), F.when(F.col("id") % 7 != 0, F.col("id")).alias("v"), F.lit(None).cast("bigint").alias("w"))
+    old = old.unionByName(spark.createDataFrame([(None, None, 1, None)], "id long, name string, v long, w long"))
+    moved = F.col("id").between(1000, 1009)  # a value that goes from one column to the next
+    new = old.filter("id IS NULL OR id <> 1500").select("id", "name", F.when(~F.coalesce(moved, F.lit(False)), F.col("v")).alias("v"), F.when(moved, F.col("v")).alias("w"))
+    new = new.unionByName(spark.createDataFrame([(5000, "n5000", 1, 2)], "id long, name string, v long, w long")).repartition(5)
+    rows = lambda d: sorted(map(repr, d.collect()))
+    found = rows(op.table_diff_by_digest(old, new, [key], ["v", "w"], slices=400))
+    assert found == rows(op.table_diff(old, new, [key], ["v", "w"])) and len(found) == 20  # 8 rows with a value moved, one removed, one added
+    left = op.differing_slices(old, new, [key], ["v", "w"], 400)[0].count()
+    assert left < (40 if key == "id" else 120)  # of 2,001
+    assert rows(op.added_removed_by_digest(old, new, [key], 400)) == rows(op.added_removed(old, new, [key]))
+    assert op.table_diff_by_digest(old, old.repartition(3), [key], ["v", "w"]).count() == 0
+    assert op.table_diff_by_digest(old.limit(0), new.limit(0), [key], ["v"]).count() == 0
+
+
 def test_top_k_counts_null_as_zero(spark):
     df = spark.createDataFrame([(1, None), (2, -5), (3, 7), (4, None)], "id int, m int")
     assert [r.id for r in op.top_k(df, "m", 3, "id").collect()] == [3, 1, 4]
