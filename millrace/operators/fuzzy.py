@@ -179,11 +179,14 @@ def _lookups(texts: DataFrame, blocks: _Blocks, threshold: float) -> tuple[DataF
     return asked.select("text", "size", "seg", "block").join(index, ["seg", "block"]), wide
 
 
-def _best(met: DataFrame, threshold: float, strict: bool, limit: int) -> DataFrame:
-    """The ``limit`` best candidates of each text: text, score, back, value, rank."""
+def _best(met: DataFrame, threshold: float, strict: bool, limit: int, repeated: bool) -> DataFrame:
+    """The ``limit`` best candidates of each text: text, score, back, value, rank.
+
+    ``repeated``: a candidate was met by segments, so by several perhaps, and is then found several times.
+    """
     few = F.slice(F.sort_array(_ranked_items(threshold, strict), asc=False), 1, limit)
-    # a candidate met by several segments is found several times
-    rows = met.select("text", F.inline(few)).distinct()
+    rows = met.select("text", F.inline(few))
+    rows = rows.distinct() if repeated else rows
     return top_per_group(rows, ["text"], [F.col("score").desc(), F.col("back").desc()], limit)
 
 
@@ -193,11 +196,11 @@ def _search(asked: DataFrame, blocks: _Blocks, threshold: float, strict: bool, l
     The answers of a level are written to the shared folder, as the next level and the result both start from them.
     """
     if blocks.total <= FEW:
-        return _best(_meetings(asked, blocks, threshold), threshold, strict, limit)
+        return _best(_meetings(asked, blocks, threshold), threshold, strict, limit, False)
     spark, left, settled = asked.sparkSession, asked, []
     for level in (x for x in LEVELS if x > threshold):
         met, _ = _lookups(left.filter(_few_edits(left, level)), blocks, level)
-        near = _best(met, level, False, limit)
+        near = _best(met, level, False, limit, True)
         path = work_path(spark, "near")
         near.withColumn("found", F.max("rank").over(Window.partitionBy("text"))).filter(F.col("found") == limit).drop("found").write.parquet(path)
         settled.append(spark.read.parquet(path))
@@ -209,7 +212,7 @@ def _search(asked: DataFrame, blocks: _Blocks, threshold: float, strict: bool, l
         met = met.select("text", "size", "items").unionByName(scanned.select("text", "size", "items"))
     else:
         met = _meetings(left, blocks, threshold)
-    rows = _best(met, threshold, strict, limit)
+    rows = _best(met, threshold, strict, limit, threshold >= LEAST_SIMILAR)
     for part in settled:
         rows = rows.unionByName(part)
     return rows
