@@ -1,5 +1,7 @@
 """Discovery, profiling and recommendations: Q1-Q12, I16, I17."""
 
+from itertools import combinations
+
 from pyspark.sql import functions as F
 
 from millrace.operators import discover as op
@@ -112,17 +114,15 @@ def q12(t):
 _RECOMMENDED = list(TABLE_NAMES)
 
 
-def _recommendation_sql(table: str) -> str:
-    keys = " ".join(
-        f"WHEN count(*) > 0 AND count(DISTINCT {c}) = count(*) THEN '{c}'" for c, k in COLUMNS[table] if k in ("string", "int", "bigint")
-    )
-    may = [c for c, k in COLUMNS[table] if k in ("string", "int", "bigint")]
-    keys += " ".join(
-        f" WHEN count(*) > 0 AND count({a}) = count(*) AND count({b}) = count(*) AND count(DISTINCT ({a}, {b})) = count(*) THEN '{a},{b}'"
-        for i, a in enumerate(may)
-        for b in may[i + 1 :]
-    )
-    times = [c for c, k in COLUMNS[table] if k == "timestamp_ntz"]
+def _recommendation_sql(table: str, columns: list[tuple[str, ...]] | None = None) -> str:
+    columns = columns or COLUMNS[table]
+    may = [c for c, k in columns if k in ("string", "int", "bigint")]
+    keys = " ".join(f"WHEN count(*) > 0 AND count(DISTINCT {c}) = count(*) THEN '{c}'" for c in may)
+    for width in (2, 3, 4):
+        for some in combinations(may, width):
+            full = " AND ".join(f"count({c}) = count(*)" for c in some)
+            keys += f" WHEN count(*) > 0 AND {full} AND count(DISTINCT ({', '.join(some)})) = count(*) THEN '{','.join(some)}'"
+    times = [c for c, k in columns if k == "timestamp_ntz"]
     mark = f"CASE WHEN count(*) > 0 AND count({times[0]}) = count(*) THEN '{times[0]}' END" if times else "NULL"
     return f"SELECT '{table}' AS \"table\", CASE {keys} END AS k, {mark} AS w FROM {table}"
 
@@ -136,7 +136,7 @@ def _recommendation_sql(table: str) -> str:
 )
 def i16(t):
     profiles = op.profile_tables(t.every())
-    found = op.recommend_ingestion(profiles, op.key_pairs(t.every(), profiles))
+    found = op.recommend_ingestion(profiles, op.key_columns(t.every(), profiles))
     return found.select(
         "table",
         "ingestionType",
@@ -147,6 +147,25 @@ def i16(t):
     )
 
 
+_DAILY = "user_id bigint, kind string, day string, hour string, last_seen timestamp_ntz"
+_DAILY_SQL = _recommendation_sql("daily", [tuple(c.split(" ")) for c in _DAILY.split(", ")])
+
+
+@query(
+    "I16_wide_key",
+    f"""WITH daily AS (SELECT user_id, event_type AS kind, strftime(ts, '%Y-%m-%d') AS day, strftime(ts, '%H') AS hour, max(ts) AS last_seen
+          FROM events GROUP BY ALL), r AS ({_DAILY_SQL})
+        SELECT "table", k AS merge_column, w AS watermark, CASE WHEN k IS NOT NULL THEN 'delta' ELSE 'historical' END AS "ingestionType" FROM r""",
+)
+def i16_wide(t):
+    parts = [F.col("event_type").alias("kind"), F.date_format("ts", "yyyy-MM-dd").alias("day"), F.date_format("ts", "HH").alias("hour")]
+    tables = {"daily": t.events.groupBy("user_id", *parts).agg(F.max("ts").alias("last_seen"))}
+    profiles = op.profile_tables(tables)
+    found = op.recommend_ingestion(profiles, op.key_columns(tables, profiles))
+    merge, mark = F.array_join("mergeColumns", ",").alias("merge_column"), F.array_join("watermarkColumnName", ",").alias("watermark")
+    return found.select("table", merge, mark, "ingestionType")
+
+
 @query(
     "I17_apply_recommendation",
     f"""WITH r AS ({" UNION ALL ".join(_recommendation_sql(t) for t in _RECOMMENDED)}),
@@ -164,5 +183,5 @@ def i17(t):
         F.lit(None).cast("string").alias("incrementalColumn"),
     )
     profiles = op.profile_tables(t.every())
-    applied = op.apply_recommendation(artifacts, op.recommend_ingestion(profiles, op.key_pairs(t.every(), profiles)))
+    applied = op.apply_recommendation(artifacts, op.recommend_ingestion(profiles, op.key_columns(t.every(), profiles)))
     return applied.withColumn("primaryKeys", F.array_join("primaryKeys", ","))

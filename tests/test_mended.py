@@ -197,10 +197,10 @@ def test_large_totals(spark):
     assert float(usage.usage_by_group(usage.usage_by_user(facts, users, "user"), "project").head().total_cost) == 27e15
 
 
-def test_key_pairs_and_unknown_tables(spark):
+def test_key_of_two_columns_and_unknown_tables(spark):
     table = spark.range(60).select(F.floor(F.col("id") / 6).alias("a"), (F.col("id") % 6).alias("b"), F.lit(1).alias("c"))
     profiles = discover.profile_tables({"t": table})
-    found = discover.recommend_ingestion(profiles, discover.key_pairs({"t": table}, profiles)).head()
+    found = discover.recommend_ingestion(profiles, discover.key_columns({"t": table}, profiles)).head()
     assert found.mergeColumns == ["a", "b"] and found.confidence == 80
     assert discover.profile_tables({"t": table}, near=0).filter("tested").count() == 3
     assert discover.table_columns(spark, "no_such_table").count() == 0
