@@ -5,7 +5,9 @@ from itertools import combinations
 from pyspark.sql import functions as F
 
 from millrace.operators import discover as op
+from millrace.operators.profiles import LoadProfiles
 from millrace.plans.registry import TABLE_NAMES, query
+from millrace.session import work_path
 
 # The given tables' columns with their types, for the checking SQL (see TESTDATA.md).
 _COLUMNS = {
@@ -97,6 +99,30 @@ def q10(t):
     return op.profile_tables({"orders": t.orders}).drop("approx_distinct", "tested")
 
 
+def _loads(t, table: str, key: str):
+    """A table loaded in three parts, one of them twice, and each part summarised once."""
+    profiles = LoadProfiles(t.spark, work_path(t.spark, f"profile_{table}"))
+    rows = getattr(t, table)
+    for load in (0, 1, 2, 1):
+        profiles.add(str(load), rows.filter(F.col(key) % 3 == load))
+    return profiles.profile().withColumn("table", F.lit(table))
+
+
+def _by_load_sql(table: str) -> str:
+    every = " UNION ALL ".join(_profile_sql(table, i, c, k) for i, (c, k) in enumerate(COLUMNS[table]))
+    return f"SELECT * EXCLUDE (is_unique, is_time) FROM ({every})"
+
+
+@query("Q10_profile_by_load", _by_load_sql("orders"))
+def q10_by_load(t):
+    return _loads(t, "orders", "o_orderkey").drop("approx_distinct", "quartiles")
+
+
+@query("Q7_inventory_by_load", f"SELECT \"table\", ordinal, \"column\", type, null_count, row_count FROM ({_by_load_sql('lineitem')})")
+def q7_by_load(t):
+    return _loads(t, "lineitem", "l_orderkey").select("table", "ordinal", "column", "type", "null_count", "row_count")
+
+
 @query("Q11_schema_index", f"SELECT catalog || '.' || schema || '.' || \"table\" AS path, 'table' AS type FROM ({_COUNTED}) WHERE \"table\" LIKE '%o%'")
 def q11(t):
     found = op.discover_counts(PLACES, t.every())
