@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -25,20 +26,32 @@ RAW = frozenset("script style title textarea noscript iframe template".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
 )
+HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Elements that hold the running text of what they stand in.
+RUNNING = frozenset("p li ul ol dl dt dd blockquote pre figure figcaption table thead tbody tfoot tr td th caption hgroup".split()) | HEADING
 #: What does not end a head that is left open.
 IN_HEAD = frozenset("base basefont bgsound link meta title style script noscript template noframes html".split())
-HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements, and the words of their class, id or role, that surround an article, and those that hold one.
-AROUND = frozenset("nav footer aside form dialog menu header address".split())
+AROUND = frozenset("nav footer aside dialog menu header address".split())
 AROUND_NAMES = frozenset(
     "ad ads adv advert advertisement banner breadcrumb comment commentform commentlist consent contact cookie copyright disclaimer disqus foot footer gdpr "
-    "header hidden legal login masthead menu modal nav navbar navigation newsletter notice pager pagination popup promo related reply respond search "
-    "searchbox searchform share sharing sidebar signup social sponsor sponsored subscribe subscription tags toolbar alert complementary contentinfo".split()
+    "header hidden legal login masthead menu modal nav navbar navigation newsletter notice pager pagination popup privacy promo related reply respond search "
+    "searchbox searchform share sharing sidebar signup social sponsor sponsored subscribe subscription tags toolbar alert bottom complementary contentinfo".split()
+)
+#: Of these, those that also say what an article is about: they count alone, as the last word of a class, or before a word for a box.
+WEAK_NAMES = frozenset("alert bottom consent contact copyright legal login notice privacy promo related search share social tags".split())
+BOXES = frozenset(
+    "area articles bar block box button buttons card container footer form header icons info inner line links list message notice panel policy popup posts "
+    "section text widget wrap wrapper".split()
 )
+#: Last words of a class that speaks of a kind or a state of the page.
+STATES = frozenset("active closed collapsed disabled enabled expanded layout open opened page pages shown template view visible".split())
 #: Those that a content name on the same element, or an article element, does not outweigh; and beginnings of class names that
 #: speak of the layout, not of what the element is.
 OTHERS_WORDS = frozenset("comment disqus reply respond".split())
-LAYOUT = frozenset("has with without no overflow".split())
+#: Whole classes or ids of reader comments.
+OTHERS = re.compile(r"(?:user|reader|visitor|guest|member)s?[-_]?(?:post|comment|response|opinion)s?|(?:discussion|response|replies|talkback)s?(?:[-_]?(?:list|area|section|thread|container|wrapper))?")
+LAYOUT = frozenset("has with without no overflow margin padding border align".split())
 WITHIN = frozenset("article main".split())
 WITHIN_NAMES = frozenset("article content entry main post story".split())
 
@@ -67,12 +80,12 @@ _NAMED = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden|style)\b\s*(?:
 
 
 class Block:
-    """Text of a block, its words and how many are in links, and what stands around it."""
+    """Text of a block, its words and how many are in links, what stands around it, and the numbers of its form and container."""
 
-    __slots__ = ("text", "words", "linked", "side", "heading")
+    __slots__ = ("text", "words", "linked", "side", "heading", "form", "container")
 
-    def __init__(self, text: str, words: int, linked: int, side: int, heading: bool):
-        self.text, self.words, self.linked, self.side, self.heading = text, words, linked, side, heading
+    def __init__(self, text: str, words: int, linked: int, side: int, heading: bool, form: int = 0, container: int = 0):
+        self.text, self.words, self.linked, self.side, self.heading, self.form, self.container = text, words, linked, side, heading, form, container
 
 
 def _names(word: str) -> str:
@@ -81,6 +94,16 @@ def _names(word: str) -> str:
     return next((w for w in (word, word.removesuffix("s")) if w in AROUND_NAMES), "")
 
 
+def _around(words: Sequence[str], within: bool) -> set[str]:
+    """The entries of AROUND_NAMES that a class of these words names. A header inside an article is the article's."""
+    found = set()
+    for word, after in zip(words, [*words[1:], ""]):
+        n = _names(word)
+        if n and not (within and n == "header") and (n not in WEAK_NAMES or not after or after in BOXES or after.isdigit()):
+            found.add(n)
+    return found
+
+
 def _side(tag: str, attributes: str, within: bool) -> int:
     """1: the element holds an article, -1: it surrounds one, 0: neither. A header inside an article is the article's.
 
@@ -99,10 +122,10 @@ def _side(tag: str, attributes: str, within: bool) -> int:
             words = re.split(r"[^a-z0-9]+", part)
             if words[0] in LAYOUT or ":" in part:  # as in has-sidebar, overflow-hidden, md:hidden
                 continue
-            found = {n for w in words if (n := _names(w)) and not (within and n == "header")}
+            found = set() if words[-1] in STATES else _around(words, within)
             around |= bool(found)
             kind |= bool(found) and name == "role"
-            others |= words[0].removesuffix("s") in OTHERS_WORDS
+            others |= words[0].removesuffix("s") in OTHERS_WORDS or OTHERS.fullmatch(part) is not None
             named = not WITHIN_NAMES.isdisjoint(words)
             holds |= named
             content |= named and not found
@@ -118,39 +141,107 @@ def _side(tag: str, attributes: str, within: bool) -> int:
 #: An open element of these ends where another of the same kind, or for "p" any block, begins.
 _ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th")}
 
+#: Parts of a form that are left open end where one of these begins.
+_IN_FORM = ("button", "select", "option", "datalist")
+_PARTS = frozenset("article main section nav header footer aside form p table ul ol button select".split()) | HEADING
+
+
+class _Open:
+    """The open elements, each with the side of all that stands in it."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, int]] = []
+        self.pushed, self.containers = 0, [0]  # numbers of the open elements that texts share, the page itself first
+        self.count: Counter[str] = Counter()  # of each kind, so that a stray end tag looks at no element
+        self.blocks: list[int] = []  # places of the elements that are not inside a line
+        self.silent = 0
+
+    def push(self, tag: str, side: int) -> None:
+        if tag not in INLINE:
+            self.blocks.append(len(self.stack))
+            if tag not in RUNNING:
+                self.pushed += 1
+                self.containers.append(0 if tag in ("html", "body") else self.pushed)
+        self.stack.append((tag, side))
+        self.count[tag] += 1
+        self.silent += tag in SILENT
+
+    def pop_to(self, i: int) -> None:
+        while len(self.stack) > i:
+            tag, _ = self.stack.pop()
+            self.count[tag] -= 1
+            self.silent -= tag in SILENT
+            if tag not in INLINE and tag not in RUNNING:
+                self.containers.pop()
+        while self.blocks and self.blocks[-1] >= i:
+            self.blocks.pop()
+
+    def end(self, tag: str) -> None:
+        """Close the innermost element of a kind and all in it; one inside a line closes no block."""
+        if not self.count[tag]:
+            return
+        least = self.blocks[-1] + 1 if tag in INLINE and self.blocks else 0
+        i = len(self.stack) - 1
+        while i >= least and self.stack[i][0] != tag:
+            i -= 1
+        if i >= least:
+            self.pop_to(i)
+
+    def end_head(self) -> None:
+        """HTML lets the end tag of a head be left out: what cannot stand in a head begins the body."""
+        if self.count["head"]:
+            self.end("head")
+
+    def make_room(self, tag: str) -> None:
+        """End what cannot hold an element of this kind."""
+        if self.silent and tag in _PARTS:
+            for part in _IN_FORM:
+                self.end(part)
+        if tag not in INLINE and self.blocks:
+            i = self.blocks[-1]
+            if self.stack[i][0] == "p" or self.stack[i][0] in _ENDS.get(tag, ()):
+                self.pop_to(i)
+
+    @property
+    def side(self) -> int:
+        return self.stack[-1][1] if self.stack else 0
+
+
+def _settle_forms(found: list[Block], whole: set[int]) -> None:
+    """What is in a form surrounds the article, unless the form holds the article: it has an element or a heading of the first
+    order that says so (``whole``), or over half of the page's words."""
+    words: Counter[int] = Counter()
+    for b in found:
+        words[b.form] += b.words
+    total = words.total()
+    for b in found:
+        if b.form and b.form not in whole and 2 * words[b.form] <= total:
+            b.side = -1
+
 
 def blocks(page: str) -> list[Block]:
     """The blocks of a page that have text, in page order."""
     out: list[Block] = []
-    stack: list[tuple[str, int]] = []  # open elements, each with the side of all that stands in it
+    open_ = _Open()
     parts: list[str] = []
-    linked, in_link, silent, heading = 0, False, 0, False
+    linked, in_link, heading, forms, form = 0, False, False, 0, 0
+    whole: set[int] = set()
 
     def close() -> None:
         nonlocal linked, in_link
         words = html.unescape("".join(parts)).split() if parts else []
         if words:
-            out.append(Block(" ".join(words), len(words), min(linked, len(words)), stack[-1][1] if stack else 0, heading))
+            out.append(Block(" ".join(words), len(words), min(linked, len(words)), open_.side, heading, form, open_.containers[-1]))
         parts.clear()
         linked, in_link = 0, False
 
-    def pop_to(i: int) -> None:
-        nonlocal silent
-        silent -= sum(t in SILENT for t, _ in stack[i:])
-        del stack[i:]
-
-    def end_head() -> None:
-        """HTML lets the end tag of a head be left out: what cannot stand in a head begins the body."""
-        if silent and (i := next((i for i, (t, _) in enumerate(stack) if t == "head"), None)) is not None:
-            pop_to(i)
-
     at, size = 0, len(page)
     while at < size:
         m = _TAG.search(page, at)
         piece = page[at : m.start() if m else size]
-        if silent and stack[-1][0] == "head" and piece.strip():
-            end_head()
-        if piece and not silent:
+        if open_.silent and open_.stack[-1][0] == "head" and piece.strip():
+            open_.end_head()
+        if piece and not open_.silent:
             parts.append(piece)
             if in_link:
                 linked += len(html.unescape(piece).split())
@@ -168,29 +259,31 @@ def blocks(page: str) -> list[Block]:
             close()
             heading = tag in HEADING and not ends
         if ends:
-            i = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
-            if i is not None:
-                pop_to(i)
-            continue
-        if tag not in IN_HEAD:
-            end_head()
-        if tag in VOID or (m[3].endswith("/") and tag not in RAW and tag not in INLINE and tag in ("svg", "path")):
-            continue
-        if tag not in INLINE and stack:
-            i = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] not in INLINE), None)
-            if i is not None and (stack[i][0] == "p" or stack[i][0] in _ENDS.get(tag, ())):
-                pop_to(i)
-        if tag in INLINE and not m[3]:
-            continue  # says nothing about what is in it
-        over = stack[-1][1] if stack else 0
-        side = _side(tag, m[3], over > 0)
-        if tag in RAW:  # text up to the end tag, whatever it looks like
-            end = re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.I).search(page, at)
-            at = end.end() if end else size
-            continue
-        stack.append((tag, side or over))
-        silent += tag in SILENT
+            open_.end(tag)
+        else:
+            if tag not in IN_HEAD:
+                open_.end_head()
+            if tag in VOID or (m[3].endswith("/") and tag not in RAW and tag not in INLINE and tag in ("svg", "path")):
+                continue
+            open_.make_room(tag)
+            if tag in INLINE and not m[3]:
+                continue  # says nothing about what is in it
+            over = open_.side
+            side = _side(tag, m[3], over > 0)
+            if tag in RAW:  # text up to the end tag, whatever it looks like
+                end = re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.I).search(page, at)
+                at = end.end() if end else size
+                continue
+            if tag == "form":
+                forms += 1
+                form = forms
+            elif form and (tag in ("article", "main", "h1") or side > 0) and side >= 0:
+                whole.add(form)
+            open_.push(tag, side or over)
+        if form and not open_.count["form"]:
+            form = 0
     close()
+    _settle_forms(out, whole)
     return out
 
 
@@ -242,10 +335,29 @@ def train(pages: Sequence[Sequence[tuple[str, int, int, int]]] = PAGES) -> objec
     return grow_tree(np.concatenate(x), np.array(y))
 
 
+def _complete(found: Sequence[Block], kept: list[bool]) -> list[bool]:
+    """Short paragraphs, captions and list items of an article go with it: where the blocks taken from a container hold most of
+    its words, so do the others in it that are not mostly links. Of the page itself only those between two taken."""
+    words, taken, first, last = Counter(), Counter(), {}, {}
+    for i, (b, k) in enumerate(zip(found, kept)):
+        words[b.container] += b.words
+        if k:
+            taken[b.container] += b.words
+            last[b.container] = i
+            first.setdefault(b.container, i)
+
+    def joins(i: int, b: Block) -> bool:
+        most = 2 * taken[b.container] > words[b.container] and b.side >= 0 and 2 * b.linked < b.words
+        return most and (b.container > 0 or first[0] < i < last[0])
+
+    return [k or joins(i, b) for i, (b, k) in enumerate(zip(found, kept))]
+
+
 def main_text(page: str, tree: object) -> str:
     found = blocks(page)
     rows = features(found).tolist() if found else []
-    return " ".join(b.text for b, row in zip(found, rows) if decide(tree, row) >= 0.5)
+    kept = _complete(found, [decide(tree, row) >= 0.5 for row in rows])
+    return " ".join(b.text for b, k in zip(found, kept) if k)
 
 
 def extract_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:

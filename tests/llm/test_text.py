@@ -3,6 +3,7 @@ import hashlib
 import io
 import math
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -249,7 +250,8 @@ TEXT = "Enough words for a paragraph of an article, which goes on for a while an
 
 @pytest.mark.parametrize(
     "wrapper",
-    ["content has-sidebar", "overflow-hidden", "elementor-widget-container", "commentary", "promotion", "shared-content", "md:hidden", "post widget", "with-banner", "content alert"],
+    ["content has-sidebar", "overflow-hidden", "elementor-widget-container", "commentary", "promotion", "shared-content", "md:hidden", "post widget", "with-banner", "content alert",
+     "contact-page", "legal-news", "tags-page", "search-results-item", "page-menu-open", "mb-4 margin-bottom", "privacy-law"],
 )
 def test_wrappers_of_an_article_do_not_hide_it(wrapper):
     page = f'<body><nav><a href=x>One</a></nav><div class="{wrapper}"><h1>A heading of it</h1><p>{TEXT}</p><p>{TEXT}</p></div><footer>us</footer>'
@@ -258,13 +260,51 @@ def test_wrappers_of_an_article_do_not_hide_it(wrapper):
 
 @pytest.mark.parametrize(
     "other",
-    ['article class="comment"', 'div class="comments"', 'div class="comment-content"', 'div class="sidebar2"', 'div class="related-posts"', 'div class="hidden"', 'aside class="content"', 'div id="cookie-notice"'],
+    ['article class="comment"', 'div class="comments"', 'div class="comment-content"', 'div class="sidebar2"', 'div class="related-posts"', 'div class="hidden"', 'aside class="content"', 'div id="cookie-notice"',
+     'div id="discussion"', 'div class="responses"', 'div class="user-post"', 'div class="privacy"', 'div class="bottom"', 'div class="social-links"', 'div class="share-buttons"'],
 )
 def test_what_surrounds_an_article_stays_out(other):
     page = f'<body><div class="content"><h1>A heading of it</h1><p>{TEXT}</p></div><{other}><p>{"Other words of this. " * 8}</p></{other.split()[0]}>'
     assert html_text.main_text(page, html_text.train()) == f"A heading of it {TEXT}"
 
 
+ARTICLE = f"<h1>A heading of it</h1><p>{TEXT}</p><p>{TEXT}</p>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f'<body><form id="aspnetForm" method=post><nav><a href=x>One</a></nav><div>{ARTICLE}</div><footer>us</footer></form>',
+        f"<body><nav><a href=x>One</a></nav><form action=q><input name=q><article>{ARTICLE}</article><footer>us</footer>",
+        f"<body><nav><button>Menu<a href=x>One</a></nav><article>{ARTICLE}</article>",
+        f"<body><button>Menu<article>{ARTICLE}</article>",
+        f"<body><select><option>One<option>Two<article>{ARTICLE}</article>",
+        f"<body><form><p>Your name and your address, and what you would like to tell us about it</p><input></form><article>{ARTICLE}</article>",
+        f"<body><article>{ARTICLE}<form><p>Write to us if you have something to say about this</p></form></article>",
+        f'<body><article><b class="x">{ARTICLE}</article></b><footer>us</footer>',
+    ],
+)
+def test_forms_and_what_is_left_open(page):
+    assert html_text.main_text(page, html_text.train()) == f"A heading of it {TEXT} {TEXT}"
+
+
+@pytest.mark.parametrize("wrapper", ["div", 'div class="content"', 'form id="aspnetForm"', 'div class="contact-page"'])
+def test_articles_without_their_element(spark, wrapper):
+    """Most texts stay whole where the pages of the table say ``article`` in no tag."""
+    tree, same, total = html_text.train(), 0, 0
+    for r in spark.read.parquet(f"{SMALL}/pages.parquet").collect():
+        page = r.html.replace("<article>", f"<{wrapper}>").replace("</article>", f"</{wrapper.split()[0]}>")
+        same, total = same + (html_text.main_text(page, tree) == html_text.main_text(r.html, tree)), total + 1
+    assert same >= 0.98 * total, f"{same} of {total}"
+
+
+@pytest.mark.parametrize("page", ["<div class=x>" * 8_000 + "</b>" * 8_000, "<b class=x>" * 8_000 + "<p></p>" * 8_000, "<svg>" + "<p>" * 8_000 + "</a>" * 8_000])
+def test_stray_tags_take_linear_time(page):
+    start = time.process_time()
+    html_text.blocks(page)
+    assert time.process_time() - start < 1
+
+
 def test_tree_learns_its_table():
     tree = html_text.train()
     right = total = 0
