@@ -213,7 +213,15 @@ def i9_store(t):
     return op.live_rows(store.read(), "op", "seq")
 
 
-@query("I10_detect_deletes", "SELECT o_orderkey, o_totalprice FROM orders_v1 WHERE o_orderkey IN (SELECT o_orderkey FROM orders_v2)", "orders_v1 orders_v2")
+_PRESENT = "SELECT o_orderkey, o_totalprice FROM orders_v1 WHERE o_orderkey IN (SELECT o_orderkey FROM orders_v2)"
+
+
+@query("I10_deletes_by_digest", _PRESENT, "orders_v1 orders_v2")
+def i10_digest(t):
+    return op.detect_deletes_by_digest(t.orders_v1, t.orders_v2, ["o_orderkey"]).select("o_orderkey", "o_totalprice")
+
+
+@query("I10_detect_deletes", _PRESENT, "orders_v1 orders_v2")
 def i10(t):
     return op.detect_deletes(t.orders_v1, t.orders_v2, ["o_orderkey"]).select("o_orderkey", "o_totalprice")
 

@@ -64,6 +64,15 @@ def s3_line(t):
     return read.select(*[F.col(c).cast(k) for c, k in (x.split(" ") for x in _DDL.split(", "))])
 
 
+@query("S3_scan_line_breaks", "SELECT o_orderkey, 'line ' || o_orderpriority || chr(10) || chr(10) || '\"quoted\", ' || o_orderstatus AS note FROM orders")
+def s3_breaks(t):
+    path = work_path(t.spark, "breaks")
+    note = F.concat(F.lit("line "), "o_orderpriority", F.lit('\n\n""quoted"", '), "o_orderstatus")
+    lines = t.orders.select(F.concat(F.col("o_orderkey").cast("string"), F.lit(',"'), note, F.lit('"')).alias("value"))
+    lines.repartition(3).mapInArrow(_with_preamble(), "value string").write.text(path)
+    return src.scan_delimited(t.spark, path, header_at=3, schema="o_orderkey long, note string")
+
+
 @query("S4_scan_json", _ORDERS)
 def s4(t):
     path = work_path(t.spark, "json")

@@ -9,8 +9,9 @@ from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -67,11 +68,83 @@ def _without_preamble(lines: int, head: str | None = None):
                         if found.strip() != head.strip():
                             raise ValueError(f"a file has the header {found!r}, another one {head!r}")
                     seen[files[run[0]]] = at + len(run)
-            yield batch.select([0]).filter(pa.array(keep))
+            yield batch.filter(pa.array(keep))
 
     return drop
 
 
+def _records(begun: set[tuple[int, int]]):
+    """Lines of blocks (``value, file, block``) to records (``value, file, block, part``), by the parity of quotes so far.
+
+    ``begun`` holds the blocks whose first line is inside quotes that an earlier block opened. Part 0 is a whole record; a
+    block may also have what ends a record of an earlier block (2), what begins one that it does not end (1), and a block
+    that is the middle of a record is all of it (2 as well).
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["value", "file", "block", "part"]
+        at, odd, lead, held = None, 0, False, []
+
+        def piece(part: int) -> pa.RecordBatch:
+            text = "\n".join(held)
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array([text]), pa.array([at[0]], pa.int64()), pa.array([at[1]], pa.int64()), pa.array([part], pa.int32())], names)
+
+        for batch in batches:
+            files, blocks = batch.column(1).to_numpy(), batch.column(2).to_numpy()
+            cuts = np.flatnonzero((np.diff(files) != 0) | (np.diff(blocks) != 0)) + 1
+            for start, end in zip([0, *cuts], [*cuts, len(files)]):
+                if start == end:
+                    continue
+                if at != (files[start], blocks[start]):
+                    if held:
+                        yield piece(2 if lead else 1)
+                    at = (int(files[start]), int(blocks[start]))
+                    odd = int(at in begun)
+                    lead = bool(odd)
+                part = batch.slice(start, end - start)
+                values = part.column(0)
+                after = (odd + np.cumsum(pc.count_substring(values, '"').to_numpy())) % 2
+                before = np.concatenate([[odd], after[:-1]])
+                alone = (before == 0) & (after == 0)
+                for i in np.flatnonzero(~alone):
+                    held.append(values[int(i)].as_py())
+                    if not after[i]:
+                        yield piece(2 if lead else 0)
+                        lead = False
+                odd = int(after[-1])
+                whole = part.filter(pa.array(alone))
+                yield pa.RecordBatch.from_arrays([*whole.columns, pa.array(np.zeros(whole.num_rows, np.int32))], names)
+        if held:
+            yield piece(2 if lead else 1)
+
+    return run
+
+
+def _join_lines(lines: DataFrame) -> DataFrame:
+    """The records of files given by line (``value, file, block``, in file order within a block).
+
+    A record ends where the quotes up to the end of a line are even in number. What is carried into a block is a prefix sum of
+    the quotes of the blocks before, one row per block; only blocks that begin inside quotes come to the driver. Records
+    that cross blocks, at most two pieces per block, are joined apart. Files whose lines all have even quotes stay as they are.
+    """
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    counted = lines.groupBy("file", "block").agg(F.sum(quotes % 2).alias("odd"))
+    before = F.sum("odd").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
+    blocks = counted.withColumn("open", F.coalesce(before, F.lit(0)) % 2 == 1).filter("open OR odd > 0").collect()
+    if not blocks:
+        return lines.select("value")
+    begun = {(r.file, r.block) for r in blocks if r.open}
+    pieces = lines.mapInArrow(_records(begun), "value string, file long, block long, part int")
+    crossing = pieces.filter("part > 0")
+    # within a block what ends a record precedes what begins one
+    order = Window.partitionBy("file").orderBy("block", F.desc("part"))
+    numbered = crossing.withColumn("record", F.sum((F.col("part") == 1).cast("int")).over(order))
+    held = F.array_sort(F.collect_list(F.struct("block", (-F.col("part")).alias("part"), "value")))
+    joined = numbered.groupBy("file", "record").agg(F.concat_ws("\n", F.transform(held, lambda x: x["value"])).alias("value"))
+    return pieces.filter("part = 0").select("value").unionByName(joined.select("value"))
+
+
 def scan_delimited(
     spark: SparkSession,
     path: str | list[str],
@@ -81,8 +154,13 @@ def scan_delimited(
     header_at: int | None = None,
     schema: T.StructType | str | None = None,
 ) -> DataFrame:
-    """S3. Delimited text. A header on line N > 1 makes the lines before it preamble, dropped per file in one pass;
-    such files must not hold line breaks inside quotes, and without a ``schema`` all have the same header."""
+    """S3. Delimited text. A header on line N > 1 makes the lines before it preamble, dropped per file.
+
+    Cells of such files may hold line breaks inside quotes, read as ``\\n``, wherever the file is split; the header itself is one
+    line, a quote stands only around a cell or doubled inside one, and without a ``schema`` all files have the same header. A
+    quote that is never closed takes the rest of its file. This reads the lines once more to count quotes, and a third time
+    where a record goes over a line.
+    """
     header, line = header_line(contains_header, header_at)
     if line <= 1:
         reader = spark.read.options(sep=delimiter, header=header, quote='"', escape='"', multiLine=False)
@@ -96,7 +174,7 @@ def scan_delimited(
         schema = T.StructType([T.StructField(c.strip(), T.StringType()) for c in next(csv.reader([head], delimiter=delimiter))])
     elif isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
-    body = numbered.mapInArrow(_without_preamble(line, head), "value string")
+    body = _join_lines(numbered.mapInArrow(_without_preamble(line, head), "value string, file long, block long"))
     ddl = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema)
     parsed = body.filter(F.trim("value") != "").select(F.from_csv("value", F.lit(ddl), {"sep": delimiter, "escape": '"'}).alias("r"))
     return parsed.select("r.*")

@@ -7,6 +7,7 @@ import sys
 import pytest
 from pyspark import cloudpickle
 
+from millrace.operators import ingest
 from millrace.sinks import writers as out
 from millrace.sources import readers as src
 
@@ -132,3 +133,27 @@ def test_workers_need_not_have_the_package(tmp_path):
     (tmp_path / "f").write_bytes(cloudpickle.dumps(src._without_preamble(2)))
     code = f"from pyspark import cloudpickle; cloudpickle.load(open({str(tmp_path / 'f')!r}, 'rb'))"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, timeout=60)
+
+
+@pytest.mark.parametrize("size", [40, 64, 1_000, 100_000])
+def test_line_breaks_in_quotes_read_alike_for_any_split(spark, tmp_path, size):
+    cells = ["plain", "two\nlines", 'a "quoted" word', "\n\n", "x" * 150 + "\n" + "y" * 150, '"\n"', "a, b", "last"] * 6
+    for name in ("one", "two"):
+        rows = "".join(f'{i},"{c.replace(chr(34), chr(34) * 2)}"\n' for i, c in enumerate(cells))
+        (tmp_path / f"{name}.csv").write_text(f'an "odd preamble\nid,text\n{rows}')
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    try:
+        found = src.scan_delimited(spark, str(tmp_path), header_at=2, schema="id int, text string")
+        assert sorted(map(tuple, found.collect())) == sorted([*enumerate(cells)] * 2)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+@pytest.mark.parametrize("key", [None, 7])
+def test_deletes_by_digest(spark, key):
+    target = spark.createDataFrame([(i, i * 2) for i in range(300)] + [(5, 1), (None, 3), (key, 4)], "k long, v long")
+    source = target.filter("k IS NULL OR k % 50 <> 5").union(spark.createDataFrame([(999, 1)], "k long, v long"))
+    for mark in (None, "gone"):
+        rows = lambda df: sorted(map(tuple, df.collect()), key=repr)
+        assert rows(ingest.detect_deletes_by_digest(target, source, ["k"], mark, 16)) == rows(ingest.detect_deletes(target, source, ["k"], mark))
