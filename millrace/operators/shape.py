@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -179,13 +180,33 @@ def limit_rows(df: DataFrame, n: int | None, order: Sequence[Column | str], fiel
     return select_fields(shaped, fields) if fields else shaped
 
 
-def _narrow(df: DataFrame, key: str, skip: int, last: int) -> tuple[DataFrame, int, int]:
-    """The slices of ``key`` that hold the rows from ``skip`` to ``last`` in its order, how many rows precede them, and how many they hold.
+_BYTES = 7  # of a text in a number
+
+
+def _parts(field: T.StructField) -> Iterator[tuple[Column, int]]:
+    """Numbers that never fall along a column, each for rows that agree in those before, and how many bytes they cover.
+
+    A number or time is its own; a text is its bytes, seven at a time, zeros beyond its end; other types have none.
+    """
+    if orderable(field.dataType):
+        yield _quoted(field.name), 0
+    elif field.dataType == T.StringType():  # compared by bytes, without a collation
+        for at in count(0, _BYTES):
+            some = F.hex(F.substring(_quoted(field.name).cast("binary"), at + 1, _BYTES))
+            yield F.conv(F.rpad(some, 2 * _BYTES, "0"), 16, 10).cast("long"), at + _BYTES
+
+
+def _agree(df: DataFrame, value: Column) -> bool:
+    return df.agg(F.min(value).eqNullSafe(F.max(value)) & F.count(value).isin(F.lit(0), F.count("*"))).head()[0] is True
+
+
+def _narrow(df: DataFrame, part: Column, skip: int, last: int) -> tuple[DataFrame, int, int]:
+    """The slices of ``part`` that hold the rows from ``skip`` to ``last`` in its order, how many rows precede them, and how many they hold.
 
     Nulls come first, in a slice of their own. Only the number of rows of each slice comes to the driver.
     """
-    sliced = with_slices(df, key, PAGE_SLICES)
-    sliced = sliced.withColumn(SLICE, F.when(F.col(key).isNull(), -1).otherwise(F.col(SLICE)))
+    sliced = with_slices(df.withColumn("_part", part), "_part", PAGE_SLICES)
+    sliced = sliced.withColumn(SLICE, F.when(F.col("_part").isNull(), -1).otherwise(F.col(SLICE)))
     before, held, kept = 0, 0, []
     for at, n in sorted((r[SLICE], r["n"]) for r in sliced.groupBy(SLICE).agg(F.count("*").alias("n")).collect()):
         if before + held + n <= skip:
@@ -195,7 +216,7 @@ def _narrow(df: DataFrame, key: str, skip: int, last: int) -> tuple[DataFrame, i
             kept.append(at)
     # what is kept is an interval, as the slices never fall along the key
     within = F.col(SLICE).between(kept[0], kept[-1]) if kept else F.lit(False)
-    return sliced.filter(within).drop(SLICE), before, held
+    return sliced.filter(within).drop(SLICE, "_part"), before, held
 
 
 def page_rows(df: DataFrame, order: Sequence[Column | str], offset: int = 0, limit: int | None = None, fields=None, most: int | None = None) -> DataFrame:
@@ -203,22 +224,26 @@ def page_rows(df: DataFrame, order: Sequence[Column | str], offset: int = 0, lim
 
     A sorted offset makes one task hold all rows up to the page's end. So beyond ``most`` of them (``PAGE_ROWS``) a page ordered by plain
     column names is found by counting: the rows are cut along the first column, and by the running total of the slices' rows
-    all but the slices of the page fall away before the sort, again and again until few enough are left. A value that many
-    rows share is cut along the next column. This reads the table twice for a column, once for its quantiles and once for the counts,
-    each time the order columns alone. It goes on with a plain sort where a column is neither number nor time, or without a limit.
+    all but the slices of the page fall away before the sort, again and again until few enough are left. Texts are cut by their
+    bytes, seven at a time. A value that many rows share is cut along the next column. This reads the table twice for a cut,
+    once for its quantiles and once for the counts, each time the order columns alone. It goes on with a plain sort where a
+    column is neither number, time nor text, or without a limit.
     """
     skip, most = max(offset, 0), PAGE_ROWS if most is None else most
     if limit and skip + limit > most and all(isinstance(c, str) for c in order):
+        enough = max(most, limit)
         for key in order:
             held = None
-            while orderable(df.schema[key].dataType):
-                df, before, now = _narrow(df, key, skip, skip + limit)
-                skip -= before
-                same, held = now == held, now
-                if same or held <= max(most, limit):
+            for part, reach in _parts(df.schema[key]):
+                same = False
+                while not same and (held is None or held > enough):
+                    df, before, now = _narrow(df, part, skip, skip + limit)
+                    skip -= before
+                    same, held = now == held, now
+                if held <= enough or not reach or not _agree(df, part) or (df.agg(F.max(F.octet_length(key))).head()[0] or 0) <= reach:
                     break
             # the next column orders the rows that are left only if they agree in this one
-            if held is None or held <= max(most, limit) or df.agg(F.min(key).eqNullSafe(F.max(key)) & F.count(key).isin(F.lit(0), F.count("*"))).head()[0] is not True:
+            if held is None or held <= enough or not _agree(df, F.col(key)):
                 break
     page = df.orderBy(*order)
     page = page.offset(skip) if skip > 0 else page

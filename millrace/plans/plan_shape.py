@@ -92,6 +92,11 @@ def l2_deep(t):
     return op.page_rows(t.lineitem, ["l_shipdate", "l_orderkey", "l_linenumber"], near_the_end, 20, "l_orderkey,l_linenumber,l_shipdate", most=1000)
 
 
+@query("L2_deep_page_by_text", "SELECT doc_id, lang FROM documents ORDER BY text NULLS FIRST, doc_id LIMIT 20 OFFSET (SELECT count(*) // 2 FROM documents)")
+def l2_deep_text(t):
+    return op.page_rows(t.documents, ["text", "doc_id"], t.documents.count() // 2, 20, "doc_id,lang", most=100)
+
+
 @query("L2_page_after", "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey > 500 ORDER BY o_orderkey LIMIT 20")
 def l2_after(t):
     return op.page_after(t.orders, "o_orderkey", 500, 20).select("o_orderkey", "o_custkey")

@@ -51,13 +51,29 @@ def test_a_deep_page_sorts_few_rows(spark, monkeypatch):
     df = spark.range(10000).withColumn("hot", F.when(F.col("id") % 3 == 0, 5000).otherwise(F.col("id")))
     kept, skip = df, 5000
     for key in ("hot", "id"):
-        kept, before, held = op._narrow(kept, key, skip, skip + 10)
+        kept, before, held = op._narrow(kept, F.col(key), skip, skip + 10)
         skip -= before
     assert kept.count() == held < 1000
     page = op.page_rows(df, ["hot", "id"], 5000, 10)
     assert [r.id for r in page.collect()] == [r.id for r in df.orderBy("hot", "id").offset(5000).limit(10).collect()]
 
 
+@pytest.mark.parametrize("offset", [0, 90, 400, 620, 880, 990])
+def test_deep_pages_by_text(spark, monkeypatch, offset):
+    """Texts that share a long beginning, a third of them equal, some of other scripts, empty or null."""
+    monkeypatch.setattr(op, "PAGE_ROWS", 20)
+    monkeypatch.setattr(op, "PAGE_SLICES", 8)
+
+    def text(i):
+        odd = [None, "", "é" * (i % 5), "common beginning", "common beginning\0", f"z{i}", f"common beginning of {i * 37 % 500:03d}"]
+        return "common beginning of the same" if i % 3 == 0 else odd[min(i % 31, 6)]
+
+    rows = [(text(i), i) for i in range(1000)]
+    wanted = sorted(rows, key=lambda r: (r[0] is not None, (r[0] or "").encode(), r[1]))[offset : offset + 25]
+    df = spark.createDataFrame(rows, "t string, id int")
+    assert [tuple(r) for r in op.page_rows(df, ["t", "id"], offset, 25).collect()] == wanted
+
+
 def test_diff(spark):
     old = spark.createDataFrame([(1, "a", None), (2, "b", 1), (3, "c", 1)], "k int, s string, n int")
     new = spark.createDataFrame([(1, "a", None), (2, "x", None), (4, "d", 1)], "k int, s string, n int")
