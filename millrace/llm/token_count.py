@@ -20,8 +20,11 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import fresh, named
 
-#: Tokens above which ``over_limit`` is set, and words a worker remembers at most (beyond, it starts anew).
-LIMIT, REMEMBERED = 2048, 1_000_000
+#: Tokens above which ``over_limit`` is set.
+LIMIT = 2048
+#: Characters of the words that a worker remembers at most (beyond, it starts anew), and the longest such word: text without
+#: blanks is one word a line.
+REMEMBERED, LONGEST = 16_000_000, 64
 
 _NONE = np.int64(1) << 62
 
@@ -101,7 +104,7 @@ class Counting:
     def __init__(self, table: MergeTable):
         import regex
 
-        self.table, self.known = table, {}
+        self.table, self.known, self.held = table, {}, 0
         self.parts = regex.compile(table.pattern)
         self.special = regex.compile("|".join(map(regex.escape, table.special)) or r"(?!)")
 
@@ -115,12 +118,19 @@ class Counting:
     def count(self, texts: Sequence[str]) -> list[int]:
         pieces = [self.special.split(t) for t in texts]
         found = [Counter(chain.from_iterable(unicodedata.normalize("NFC", p).split(" ") for p in parts)) for parts in pieces]
-        if len(self.known) > REMEMBERED:
-            self.known = {}
+        if self.held > REMEMBERED:
+            self.known, self.held = {}, 0
         known = self.known
-        if new := list({w for words in found for w in words if w not in known}):
+        new = list({w for words in found for w in words if w not in known})
+        if new:
             self.learn(new)
-        return [len(parts) - 1 + sum(map(mul, words.values(), map(known.__getitem__, words))) for parts, words in zip(pieces, found)]
+        counts = [len(parts) - 1 + sum(map(mul, words.values(), map(known.__getitem__, words))) for parts, words in zip(pieces, found)]
+        for w in new:
+            if len(w) > LONGEST:
+                del known[w]
+            else:
+                self.held += len(w)
+        return counts
 
 
 def token_counts(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", limit: int = LIMIT) -> DataFrame:

@@ -366,6 +366,15 @@ def test_forgetting_words_changes_nothing(monkeypatch):
     assert [counting.count([t])[0] for t in texts] == expected
 
 
+def test_memory_is_bounded_by_characters():
+    import public_tokenizers
+
+    counting = token_count.Counting(token_count.MergeTable(public_tokenizers.path("word_bpe_49k.json")))
+    text = "\n".join("日本語の文章" * (10 + i % 90) for i in range(2_000))  # over a million characters without a blank
+    assert len(text) > 500_000 and counting.count([text, "a b", text])[0] == counting.count([text])[0]
+    assert set(counting.known) == {"a", "b"} and counting.held == 2
+
+
 # Mixing
 
 
