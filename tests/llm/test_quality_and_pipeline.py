@@ -70,6 +70,10 @@ def test_held_out_accuracy(spark):
     english = {r.doc_id for r in docs.where("lang = 'en'").collect()}
     toxic = [r.toxic_score >= 0.5 for r in found if r.toxic == 1 and r.quality == 1 and r.doc_id in english]
     assert junk > 0.97 and np.mean([r.rejected for r in clean]) < 0.03 and np.mean(toxic) > 0.9
+    # at the score from which documents are rejected
+    shipped = [r.junk_score >= quality.THRESHOLD for r in found if r.quality == 0]
+    insults = [r.toxic_score >= quality.THRESHOLD for r in found if r.toxic == 1 and r.quality == 1 and r.doc_id in english]
+    assert np.mean(shipped) > 0.97 and np.mean(insults) > 0.9
 
 
 def test_quality_of_odd_rows(spark):
