@@ -8,10 +8,14 @@ meets are compared. A colliding hash costs a comparison and changes no result.
 An input that finds as many candidates as are asked for at a high similarity needs no others, as all left out score lower. So the
 search goes down :data:`LEVELS`, each with the inputs that the one before left open. Segments get too short to tell texts
 apart below ``LEAST_SIMILAR``, and their number grows with the square of the edits (``MOST_EDITS``); what is left
-then is compared with every candidate whose length can still reach the threshold. Both ways give the same rows:
+then is compared with every candidate whose length can still reach the threshold. All ways give the same rows:
 
-* a segment held by many candidates, such as a common beginning, is cut into blocks of bounded size, and a text whose
-  segments lead to most candidates is compared with each of them once instead;
+* a segment held by many candidates, such as a common beginning, is cut into blocks of bounded size;
+* texts whose segments lead to most candidates, as where all share most of their characters, are looked up by what
+  remains of them when a few characters are left out: two texts at most ``e`` edits apart, of which the longer has ``n``
+  characters, have ``n - e`` characters in common, in the same order. Step ``k`` finds all candidates at a similarity of at
+  least ``size / (size + k)``. Only those that still want answers when texts have too many such remainders
+  (``MOST_VARIANTS``), or are so few that it does not pay, are compared with each candidate;
 
 * equal inputs are searched once, and an input equal to a candidate is settled by an equi-join;
 * candidates are packed by length into blocks of bounded size, and an input meets only the lengths that can reach its
@@ -25,6 +29,7 @@ from __future__ import annotations
 
 import json
 from dataclasses import dataclass, replace
+from math import comb
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,6 +43,7 @@ BROADCAST_BYTES = 64 << 20
 LEVELS = (0.9, 0.75)
 LEAST_SIMILAR = 0.75
 MOST_EDITS = 8
+MOST_VARIANTS = 1024  # remainders of one text that are looked up
 FEW = 1024  # so few candidates are scanned sooner than indexed
 
 
@@ -56,6 +62,7 @@ class _Blocks:
     counts: list[int]
     total: int
     total_bytes: int
+    sizes: list[tuple[int, int, int]]  # size in lower case, size, candidates
 
     def array(self) -> Column:
         return F.from_json(F.lit(json.dumps(self.counts)), "array<int>")
@@ -70,7 +77,7 @@ def _pack(candidates: DataFrame, value: str, position: str, keep: int) -> _Block
     named = candidates.select(F.col(value).alias("value"), F.col(position).alias("position")).filter(F.col("value").isNotNull())
     first = top_per_group(named, ["value"], [F.col("position")], keep, "_copy").drop("_copy")
     octets = F.sum(F.octet_length("value") + F.octet_length(F.lower("value"))).alias("octets")
-    found = first.groupBy(F.length("value").alias("len")).agg(F.count("*").alias("n"), octets).collect()
+    found = first.groupBy(F.length("value").alias("len"), F.length(F.lower("value")).alias("low")).agg(F.count("*").alias("n"), octets).collect()
     sizes = [(r["len"], r["n"]) for r in found]
     width = max((length for length, _ in sizes), default=0) // LENGTH_CLASSES + 1
     held = [0] * (max((length // width for length, _ in sizes), default=0) + 1)
@@ -78,7 +85,7 @@ def _pack(candidates: DataFrame, value: str, position: str, keep: int) -> _Block
         held[length // width] += n
     counts = [-(-n // BLOCK_ROWS) for n in held]
     total = sum(r["octets"] + 64 * r["n"] for r in found)
-    packed = _Blocks(first, None, width, counts, sum(held), total)
+    packed = _Blocks(first, None, width, counts, sum(held), total, [(r["low"], r["len"], r["n"]) for r in found])
     cls = F.floor(F.length("value") / width).cast("int")
     placed = first.withColumn("cls", cls).withColumn(
         "block", F.pmod(F.xxhash64("value", "position"), F.greatest(F.get(packed.array(), F.col("cls")), F.lit(1))).cast("int")
@@ -163,6 +170,7 @@ def _lookups(texts: DataFrame, blocks: _Blocks, threshold: float) -> tuple[DataF
     index, many = _index(blocks.texts, threshold)
     asked = texts.withColumn("size", F.length("text"))
     asked = asked.withColumn("other", F.explode(F.sequence(_shortest(size, threshold), _longest(size, threshold))))
+    asked = asked.filter(other.isin(sorted({low for low, _, _ in blocks.sizes})))
     asked = asked.withColumn("edits", _edits(F.greatest(size, other), threshold))
     asked = asked.withColumn("part", F.explode(F.sequence(F.lit(0), edits)))
     place, long = _cut(other, edits, part)
@@ -179,13 +187,96 @@ def _lookups(texts: DataFrame, blocks: _Blocks, threshold: float) -> tuple[DataF
     return asked.select("text", "size", "seg", "block").join(index, ["seg", "block"]), wide
 
 
-def _best(met: DataFrame, threshold: float, strict: bool, limit: int, repeated: bool) -> DataFrame:
+def _apart(size: int, long: int, step: int, threshold: float) -> int:
+    """Edits between a text and a candidate of ``long`` characters up to which step ``step`` finds the pair."""
+    longer = max(size, long)
+    return min(step * longer // (size + step), int((1 - threshold) * longer + 1e-9))
+
+
+def _pairings(size: int, blocks: _Blocks, step: int, threshold: float) -> dict[tuple[int, int], int]:
+    """Sizes (in lower case, as given) of the candidates that a text of this size can meet at a step, with the characters
+    they have in common at least."""
+    found = {}
+    for low, long, _ in blocks.sizes:
+        edits = _apart(size, long, step, threshold)
+        if abs(size - low) <= edits:
+            found[low, long] = max(size, low, edits) - edits
+    return found
+
+
+def _remainders(texts: DataFrame, text: str, common: dict[int, set[int]]) -> DataFrame:
+    """``texts`` with ``seg``, the hash of each different remainder of the lengths that ``common`` gives for the size of a text."""
+    def shorter(found: Column) -> Column:
+        def without(t: Column) -> Column:
+            return F.transform(F.sequence(F.lit(1), F.length(t)), lambda i: F.concat(F.substring(t, F.lit(1), i - 1), F.substr(t, i + 1)))
+
+        return F.array_distinct(F.flatten(F.transform(found, without)))
+
+    wanted = F.from_json(F.lit(json.dumps({str(n): sorted(c) for n, c in common.items()})), "map<string,array<int>>")
+    sized = texts.withColumn("_common", F.explode(wanted[F.length(text).cast("string")]))
+    less, whole = F.length(text) - F.col("_common"), F.array(text)
+    left = F.when(less == 0, whole).otherwise(F.aggregate(F.sequence(F.lit(1), less), whole, lambda found, _: shorter(found)))
+    return sized.withColumn("_left", F.explode(left)).withColumn("seg", F.xxhash64("_left")).drop("_common", "_left")
+
+
+def _by_remainders(texts: DataFrame, blocks: _Blocks, threshold: float, strict: bool, limit: int) -> tuple[list[DataFrame], DataFrame]:
+    """Answers of the texts that remainders settle, and the other texts.
+
+    A text is settled at the first step that finds it ``limit`` candidates, or that reaches the threshold. Texts and their
+    remainders are joined as 64-bit hashes; who meets is compared in full.
+    """
+    spark, path = texts.sparkSession, work_path(texts.sparkSession, "wide")
+    texts.select("text").write.parquet(path)
+    left, settled, before = spark.read.parquet(path), [], {}
+    open_ = {r["size"]: r["n"] for r in left.groupBy(F.length("text").alias("size")).agg(F.count("*").alias("n")).collect()}
+    low = F.lower("value").alias("low")
+    known = blocks.texts.select(F.xxhash64("value", "position").alias("id"), "value", "position", low)
+    step, last = 0, {size: _pairings(size, blocks, 1 << 40, threshold) for size in open_}
+    while open_:
+        step += 1
+        mine, theirs, asks = {}, {}, {}
+        for size in open_:
+            met = asks[size] = _pairings(size, blocks, step, threshold)
+            if all(comb(n, common) <= MOST_VARIANTS for (other, _), common in met.items() for n in (size, other)):
+                if met != before.get(size, {}):  # else it finds no more than the step before
+                    mine[size] = set(met.values())
+                    for (other, _), common in met.items():
+                        theirs.setdefault(other, set()).add(common)
+            else:
+                del asks[size]
+        before = asks
+        made = sum(n * comb(at, common) for at, _, n in blocks.sizes for common in theirs.get(at, ()))
+        if mine and made >= blocks.total * sum(open_[size] for size in mine):  # a scan compares fewer
+            before = {size: met for size, met in asks.items() if size not in mine}
+            mine = {}
+        # a size that has met all that reach the threshold has nothing more to look for
+        done = [size for size, met in before.items() if met == last[size]]
+        if mine:
+            asked = left.filter(F.length("text").isin(list(mine)))
+            index = _remainders(known.filter(F.length("low").isin(list(theirs))), "low", theirs).select("seg", "id")
+            hits = _remainders(asked, "text", mine).join(index, "seg").select("text", "id").distinct()
+            item = F.struct("low", F.length("value").alias("len"), "position", "value")
+            met = hits.join(known, "id").select("text", F.length("text").alias("size"), F.array(item).alias("items"))
+            near = _best(met, threshold, strict, limit, False, step)
+            path = work_path(spark, "near")
+            near = near.withColumn("found", F.max("rank").over(Window.partitionBy("text")))
+            near.filter((F.col("found") == limit) | F.length("text").isin(done)).drop("found").write.parquet(path)
+            settled.append(spark.read.parquet(path))
+            left = left.join(settled[-1], "text", "left_anti")
+        left = left.filter(~F.length("text").isin(done)) if done else left
+        open_ = {r["size"]: r["n"] for r in left.groupBy(F.length("text").alias("size")).agg(F.count("*").alias("n")).collect() if r["size"] in before}
+    return settled, left
+
+
+def _best(met: DataFrame, threshold: float, strict: bool, limit: int, repeated: bool, step: int | None = None) -> DataFrame:
     """The ``limit`` best candidates of each text: text, score, back, value, rank.
 
-    ``repeated``: a candidate was met by segments, so by several perhaps, and is then found several times.
+    ``repeated``: a candidate was met by segments, so by several perhaps, and is then found several times. With ``step`` only
+    candidates similar enough for that step of :func:`_by_remainders` count.
     """
     few = F.slice(F.sort_array(_ranked_items(threshold, strict), asc=False), 1, limit)
     rows = met.select("text", F.inline(few))
+    rows = rows if step is None else rows.filter(F.col("score") * (F.length("text") + step) >= F.length("text") - 1e-9)
     rows = rows.distinct() if repeated else rows
     return top_per_group(rows, ["text"], [F.col("score").desc(), F.col("back").desc()], limit)
 
@@ -208,6 +299,8 @@ def _search(asked: DataFrame, blocks: _Blocks, threshold: float, strict: bool, l
     if threshold >= LEAST_SIMILAR:
         short = _few_edits(left, threshold)
         met, wide = _lookups(left.filter(short), blocks, threshold)
+        near, wide = _by_remainders(wide, blocks, threshold, strict, limit)
+        settled += near
         scanned = _meetings(left.filter(~short).unionByName(wide), blocks, threshold)
         met = met.select("text", "size", "items").unionByName(scanned.select("text", "size", "items"))
     else:

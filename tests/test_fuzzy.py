@@ -131,3 +131,26 @@ def test_texts_with_the_common_part_only_are_scanned(spark, monkeypatch):
     assert op._lookups(inputs.select(F.lower("t").alias("text")), blocks, 0.8)[1].count() == len(asked)
     found = {r.t: r.position for r in op.top_similar(inputs, "t", candidates, "v", "p", 0.8, 1).collect()}
     assert found == {t: min((-score(t, v), p) for p, v in enumerate(known))[1] for t in asked}
+
+
+def test_remainders_settle_texts_that_share_most_characters(spark, monkeypatch):
+    """Exact answers without a scan, for changed, lost and added characters; texts with too many remainders are left over."""
+    rng = random.Random(5)
+    known = [f"Customer#{i * 7 % 1000:06d}{'é' * (i % 3)}" for i in range(1000)]
+    asked = ["Custmer#" + t[10:] for t in known[:400]] + misspelled(known, 6, 3) + ["Customer#" + "".join(rng.choice("0123456789") for _ in range(6)) for _ in range(300)]
+    inputs = spark.createDataFrame([(t.lower(),) for t in asked], "text string").distinct()
+    candidates = spark.createDataFrame([*enumerate(known), *enumerate(known[:50], 2000)], "p int, v string")
+    blocks = op._pack(candidates, "v", "p", 2)
+    for strict, limit in ((True, 1), (False, 2)):
+        settled, left = op._by_remainders(inputs, blocks, 0.8, strict, limit)
+        rest, found = {r.text for r in left.collect()}, {}
+        for r in [r for part in settled for r in part.collect()]:
+            found.setdefault(r.text, []).append((r["rank"], -r.back))
+        assert not rest & set(found) and len(rest) < 0.4 * inputs.count()
+        for text in random.Random(7).sample(sorted({t.lower() for t in asked} - rest), 120):
+            scored = sorted((-score(text, v), p) for p, v in [*enumerate(known), *enumerate(known[:50], 2000)])
+            wanted = [p for s, p in scored if (-s > 0.8 if strict else -s >= 0.8)][:limit]
+            assert sorted(found.get(text, [])) == [(n + 1, p) for n, p in enumerate(wanted)], text
+    monkeypatch.setattr(op, "MOST_VARIANTS", 1)
+    settled, left = op._by_remainders(inputs, blocks, 0.8, True, 1)
+    assert sum(part.count() for part in settled) + left.count() == inputs.count()
