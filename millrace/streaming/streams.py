@@ -7,9 +7,8 @@ from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
@@ -19,6 +18,7 @@ from millrace.operators.runs import newest
 from millrace.sources.store import KeyedTable
 
 LOG_DAY = "log_day"
+PACK = 1 << 17  # rows of which a reading task picks the newest of each entity before it passes them on
 
 
 def read_files(spark: SparkSession, path: str, schema, files_per_batch: int = 1000, file_format: str = "parquet") -> DataFrame:
@@ -152,44 +152,60 @@ class _LastRuns(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.runs = handle.getListState("runs", self.schema)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        names = self.schema.names
-        old = list(self.runs.get()) if self.runs.exists() else []
-        new = [r for batch in rows for r in batch[names].astype(object).where(batch[names].notna(), None).itertuples(index=False, name=None)]
-        at = [names.index(c) for c in self.order]
-        value = lambda x: x.to_pydatetime() if isinstance(x, pd.Timestamp) else x.item() if hasattr(x, "item") else x
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        # rows and not frames: an entity brings a few of them, and a frame costs more than they do
+        old = [tuple(r) for r in self.runs.get()]
+        at = [self.schema.names.index(c) for c in self.order]
         # a run that is delivered again takes its own place
-        known = {r[at[1]]: r for r in (tuple(map(value, r)) for r in [*new, *old])}
+        known = {r[at[1]]: r for r in [*map(tuple, rows), *old]}
         kept = sorted(known.values(), key=lambda r: [(r[i] is not None, r[i]) for i in at], reverse=True)[: self.n]
         if kept != old:
             self.runs.put(kept)
-            yield pd.DataFrame(kept, columns=names)
+            for r in kept:
+                yield Row(**dict(zip(self.schema.names, r)))
 
     def close(self) -> None:
         pass
 
 
+def _few(entity: str, ts: str, tie: str, n: int):
+    """Pass on the newest ``n`` runs of each entity of every ``PACK`` rows."""
+
+    def few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.num_rows
+            if size >= PACK:
+                yield from newest_of(held)
+                held, size = [], 0
+        if held:
+            yield from newest_of(held)
+
+    def newest_of(held: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
+        rows = pa.Table.from_batches(held)
+        places = rows.select([entity, ts, tie]).to_pandas().sort_values([ts, tie], ascending=False, na_position="last")
+        keep = places.groupby(entity, dropna=False, sort=False).head(n).index.to_numpy()
+        return rows.take(pa.array(np.sort(keep))).to_batches(max_chunksize=10_000)
+
+    return few
+
+
 def stream_alerts(
     runs: DataFrame, path: str, entity: str, ts: str, tie: str, checkpoint: str, n: int = 5, continuous: str | None = None
 ) -> StreamingQuery:
     """T6. Each entity's last n runs, kept as its state; alerts are a query over :func:`last_runs`.
 
-    Of each Arrow batch a task passes on n runs per entity, so an entity with most of the traffic is no bottleneck. A
+    Of each ``PACK`` rows a task passes on n runs per entity, so an entity with most of the traffic is no bottleneck. A
     batch's changes go to a folder of its own: nothing that was written is written again, and a replayed batch overwrites its own
     folder.
     """
 
-    def few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            places = batch.select([entity, ts, tie]).to_pandas().sort_values([ts, tie], ascending=False, na_position="last")
-            keep = places.groupby(entity, dropna=False, sort=False).head(n).index.to_numpy()
-            yield batch.take(pa.array(np.sort(keep)))
-
     def apply(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     schema = runs.schema
-    kept = runs.mapInArrow(few, schema).groupBy(entity).transformWithStateInPandas(
+    kept = runs.mapInArrow(_few(entity, ts, tie, n), schema).groupBy(entity).transformWithState(
         _LastRuns(schema, ts, tie, n), schema, "Update", "None"
     )
     spark = runs.sparkSession

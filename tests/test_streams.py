@@ -42,6 +42,27 @@ def test_alerts_over_two_runs_of_the_stream(spark, folder):
     assert kept.groupBy("entity").count().agg(F.max("count")).head()[0] == 5
 
 
+def test_a_task_passes_on_few_runs_of_many_rows(spark, folder):
+    """Runs are picked over many Arrow batches before they are shuffled; rows without a time or an entity are kept apart."""
+    start = F.lit(datetime(2024, 1, 1))
+    rows = spark.range(30_000, numPartitions=1).select(
+        F.col("id").cast("int").alias("id"),
+        F.when(F.col("id") % 7 != 0, F.concat(F.lit("e"), F.col("id") % 40)).alias("entity"),
+        F.when(F.col("id") % 11 != 0, F.timestamp_add("MINUTE", (F.col("id") * 37 % 500).cast("int"), start)).cast("timestamp_ntz").alias("ts"),
+        F.lit("failed").alias("status"),
+        F.lit(None).cast("string").alias("error_message"),
+    )
+    batches = rows.toArrow().combine_chunks().to_batches(max_chunksize=1000)
+    passed = list(op._few("entity", "ts", "id", 5)(iter(batches)))
+    assert len(batches) == 30 and sum(b.num_rows for b in passed) == 41 * 5
+    land(rows, f"{folder}/in", 2)
+    stream = op.read_files(spark, f"{folder}/in", rows.schema, files_per_batch=1)
+    op.stream_alerts(stream, f"{folder}/recent", "entity", "ts", "id", f"{folder}/check").awaitTermination()
+    wanted = failure_alerts(rows, "entity", "ts", "id", "error_message")
+    found = failure_alerts(op.last_runs(spark, f"{folder}/recent", "entity"), "entity", "ts", "id", "error_message")
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(map(tuple, wanted.collect()), key=repr)
+
+
 def test_cdc_stream_replayed_from_scratch_changes_nothing(spark, folder):
     schema = "k int, v string, op string, seq int"
     land(spark.createDataFrame([(i % 7, f"v{i}", "D" if i % 6 == 0 else "U", i) for i in range(50)], schema), f"{folder}/in", 4)
