@@ -73,22 +73,29 @@ def _without_preamble(lines: int, head: str | None = None):
     return drop
 
 
-def _records(begun: set[tuple[int, int]]):
+def _records(begun: set[tuple[int, int]], crossing: bool):
     """Lines of blocks (``value, file, block``) to records (``value, file, block, part``), by the parity of quotes so far.
 
     ``begun`` holds the blocks whose first line is inside quotes that an earlier block opened. Part 0 is a whole record; a
     block may also have what ends a record of an earlier block (2), what begins one that it does not end (1), and a block
-    that is the middle of a record is all of it (2 as well).
+    that is the middle of a record is all of it (2 as well). Parts other than 0 are given only with ``crossing``, part 0 only without.
+
+    The whole records of a batch are joined at once, as lists of lines.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["value", "file", "block", "part"]
         at, odd, lead, held = None, 0, False, []
 
-        def piece(part: int) -> pa.RecordBatch:
+        def piece(part: int) -> Iterator[pa.RecordBatch]:
             text = "\n".join(held)
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array([text]), pa.array([at[0]], pa.int64()), pa.array([at[1]], pa.int64()), pa.array([part], pa.int32())], names)
+            if crossing == (part > 0):
+                yield given(pa.array([text], pa.string()), part)
+
+        def given(values: pa.Array, part: int) -> pa.RecordBatch:
+            n = len(values)
+            return pa.RecordBatch.from_arrays([values, pa.array(np.full(n, at[0])), pa.array(np.full(n, at[1])), pa.array(np.full(n, part, np.int32))], names)
 
         for batch in batches:
             files, blocks = batch.column(1).to_numpy(), batch.column(2).to_numpy()
@@ -98,25 +105,28 @@ def _records(begun: set[tuple[int, int]]):
                     continue
                 if at != (files[start], blocks[start]):
                     if held:
-                        yield piece(2 if lead else 1)
+                        yield from piece(2 if lead else 1)
                     at = (int(files[start]), int(blocks[start]))
                     odd = int(at in begun)
                     lead = bool(odd)
-                part = batch.slice(start, end - start)
-                values = part.column(0)
+                values = batch.column(0).slice(start, end - start)
                 after = (odd + np.cumsum(pc.count_substring(values, '"').to_numpy())) % 2
-                before = np.concatenate([[odd], after[:-1]])
-                alone = (before == 0) & (after == 0)
-                for i in np.flatnonzero(~alone):
-                    held.append(values[int(i)].as_py())
-                    if not after[i]:
-                        yield piece(2 if lead else 0)
-                        lead = False
+                ends = np.flatnonzero(after == 0)
+                first = 0
+                if odd:  # the lines up to the first end go on with a record
+                    first = int(ends[0]) + 1 if len(ends) else len(values)
+                    held.extend(values.slice(0, first).to_pylist())
+                    if len(ends):
+                        yield from piece(2 if lead else 0)
+                        lead, ends = False, ends[1:]
+                last = int(ends[-1]) + 1 if len(ends) else first
+                if last > first and not crossing:
+                    lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends + 1 - first]), pa.int32()), values.slice(first, last - first))
+                    yield given(pc.binary_join(lists, "\n"), 0)
+                held.extend(values.slice(last).to_pylist())
                 odd = int(after[-1])
-                whole = part.filter(pa.array(alone))
-                yield pa.RecordBatch.from_arrays([*whole.columns, pa.array(np.zeros(whole.num_rows, np.int32))], names)
         if held:
-            yield piece(2 if lead else 1)
+            yield from piece(2 if lead else 1)
 
     return run
 
@@ -135,14 +145,13 @@ def _join_lines(lines: DataFrame) -> DataFrame:
     if not blocks:
         return lines.select("value")
     begun = {(r.file, r.block) for r in blocks if r.open}
-    pieces = lines.mapInArrow(_records(begun), "value string, file long, block long, part int")
-    crossing = pieces.filter("part > 0")
+    whole, crossing = (lines.mapInArrow(_records(begun, c), "value string, file long, block long, part int") for c in (False, True))
     # within a block what ends a record precedes what begins one
     order = Window.partitionBy("file").orderBy("block", F.desc("part"))
     numbered = crossing.withColumn("record", F.sum((F.col("part") == 1).cast("int")).over(order))
     held = F.array_sort(F.collect_list(F.struct("block", (-F.col("part")).alias("part"), "value")))
     joined = numbered.groupBy("file", "record").agg(F.concat_ws("\n", F.transform(held, lambda x: x["value"])).alias("value"))
-    return pieces.filter("part = 0").select("value").unionByName(joined.select("value"))
+    return whole.select("value").unionByName(joined.select("value"))
 
 
 def scan_delimited(
@@ -158,8 +167,8 @@ def scan_delimited(
 
     Cells of such files may hold line breaks inside quotes, read as ``\\n``, wherever the file is split; the header itself is one
     line, a quote stands only around a cell or doubled inside one, and without a ``schema`` all files have the same header. A
-    quote that is never closed takes the rest of its file. This reads the lines once more to count quotes, and a third time
-    where a record goes over a line.
+    quote that is never closed takes the rest of its file. This reads the lines once more to count quotes, and where a record goes over a
+    line a third time, for what crosses blocks.
     """
     header, line = header_line(contains_header, header_at)
     if line <= 1:

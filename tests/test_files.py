@@ -4,6 +4,7 @@ import os
 import subprocess
 import sys
 
+import pyarrow as pa
 import pytest
 from pyspark import cloudpickle
 
@@ -157,3 +158,16 @@ def test_deletes_by_digest(spark, key):
     for mark in (None, "gone"):
         rows = lambda df: sorted(map(tuple, df.collect()), key=repr)
         assert rows(ingest.detect_deletes_by_digest(target, source, ["k"], mark, 16)) == rows(ingest.detect_deletes(target, source, ["k"], mark))
+
+
+def test_records_over_lines_are_joined_a_batch_at_a_time():
+    """Whole records come out as one batch for a batch of lines, whatever the lines of a record; the rest crosses blocks."""
+    lines = ['mid"', '1,"a', "", 'b"', "2,c", '3,"d', 'e"', '4,"open', "still"]
+    batch = pa.RecordBatch.from_arrays([pa.array(lines), pa.array([7] * 9, pa.int64()), pa.array([4] * 9, pa.int64())], ["value", "file", "block"])
+    for cut in range(1, 10):
+        given = [b for b in (batch.slice(0, cut), batch.slice(cut)) if b.num_rows]
+        whole = list(src._records({(7, 4)}, False)(iter(given)))
+        assert sum((b.column(0).to_pylist() for b in whole), []) == ['1,"a\n\nb"', "2,c", '3,"d\ne"']
+        assert len(whole) <= (1 if len(given) == 1 else 3)
+        crossing = [r for b in src._records({(7, 4)}, True)(iter(given)) for r in b.to_pylist()]
+        assert [(r["value"], r["part"]) for r in crossing] == [('mid"', 2), ('4,"open\nstill', 1)]
