@@ -201,30 +201,45 @@ def _agree(df: DataFrame, value: Column) -> bool:
 
 
 def _narrow(df: DataFrame, part: Column, skip: int, last: int) -> tuple[DataFrame, int, int]:
-    """The slices of ``part`` that hold the rows from ``skip`` to ``last`` in its order, how many rows precede them, and how many they hold.
+    """The rows around those from ``skip`` to ``last`` in the order of ``part``, how many rows precede them, and how many they are.
 
-    Nulls come first, in a slice of their own. Only the number of rows of each slice comes to the driver.
+    Two quantiles bound them, a little outside the page. They are estimates, so the rows before and between them are counted, and
+    a bound that would cut the page is not used. A value is kept or left out as a whole; nulls come first. One row of counts
+    and the quantiles come to the driver, and a row is compared with two constants.
     """
-    sliced = with_slices(df.withColumn("_part", part), "_part", PAGE_SLICES)
-    sliced = sliced.withColumn(SLICE, F.when(F.col("_part").isNull(), -1).otherwise(F.col(SLICE)))
-    before, held, kept = 0, 0, []
-    for at, n in sorted((r[SLICE], r["n"]) for r in sliced.groupBy(SLICE).agg(F.count("*").alias("n")).collect()):
-        if before + held + n <= skip:
-            before += n
-        elif before + held < last:
-            held += n
-            kept.append(at)
-    # what is kept is an interval, as the slices never fall along the key
-    within = F.col(SLICE).between(kept[0], kept[-1]) if kept else F.lit(False)
-    return sliced.filter(within).drop(SLICE, "_part"), before, held
+    rows = df.withColumn("_part", part)
+    value = F.col("_part")
+    at = [i / PAGE_SLICES for i in range(1, PAGE_SLICES)]
+    points = F.percentile_approx(value, at, 10 * PAGE_SLICES).cast("array<string>")
+    n, known, points = rows.agg(F.count("*"), F.count(value), points).head()
+    nulls = n - known
+    if last <= nulls:
+        return rows.filter(value.isNull()).drop("_part"), 0, nulls
+
+    def bound(row: int, margin: int) -> Column | None:
+        i = max(row - nulls, 0) * PAGE_SLICES // max(known, 1) + margin
+        return F.lit(points[i - 1]).cast(rows.schema["_part"].dataType) if points and 0 < i < PAGE_SLICES else None
+
+    low, high = bound(skip, -1), bound(last, 2)
+    none = F.lit(False)
+    before, after = rows.agg(F.count_if(none if low is None else value < low), F.count_if(none if high is None else value > high)).head()
+    if nulls + before > skip:
+        low, before = None, 0
+    if n - after < last:
+        high, after = None, 0
+    within = F.lit(True) if low is None else value >= low
+    within = within if high is None else within & (value <= high)
+    if skip < nulls:
+        return rows.filter(value.isNull() | within).drop("_part"), 0, n - after
+    return rows.filter(value.isNotNull() & within).drop("_part"), nulls + before, known - before - after
 
 
 def page_rows(df: DataFrame, order: Sequence[Column | str], offset: int = 0, limit: int | None = None, fields=None, most: int | None = None) -> DataFrame:
     """L2. Offset, then limit, then fields, over a total order.
 
     A sorted offset makes one task hold all rows up to the page's end. So beyond ``most`` of them (``PAGE_ROWS``) a page ordered by plain
-    column names is found by counting: the rows are cut along the first column, and by the running total of the slices' rows
-    all but the slices of the page fall away before the sort, again and again until few enough are left. Texts are cut by their
+    column names is found by counting: quantiles of the first column bound the page, and by exact counts the rows before and behind
+    fall away before the sort, again and again until few enough are left. Texts are cut by their
     bytes, seven at a time. A value that many rows share is cut along the next column. This reads the table twice for a cut,
     once for its quantiles and once for the counts, each time the order columns alone. It goes on with a plain sort where a
     column is neither number, time nor text, or without a limit.

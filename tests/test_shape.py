@@ -123,3 +123,19 @@ def test_sorting(spark):
     assert [r.id for r in op.sort_two_keys(df, "c", "n", "id").collect()] == [5, 3, 4, 1, 2]
     assert [r.id for r in op.sort_option(df, "id", "DESC").collect()] == [5, 4, 3, 2, 1]
     assert [r.id for r in op.sort_option(df, "n", "asc").collect()] == [2, 4, 5, 1, 3]
+
+
+def test_a_page_is_bounded_by_comparisons_with_constants(spark):
+    """No row is looked up among all cut points; what precedes the rows kept is counted, with nulls first and ties whole."""
+    df = spark.range(20_000).select("id", F.when(F.col("id") % 10 != 0, F.col("id") % 4_000).alias("a"), F.lit(None).cast("int").alias("no"))
+    values = sorted((r.a is not None, r.a or 0) for r in df.collect())
+    for skip in (0, 1_500, 1_990, 2_001, 11_111, 19_985):
+        kept, before, held = op._narrow(df, F.col("a"), skip, skip + 15)
+        found = sorted((r.a is not None, r.a or 0) for r in kept.collect())
+        assert len(found) == held and before <= skip and before + held >= min(skip + 15, len(values))
+        assert found == values[before : before + held] and held <= 2_200
+        plan = kept._jdf.queryExecution().optimizedPlan().toString()
+        assert "lambda" not in plan and "filter(" not in plan
+    assert op._narrow(df, F.col("no"), 5, 10)[1:] == (0, 20_000)
+    assert op._narrow(df.limit(0), F.col("a"), 1, 10)[1:] == (0, 0)
+    assert op._narrow(df, F.col("a"), 30_000, 30_010)[1:][1] <= 20_000
