@@ -35,18 +35,25 @@ def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
             spark.conf.set(key, before)
 
 
-def stage(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+def stage(df: DataFrame, name: str, by: str | None = None, at: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends there, and what follows knows its size.
 
-    With ``by``, the last column, there is a folder for each of its values, so a filter on it reads no other.
+    With ``by``, the last column, there is a folder for each of its values, so a filter on it reads no other. ``at`` is a path
+    of the caller's (:func:`work_path`), to :func:`discard` once nothing reads it any more.
     """
     spark = df.sparkSession
-    path = work_path(spark, name)
+    path = at or work_path(spark, name)
     with setting(spark, SHUFFLE_CLEANUP, "true"), setting(spark, ARROW_ROWS, "1000"):
         (df.write.partitionBy(by) if by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete what :func:`stage` wrote to ``path``."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def fresh(df: DataFrame, base: str) -> str:
     """A column name that ``df`` does not have, in any case."""
     taken = {c.lower() for c in df.columns}

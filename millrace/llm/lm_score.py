@@ -1,7 +1,8 @@
 """Stupid-backoff scores from n-gram counts.
 
 The model has the counts of all words and of all pairs of neighbouring words of the corpus, both in tables. Tasks count before
-the shuffle; words and pairs are known by 64-bit hashes, and counts, models and documents meet in joins on those.
+the shuffle; words and pairs are known by 64-bit hashes, and counts, models and documents meet in joins on those. A score is the
+sum of what each word counts for by itself and of what its pair, if seen, puts in the place of that, so both are looked up alike.
 
     S(w | v) = c(v w) / c(v)        if the pair was seen at least ``least`` times
              = alpha * c(w) / N     otherwise
@@ -15,6 +16,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -22,12 +24,19 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import stage, texts
+from millrace.llm.common import discard, stage, texts
+from millrace.session import work_path
 
 #: Occurrences below which a pair does not count as seen, and the factor of backing off.
 LEAST, ALPHA = 2, 0.4
 #: Words that a reading task counts before it passes them on.
-PACK = 1 << 20
+PACK = 1 << 21
+#: Words and pairs, those met most often, whose values every task has.
+HOT = 1 << 18
+#: Parts of the texts that are scored one after the other.
+ROUNDS = 3
+#: Columns of what texts ask for: a row for each text, with what is known of it, and one for each of its other words and pairs.
+NAMES = ["row", "doc_id", "key", "times", "n_words", "base", "met"]
 
 UNK, BEGIN = 0, 1  # ids in a vocabulary; words follow from 2, and also the keys of the two marks
 
@@ -39,8 +48,9 @@ def words_of(text: str) -> list[str]:
 class Model:
     """Counts of words (``w, n``) and pairs (``v, w, n``) as tables, the number of words in all, and a vocabulary if one was asked for."""
 
-    def __init__(self, vocabulary: Broadcast | None, words: DataFrame, pairs: DataFrame, total: int, least: int, alpha: float):
-        self.vocabulary, self.words, self.pairs, self.total, self.least, self.alpha = vocabulary, words, pairs, total, least, alpha
+    def __init__(self, vocabulary: Broadcast | None, counts: DataFrame, total: int, least: int, alpha: float):
+        self.vocabulary, self.total, self.least, self.alpha = vocabulary, total, least, alpha
+        self.words, self.pairs = counts.where("v IS NULL").select("w", "n"), counts.where("v IS NOT NULL")
 
 
 def _vocabulary(docs: DataFrame, size: int) -> tuple[dict[str, int], np.ndarray]:
@@ -85,117 +95,181 @@ def _key(word: str) -> int:
     return (h if h > BEGIN else h + 2) - (1 << 64 if h >> 63 else 0)
 
 
-def _pairs(text: str, ids: dict[str, int] | None, keys: dict[str, int]) -> np.ndarray:
-    """The pairs of a text, as rows of two keys; ``keys`` remembers those of words."""
-    found = words_of(text)
-    out = np.empty(len(found), np.int64)
-    for i, w in enumerate(found):
-        if ids is not None:
-            out[i] = ids.get(w, UNK)
-            continue
-        k = keys.get(w)
-        if k is None:
-            if len(keys) >= PACK:
-                keys.clear()
-            k = keys[w] = _key(w)
-        out[i] = k
-    return np.column_stack([np.concatenate([[BEGIN], out[:-1]]), out]) if len(out) else np.empty((0, 2), np.int64)
-
-
-def _grouped(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Different pairs and how often each comes."""
-    if not len(pairs):
-        return pairs, np.empty(0, np.int64)
-    order = np.lexsort((pairs[:, 1], pairs[:, 0]))
-    pairs = pairs[order]
-    starts = np.flatnonzero(np.concatenate([[True], (pairs[1:] != pairs[:-1]).any(1)]))
-    return pairs[starts], np.diff(np.append(starts, len(pairs)))
-
-
-def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary: int | None = None, least: int = LEAST, alpha: float = ALPHA) -> Model:
+class Numbers(dict):
+    """Words met, numbered from 1; ``keys`` has the key of each, that of the begin mark first."""
+
+    def __init__(self, ids: dict[str, int] | None):
+        super().__init__()
+        self.ids, self.keys, self.characters = ids, [BEGIN], 0
+
+    def __missing__(self, word: str) -> int:
+        self[word] = n = len(self.keys)
+        self.keys.append(_key(word) if self.ids is None else self.ids.get(word, UNK))
+        self.characters += len(word)
+        return n
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], known: Broadcast | None) -> Iterator[tuple[list[pa.RecordBatch], np.ndarray, Numbers, np.ndarray, np.ndarray]]:
+    """Whole batches of about ``PACK`` words: the batches, the words of each text, the numbering, and each word's number after that of the one before."""
+    ids = known.value[0] if known else None
+    numbers, kept, held, n = Numbers(ids), [], [], 0
+
+    def chunk() -> tuple:
+        sizes, w = np.array([len(x) for x in held], np.int64), np.concatenate([np.empty(0, np.int64), *held])
+        v = np.concatenate([[0], w[:-1]])[: len(w)]
+        v[(np.cumsum(sizes) - sizes)[sizes > 0]] = 0
+        return kept, sizes, numbers, v, w
+
+    for b in batches:
+        kept.append(b)
+        for t in b.column(b.num_columns - 1).to_pylist():
+            found = words_of(t)
+            held.append(np.fromiter(map(numbers.__getitem__, found), np.int64, len(found)))
+            n += len(found)
+        if n >= PACK:
+            yield chunk()
+            kept, held, n = [], [], 0
+            if len(numbers) > PACK or numbers.characters > 16 * PACK:
+                numbers = Numbers(ids)
+    if held:
+        yield chunk()
+
+
+def _runs(ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of equal values begin, and how long they are."""
+    starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])[: len(ordered)])
+    return starts, np.diff(np.append(starts, len(ordered)))
+
+
+def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary: int | None = None, least: int = LEAST, alpha: float = ALPHA, fewest: int = 1, at: str | None = None) -> Model:
     """Count the words and pairs of all of ``docs``. Null texts have no words; an empty table gives an empty model.
 
-    With ``vocabulary`` only so many words are told apart, and these are broadcast.
+    With ``vocabulary`` only so many words are told apart, and these are broadcast. All are counted, but pairs with a count below
+    ``fewest`` are not kept; up to ``least`` this changes no score. ``at`` names the folder for the counts.
     """
     docs = texts(docs, doc_id, text)
     known = None if vocabulary is None else docs.sparkSession.sparkContext.broadcast(_vocabulary(docs, vocabulary))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, keys = known.value[0] if known else None, {}
-        held, n = [], 0
-        for b in batches:
-            for t in b.column(0).to_pylist():
-                held.append(_pairs(t, ids, keys))
-                n += len(held[-1])
-                if n >= PACK:
-                    yield counted(held)
-                    held, n = [], 0
-        if held:
-            yield counted(held)
-
-    def counted(held: list[np.ndarray]) -> pa.RecordBatch:
-        pairs, n = _grouped(np.concatenate(held))
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in (pairs[:, 0], pairs[:, 1], n)], ["v", "w", "n"])
-
-    pairs = docs.select("text").mapInArrow(count, "v long, w long, n long").groupBy("v", "w").agg(F.sum("n").alias("n"))
-    pairs = stage(pairs, "pairs")
-    words = pairs.groupBy("w").agg(F.sum("n").alias("n"))
-    begun = docs.agg(F.lit(BEGIN).cast("long").alias("w"), F.count("*").alias("n"))
-    words = stage(words.union(begun), "words")
-    total = words.where(F.col("w") != BEGIN).agg(F.sum("n")).first()[0] or 0
-    return Model(known, words, pairs, total, least, alpha)
-
-
-def _values(model: Model, pairs: DataFrame) -> DataFrame:
-    """``v, w, value, backed`` of ``pairs`` (``v, w, n``; ``n`` null: not in the corpus)."""
+        for _, sizes, numbers, v, w in _chunks(batches, known):
+            keys, pairs = np.array(numbers.keys, np.int64), np.sort(v << 32 | w)
+            starts, n = _runs(pairs)
+            pairs = pairs[starts]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (keys[pairs >> 32], keys[pairs & 0xFFFFFFFF], n)], ["v", "w", "n"])
+            each = np.bincount(w, minlength=1)
+            each[0] = len(sizes)  # a begin mark for each text
+            met = np.flatnonzero(each)
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(met), pa.int64()), pa.array(keys[met]), pa.array(each[met])], ["v", "w", "n"])
+
+    counts = docs.select("text").mapInArrow(count, "v long, w long, n long").groupBy("v", "w").agg(F.sum("n").alias("n"))
+    counts = stage(counts.where(F.col("v").isNull() | (F.col("n") >= fewest)), "counts", at=at)
+    total = counts.where(F.col("v").isNull() & (F.col("w") != BEGIN)).agg(F.sum("n")).first()[0] or 0
+    return Model(known, counts, total, least, alpha)
+
+
+def _pair_key(v, w, left, right):
+    """One key of two: those of words are spread over 64 bits, and ids in a vocabulary stay apart."""
+    return w ^ (left(v, 31) | right(v, 33))
+
+
+def _values(model: Model) -> DataFrame:
+    """``key, value, seen, n``: what a word (key inverted) or a pair adds to a score, beside what each word counts for if seen once.
+
+    A pair that was seen takes back what its word added. What is not in the table adds nothing.
+    """
 
     def log(n: Column) -> Column:
-        return F.log(F.greatest(F.coalesce(n, F.lit(1)), F.lit(1)).cast("double"))
+        return F.log(F.greatest(n, F.lit(1)).cast("double"))
 
     before, own = (model.words.select(F.col("w").alias(f"{c}_"), F.col("n").alias(f"{c}_n")) for c in "vw")
-    seen = F.coalesce("n", F.lit(0)) >= model.least
-    # only pairs that were seen need the word before, only the others the word itself
-    one = pairs.where(seen).join(before, F.col("v") == F.col("v_"), "left").select("v", "w", (log(F.col("n")) - log(F.col("v_n"))).alias("value"), F.lit(0).alias("backed"))
-    back = F.lit(math.log(model.alpha)) + log(F.col("w_n")) - F.lit(math.log(max(model.total, 1)))
-    two = pairs.where(~seen).join(own, F.col("w") == F.col("w_"), "left").select("v", "w", back.alias("value"), F.lit(1).alias("backed"))
-    return one.union(two)
+    words = model.words.where(F.col("n") > 1).select(F.bitwise_not("w").alias("key"), log(F.col("n")).alias("value"), F.lit(0).alias("seen"), "n")
+    pairs = model.pairs.where(F.col("n") >= model.least).join(before, F.col("v") == F.col("v_")).join(own, F.col("w") == F.col("w_"))
+    left = F.shiftleft("v", 31).bitwiseOR(F.shiftrightunsigned("v", 33))
+    value = log(F.col("n")) - log(F.col("v_n")) - log(F.col("w_n")) - F.lit(_once(model))
+    return words.union(pairs.select(F.col("w").bitwiseXOR(left).alias("key"), value.alias("value"), F.lit(1).alias("seen"), "n"))
 
 
-def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", own: bool = False) -> DataFrame:
+def _once(model: Model) -> float:
+    """The score of a word that was seen once, after one it was not seen after."""
+    return math.log(model.alpha) - math.log(max(model.total, 1))
+
+
+def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, n_words, log_score, mean_log_score, n_backed_off`` of every row.
 
     ``log_score`` is the sum of the natural logarithms of the words' scores, to six decimals; ``n_backed_off`` the words whose
     pair was not seen. A word that the model does not know counts as seen once. Texts without words (null, empty, blank) score
     0 and have a null mean. Words are lower-cased and split at white space. Repeated rows come back as often as they were
-    given. ``own`` says that the model was made of all of ``docs``, so it has every pair.
+    given.
     """
-    known = model.vocabulary
-    rows = texts(docs, doc_id, text).select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    return _scored(docs, model, stage(_values(model), "values"), doc_id, text)
+
+
+def _scored(docs: DataFrame, model: Model, values: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """The ``HOT`` words and pairs met most often are broadcast and summed where texts are read, so no key is hot in the join that
+    gives the others their values. Texts come in ``ROUNDS``, so that only a part of their pairs is on disk at a time."""
+    docs = texts(docs, doc_id, text)
+    known, once = model.vocabulary, _once(model)
+    top = values.orderBy(F.col("n").desc(), "key").limit(HOT).select("key", "value", "seen").toArrow().sort_by("key")
+    hot = docs.sparkSession.sparkContext.broadcast([top.column(c).to_numpy() for c in range(3)])
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, keys = known.value[0] if known else None, {}
-        for b in batches:
-            for row, doc, t in zip(*(c.to_pylist() for c in b.columns)):
-                pairs, n = _grouped(_pairs(t, ids, keys))
-                # a first row without a pair stands for the document itself
-                columns = [pa.array(np.full(len(n) + 1, row)), pa.array([doc] * (len(n) + 1), pa.int64())]
-                columns += [pa.array([None, *pairs[:, i].tolist()], pa.int64()) for i in (0, 1)]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array([0, *n.tolist()], pa.int64())], ["row", "doc_id", "v", "w", "times"])
-
-    asked = rows.mapInArrow(ask, "row long, doc_id long, v long, w long, times long")
-    pairs = model.pairs
-    if not own:
-        pairs = asked.where("v IS NOT NULL").select("v", "w").distinct().join(pairs, ["v", "w"], "left")
-    values = stage(_values(model, pairs), "values")
-    met = asked.where("v IS NOT NULL").join(values, ["v", "w"], "left").select("row", "doc_id", "times", "value", "backed")
-    none = asked.where("v IS NULL").select("row", "doc_id", "times", F.lit(0.0).alias("value"), F.lit(0).alias("backed"))
-    sums = met.union(none).groupBy("row", "doc_id").agg(
-        F.sum("times").alias("n_words"), F.round(F.sum(F.col("times") * F.col("value")), 6).alias("log_score"), F.sum(F.col("times") * F.col("backed")).alias("n_backed_off")
-    )
-    out = stage(sums.drop("row"), "scores")
+        hot_keys, hot_values, hot_seen = hot.value
+        last, found, values = None, None, None
+
+        def look(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            if not len(hot_keys):
+                return np.zeros(len(keys), bool), np.zeros(len(keys), np.int64)
+            at = np.minimum(np.searchsorted(hot_keys, keys), len(hot_keys) - 1)
+            return hot_keys[at] == keys, at
+
+        for kept, sizes, numbers, v, w in _chunks(batches, known):
+            keys = np.array(numbers.keys, np.int64)
+            if numbers is not last:
+                last, found, values = numbers, np.empty(0, bool), np.empty(0)
+            is_hot, at = look(~keys[len(found) :])
+            found, values = np.append(found, is_hot), np.append(values, np.where(is_hot, hot_values[at], 0.0) if len(hot_keys) else np.zeros(len(at)))
+            texts_of = np.repeat(np.arange(len(sizes)), sizes)
+            both = _pair_key(keys[v].view(np.uint64), keys[w].view(np.uint64), lambda x, n: x << np.uint64(n), lambda x, n: x >> np.uint64(n)).view(np.int64)
+            is_hot, at = look(both)
+            base = sizes * once + np.bincount(texts_of, values[w], len(sizes))
+            seen = np.zeros(len(sizes), np.int64)
+            if len(hot_keys):
+                base += np.bincount(texts_of[is_hot], hot_values[at[is_hot]], len(sizes))
+                seen += np.bincount(texts_of[is_hot], hot_seen[at[is_hot]], len(sizes)).astype(np.int64)
+            row, doc = (pa.chunked_array([b.column(c) for b in kept]).combine_chunks() for c in (0, 1))
+            # a row for each text, whose key adds nothing
+            zeros = np.zeros(len(sizes), np.int64)
+            yield pa.RecordBatch.from_arrays([row, doc, row, *map(pa.array, (zeros, sizes, base, seen))], NAMES)
+            cold = ~found[w]
+            key, of = np.concatenate([~keys[w[cold]], both[~is_hot]]), np.concatenate([texts_of[cold], texts_of[~is_hot]])
+            order = np.argsort(key)
+            order = order[np.argsort(of[order].astype(np.uint16) if len(sizes) < 1 << 16 else of[order], kind="stable")]
+            key, of = key[order], of[order]
+            starts = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (of[1:] != of[:-1])])[: len(key)])
+            n, zeros = np.diff(np.append(starts, len(key))), np.zeros(len(starts), np.int64)
+            yield pa.RecordBatch.from_arrays([row.take(pa.array(of[starts])), pa.nulls(len(n), pa.int64()), *map(pa.array, (key[starts], n, zeros, zeros.astype(float), zeros))], NAMES)
+
+    parts = []
+    for i in range(ROUNDS):
+        some = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS)) == i).select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+        asked = some.mapInArrow(ask, "row long, doc_id long, key long, times long, n_words long, base double, met long")
+        joined = asked.join(values.select("key", "value", "seen"), "key", "left").where("times = 0 OR seen IS NOT NULL")
+        sums = joined.groupBy("row").agg(
+            F.max("doc_id").alias("doc_id"),
+            F.sum("n_words").alias("n_words"),
+            F.round(F.sum(F.col("base") + F.col("times") * F.coalesce("value", F.lit(0.0))), 6).alias("log_score"),
+            F.sum(F.col("n_words") - F.col("met") - F.col("times") * F.coalesce("seen", F.lit(0))).alias("n_backed_off"),
+        )
+        parts.append(stage(sums.drop("row"), "scores"))
+    out = reduce(DataFrame.union, parts)
     return out.select("doc_id", "n_words", "log_score", F.round(F.col("log_score") / F.nullif("n_words", F.lit(0)), 6).alias("mean_log_score"), "n_backed_off")
 
 
 def score_corpus(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Scores of all of ``docs`` by a model of all of them."""
-    return score(docs, fit(docs, doc_id, text), doc_id, text, own=True)
+    """Scores of all of ``docs`` by a model of all of them, whose counts go once the values are made of them."""
+    at = work_path(spark, "counts")
+    model = fit(docs, doc_id, text, fewest=LEAST, at=at)
+    values = stage(_values(model), "values")
+    discard(spark, at)
+    return _scored(docs, model, values, doc_id, text)

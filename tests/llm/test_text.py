@@ -9,7 +9,7 @@ from collections import Counter
 import pytest
 from helpers import LOWER, SMALL, documents, in_sql, nothing, rows, sample_texts
 
-from millrace.llm import decontaminate, html_text, lm_score, mixing, token_count, warc
+from millrace.llm import common, decontaminate, html_text, lm_score, mixing, token_count, warc
 from millrace.llm.queries import ORACLE_SQL, QUERIES
 from millrace.session import work_path
 
@@ -131,6 +131,20 @@ def test_every_word_keeps_its_count(spark):
     assert (r.n_words, r.n_backed_off) == (2, 2) and abs(r.log_score - 2 * math.log(0.4 / 1800)) < 1e-5
 
 
+@pytest.mark.parametrize(("hot", "rounds"), [(0, 1), (5, 3), (1 << 18, 2)])
+def test_what_scoring_holds_on_disk(spark, monkeypatch, hot, rounds):
+    """Scores do not depend on what is broadcast or on the rounds; counts go before texts are scored, and only pairs seen are written."""
+    for name, value in (("PACK", 50), ("HOT", hot), ("ROUNDS", rounds)):
+        monkeypatch.setattr(lm_score, name, value)
+    places, rows_of = [], []
+    monkeypatch.setattr(lm_score, "discard", lambda s, at: (places.append(at), rows_of.append(s.read.parquet(at).collect()), common.discard(s, at)))
+    given = [*sample_texts(), (90, "a b a b c"), (91, "c a b")]
+    assert scores(lm_score.score_corpus(spark, documents(spark, given))) == [(i, n, s + 0.0, b) for i, n, s, b in brute_force_scores(given)]
+    assert all(r.n >= 2 for r in rows_of[0] if r.v is not None) and any(r.n == 1 for r in rows_of[0])
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(places[0])
+    assert not at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+
 # Decontamination
 
 ITEMS = [
