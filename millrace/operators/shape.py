@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from itertools import count
+from collections.abc import Sequence
+from decimal import Decimal
+from os.path import commonprefix
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -180,20 +181,36 @@ def limit_rows(df: DataFrame, n: int | None, order: Sequence[Column | str], fiel
     return select_fields(shaped, fields) if fields else shaped
 
 
-_BYTES = 7  # of a text in a number
+_BYTES = 6  # of a text in a number: quantiles are doubles inside, which hold whole numbers of 53 bits
+_WINDOW = 1 << 16  # bytes of a text compared on the driver
 
 
-def _parts(field: T.StructField) -> Iterator[tuple[Column, int]]:
-    """Numbers that never fall along a column, each for rows that agree in those before, and how many bytes they cover.
+def _part(field: T.StructField, at: int) -> tuple[Column | None, int]:
+    """A number that never falls along a column, for rows that agree in the bytes before ``at``, and up to which byte it tells them apart.
 
-    A number or time is its own; a text is its bytes, seven at a time, zeros beyond its end; other types have none.
+    A number or time is its own; a text is its next bytes, zeros beyond its end; other types have none.
     """
     if orderable(field.dataType):
-        yield _quoted(field.name), 0
-    elif field.dataType == T.StringType():  # compared by bytes, without a collation
-        for at in count(0, _BYTES):
-            some = F.hex(F.substring(_quoted(field.name).cast("binary"), at + 1, _BYTES))
-            yield F.conv(F.rpad(some, 2 * _BYTES, "0"), 16, 10).cast("long"), at + _BYTES
+        return _quoted(field.name), 0
+    if field.dataType == T.StringType():  # compared by bytes, without a collation
+        some = F.hex(F.substring(_quoted(field.name).cast("binary"), at + 1, _BYTES))
+        return F.conv(F.rpad(some, 2 * _BYTES, "0"), 16, 10).cast("long"), at + _BYTES
+    return None, 0
+
+
+def _shared(df: DataFrame, key: str, at: int) -> int | None:
+    """How many bytes all texts begin with, where they agree before ``at``; None if they are equal.
+
+    All begin with what the least and the greatest begin with; of these two, a window at a time comes to the driver.
+    """
+    while True:
+        low, high = df.agg(*[F.substring(f(_quoted(key)).cast("binary"), at + 1, _WINDOW) for f in (F.min, F.max)]).head()
+        if low is None or (low == high and len(low) < _WINDOW):
+            return None
+        both = len(commonprefix([bytes(low), bytes(high)]))
+        at += both
+        if both < _WINDOW:
+            return at
 
 
 def _agree(df: DataFrame, value: Column) -> bool:
@@ -216,9 +233,20 @@ def _narrow(df: DataFrame, part: Column, skip: int, last: int) -> tuple[DataFram
     if last <= nulls:
         return rows.filter(value.isNull()).drop("_part"), 0, nulls
 
+    data_type = rows.schema["_part"].dataType
+
     def bound(row: int, margin: int) -> Column | None:
         i = max(row - nulls, 0) * PAGE_SLICES // max(known, 1) + margin
-        return F.lit(points[i - 1]).cast(rows.schema["_part"].dataType) if points and 0 < i < PAGE_SLICES else None
+        if not points or not 0 < i < PAGE_SLICES:
+            return None
+        point, way = points[i - 1], 1 if margin > 0 else -1
+        # a quantile is a double inside, so go past the number that it may have been
+        if data_type == T.LongType():
+            point = str(min(max(int(point) + way * (abs(int(point)) >> 52), -(1 << 63)), (1 << 63) - 1))
+        elif isinstance(data_type, T.DecimalType):
+            most = Decimal(10**data_type.precision - 1).scaleb(-data_type.scale)
+            point = str(min(max(Decimal(point) + way * abs(Decimal(point)) / (1 << 52), -most), most))
+        return F.lit(point).cast(data_type)
 
     low, high = bound(skip, -1), bound(last, 2)
     none = F.lit(False)
@@ -240,16 +268,19 @@ def page_rows(df: DataFrame, order: Sequence[Column | str], offset: int = 0, lim
     A sorted offset makes one task hold all rows up to the page's end. So beyond ``most`` of them (``PAGE_ROWS``) a page ordered by plain
     column names is found by counting: quantiles of the first column bound the page, and by exact counts the rows before and behind
     fall away before the sort, again and again until few enough are left. Texts are cut by their
-    bytes, seven at a time. A value that many rows share is cut along the next column. This reads the table twice for a cut,
-    once for its quantiles and once for the counts, each time the order columns alone. It goes on with a plain sort where a
+    bytes, six at a time, and what all that are left begin with is passed over. A value that many rows share is cut along the next
+    column. This reads the table twice for a cut, once for its quantiles and once for the counts, each time the order columns alone. It goes on with a plain sort where a
     column is neither number, time nor text, or without a limit.
     """
     skip, most = max(offset, 0), PAGE_ROWS if most is None else most
     if limit and skip + limit > most and all(isinstance(c, str) for c in order):
         enough = max(most, limit)
         for key in order:
-            held = None
-            for part, reach in _parts(df.schema[key]):
+            held, at = None, 0
+            while at is not None:
+                part, reach = _part(df.schema[key], at)
+                if part is None:
+                    break
                 same = False
                 while not same and (held is None or held > enough):
                     df, before, now = _narrow(df, part, skip, skip + limit)
@@ -257,6 +288,9 @@ def page_rows(df: DataFrame, order: Sequence[Column | str], offset: int = 0, lim
                     same, held = now == held, now
                 if held <= enough or not reach or not _agree(df, part) or (df.agg(F.max(F.octet_length(key))).head()[0] or 0) <= reach:
                     break
+                # what all begin with is left out at once, however long it is
+                shared = _shared(df, key, at)
+                at = None if shared is None else max(shared, reach)
             # the next column orders the rows that are left only if they agree in this one
             if held is None or held <= enough or not _agree(df, F.col(key)):
                 break

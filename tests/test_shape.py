@@ -74,6 +74,29 @@ def test_deep_pages_by_text(spark, monkeypatch, offset):
     assert [tuple(r) for r in op.page_rows(df, ["t", "id"], offset, 25).collect()] == wanted
 
 
+@pytest.mark.parametrize("start", ["", "long common beginning " * 200])
+def test_pages_among_copies_of_texts(spark, monkeypatch, start):
+    """Quantiles bound the page although many rows share each text, and bytes that all texts begin with cost no passes."""
+    passes = []
+    narrow = op._narrow
+    monkeypatch.setattr(op, "_narrow", lambda *a: passes.append(narrow(*a)) or passes[-1])
+    df = spark.range(6000).selectExpr(f"concat('{start}', substr(sha2(cast(id % 60 AS string), 256), 1, 40)) AS t", "id").repartition(3).cache()
+    rows = sorted(tuple(r) for r in df.collect())
+    for offset in (0, 1234, 3050, 5990):
+        passes.clear()
+        assert [tuple(r) for r in op.page_rows(df, ["t", "id"], offset, 10, most=5).collect()] == rows[offset : offset + 10]
+        assert len(passes) <= 9 and passes[-1][2] <= 20, passes
+    df.unpersist()
+
+
+def test_bounds_of_numbers_that_no_double_holds(spark):
+    """Each value lies between two doubles and is there a hundred times; a page keeps the few values around it."""
+    df = spark.range(20_000).selectExpr("(id % 200) * 1000003 + 9000000000000000001 AS a", "cast((id % 200) * 1000003 + 9000000000000000001 AS decimal(25, 3)) AS d")
+    for column in ("a", "d"):
+        kept, before, held = op._narrow(df, F.col(column), 10_050, 10_060)
+        assert before <= 10_050 and before + held >= 10_060 and held <= 500 and kept.count() == held
+
+
 def test_diff(spark):
     old = spark.createDataFrame([(1, "a", None), (2, "b", 1), (3, "c", 1)], "k int, s string, n int")
     new = spark.createDataFrame([(1, "a", None), (2, "x", None), (4, "d", 1)], "k int, s string, n int")
