@@ -24,7 +24,7 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import discard, stage, texts
+from millrace.llm.common import discard, setting, stage, texts
 from millrace.session import work_path
 
 #: Occurrences below which a pair does not count as seen, and the factor of backing off.
@@ -34,7 +34,9 @@ PACK = 1 << 21
 #: Words and pairs, those met most often, whose values every task has.
 HOT = 1 << 18
 #: Parts of the texts that are scored one after the other.
-ROUNDS = 3
+ROUNDS = 2
+#: Joins become hash joins if no task's share of the values is larger, as measured; others sort.
+HASHED = ("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "16m")
 #: Columns of what texts ask for: a row for each text, with what is known of it, and one for each of its other words and pairs.
 NAMES = ["row", "doc_id", "key", "times", "n_words", "base", "met"]
 
@@ -261,7 +263,8 @@ def _scored(docs: DataFrame, model: Model, values: DataFrame, doc_id: str, text:
             F.round(F.sum(F.col("base") + F.col("times") * F.coalesce("value", F.lit(0.0))), 6).alias("log_score"),
             F.sum(F.col("n_words") - F.col("met") - F.col("times") * F.coalesce("seen", F.lit(0))).alias("n_backed_off"),
         )
-        parts.append(stage(sums.drop("row"), "scores"))
+        with setting(docs.sparkSession, *HASHED):
+            parts.append(stage(sums.drop("row"), "scores"))
     out = reduce(DataFrame.union, parts)
     return out.select("doc_id", "n_words", "log_score", F.round(F.col("log_score") / F.nullif("n_words", F.lit(0)), 6).alias("mean_log_score"), "n_backed_off")
 
