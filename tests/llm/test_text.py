@@ -3,9 +3,11 @@ import hashlib
 import io
 import math
 import re
+import sys
 import time
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from helpers import LOWER, SMALL, documents, in_sql, nothing, rows, sample_texts
 
@@ -145,6 +147,41 @@ def test_what_scoring_holds_on_disk(spark, monkeypatch, hot, rounds):
     assert not at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
 
 
+def test_words_are_found_and_hashed_together():
+    """As split one by one, with Python's idea of white space, and without a call for each word."""
+    spaces = "".join(c for c in map(chr, range(0x110000)) if c.isspace())
+    odd = ["", " ", "a", spaces, "x".join(spaces), "İ ΑΣ ΑΣΑ É", "\x00 \x00\x00 \x1c\x00", *(f"{'q' * n} Q{'q' * n}" for n in (7, 8, 9, 255, 256, 257, 5000))]
+    given = [*odd, *(" ".join(f"{'ab' * (i % 9)}{i}-{j}" for j in range(500)) for i in range(40))]
+    batch = pa.RecordBatch.from_arrays([pa.array(given)], ["text"])
+    calls = Counter()
+    sys.setprofile(lambda frame, event, arg: calls.update([event]))
+    try:
+        ((_, sizes, v, w),) = [x[:2] + x[-2:] for x in lm_score._chunks(iter([batch]), None)]
+    finally:
+        sys.setprofile(None)
+    assert calls["call"] + calls["c_call"] < len(w) / 10
+    split = [x.lower().split() for x in given]
+    assert sizes.tolist() == [len(x) for x in split]
+    keys = set(zip((x for y in split for x in y), w.tolist()))
+    assert len(keys) == len({k for _, k in keys}) == len({x for x, _ in keys}) and not {k for _, k in keys} & {lm_score.UNK, lm_score.BEGIN}
+    assert v.tolist() == [p for n, at in zip(sizes, sizes.cumsum() - sizes) if n for p in (lm_score.BEGIN, *w[at : at + n - 1].tolist())]
+
+
+@pytest.mark.parametrize("hot", [0, 1, 3, 1 << 18])
+def test_scores_with_a_vocabulary(spark, monkeypatch, hot):
+    """Rare words are one, also next to each other; equal counts are broadcast together or not at all."""
+    monkeypatch.setattr(lm_score, "HOT", hot)
+    given = [(1, "a a a b b c d"), (2, "a b x y"), (3, "p q r s a"), (4, None)]
+    docs = documents(spark, given)
+    known = [(i, t and " ".join(w if w in "ab" else "_" for w in t.split())) for i, t in given]
+    assert scores(lm_score.score(docs, lm_score.fit(docs, vocabulary=2))) == [(i, n, s + 0.0, b) for i, n, s, b in brute_force_scores(known)]
+
+
+def test_the_commonest(spark):
+    rows_of = spark.createDataFrame([(i, n) for i, n in enumerate([9, 7, 7, 3, 3, 3, 1])], "key long, n long")
+    assert [lm_score._commonest(rows_of, size).count() for size in (0, 1, 2, 3, 5, 6, 9)] == [0, 1, 1, 3, 3, 6, 7]
+
+
 # Decontamination
 
 ITEMS = [
