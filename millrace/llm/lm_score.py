@@ -134,13 +134,15 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ x >> np.uint64(31)
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], known: Broadcast | None) -> Iterator[tuple[list[pa.RecordBatch], np.ndarray, np.ndarray, np.ndarray]]:
-    """Whole batches of about ``PACK`` words: what the batches have beside texts, the words of each text, and each word's key after that of the one before."""
+def _chunks(batches: Iterator[pa.RecordBatch], known: Broadcast | None, size: int) -> Iterator[tuple[list[pa.RecordBatch], np.ndarray, np.ndarray, np.ndarray]]:
+    """Whole batches of about ``size`` words: what the batches have beside texts, the words of each text, and each word's key after that of the one before."""
     ids = known.value[0] if known else None
     kept, counts, held, n = [], [], [], 0
 
     def chunk() -> tuple:
         sizes, w = np.concatenate(counts), np.concatenate(held)
+        counts.clear()
+        held.clear()
         v = np.concatenate([[BEGIN], w[:-1]])[: len(w)]
         v[(np.cumsum(sizes) - sizes)[sizes > 0]] = BEGIN
         return kept, sizes, v, w
@@ -156,9 +158,9 @@ def _chunks(batches: Iterator[pa.RecordBatch], known: Broadcast | None) -> Itera
             counts.append(each)
             held.append(keys)
             n += len(keys)
-        if n >= PACK:
+        if n >= size:
             yield chunk()
-            kept, counts, held, n = [], [], [], 0
+            kept, n = [], 0
     if held:
         yield chunk()
 
@@ -209,7 +211,7 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary:
     known = None if vocabulary is None else docs.sparkSession.sparkContext.broadcast(_vocabulary(docs, vocabulary))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, sizes, v, w in _chunks(batches, known):
+        for _, sizes, v, w in _chunks(batches, known, PACK):
             order = _grouped(_spread(v) >> np.uint64(44) << np.uint64(44) | _spread(w) >> np.uint64(20))  # pairs of a word stand together, which packs better
             v, w = v[order], w[order]
             starts, n = _runs(v, w)
@@ -279,7 +281,7 @@ def _scored(docs: DataFrame, model: Model, values: DataFrame, doc_id: str, text:
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot_keys, hot_values, hot_seen = hot.value
-        for kept, sizes, v, w in _chunks(batches, known):
+        for kept, sizes, v, w in _chunks(batches, known, max(1, PACK >> 2)):  # twice as many keys, and nothing to combine
             texts_of = np.tile(np.repeat(np.arange(len(sizes)), sizes), 2)
             keys = np.concatenate([~w, _pair_keys(v, w)])
             base, met, cold = sizes * once, np.zeros(len(sizes)), np.ones(len(keys), bool)

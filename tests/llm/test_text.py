@@ -156,7 +156,7 @@ def test_words_are_found_and_hashed_together():
     calls = Counter()
     sys.setprofile(lambda frame, event, arg: calls.update([event]))
     try:
-        ((_, sizes, v, w),) = [x[:2] + x[-2:] for x in lm_score._chunks(iter([batch]), None)]
+        ((_, sizes, v, w),) = [x[:2] + x[-2:] for x in lm_score._chunks(iter([batch]), None, lm_score.PACK)]
     finally:
         sys.setprofile(None)
     assert calls["call"] + calls["c_call"] < len(w) / 10
