@@ -11,7 +11,6 @@ import json
 import os
 from collections import Counter
 from collections.abc import Iterator
-from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +21,8 @@ from millrace.llm.common import named, stage
 
 #: Characters, about, that are encoded at once; one text is never divided.
 AT_ONCE = 1 << 18
+#: Tokens of one text whose bytes, or whose written ids, are put together at once.
+TOKENS = 1 << 16
 #: Fixed value: where byte-level tokenizers cut a text before they merge.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -73,10 +74,6 @@ class ByteLevel:
         return [e.ids for e in self.inner.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
 
 
-    def spelled(self, ids: list[int]) -> bytes:
-        return self.ranked.decode_bytes(ids) if self.ranked is not None else b"".join(map(self.pieces.__getitem__, ids))
-
-
 class Piecewise:
     """A sentence-piece tokenizer from the bytes of its model; it puts the space before the text itself."""
 
@@ -88,49 +85,71 @@ class Piecewise:
         raw = [bytes([int(self.inner.id_to_piece(i)[3:-1], 16)]) if self.inner.is_byte(i) else None for i in range(size)]
         self.pieces = [r if r is not None else self.inner.id_to_piece(i).replace("▁", " ").encode("utf-8") for i, r in enumerate(raw)]
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return self.inner.encode(texts, num_threads=1)
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        return list(map(self.inner.encode_as_numpy, texts))
+
 
-    def spelled(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, ids))
+class Spelling:
+    """The bytes of a tokenizer's entries, end to end."""
 
+    def __init__(self, pieces: list[bytes]):
+        self.lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.joined = np.frombuffer(b"".join(pieces), np.uint8)
 
-def common_ends(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
+    def of(self, ids: np.ndarray) -> bytes:
+        return b"".join(self._some(ids[at : at + TOKENS]) for at in range(0, len(ids), TOKENS))
+
+    def _some(self, ids: np.ndarray) -> bytes:
+        n = self.lengths[ids]
+        ends = np.cumsum(n)
+        return self.joined[np.repeat(self.starts[ids] - ends + n, n) + np.arange(ends[-1])].tobytes()
+
+
+def common_ends(a: list[int] | np.ndarray, b: list[int] | np.ndarray) -> tuple[list[int], list[int]]:
     """Where the groups end: for each byte offset at which tokens of both sides end, the number of tokens up to it.
 
     ``a`` and ``b`` are the tokens' lengths in bytes, all above zero.
     """
-    index_a = dict(zip(accumulate(a), range(1, len(a) + 1)))
-    index_b = dict(zip(accumulate(b), range(1, len(b) + 1)))
-    common = sorted(filter(index_b.__contains__, index_a))
+    index_a = dict(zip(np.cumsum(a).tolist(), range(1, len(a) + 1)))
+    index_b = dict(zip(np.cumsum(b).tolist(), range(1, len(b) + 1)))
+    common = list(filter(index_b.__contains__, index_a))  # in order, as the ends went in
     return list(map(index_a.__getitem__, common)), list(map(index_b.__getitem__, common))
 
 
 class Aligner:
     def __init__(self, first: ByteLevel, second: Piecewise):
         self.sides = (first, second)
-        self.lengths = [list(map(len, s.pieces)) for s in self.sides]
-        self.written = [list(map(str, range(len(s.pieces)))) for s in self.sides]
+        self.spellings = [Spelling(s.pieces) for s in self.sides]
+        sizes = [len(s.pieces) for s in self.sides]
+        #: Ids as they are written, each with what follows it: ``a,`` and ``a|`` of the first side, ``b,`` and ``b;`` of the second.
+        self.written = np.array([f"{i}{after}" for n, pair in zip(sizes, (",|", ",;")) for after in pair for i in range(n)], "S")
+        self.offsets = (sizes[0], 2 * sizes[0], 2 * sizes[0] + sizes[1])
 
-    def align(self, texts: list[str]) -> Iterator[tuple[list[int], list[int], list[int], list[int]]]:
+    def align(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
         """Of each text both lists of ids and where its groups end in them; none where either side's bytes differ."""
-        if not texts:
-            return
+        none = np.empty(0, np.int32)
         for text, *ids in zip(texts, *(s.encode(texts) for s in self.sides)):
             whole = b" " + text.encode("utf-8")
-            if not text or any(s.spelled(i) != whole for s, i in zip(self.sides, ids)):
-                yield [], [], [], []
+            ids = [np.asarray(i, np.int32) for i in ids]
+            if not text or any(s.of(i) != whole for s, i in zip(self.spellings, ids)):
+                yield none, none, none, none
             else:
-                yield (*ids, *common_ends(*(list(map(n.__getitem__, i)) for n, i in zip(self.lengths, ids))))
-
-    def groups(self, a: list[int], b: list[int], ends_a: list[int], ends_b: list[int]) -> str:
-        """The groups as text: ``a1,a2|b1;a3|b2,b3``."""
-        x, y = (list(map(w.__getitem__, ids)) for w, ids in zip(self.written, (a, b)))
-        out, i, j = [], 0, 0
-        for k, m in zip(ends_a, ends_b):
-            out.append((x[i] if k - i == 1 else ",".join(x[i:k])) + "|" + (y[j] if m - j == 1 else ",".join(y[j:m])))
-            i, j = k, m
-        return ";".join(out)
+                yield (*ids, *(np.array(e, np.int32) for e in common_ends(*(s.lengths[i] for s, i in zip(self.spellings, ids)))))
+
+    def groups(self, a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray) -> Iterator[bytes]:
+        """The groups as text, part by part: ``a1,a2|b1;a3|b2,b3``."""
+        last_a, first_b, last_b = self.offsets
+        x, y = a.copy(), b + first_b
+        x[ends_a - 1] += last_a
+        y[ends_b - 1] += last_b - first_b
+        before_a, before_b = (np.concatenate([e[:1] * 0, e[:-1]]) for e in (ends_a, ends_b))
+        order = np.empty(len(a) + len(b), np.int32)
+        order[np.repeat(before_b, ends_a - before_a) + np.arange(len(a))] = x
+        order[np.repeat(ends_a, ends_b - before_b) + np.arange(len(b))] = y
+        for at in range(0, len(order), TOKENS):
+            part = self.written[order[at : at + TOKENS]].tobytes().translate(None, b"\0")  # shorter ids are filled up with zeros
+            yield part if at + TOKENS < len(order) else part[:-1]
 
 
 def _aligners(docs: DataFrame, a_path: str, b_path: str):
@@ -158,8 +177,9 @@ def _rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return docs.select(named(doc_id).cast("long").alias("doc_id"), whole.alias("text"), F.octet_length(whole).cast("long").alias("size"))
 
 
-def _list(values: list[list[int]] | list[np.ndarray], kind: pa.DataType) -> pa.Array:
-    return pa.array(values, pa.list_(kind))
+def _list(values: list[np.ndarray], kind: pa.DataType) -> pa.Array:
+    ends = np.cumsum([0, *map(len, values)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(values), kind))
 
 
 def alignments(docs: DataFrame, a_path: str, b_path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -192,9 +212,11 @@ def _linked(docs: DataFrame, a_path: str, b_path: str, doc_id: str, text: str) -
         for batch in _some(batches):
             out: list[list] = [[] for _ in names[1:]]
             for a, b, ends_a, ends_b in aligner.align(batch.column(1).to_pylist()):
-                last_a, last_b = (np.array([ids[e - 1] for e in ends], np.int64) for ids, ends in ((a, ends_a), (b, ends_b)))
-                sha = sha256(aligner.groups(a, b, ends_a, ends_b).encode()).hexdigest() if a else ""
-                for c, value in zip(out, (len(a), len(b), len(ends_a), sha, (last_a << 32) + last_b)):
+                last_a, last_b = a[ends_a - 1].astype(np.int64), b[ends_b - 1].astype(np.int64)
+                sha = sha256()
+                for part in aligner.groups(a, b, ends_a, ends_b):
+                    sha.update(part)
+                for c, value in zip(out, (len(a), len(b), len(ends_a), sha.hexdigest() if len(a) else "", (last_a << 32) + last_b)):
                     c.append(value)
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64()) for c in out[:3]), pa.array(out[3], pa.string()), _list(out[4], pa.int64())], names)
 
